@@ -19,8 +19,8 @@ def const(value: int | float | str) -> Column:
 
 
 def half_up(value: Column | str, digits: int) -> Column:
-    """Round half up on the decimal text, as a double. Doubles pass through 12 decimals first."""
-    return F.round(as_col(value).cast("decimal(38,12)"), digits).cast("double")
+    """Round half up on the decimal text, as a double. Doubles are first taken to six more digits."""
+    return F.round(as_col(value).cast(f"decimal(38,{digits + 6})"), digits).cast("double")
 
 
 def ratio(num: Column | str, den: Column | str) -> Column:

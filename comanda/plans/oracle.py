@@ -20,7 +20,7 @@ def select(name: str, sql: str) -> None:
 
 def hu(x: str, digits: int) -> str:
     """Half-up rounding on the decimal text, as a double."""
-    return f"CAST(round(CAST({x} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST({x} AS DECIMAL(38,{digits + 6})), {digits}) AS DOUBLE)"
 
 
 def rt(num: str, den: str) -> str:
@@ -55,6 +55,8 @@ def with_views(sql: str) -> str:
 
 
 def load_all() -> dict[str, str]:
+    from comanda.plans import oracle_visits  # noqa: F401
+
     return {name: with_views(sql) for name, sql in SELECTS.items()}
 
 
