@@ -55,7 +55,7 @@ def with_views(sql: str) -> str:
 
 
 def load_all() -> dict[str, str]:
-    from comanda.plans import oracle_reorder, oracle_visits  # noqa: F401
+    from comanda.plans import oracle_reorder, oracle_stock, oracle_visits  # noqa: F401
 
     return {name: with_views(sql) for name, sql in SELECTS.items()}
 

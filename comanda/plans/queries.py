@@ -36,6 +36,6 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def load_all() -> dict[str, Query]:
-    from comanda.plans import basket_queries, reorder_queries, visit_queries  # noqa: F401
+    from comanda.plans import basket_queries, reorder_queries, stock_queries, visit_queries  # noqa: F401
 
     return dict(QUERIES)

@@ -309,8 +309,29 @@ def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def payment_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payment term per supplier."""
+def supplier_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per supplier and its first sku, with terms by its category except for the payment term."""
+    category = lookup((F.col("s_suppkey") % 5).cast("int"), {0: "main", 1: "side", 2: "dessert", 3: "drink", 4: "other"})
     return driver_table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("supplier_id"), (F.col("s_suppkey") % 4 * 15 + 15).alias("payment_term_days")
+        F.col("s_suppkey").alias("supplier_id"),
+        _sku_id(F.col("s_suppkey")).alias("sku_id"),
+        category.alias("category"),
+        lookup(category, {"drink": 5.0, "dessert": 1.0}, 2.0).alias("lead_time_days_avg"),
+        lookup(category, {"drink": 1.2, "main": 0.6, "dessert": 0.3}, 0.5).alias("lead_time_days_std"),
+        (F.col("s_suppkey") % 4 * 15 + 15).alias("payment_term_days"),
     )
+
+
+def store_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales lines of the stores that count stock: store, menu item, date, quantity."""
+    lines = driver_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_partkey",
+        F.concat(F.lit("ST"), (F.col("l_suppkey") % 10).cast("string")).alias("store_id"),
+        F.col("l_quantity").cast("bigint").alias("qty_sold"),
+    )
+    dates = driver_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("date")
+    )
+    items = parts(spark, sf_dir).select(F.col("p_partkey").alias("l_partkey"), F.col("item_id").alias("sku_id"))
+    return lines.join(items, "l_partkey").join(dates, "l_orderkey").select("store_id", "sku_id", "date", "qty_sold")
