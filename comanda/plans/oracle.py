@@ -27,6 +27,11 @@ def rt(num: str, den: str) -> str:
     return f"(CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0))"
 
 
+def _kind(name: str) -> str:
+    """What an iteration reads again and again is computed once."""
+    return " MATERIALIZED" if name == "zcells_v" else ""
+
+
 def with_views(sql: str) -> str:
     """Prefix the statement with the views it names, each after the views it reads."""
     needed: set[str] = set()
@@ -50,12 +55,12 @@ def with_views(sql: str) -> str:
 
     for name in sorted(needed):
         place(name)
-    ctes = ",\n".join(f"{name} AS (\n{VIEWS[name]}\n)" for name in ordered)
-    return f"WITH {ctes}\n{sql}"
+    ctes = ",\n".join(f"{name} AS{_kind(name)} (\n{VIEWS[name]}\n)" for name in ordered)
+    return f"WITH RECURSIVE {ctes}\n{sql}"
 
 
 def load_all() -> dict[str, str]:
-    from comanda.plans import oracle_reorder, oracle_stock, oracle_visits  # noqa: F401
+    from comanda.plans import oracle_customers, oracle_reorder, oracle_stock, oracle_visits  # noqa: F401
 
     return {name: with_views(sql) for name, sql in SELECTS.items()}
 

@@ -36,6 +36,12 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def load_all() -> dict[str, Query]:
-    from comanda.plans import basket_queries, reorder_queries, stock_queries, visit_queries  # noqa: F401
+    from comanda.plans import (  # noqa: F401
+        basket_queries,
+        customer_queries,
+        reorder_queries,
+        stock_queries,
+        visit_queries,
+    )
 
     return dict(QUERIES)
