@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 
 from comanda.functions.exprs import const, half_up, ratio
 from comanda.params import MenuTypes, RuleThresholds
-from comanda.session import broadcast_if_small
+from comanda.session import broadcast_if_small, materialise
+
+
+# Between the item ids of an order; not a character of any id.
+SEPARATOR = "\u0001"
 
 
 def _nothing() -> Column:
@@ -125,9 +129,8 @@ def drop_rare(sets: DataFrame, min_support: str, keys: Sequence[str] = ()) -> Da
 
 
 def association_rules(
-    items: DataFrame,
+    sets: DataFrame,
     menu: DataFrame,
-    types: MenuTypes = MenuTypes(),
     thresholds: RuleThresholds = RuleThresholds(),
     keys: Sequence[str] = (),
     prune: bool = True,
@@ -135,9 +138,9 @@ def association_rules(
     """Dish -> drink rules with support, confidence, lift and expected profit (confidence x unit profit).
 
     `keys` computes a separate rule set per store, daypart or the like in the same pass. The supports are shares
-    of all baskets, with or without dishes and drinks.
+    of all baskets, with or without dishes and drinks. `sets` (from `basket_sets`) is read twice when pruning: pass
+    a materialised table.
     """
-    sets = basket_sets(items, types, keys)
     if prune:
         sets = drop_rare(sets, thresholds.min_support, keys)
     counts = basket_counts(sets, keys)
@@ -175,14 +178,29 @@ def association_rules(
     )
 
 
-def open_orders(items: DataFrame, types: MenuTypes, extra: Sequence[str] = ()) -> DataFrame:
-    """Distinct dishes per visit, with visit attributes in `extra`; kept partitioned by visit."""
-    known = F.col("visit_id").isNotNull() & F.col("item_id").isNotNull()
-    dishes = items.filter(known & F.col("type").isin(*types.foods))
-    per_visit = dishes.groupBy("visit_id").agg(
-        F.collect_set("item_id").alias("foods"), *[F.max(c).alias(c) for c in extra]
-    )
-    return per_visit.select("visit_id", *extra, F.explode("foods").alias("antecedent_id"))
+def with_pattern(sets: DataFrame) -> DataFrame:
+    """What was ordered, as one text, for the visits that ordered a dish."""
+    ordered = sets.filter(F.size("foods") > 0)
+    return ordered.withColumn("pattern", F.array_join(F.array_sort("foods"), SEPARATOR))
+
+
+def open_orders(patterns: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """One row per distinct order and dish on it."""
+    distinct = patterns.select("pattern", *keys).distinct()
+    return distinct.withColumn("antecedent_id", F.explode(F.split("pattern", SEPARATOR)))
+
+
+def for_all_visits(sets: DataFrame, recommend_orders, keys: Sequence[str] = ()) -> DataFrame:
+    """Recommendations for every visit, worked out once per distinct order.
+
+    What is recommended depends on the dishes (and `keys`) only, and a menu has far fewer combinations than there
+    are visits, so the ranking runs over the distinct orders and its result is joined back. With few of them that
+    join is a broadcast; beyond the bound it is a shuffle join. `sets` is read twice: pass a materialised table.
+    """
+    patterns = with_pattern(sets)
+    picked = materialise(recommend_orders(open_orders(patterns, keys), ("pattern", *keys)))
+    visits = patterns.select("visit_id", "pattern", *keys)
+    return visits.join(broadcast_if_small(picked), ["pattern", *keys]).drop("pattern")
 
 
 def hits(orders: DataFrame, rules: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -190,13 +208,13 @@ def hits(orders: DataFrame, rules: DataFrame, keys: Sequence[str] = ()) -> DataF
     return orders.join(broadcast_if_small(rules), [*keys, "antecedent_id"])
 
 
-def best_per_drink(scored: DataFrame, score: str, group: Sequence[str] = ("visit_id",)) -> DataFrame:
+def best_per_drink(scored: DataFrame, score: str, group: Sequence[str] = ("pattern",)) -> DataFrame:
     """The best-scoring rule for each drink; ties go to the lower dish id."""
     order = W.partitionBy(*group, "consequent_id").orderBy(F.desc(score), "antecedent_id")
     return scored.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
 
 
-def top_n(scored: DataFrame, score: str, n: int, group: Sequence[str] = ("visit_id",)) -> DataFrame:
+def top_n(scored: DataFrame, score: str, n: int, group: Sequence[str] = ("pattern",)) -> DataFrame:
     """The n best rows per group with their rank; ties go to the lower drink id."""
     order = W.partitionBy(*group).orderBy(F.desc(score), "consequent_id", "antecedent_id")
     ranked = scored.withColumn("rank", F.row_number().over(order).cast("bigint"))
@@ -204,7 +222,7 @@ def top_n(scored: DataFrame, score: str, n: int, group: Sequence[str] = ("visit_
 
 
 def recommend(
-    orders: DataFrame, rules: DataFrame, n: int = 3, strategy: str = "profit", group: Sequence[str] = ("visit_id",)
+    orders: DataFrame, rules: DataFrame, n: int = 3, strategy: str = "profit", group: Sequence[str] = ("pattern",)
 ) -> DataFrame:
     """Top drinks for every open order, by expected profit or by confidence."""
     score = {"profit": "expected_profit", "confidence": "confidence"}[strategy]
@@ -214,13 +232,13 @@ def recommend(
 def strategy_uplift(menu: DataFrame, rules: DataFrame, types: MenuTypes, n: int = 3) -> DataFrame:
     """Mean expected profit of the top drinks per dish under both strategies and the uplift in percent."""
     dishes = menu.filter(F.col("type").isin(*types.foods))
-    single = dishes.select(F.col("item_id").alias("visit_id"), F.col("item_id").alias("antecedent_id"))
+    single = dishes.select(F.col("item_id").alias("pattern"), F.col("item_id").alias("antecedent_id"))
 
     def per_dish(strategy: str) -> DataFrame:
         picked = recommend(single, rules, n, strategy)
-        return picked.groupBy("visit_id").agg(F.sum("expected_profit").alias(strategy))
+        return picked.groupBy("pattern").agg(F.sum("expected_profit").alias(strategy))
 
-    both = per_dish("profit").join(per_dish("confidence"), "visit_id")
+    both = per_dish("profit").join(per_dish("confidence"), "pattern")
     by_profit = ratio(F.sum("profit"), F.count("profit"))
     by_confidence = ratio(F.sum("confidence"), F.count("confidence"))
     return both.agg(
@@ -239,8 +257,7 @@ def set_value(recommended: DataFrame, group: Sequence[str] = ("visit_id",)) -> D
 
 
 def fpgrowth_pairs(
-    items: DataFrame,
-    types: MenuTypes,
+    sets: DataFrame,
     thresholds: RuleThresholds = RuleThresholds(),
     max_antecedents: int | None = 1,
 ) -> DataFrame:
@@ -250,21 +267,19 @@ def fpgrowth_pairs(
     """
     from pyspark.ml.fpm import FPGrowth
 
-    sets = basket_sets(items, types).select(F.concat("foods", "drinks").alias("items"), "drinks")
-    names = sets.select("items")
+    names = sets.select(F.concat("foods", "drinks").alias("items"))
     model = FPGrowth(
         itemsCol="items", minSupport=float(thresholds.min_support), minConfidence=float(thresholds.min_confidence)
     ).fit(names)
-    drinks = items.filter(F.col("type") == types.drinks).select(F.col("item_id").alias("consequent_id")).distinct()
+    # the drinks of the menu, as one small array
+    drinks = sets.select(F.explode("drinks").alias("d")).agg(F.collect_set("d")).scalar()
     rules = model.associationRules
     if max_antecedents is not None:
         rules = rules.filter(F.size("antecedent") <= max_antecedents)
-    rules = rules.withColumn("consequent_id", F.col("consequent")[0]).join(drinks, "consequent_id", "left_semi")
-    bought_before = drinks.agg(F.collect_set("consequent_id")).scalar()
-    rules = rules.filter(~F.arrays_overlap("antecedent", bought_before))
+    rules = rules.filter(F.arrays_overlap("consequent", drinks) & ~F.arrays_overlap("antecedent", drinks))
     return rules.select(
         F.array_join(F.array_sort("antecedent"), "+").alias("antecedent_id"),
-        "consequent_id",
+        F.col("consequent")[0].alias("consequent_id"),
         half_up("support", 4).alias("support"),
         half_up("confidence", 4).alias("confidence"),
         half_up("lift", 3).alias("lift"),

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from comanda.functions.exprs import const
-from comanda.operators.basket import best_per_drink, hits, top_n
+from comanda.operators.basket import best_per_drink, for_all_visits, hits, top_n
 from comanda.params import (
     ALCOHOL_FREE_MARK,
     BEERS,
@@ -115,7 +115,7 @@ def hour_adjusted(scored: DataFrame, factors: HourFactors = HourFactors()) -> Da
 
 
 def diversify(
-    scored: DataFrame, n: int = 3, score: str = "final_score", group: Sequence[str] = ("visit_id",)
+    scored: DataFrame, n: int = 3, score: str = "final_score", group: Sequence[str] = ("pattern",)
 ) -> DataFrame:
     """At most one drink per category in score order, then the best of the rest up to n.
 
@@ -134,17 +134,38 @@ def score_rules(rules: DataFrame, menu: DataFrame, taboo: DataFrame, penalties:
     return pairing_penalty(kept(mark_taboo(with_tags(rules, menu), taboo)), penalties)
 
 
-def recommend_with_rules(orders: DataFrame, scored_rules: DataFrame, n: int = 3, group: Sequence[str] = ("visit_id",)) -> DataFrame:
-    """Recall, rank and re-rank for every open order (visit, arrival hour, dish).
+def hour_step(arrival_hour: Column, factors: HourFactors = HourFactors()) -> Column:
+    """The hour as far as the factors tell hours apart: the last of their starts that has passed, else 0."""
+    step = F.lit(0).cast("bigint")
+    for start in sorted((factors.cocktail_from, factors.wine_from)):
+        step = F.when(arrival_hour >= start, F.lit(start).cast("bigint")).otherwise(step)
+    return step
 
-    `scored_rules` comes from `score_rules` and should be materialised. Everything after the open orders is
-    partitioned by visit, so the windows need no further shuffle.
+
+def recommend_with_rules(
+    orders: DataFrame, scored_rules: DataFrame, n: int = 3, group: Sequence[str] = ("pattern", "arrival_hour")
+) -> DataFrame:
+    """Recall, rank and re-rank for every open order (dishes, arrival hour).
+
+    `scored_rules` comes from `score_rules` and should be materialised. What follows the recall is grouped by
+    order, so all windows share one partitioning.
     """
     candidates = hour_adjusted(hits(orders, scored_rules))
     return diversify(best_per_drink(candidates, "final_score", group), n, "final_score", group)
 
 
-def recommend_without_rules(orders: DataFrame, rules: DataFrame, n: int = 3, group: Sequence[str] = ("visit_id",)) -> DataFrame:
+def recommend_visits(sets: DataFrame, scored_rules: DataFrame, n: int = 3, factors: HourFactors = HourFactors()) -> DataFrame:
+    """Re-ranked recommendations for visits (visit_id, arrival_hour, foods), worked out per distinct order and
+    step of the evening."""
+    stepped = sets.withColumn("arrival_hour", hour_step(F.col("arrival_hour"), factors))
+
+    def picked(orders: DataFrame, group: Sequence[str]) -> DataFrame:
+        return recommend_with_rules(orders, scored_rules, n, group)
+
+    return for_all_visits(stepped, picked, ["arrival_hour"]).drop("arrival_hour")
+
+
+def recommend_without_rules(orders: DataFrame, rules: DataFrame, n: int = 3, group: Sequence[str] = ("pattern",)) -> DataFrame:
     """The same recall and ranking with the expected profit as the score and nothing re-ranked."""
     scored = hits(orders, rules).withColumn("final_score", F.col("expected_profit"))
     return top_n(best_per_drink(scored, "final_score", group), "final_score", n, group)

@@ -14,33 +14,45 @@ from comanda.sources import binding
 TYPES = ENGLISH_TYPES
 
 
-def rules_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sets_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dishes and drinks per visit, written once: the order lines are read and shuffled a single time."""
+    return materialise(basket.basket_sets(binding.order_lines(spark, sf_dir), TYPES))
+
+
+def rules_from(sets: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule table, written once and read by what recommends from it."""
-    lines = binding.order_lines(spark, sf_dir)
-    return materialise(basket.association_rules(lines, binding.menu(spark, sf_dir), TYPES))
+    return materialise(basket.association_rules(sets, binding.menu(spark, sf_dir)))
+
+
+def rules_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules_from(sets_of(spark, sf_dir), spark, sf_dir)
 
 
-def tagged_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rerank.with_tags(rules_of(spark, sf_dir), binding.menu(spark, sf_dir))
+def tagged(rules: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rerank.with_tags(rules, binding.menu(spark, sf_dir))
 
 
 def marked_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     taboo = rerank.taboo_table(spark, binding.BOUND_TABOO)
-    return rerank.mark_taboo(tagged_rules(spark, sf_dir), taboo)
+    return rerank.mark_taboo(tagged(rules_of(spark, sf_dir), spark, sf_dir), taboo)
 
 
-def scored_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    penalties = rerank.penalty_table(spark)
-    return materialise(rerank.pairing_penalty(rerank.kept(marked_rules(spark, sf_dir)), penalties))
+def scored_from(rules: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    taboo, penalties = rerank.taboo_table(spark, binding.BOUND_TABOO), rerank.penalty_table(spark)
+    return materialise(rerank.score_rules(rules, binding.menu(spark, sf_dir), taboo, penalties))
 
 
-def orders_with_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dishes per visit with the hour of arrival. The hour joins after the lines have become one row per visit."""
-    dishes = basket.basket_sets(binding.order_lines(spark, sf_dir), TYPES)
+def with_hour(sets: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hour of arrival joins after the lines have become one row per visit."""
     heads = binding.order_heads(spark, sf_dir).select("visit_id", "arrival_hour")
-    return dishes.join(heads, "visit_id").select(
-        "visit_id", "arrival_hour", F.explode("foods").alias("antecedent_id")
-    )
+    return sets.select("visit_id", "foods").join(heads, "visit_id")
+
+
+def ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole recommendation: baskets, rules, domain scores, the three drinks of every visit."""
+    sets = sets_of(spark, sf_dir)
+    scored = scored_from(rules_from(sets, spark, sf_dir), spark, sf_dir)
+    return rerank.recommend_visits(with_hour(sets, spark, sf_dir), scored)
 
 
 @query("baskets")
@@ -66,25 +78,27 @@ def pair_counts(spark, sf_dir):
 
 @query("association_rules")
 def association_rules(spark, sf_dir):
-    return basket.association_rules(binding.order_lines(spark, sf_dir), binding.menu(spark, sf_dir), TYPES)
+    return basket.association_rules(sets_of(spark, sf_dir), binding.menu(spark, sf_dir))
 
 
 @query("fpgrowth_pairs")
 def fpgrowth_pairs(spark, sf_dir):
-    return basket.fpgrowth_pairs(binding.order_lines(spark, sf_dir), TYPES)
+    return basket.fpgrowth_pairs(sets_of(spark, sf_dir))
 
 
 @query("recommend_profit")
 def recommend_profit(spark, sf_dir):
-    orders = basket.open_orders(binding.order_lines(spark, sf_dir), TYPES)
-    picked = basket.recommend(orders, rules_of(spark, sf_dir), 3, "profit")
+    sets = sets_of(spark, sf_dir)
+    rules = rules_from(sets, spark, sf_dir)
+    picked = basket.for_all_visits(sets, lambda orders, group: basket.recommend(orders, rules, 3, "profit", group))
     return picked.select("visit_id", "rank", "consequent_id", "antecedent_id", "expected_profit")
 
 
 @query("recommend_confidence")
 def recommend_confidence(spark, sf_dir):
-    orders = basket.open_orders(binding.order_lines(spark, sf_dir), TYPES)
-    picked = basket.recommend(orders, rules_of(spark, sf_dir), 3, "confidence")
+    sets = sets_of(spark, sf_dir)
+    rules = rules_from(sets, spark, sf_dir)
+    picked = basket.for_all_visits(sets, lambda orders, group: basket.recommend(orders, rules, 3, "confidence", group))
     return picked.select("visit_id", "rank", "consequent_id", "antecedent_id", "confidence")
 
 
@@ -96,17 +110,17 @@ def strategy_uplift(spark, sf_dir):
 @query("rules_by_daypart")
 def rules_by_daypart(spark, sf_dir):
     heads = binding.order_heads(spark, sf_dir).select("visit_id", "arrival_hour")
-    lines = basket.add_daypart(binding.order_lines(spark, sf_dir).join(heads, "visit_id"), DAYPARTS)
     menu = binding.menu(spark, sf_dir)
-    rules = materialise(basket.association_rules(lines, menu, TYPES, keys=["daypart"]))
+    sets = materialise(basket.add_daypart(sets_of(spark, sf_dir).join(heads, "visit_id"), DAYPARTS))
+    rules = materialise(basket.association_rules(sets, menu, keys=["daypart"]))
     dishes = menu.filter(F.col("type").isin(*TYPES.foods))
     single = dishes.select(
-        F.col("item_id").alias("visit_id"),
+        F.col("item_id").alias("pattern"),
         F.col("item_id").alias("antecedent_id"),
         F.explode(F.array(*[F.lit(d) for d in DAYPARTS])).alias("daypart"),
     )
     found = basket.hits(single, rules, ["daypart"])
-    return basket.top_n(found, "expected_profit", 3, ["daypart", "visit_id"]).select(
+    return basket.top_n(found, "expected_profit", 3, ["daypart", "pattern"]).select(
         "daypart", "antecedent_id", "rank", "consequent_id", "support", "confidence", "lift", "expected_profit"
     )
 
@@ -123,43 +137,48 @@ def taboo_blocked(spark, sf_dir):
 
 @query("pairing_penalty")
 def pairing_penalty(spark, sf_dir):
-    scored = rerank.pairing_penalty(tagged_rules(spark, sf_dir), rerank.penalty_table(spark))
+    rules = tagged(rules_of(spark, sf_dir), spark, sf_dir)
+    scored = rerank.pairing_penalty(rules, rerank.penalty_table(spark))
     return scored.select("antecedent_id", "consequent_id", "pairing_factor", "pairing_score")
 
 
 @query("hour_adjusted")
 def hour_adjusted(spark, sf_dir):
-    found = basket.hits(orders_with_hour(spark, sf_dir), scored_rules(spark, sf_dir))
-    return rerank.hour_adjusted(found).select(
+    sets = sets_of(spark, sf_dir)
+    scored = scored_from(rules_from(sets, spark, sf_dir), spark, sf_dir)
+    orders = with_hour(sets, spark, sf_dir).select("visit_id", "arrival_hour", F.explode("foods").alias("antecedent_id"))
+    return rerank.hour_adjusted(basket.hits(orders, scored)).select(
         "visit_id", "antecedent_id", "consequent_id", "pairing_score", "hour_factor", "final_score"
     )
 
 
 @query("diversified_topn")
 def diversified_topn(spark, sf_dir):
-    orders = basket.open_orders(binding.order_lines(spark, sf_dir), TYPES)
-    found = basket.hits(orders, materialise(tagged_rules(spark, sf_dir)))
-    best = basket.best_per_drink(found, "expected_profit")
-    picked = rerank.diversify(best, 3, "expected_profit")
-    return picked.select("visit_id", "rank", "consequent_id", "category", "expected_profit")
+    sets = sets_of(spark, sf_dir)
+    rules = materialise(tagged(rules_from(sets, spark, sf_dir), spark, sf_dir))
+
+    def varied(orders, group):
+        best = basket.best_per_drink(basket.hits(orders, rules), "expected_profit", group)
+        return rerank.diversify(best, 3, "expected_profit", group)
+
+    return basket.for_all_visits(sets, varied).select("visit_id", "rank", "consequent_id", "category", "expected_profit")
 
 
 @query("recommend_rules")
 def recommend_rules(spark, sf_dir):
-    picked = rerank.recommend_with_rules(orders_with_hour(spark, sf_dir), scored_rules(spark, sf_dir))
-    return picked.select(
+    return ruled(spark, sf_dir).select(
         "visit_id", "rank", "consequent_id", "antecedent_id", "category", "expected_profit", "final_score"
     )
 
 
 @query("recommend_raw")
 def recommend_raw(spark, sf_dir):
-    orders = basket.open_orders(binding.order_lines(spark, sf_dir), TYPES)
-    picked = rerank.recommend_without_rules(orders, rules_of(spark, sf_dir))
+    sets = sets_of(spark, sf_dir)
+    rules = rules_from(sets, spark, sf_dir)
+    picked = basket.for_all_visits(sets, lambda orders, group: rerank.recommend_without_rules(orders, rules, 3, group))
     return picked.select("visit_id", "rank", "consequent_id", "antecedent_id", "final_score")
 
 
 @query("rec_set_value")
 def rec_set_value(spark, sf_dir):
-    picked = rerank.recommend_with_rules(orders_with_hour(spark, sf_dir), scored_rules(spark, sf_dir))
-    return basket.set_value(picked)
+    return basket.set_value(ruled(spark, sf_dir))

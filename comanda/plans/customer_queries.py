@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from comanda.functions.exprs import half_up
-from comanda.operators import basket, segment, upsell
-from comanda.params import ENGLISH_TYPES, UPSELL_FEATURES
+from comanda.operators import segment, upsell
+from comanda.params import UPSELL_FEATURES
 from comanda.plans import basket_queries
 from comanda.plans.queries import query
 from comanda.session import materialise, new_folder
@@ -39,12 +39,13 @@ def scaled(spark, sf_dir):
     return segment.standardise(materialise(customers(spark, sf_dir)))
 
 
-def assigned(spark, sf_dir):
-    return segment.assign(scaled(spark, sf_dir), CENTRES)
+def points(spark, sf_dir):
+    """The standardised customers, written once for what reads them again and again."""
+    return materialise(scaled(spark, sf_dir))
 
 
-def vectors(spark, sf_dir):
-    return segment.feature_vectors(scaled(spark, sf_dir)).cache()
+def assigned(spark, sf_dir):
+    return segment.assign(scaled(spark, sf_dir), CENTRES)
 
 
 @query("customer_table")
@@ -66,7 +67,7 @@ def customer_scaled(spark, sf_dir):
 
 @query("choose_k")
 def choose_k(spark, sf_dir):
-    scores = segment.choose_k(vectors(spark, sf_dir))
+    scores = segment.choose_k(points(spark, sf_dir))
     chosen = segment.best_k(scores)
     rows = [(k, round(inertia, 1), round(s, 4), k == chosen) for k, inertia, s in scores]
     return spark.createDataFrame(rows, "k BIGINT, inertia DOUBLE, silhouette DOUBLE, chosen BOOLEAN")
@@ -74,9 +75,9 @@ def choose_k(spark, sf_dir):
 
 @query("kmeans_segments")
 def kmeans_segments(spark, sf_dir):
-    rows = vectors(spark, sf_dir)
-    model = segment.fit_kmeans(rows, 3)
-    return model.transform(rows).select("customer_id", F.col("prediction").alias("cluster"))
+    rows = points(spark, sf_dir)
+    best = segment.fit_kmeans(rows, [3])[3]
+    return segment.assign(rows, best.centres).select("customer_id", "cluster")
 
 
 @query("kmeans_assign")
@@ -109,7 +110,7 @@ def segment_value(spark, sf_dir):
 
 @query("customer_pca")
 def customer_pca(spark, sf_dir):
-    rows = vectors(spark, sf_dir)
+    rows = segment.feature_vectors(points(spark, sf_dir))
     model = segment.principal_components(rows)
     shares = [float(v) for v in model.explainedVariance]
     return segment.project(rows, model).select(
@@ -228,17 +229,19 @@ def potential_tier(spark, sf_dir):
 
 # --- streams -----------------------------------------------------------------------------------------------------
 
-ORDERS_SCHEMA = "o_orderkey BIGINT"
+REQUEST_SCHEMA = "visit_id BIGINT, foods ARRAY<STRING>, arrival_hour BIGINT"
 
 
 @query("recommend_stream_equiv")
 def recommend_stream_equiv(spark, sf_dir):
-    arriving = jobs.order_stream(spark, sf_dir, ORDERS_SCHEMA, "orders.parquet")
-    requests = arriving.select(F.col("o_orderkey").alias("visit_id"), (F.col("o_orderkey") % 8 + 17).alias("arrival_hour"))
-    dishes = basket.open_orders(binding.order_lines(spark, sf_dir), ENGLISH_TYPES)
+    sets = basket_queries.sets_of(spark, sf_dir)
+    rules = basket_queries.rules_from(sets, spark, sf_dir)
+    scored_rules = basket_queries.scored_from(rules, spark, sf_dir)
+    arriving = new_folder(spark, "requests")
+    basket_queries.with_hour(sets, spark, sf_dir).write.parquet(arriving)
     out = new_folder(spark, "recommendations")
-    rules = basket_queries.scored_rules(spark, sf_dir)
-    jobs.finish(jobs.start_recommendations(requests, dishes, rules, out, new_folder(spark, "recommendations-state")))
+    requests = jobs.order_stream(spark, arriving, REQUEST_SCHEMA)
+    jobs.finish(jobs.start_recommendations(requests, scored_rules, out, new_folder(spark, "recommendations-state")))
     return jobs.read_batches(spark, out).select(
         "visit_id", "rank", "consequent_id", "antecedent_id", "category", "expected_profit", "final_score"
     )

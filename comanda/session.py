@@ -1,4 +1,4 @@
-"""Session settings and the shared checkpoint folder."""
+"""Session settings and tables written to the shared folder."""
 
 from __future__ import annotations
 
@@ -42,9 +42,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="comanda-checkpoint-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="comanda-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -53,11 +52,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared folder once and read it from there (reliable checkpoint)."""
-    shared_folder(df.sparkSession)
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Write `df` to the shared folder once and go on from the written table.
+
+    Cuts the lineage, so what leads up to it runs once and a lost executor costs nothing that was done before.
+    Parquet keeps column pruning and gives the planner the true size.
+    """
+    path = new_folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

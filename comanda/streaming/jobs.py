@@ -18,17 +18,18 @@ def order_stream(spark: SparkSession, folder: str, schema: str, pattern: str = "
     )
 
 
-def start_recommendations(requests: DataFrame, dishes: DataFrame, scored_rules: DataFrame, out: str, state: str, n: int = 3) -> StreamingQuery:
-    """Recommend drinks for every request (visit, arrival hour) as it arrives.
+def start_recommendations(requests: DataFrame, scored_rules: DataFrame, out: str, state: str, n: int = 3) -> StreamingQuery:
+    """Recommend drinks for every request (visit_id, arrival_hour, foods) as it arrives.
 
-    A request carries its visit; the dishes on its table come from `dishes` (visit, dish). Each batch writes its
-    own folder and overwrites it when it is run again, so a restart neither loses nor doubles a recommendation.
+    A request holds all a table has ordered so far, so requests do not depend on each other. Each batch writes its
+    own folder and overwrites it when it is run again: a restart neither loses nor doubles a recommendation.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        orders = batch.join(dishes, "visit_id")
-        picked = rerank.recommend_with_rules(orders, scored_rules, n)
+        batch.persist()
+        picked = rerank.recommend_visits(batch, scored_rules, n)
         picked.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        batch.unpersist()
 
     return (
         requests.writeStream.foreachBatch(write_batch)
