@@ -56,59 +56,44 @@ def basket_sets(items: DataFrame, types: MenuTypes, keys: Sequence[str] = ()) ->
     )
 
 
+def _basket_total(counts: DataFrame, count: str, keys: Sequence[str]) -> DataFrame:
+    """Add `n_baskets`, the count of the entry that stands for all baskets, and drop that entry.
+
+    It comes from a small aggregate over the same counts, so the items of a key are not gathered in one task.
+    """
+    whole = F.max(F.when(F.col("item_id").isNull(), F.col(count)))
+    if keys:
+        counts = counts.join(counts.groupBy(*keys).agg(whole.alias("n_baskets")), list(keys))
+    else:
+        counts = counts.withColumn("n_baskets", counts.agg(whole).scalar())
+    return counts.filter(F.col("item_id").isNotNull())
+
+
 def item_support(items: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Share of all baskets that hold the item."""
     sets = items.filter(F.col("visit_id").isNotNull() & F.col("item_id").isNotNull())
     sets = sets.groupBy(*keys, "visit_id").agg(F.collect_set("item_id").alias("held"))
     # one entry per basket and one per item in it, counted in the same pass
-    counts = (
-        sets.select(*keys, F.explode(F.array_append("held", _nothing())).alias("item_id"))
-        .groupBy(*keys, "item_id")
-        .agg(F.count(F.lit(1)).alias("baskets"))
-    )
-    n = F.max(F.when(F.col("item_id").isNull(), F.col("baskets"))).over(W.partitionBy(*keys))
-    return (
-        counts.withColumn("n_baskets", n)
-        .filter(F.col("item_id").isNotNull())
-        .withColumn("support", half_up(ratio("baskets", "n_baskets"), 4))
-    )
-
-
-def _entries(foods: Column, drinks: Column) -> Column:
-    def entry(a: Column, b: Column) -> Column:
-        return F.struct(a.alias("a"), b.alias("b"))
-
-    # (NULL, NULL) counts all baskets, (a, NULL) and (NULL, b) an item, (a, b) a pair
-    nothing = _nothing()
-    pairs = F.flatten(F.transform(foods, lambda f: F.transform(drinks, lambda d: entry(f, d))))
-    return F.concat(
-        F.array(entry(nothing, nothing)),
-        F.transform(foods, lambda f: entry(f, nothing)),
-        F.transform(drinks, lambda d: entry(nothing, d)),
-        pairs,
-    )
+    entries = sets.select(*keys, F.explode(F.array_append("held", _nothing())).alias("item_id"))
+    counts = entries.groupBy(*keys, "item_id").agg(F.count(F.lit(1)).alias("baskets"))
+    return _basket_total(counts, "baskets", keys).withColumn("support", half_up(ratio("baskets", "n_baskets"), 4))
 
 
 def basket_counts(sets: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Baskets in total, per item and per dish-drink pair, counted together in one pass over the visits.
+    """Baskets in total (a and b NULL), per item (one of them NULL) and per dish-drink pair, in one pass over the
+    visits.
 
-    Only the counted entries are shuffled; they are summed before that on each task.
+    Entries are made one by one, summed on each task and only then shuffled.
     """
-    entries = sets.select(*keys, F.explode(_entries(F.col("foods"), F.col("drinks"))).alias("e"))
-    return entries.groupBy(*keys, "e.a", "e.b").agg(F.count(F.lit(1)).alias("baskets"))
+    dishes = sets.select(*keys, F.explode(F.array_append("foods", _nothing())).alias("a"), "drinks")
+    entries = dishes.select(*keys, "a", F.explode(F.array_append("drinks", _nothing())).alias("b"))
+    return entries.groupBy(*keys, "a", "b").agg(F.count(F.lit(1)).alias("baskets"))
 
 
 def pair_counts(sets: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Baskets per directed dish -> drink pair."""
-    pair = F.explode(
-        F.flatten(
-            F.transform(
-                "foods",
-                lambda f: F.transform("drinks", lambda d: F.struct(f.alias("antecedent_id"), d.alias("consequent_id"))),
-            )
-        )
-    )
-    pairs = sets.select(*keys, pair.alias("p")).select(*keys, "p.*")
+    dishes = sets.select(*keys, F.explode("foods").alias("antecedent_id"), "drinks")
+    pairs = dishes.select(*keys, "antecedent_id", F.explode("drinks").alias("consequent_id"))
     return pairs.groupBy(*keys, "antecedent_id", "consequent_id").agg(F.count(F.lit(1)).alias("baskets"))
 
 
@@ -120,8 +105,7 @@ def drop_rare(sets: DataFrame, min_support: str, keys: Sequence[str] = ()) -> Da
     """
     both = F.explode(F.array_append(F.array_union("foods", "drinks"), _nothing()))
     counts = sets.select(*keys, both.alias("item_id")).groupBy(*keys, "item_id").agg(F.count(F.lit(1)).alias("n"))
-    total = F.max(F.when(F.col("item_id").isNull(), F.col("n"))).over(W.partitionBy(*keys))
-    frequent = counts.withColumn("total", total).filter(F.col("n") >= F.col("total") * const(min_support))
+    frequent = _basket_total(counts, "n", keys).filter(F.col("n") >= F.col("n_baskets") * const(min_support))
     kept = frequent.agg(F.collect_set("item_id")).scalar()
     return sets.withColumns(
         {"foods": F.array_intersect("foods", kept), "drinks": F.array_intersect("drinks", kept)}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from comanda.functions.exprs import const, half_up, ratio
 from comanda.functions.ordered import ROWS_PER_TASK, running_total, share_of_total
 from comanda.params import COST_BANDS, FULL_PAYMENT_TERM_DAYS, MISSING_METRIC, SCORE_WEIGHTS
+from comanda.session import materialise
 
 HIGH, WITHIN, BELOW = "high", "within", "below"
 # The report's words for the three verdicts.
@@ -131,7 +132,7 @@ def supplier_metrics(receipts: DataFrame) -> DataFrame:
     """On-time and defect rate and price competitiveness per supplier from its deliveries.
 
     Competitiveness compares the supplier's mean cost in a category with the cheapest supplier's, weighted by the
-    quantity it delivers there.
+    quantity it delivers there. The receipts are read once: their totals per supplier and category are written.
     """
     per_category = receipts.groupBy("supplier_id", "category").agg(
         F.count(F.lit(1)).alias("n"),
@@ -140,7 +141,7 @@ def supplier_metrics(receipts: DataFrame) -> DataFrame:
         F.sum("quantity").alias("quantity"),
         F.sum("amount").alias("amount"),
     )
-    per_category = per_category.withColumn("avg_cost", ratio("amount", "quantity"))
+    per_category = materialise(per_category.withColumn("avg_cost", ratio("amount", "quantity")))
     cheapest = per_category.groupBy("category").agg(F.min("avg_cost").alias("lowest"))
     weighted = (F.try_divide("lowest", "avg_cost") * F.col("quantity")).cast("decimal(28,8)")
     return (

@@ -7,6 +7,7 @@ columns they do have. Money is in decimals, counts are integers, so totals do no
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from comanda.functions.exprs import business_date, business_hour, half_up, is_weekend, lookup, weekday
@@ -139,12 +140,13 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.when(is_drink, F.col("value")).otherwise(zero)).cast(MONEY).alias("drink_revenue"),
         F.sum("value").cast(MONEY).alias("total_revenue"),
     )
-    first_day = events.groupBy("user_id").agg(F.min("date").alias("first_date"))
+    # a user has at most one row per day of the calendar here
+    first_day = F.min("date").over(W.partitionBy("user_id"))
     drink, total = F.col("drink_revenue"), F.col("total_revenue")
     food_rate, drink_rate = F.lit("0.45").cast("decimal(5,2)"), F.lit("0.65").cast("decimal(5,2)")
     share = F.coalesce(F.try_divide(drink.cast("double"), total.cast("double")), F.lit(0.0))
     hour = business_hour("first_ts")
-    return per_day.join(first_day, "user_id").select(
+    return per_day.withColumn("first_date", first_day).select(
         F.concat(F.col("user_id").cast("string"), F.lit("|"), F.col("date").cast("string")).alias("visit_id"),
         F.col("user_id").alias("customer_id"),
         "date",
