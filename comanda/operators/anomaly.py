@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from comanda.functions.exprs import half_up, ratio
-from comanda.functions.ordered import exact_quantile
+from comanda.functions.ordered import exact_quantile, hash_sample
 from comanda.operators.stocktake import LEVEL_HIGH
 from comanda.params import ANOMALY_CONTAMINATION, ANOMALY_MIN_ROWS
 from comanda.session import materialise
@@ -69,13 +69,12 @@ def grow_tree(sample: pd.DataFrame, features: Sequence[str]) -> pd.DataFrame:
 
 
 def tree_samples(df: DataFrame, ids: Sequence[str], features: Sequence[str], trees: int, rows: int) -> DataFrame:
-    """A sample of `rows` rows for each tree, the same on every run: rows in the order of a hash of their ids.
+    """A sample of `rows` rows for each tree, the same on every run.
 
-    First the `trees` x `rows` rows that come first over all; every tree then takes its own from those. Neither
-    step depends on how the table is partitioned, and no task sees more than that many rows.
+    A hash-ordered sample of `trees` x `rows` rows of the table is taken first; every tree then takes its own
+    from those, in the order of a hash of tree and row. No task sees more than that many rows.
     """
-    key = F.concat_ws("|", *ids)
-    pool = df.select(*features, key.alias("_key")).orderBy(F.md5("_key"), "_key").limit(trees * rows)
+    pool = hash_sample(df, ids, trees * rows).select(*features, F.concat_ws("|", *ids).alias("_key"))
     each = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     order = W.partitionBy("tree").orderBy(F.md5(F.concat_ws("|", "tree", "_key")), "_key")
     return each.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= rows).drop("_key")
@@ -131,7 +130,7 @@ def detect_anomalies(
     quantile of the expected share of anomalies, so negative means flagged. Grows the forest when called.
     """
     table = materialise(anomaly_features(df))
-    n = table.limit(max(min_rows, rows)).count()
+    n = table.count()
     if n < min_rows:
         return table.withColumns({"anomaly_score": F.lit(None).cast("double"), "anomaly_flag": F.lit(False)})
     forest = fit_forest(table, ids, FEATURES, trees, rows).toPandas()

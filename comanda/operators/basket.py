@@ -13,6 +13,9 @@ from comanda.params import MenuTypes, RuleThresholds
 from comanda.session import broadcast_if_small, materialise
 
 
+# Menus longer than this are pruned of rare items before pairs are counted.
+PRUNE_ABOVE_ITEMS = 1_000
+
 # Between the item ids of an order; not a character of any id.
 SEPARATOR = "\u0001"
 
@@ -117,14 +120,17 @@ def association_rules(
     menu: DataFrame,
     thresholds: RuleThresholds = RuleThresholds(),
     keys: Sequence[str] = (),
-    prune: bool = True,
+    prune: bool | None = None,
 ) -> DataFrame:
     """Dish -> drink rules with support, confidence, lift and expected profit (confidence x unit profit).
 
     `keys` computes a separate rule set per store, daypart or the like in the same pass. The supports are shares
-    of all baskets, with or without dishes and drinks. `sets` (from `basket_sets`) is read twice when pruning: pass
-    a materialised table.
+    of all baskets, with or without dishes and drinks. Rare items are dropped first when the menu is long; with a
+    short one their pairs are few anyway and the extra pass over `sets` is spared. Pass written tables for `sets`
+    (from `basket_sets`) and `menu`.
     """
+    if prune is None:
+        prune = menu.count() > PRUNE_ABOVE_ITEMS
     if prune:
         sets = drop_rare(sets, thresholds.min_support, keys)
     counts = basket_counts(sets, keys)

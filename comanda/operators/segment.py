@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from comanda.functions.exprs import half_up, mean, ratio
+from comanda.functions.ordered import hash_sample
 from comanda.params import MAX_SEGMENTS, MIN_VISITS
 
 FEATURES = ("visits", "avg_spend", "avg_drink_ratio", "avg_duration", "avg_hour")
@@ -132,6 +133,7 @@ def fit_kmeans(
     n_init: int = 10,
     seed: int = 42,
     features: Sequence[str] = FEATURES,
+    ids: Sequence[str] = ("customer_id",),
     max_iter: int = 300,
     tol: float = 1e-4,
     sample_rows: int = 20_000,
@@ -142,8 +144,7 @@ def fit_kmeans(
     centres and their totals reach the driver. The first centres come from a hash-ordered sample.
     """
     names = [f"z_{c}" for c in features]
-    order = [F.md5(F.concat_ws("|", *names)), *names]
-    sample = points.select(*names).orderBy(*order).limit(sample_rows).toPandas().to_numpy(dtype=float)
+    sample = hash_sample(points, ids, sample_rows).select(*names).toPandas().to_numpy(dtype=float)
     rng = np.random.default_rng(seed)
     ks = [k for k in ks if k <= len(sample)]
     plan = [k for k in ks for _ in range(n_init)]

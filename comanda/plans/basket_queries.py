@@ -19,9 +19,13 @@ def sets_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise(basket.basket_sets(binding.order_lines(spark, sf_dir), TYPES))
 
 
+def menu_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise(binding.menu(spark, sf_dir))
+
+
 def rules_from(sets: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule table, written once and read by what recommends from it."""
-    return materialise(basket.association_rules(sets, binding.menu(spark, sf_dir)))
+    return materialise(basket.association_rules(sets, menu_of(spark, sf_dir)))
 
 
 def rules_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +82,7 @@ def pair_counts(spark, sf_dir):
 
 @query("association_rules")
 def association_rules(spark, sf_dir):
-    return basket.association_rules(sets_of(spark, sf_dir), binding.menu(spark, sf_dir))
+    return basket.association_rules(sets_of(spark, sf_dir), menu_of(spark, sf_dir))
 
 
 @query("fpgrowth_pairs")
@@ -110,7 +114,7 @@ def strategy_uplift(spark, sf_dir):
 @query("rules_by_daypart")
 def rules_by_daypart(spark, sf_dir):
     heads = binding.order_heads(spark, sf_dir).select("visit_id", "arrival_hour")
-    menu = binding.menu(spark, sf_dir)
+    menu = menu_of(spark, sf_dir)
     sets = materialise(basket.add_daypart(sets_of(spark, sf_dir).join(heads, "visit_id"), DAYPARTS))
     rules = materialise(basket.association_rules(sets, menu, keys=["daypart"]))
     dishes = menu.filter(F.col("type").isin(*TYPES.foods))

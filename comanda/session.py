@@ -63,8 +63,9 @@ def materialise(df: DataFrame) -> DataFrame:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when the (materialised) table has at most `max_rows` rows, else the table as it is.
+    """Broadcast hint when the written table has at most `max_rows` rows, else the table as it is.
 
-    Beyond the bound the join stays a shuffle join, which AQE may still split on skew.
+    Counting a written table reads its file footers only. Beyond the bound the join stays a shuffle join, which
+    AQE may still split on skew.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df

@@ -59,7 +59,7 @@ def test_baskets_and_counts(data):
     assert {(r["antecedent_id"], r["consequent_id"]): r["baskets"] for r in found} == dict(pair)
 
 
-@pytest.mark.parametrize("prune", [True, False])
+@pytest.mark.parametrize("prune", [True, False, None])
 @pytest.mark.parametrize("min_support", ["0.01", "0.05"])
 def test_rules(data, prune, min_support):
     df, lines, menu = data
