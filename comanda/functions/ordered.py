@@ -35,10 +35,11 @@ def running_total(
     """
     by = _names(by)
     df = materialise(df)
-    sizes = df.groupBy(*by).count() if by else df.agg(F.count(F.lit(1)).alias("count"))
-    largest, rows = sizes.agg(F.max("count"), F.sum("count")).first()
+    rows = largest = df.count()
+    if by and rows > rows_per_task:
+        largest = df.groupBy(*by).count().agg(F.max("count")).first()[0]
     to_here = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    if (largest or 0) <= rows_per_task:
+    if largest <= rows_per_task:
         return df.withColumn(out, F.sum(value).over(to_here))
 
     slices = -(-rows // rows_per_task)
