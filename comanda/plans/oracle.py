@@ -28,8 +28,9 @@ def rt(num: str, den: str) -> str:
 
 
 def _kind(name: str) -> str:
-    """What an iteration reads again and again is computed once."""
-    return " MATERIALIZED" if name == "zcells_v" else ""
+    """What an iteration or a later level reads again is computed once."""
+    once = ("zcells_v", "cov_v", "deflated_v", "cells_v", "split_v", "splits_v")
+    return " MATERIALIZED" if name in once or re.match(r"(tree|best|test)\d_v", name) else ""
 
 
 def with_views(sql: str) -> str:

@@ -195,3 +195,121 @@ select(
     "odds_ratio",
     f"SELECT feature, {hu('coefficient', 3)} AS coefficient, {hu('exp(coefficient)', 3)} AS odds_ratio FROM coefficients_v WHERE feature <> 'intercept'",
 )
+
+# --- the tree, level by level ------------------------------------------------------------------------------------
+
+_LEVELS = range(4)
+view(
+    "tree0_v",
+    f"SELECT 1 AS node, {_F}, sum(weight) AS w, sum(weight * label) AS pos FROM cells_v GROUP BY {_F}",
+)
+view(
+    "cuts_v",
+    " UNION ALL ".join(
+        f"SELECT {i} AS f, (v + lead(v) OVER (ORDER BY v)) / 2.0 AS cut FROM (SELECT DISTINCT {c} AS v FROM cells_v) t"
+        for i, c in enumerate(UPSELL_FEATURES)
+    ),
+)
+_X = f"CASE f {' '.join(f'WHEN {i} THEN {c}' for i, c in enumerate(UPSELL_FEATURES))} END"
+
+
+def _impurity(w: str, pos: str) -> str:
+    return f"({pos} - {pos} * {pos} / {w})"
+
+
+for _level in _LEVELS:
+    view(
+        f"best{_level}_v",
+        f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, cut) AS place FROM (
+  SELECT *, {_impurity('w', 'pos')} - {_impurity('wl', 'pl')} - {_impurity('(w - wl)', '(pos - pl)')} AS gain FROM (
+    SELECT node, f, cut, sum(w) AS w, sum(pos) AS pos, sum(CASE WHEN {_X} <= cut THEN w ELSE 0 END) AS wl, sum(CASE WHEN {_X} <= cut THEN pos ELSE 0 END) AS pl
+    FROM tree{_level}_v, cuts_v WHERE cut IS NOT NULL GROUP BY node, f, cut) a WHERE wl >= 40 AND w - wl >= 40) b WHERE gain > 1e-12) c WHERE place = 1""",
+    )
+    view(
+        f"tree{_level + 1}_v",
+        f"""SELECT t.node * 2 + CASE WHEN {_X} <= cut THEN 0 ELSE 1 END AS node, {_F}, t.w, t.pos
+FROM tree{_level}_v t JOIN best{_level}_v b ON b.node = t.node""",
+    )
+view("splits_v", " UNION ALL ".join(f"SELECT node, f, cut, gain FROM best{level}_v" for level in _LEVELS))
+select(
+    "upsell_tree",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {hu(f'coalesce(sum(gain) FILTER (WHERE f = {i}), 0) / sum(gain)', 3)} AS importance FROM splits_v"
+        for i, c in enumerate(UPSELL_FEATURES)
+    ),
+)
+# where the visits of the test set end up, and the share of positives among the training rows there
+view("test0_v", f"SELECT visit_id, label, {_F}, 1 AS node FROM split_v WHERE is_test = 1")
+for _level in _LEVELS:
+    view(
+        f"test{_level + 1}_v",
+        f"""SELECT visit_id, label, {_F}, CASE WHEN b.node IS NULL THEN t.node WHEN {_X} <= cut THEN t.node * 2 ELSE t.node * 2 + 1 END AS node
+FROM test{_level}_v t LEFT JOIN splits_v b ON b.node = t.node""",
+    )
+view("leaves_v", " UNION ALL ".join(f"SELECT node, sum(pos) / sum(w) AS prob FROM tree{level}_v GROUP BY node" for level in range(5)))
+
+
+def _auc_of(scores: str) -> str:
+    return f"""SELECT {hu(rt(AUC, 'count(*) FILTER (WHERE label = 1) * count(*) FILTER (WHERE label = 0)'), 6)} AS auc
+FROM (SELECT label, rank() OVER (ORDER BY threshold) + (count(*) OVER (PARTITION BY threshold) - 1) / 2.0 AS rk FROM ({scores}) s) t"""
+
+
+_SCALES = ", ".join(f"sum(weight * {c}) / sum(weight) AS m_{c}, sum(weight * {c} * {c}) / sum(weight) AS q_{c}" for c in UPSELL_FEATURES)
+_LINE = " + ".join(f"b{i} * ({c} - m_{c}) / sqrt(q_{c} - m_{c} * m_{c})" for i, c in enumerate(UPSELL_FEATURES, 1))
+_BY_LOGISTIC = f"""SELECT label, {hu(f'1 / (1 + exp(-(b0 + {_LINE})))', 9)} AS threshold
+FROM test0_v, (SELECT * FROM descent_v WHERE step = 1500) d, (SELECT {_SCALES} FROM cells_v) m"""
+_BY_TREE = f"SELECT label, {hu('prob', 9)} AS threshold FROM test4_v t JOIN leaves_v l ON l.node = t.node"
+select(
+    "model_choice",
+    f"""SELECT a.auc AS auc_logistic, b.auc AS auc_tree, CASE WHEN a.auc >= b.auc THEN 'logistic' ELSE 'tree' END AS chosen
+FROM ({_auc_of(_BY_LOGISTIC)}) a, ({_auc_of(_BY_TREE)}) b""",
+)
+
+# --- principal components by power iteration ---------------------------------------------------------------------
+
+_K = range(len(FEATURES))
+view(
+    "cov_v",
+    "SELECT "
+    + ", ".join(f"covar_samp(z_{FEATURES[min(i, j)]}, z_{FEATURES[max(i, j)]}) AS c{i}{j}" for i in _K for j in _K)
+    + " FROM scaled_v",
+)
+
+
+def _iterate(name: str, matrix: str, start: list[float]) -> None:
+    """1500 steps of v <- M v / |M v|; `matrix` has the columns c00 .. c44."""
+    product = ", ".join(" + ".join(f"c{i}{j} * v{j}" for j in _K) + f" AS u{i}" for i in _K)
+    norm = "sqrt(" + " + ".join(f"u{i} * u{i}" for i in _K) + ")"
+    view(
+        name,
+        f"""SELECT 0 AS step, {', '.join(f'CAST({x} AS DOUBLE) AS v{i}' for i, x in enumerate(start))}, CAST(0 AS DOUBLE) AS value
+UNION ALL
+SELECT step + 1, {', '.join(f'u{i} / {norm}' for i in _K)}, {norm} FROM (SELECT step, {product} FROM {name}, {matrix} WHERE step < 1500) t""",
+    )
+
+
+_iterate("first_pc_v", "cov_v", [1.0, 0.9, 0.8, 0.7, 0.6])
+view(
+    "deflated_v",
+    "SELECT "
+    + ", ".join(f"c{i}{j} - value * v{i} * v{j} AS c{i}{j}" for i in _K for j in _K)
+    + " FROM cov_v, first_pc_v WHERE step = 1500",
+)
+_iterate("second_pc_v", "deflated_v", [0.5, -0.6, 0.7, 0.8, -0.9])
+
+
+def _signed(name: str) -> str:
+    """The component with its largest loading positive."""
+    largest = "greatest(" + ", ".join(f"abs(v{i})" for i in _K) + ")"
+    sign = f"CASE WHEN {' OR '.join(f'v{i} = {largest}' for i in _K)} THEN 1 ELSE -1 END"
+    return f"(SELECT {', '.join(f'v{i} * {sign} AS {name}{i}' for i in _K)}, value AS {name}_value FROM {name}_pc_v WHERE step = 1500)"
+
+
+_TRACE = " + ".join(f"c{i}{i}" for i in _K)
+select(
+    "customer_pca",
+    f"""SELECT customer_id, {hu(' + '.join(f'z_{c} * first{i}' for i, c in enumerate(FEATURES)), 6)} AS pc1,
+  {hu(' + '.join(f'z_{c} * second{i}' for i, c in enumerate(FEATURES)), 6)} AS pc2,
+  {hu(f'first_value / ({_TRACE})', 6)} AS variance_share_1, {hu(f'second_value / ({_TRACE})', 6)} AS variance_share_2
+FROM scaled_v, {_signed('first')} a, {_signed('second')} b, cov_v""",
+)
