@@ -165,20 +165,25 @@ def fit_kmeans(
     return {k: Clustering(centres[s].tolist(), float(cost[s])) for k, s in best.items()}
 
 
-def choose_k(
-    points: DataFrame, ks: Sequence[int] = range(2, 8), n_init: int = 10, seed: int = 42, features: Sequence[str] = FEATURES
-) -> list[tuple]:
-    """(k, inertia, silhouette) for each k. The silhouette is the linear-time one on squared distances."""
+def compare_k(points: DataFrame, found: dict[int, Clustering], features: Sequence[str] = FEATURES) -> list[tuple]:
+    """(k, inertia, silhouette) of each clustering. The silhouette is the linear-time one on squared distances."""
     evaluator = ClusteringEvaluator(
         predictionCol="cluster", metricName="silhouette", distanceMeasure="squaredEuclidean"
     )
     out = []
-    for k, found in fit_kmeans(points, ks, n_init, seed, features).items():
-        assigned = feature_vectors(assign(points, found.centres, features), features)
-        out.append((k, found.inertia, float(evaluator.evaluate(assigned))))
+    for k, clustering in found.items():
+        assigned = feature_vectors(assign(points, clustering.centres, features), features)
+        out.append((k, clustering.inertia, float(evaluator.evaluate(assigned))))
     return out
 
 
+def choose_k(
+    points: DataFrame, ks: Sequence[int] = range(2, 8), n_init: int = 10, seed: int = 42, features: Sequence[str] = FEATURES
+) -> list[tuple]:
+    """(k, inertia, silhouette) of the best clustering for each k."""
+    return compare_k(points, fit_kmeans(points, ks, n_init, seed, features), features)
+
+
 def best_k(scores: list[tuple], most: int = MAX_SEGMENTS) -> int:
     """The k with the best silhouette, but not more segments than the floor can act on."""
     return min(max(scores, key=lambda s: (s[2], -s[0]))[0], most)
