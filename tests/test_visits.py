@@ -179,3 +179,33 @@ def test_cost_lines(spark):
     assert {r["line"]: r["amount"] for r in lines.collect()} == {"房租(元)": 150000.0, "淨利率": 0.17}
     wide = sheets.cost_summary(lines, ["房租(元)", "淨利率", "營業額(元)"]).first()
     assert tuple(wide) == (150000.0, 0.17, None)
+
+
+def test_point_of_sale_export(spark, tmp_path):
+    """From exported files to recommendations, with the published type names."""
+    from comanda.operators import basket, rerank
+    from comanda.params import MenuTypes
+    from comanda.session import materialise
+    from comanda.sources import pos
+
+    menu_lines = ["M06,香煎鮭魚佐檸檬,主食,Seafood,460,0.42", "W06,Negroni,酒水,Cheese,350,0.76", "W13,無酒精莫吉托,酒水,Universal,180,0.8"]
+    item_lines, visit_lines = [], []
+    for v in range(10):
+        item_lines += [f"V{v},2026-02-06,M06,香煎鮭魚佐檸檬,主食,Seafood,460.0,193.2"] * 2
+        item_lines.append(f"V{v},2026-02-06,{'W06,Negroni,酒水,Cheese,350.0,266.0' if v < 6 else 'W13,無酒精莫吉托,酒水,Universal,180.0,144.0'}")
+        visit_lines.append(f"V{v},C{v},2026-02-06,4,1,{17 + v % 8},0,2,90,0,3,2,1,920.0,350.0,1270.0,652.4,0.2756,635.0")
+    files = {"menu": (schemas.MENU, menu_lines), "items": (schemas.ORDER_ITEMS, item_lines), "visits": (schemas.VISITS, visit_lines)}
+    for name, (schema, lines) in files.items():
+        header = ",".join(c.split(" ")[0] for c in schema.replace("(12,", "(12;").split(", "))
+        (tmp_path / f"{name}.csv").write_text("\n".join([header, *lines]) + "\n", encoding="utf-8-sig")
+    menu = pos.load_menu(spark, str(tmp_path / "menu.csv"))
+    items = pos.load_order_items(spark, str(tmp_path / "items.csv"), menu)
+    visits_table = pos.load_visits(spark, str(tmp_path / "visits.csv"))
+    assert items.filter("units = 1 AND store_id = 'S01' AND profit_margin IS NOT NULL").count() == 30
+    assert kpi.kpi_summary(visits_table).first()["n_visits"] == 10
+    types = MenuTypes()
+    rules = materialise(basket.association_rules(basket.basket_sets(items, types), menu))
+    assert {(r["consequent_id"], r["support"], float(r["expected_profit"])) for r in rules.collect()} == {("W06", 0.6, 159.6), ("W13", 0.4, 57.6)}
+    scored = materialise(rerank.score_rules(rules, menu, rerank.taboo_table(spark), rerank.penalty_table(spark)))
+    picked = rerank.recommend_visits(materialise(pos.visit_dishes(items, visits_table, types.foods)), scored).collect()
+    assert len(picked) == 10 and {(r["consequent_id"], r["category"], r["rank"]) for r in picked} == {("W13", "alcohol_free", 1)}
