@@ -21,7 +21,7 @@ from comanda.session import materialise
 MIN_WORDS, MOST_REPEATED = 50, 50
 
 SPACE = " \\t-\\r"
-SHARES = (0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.98, 0.99, 0.995)
+SHARES = (0.0, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.98, 0.99, 0.995, 1.0)
 FEATURES = {
     "words": "cast(n_words as double)",
     "chars_per_word": "word_chars / n_words",
@@ -41,9 +41,9 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     found by sorting (window hash, position) as one long per window: the hash keeps the bits the position leaves free.
     """
     out = docs.withColumn("_t", F.coalesce(F.col(text), F.lit("")))
-    out = out.withColumn("_s", F.expr("btrim(_t, ' \\t\\n\\u000b\\f\\r')"))
+    out = out.withColumn("_s", F.expr("btrim(_t, ' \\t\\n\\u000b\\u000c\\r')"))
     out = out.withColumn("_w", F.expr(f"if(_s = '', array(), split(_s, '[{SPACE}]+'))")).withColumn("n_words", F.size("_w").cast("long"))
-    out = out.withColumn("_lines", F.expr("filter(split(_t, '\\n'), x -> btrim(x, ' \\t\\n\\u000b\\f\\r') != '')"))
+    out = out.withColumn("_lines", F.expr("filter(split(_t, '\\n'), x -> btrim(x, ' \\t\\n\\u000b\\u000c\\r') != '')"))
     out = out.withColumns(
         {
             "word_chars": F.expr("cast(length(array_join(_w, '')) as bigint)"),
@@ -123,7 +123,10 @@ def learn_rules(
     valued = labelled.filter("n_words > 0").select(F.col(key), F.col(bad).alias("bad"), *[F.expr(e).alias(n) for n, e in FEATURES.items()])
     asked = [F.percentile_approx(F.when(F.col("bad") == is_bad, F.col(n)), list(SHARES), 10_000).alias(f"{n}_{is_bad}") for n in names for is_bad in (True, False)]
     found = valued.agg(*asked).first()
-    cuts = {n: sorted({v for is_bad in (True, False) for v in (found[f"{n}_{is_bad}"] or [])}) for n in names}
+    cuts = {}
+    for n in names:
+        values = sorted({v for is_bad in (True, False) for v in (found[f"{n}_{is_bad}"] or [])})
+        cuts[n] = sorted({*values, *((a + b) / 2 for a, b in zip(values, values[1:], strict=False))})
     # the bin of a value is the number of thresholds below it
     binned = [F.expr(" + ".join([f"int({n} > {t!r}D)" for t in cuts[n]]) or "0").alias(n) for n in names]
     fold = F.pmod(F.xxhash64(key), F.lit(3)) == 0
@@ -145,7 +148,10 @@ def learn_rules(
                 for cut, threshold in enumerate(cuts[f]):
                     p, n = p + by.get((f, cut), (0, 0))[0], n + by.get((f, cut), (0, 0))[1]
                     for above, (pc, nc) in ((False, (p, n)), (True, (p0 - p, n0 - n))):
-                        if pc >= least and (gain := _gain(pc, nc, p0, n0)) > best_gain:
+                        gain = _gain(pc, nc, p0, n0) if pc >= least else 0.0
+                        # of equal thresholds the one that covers least, to leave unlike rows alone
+                        tighter = above and best is not None and best.above and best.feature == f and gain == best_gain
+                        if gain > best_gain or tighter:
                             best, best_gain = Condition(f, cut, threshold, above), gain
             if best is None:
                 break
