@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import packing, quality, sharding, topk
+from comanda.llm import html, packing, quality, sharding, topk, toxicity
 from comanda.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = html.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "path")
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best other vectors of every row whose vec_id is divisible by 50, by integer inner product."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), "id % 50 = 0", 5)
@@ -40,11 +46,18 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score of every document by its nearest labelled examples."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "nearest")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of at most 4096 ids."""
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op4_topk, op5_sharding, op10_packing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op3_html_extraction, op4_topk, op5_sharding, op8_toxicity, op10_packing)}
 
 SQL: dict[str, str] = {}
