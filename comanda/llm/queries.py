@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import html, packing, quality, sharding, topk, toxicity
+from comanda.llm import html, packing, pii, quality, sharding, topk, toxicity
 from comanda.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,11 +53,17 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "nearest")
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans and all spans of personal data of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.digests(docs, pii.fit(docs))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of at most 4096 ids."""
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op3_html_extraction, op4_topk, op5_sharding, op8_toxicity, op10_packing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op3_html_extraction, op4_topk, op5_sharding, op8_toxicity, op9_pii, op10_packing)}
 
 SQL: dict[str, str] = {}
