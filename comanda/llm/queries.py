@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import html, packing, pii, quality, sharding, topk, toxicity
+from comanda.llm import dedup, html, packing, pii, quality, sharding, topk, toxicity
 from comanda.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,12 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the class of its near-duplicates, the number of its text's links, and whether it is kept."""
+    found = dedup.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", F.col("links").cast("long").alias("links"), "kept")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A score of every document by its nearest labelled examples."""
     docs = table(spark, sf_dir, "documents")
@@ -64,6 +70,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op3_html_extraction, op4_topk, op5_sharding, op8_toxicity, op9_pii, op10_packing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op3_html_extraction, op4_topk, op5_sharding, op6_minhash, op8_toxicity, op9_pii, op10_packing)}
 
 SQL: dict[str, str] = {}
