@@ -47,9 +47,9 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with the class of its near-duplicates, the number of its text's links, and whether it is kept."""
+    """Every document with the class of its near-duplicates and whether it is kept."""
     found = dedup.classes(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "class_id", F.col("links").cast("long").alias("links"), "kept")
+    return found.select("doc_id", "class_id", "kept")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
