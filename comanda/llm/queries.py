@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import dedup, html, packing, pii, quality, sharding, topk, toxicity
+from comanda.llm import dedup, html, ngram, packing, pii, quality, sampling, sharding, topk, toxicity
 from comanda.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score of every document by the n-grams of all documents."""
+    found = ngram.scores(table(spark, sf_dir, "documents"))
+    return found.withColumn("log_score", F.round("log_score", 4))
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     found = html.extract(table(spark, sf_dir, "pages"))
@@ -52,6 +58,11 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "kept")
 
 
+def op7_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two different sampled segmentations of every document, as digests."""
+    return sampling.segmentations(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), 2, with_ids=False)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A score of every document by its nearest labelled examples."""
     docs = table(spark, sf_dir, "documents")
@@ -70,6 +81,58 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op3_html_extraction, op4_topk, op5_sharding, op6_minhash, op8_toxicity, op9_pii, op10_packing)}
-
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_lm_scoring,
+        op3_html_extraction,
+        op4_topk,
+        op5_sharding,
+        op6_minhash,
+        op7_segmentations,
+        op8_toxicity,
+        op9_pii,
+        op10_packing,
+    )
+}
+
+SQL: dict[str, str] = {
+    "op2_lm_scoring": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
+g AS (
+  SELECT doc_id, i, w, lag(w, 1) OVER (PARTITION BY doc_id ORDER BY i) AS w1, lag(w, 2) OVER (PARTITION BY doc_id ORDER BY i) AS w2 FROM p
+),
+t AS (SELECT count(*) AS n FROM g),
+c1 AS (SELECT w, count(*) AS c FROM g GROUP BY w),
+c2 AS (SELECT w1, w, count(*) AS c FROM g WHERE w1 IS NOT NULL GROUP BY w1, w HAVING count(*) >= 2),
+c3 AS (SELECT w2, w1, w, count(*) AS c FROM g WHERE w2 IS NOT NULL GROUP BY w2, w1, w HAVING count(*) >= 2),
+s AS (
+  SELECT g.doc_id,
+    CASE WHEN c3.c IS NOT NULL THEN 3 WHEN c2.c IS NOT NULL THEN 2 ELSE 1 END AS n,
+    CASE WHEN c3.c IS NOT NULL THEN ln(c3.c / b.c)
+      WHEN c2.c IS NOT NULL THEN ln(c2.c / a.c) + (least(g.i - 1, 2) - 1) * ln(0.4)
+      ELSE ln(c1.c / t.n) + least(g.i - 1, 2) * ln(0.4) END AS x
+  FROM g CROSS JOIN t JOIN c1 ON c1.w = g.w
+  LEFT JOIN c3 ON c3.w2 = g.w2 AND c3.w1 = g.w1 AND c3.w = g.w
+  LEFT JOIN c2 ON c2.w1 = g.w1 AND c2.w = g.w
+  LEFT JOIN c2 b ON b.w1 = g.w2 AND b.w = g.w1
+  LEFT JOIN c1 a ON a.w = g.w1
+)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+  CAST(count(x) FILTER (n = 1) AS BIGINT) AS n_by_1, CAST(count(x) FILTER (n = 2) AS BIGINT) AS n_by_2, CAST(count(x) FILTER (n = 3) AS BIGINT) AS n_by_3,
+  round(coalesce(sum(x), 0), 4) AS log_score
+FROM d LEFT JOIN s ON s.doc_id = d.doc_id GROUP BY d.doc_id, ws""",
+    "op4_topk": """
+WITH v AS (
+  SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS u, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, x -> x IS NOT NULL AND isfinite(x)))
+),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON c.u <> q.u
+  WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+}
