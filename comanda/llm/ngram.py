@@ -22,8 +22,10 @@ from comanda.session import materialise
 
 ORDER, BACKOFF, MIN_COUNT = 3, 0.4, 2
 # Words of a unit and distinct n-grams asked of a partition, about.
-UNIT_WORDS, PARTITION_KEYS = 1_000_000, 3_000_000
-KEPT_WORDS = 300_000
+UNIT_WORDS, PARTITION_KEYS = 1_000_000, 2_500_000
+# A key has so many bits more than the number of n-grams: about one key in a million is another's too.
+SPARE_BITS = 20
+KEPT_WORDS = 200_000
 
 MIX1, MIX2, GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -57,6 +59,11 @@ def unpack(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(size, len(raw) // size).T).view(kind).ravel()
 
 
+def shortened(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Keys of `bits` bits, the lowest as it was."""
+    return ((keys >> np.uint64(64 - bits)) & ~np.uint64(1)) | (keys & np.uint64(1))
+
+
 def pack_sorted(a: np.ndarray) -> bytes:
     return pack(np.diff(a, prepend=np.uint64(0)).astype(np.uint64))
 
@@ -94,7 +101,11 @@ def units(docs: DataFrame, size: int) -> DataFrame:
 
     def row(ids: list, lengths: list, held: list) -> pa.RecordBatch:
         every = np.concatenate(held) if held else np.zeros(0, np.uint64)
-        known, at = np.unique(every, return_inverse=True)
+        known, at, n = np.unique(every, return_inverse=True, return_counts=True)
+        often = np.argsort(-n, kind="stable")  # frequent words get small numbers, which compress well
+        rank = np.empty(len(known), np.int64)
+        rank[often] = np.arange(len(known))
+        known, at = known[often], rank[at]
         values = (ids, np.asarray(lengths, "<i4").tobytes(), known.astype("<u8").tobytes(), pack(at.astype("<u4")), len(every))
         kinds = (pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], ["docs", "lengths", "known", "words", "n_words"])
@@ -128,12 +139,13 @@ def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, min_co
     packed = units(docs, unit)
     total = packed.agg(F.sum("n_words")).first()[0] or 0
     parts = max(1, -(-total * order // PARTITION_KEYS))
+    bits = min(64, int(total * order).bit_length() + SPARE_BITS)
 
     def keys_of(row: dict):
         words, place, lengths = unit_words(row)
-        by_order = grams(words, place, order)
+        by_order = [(at, shortened(keys, bits)) for at, keys in grams(words, place, order)]
         every, at, n = np.unique(np.concatenate([k for _, k in by_order]), return_inverse=True, return_counts=True)
-        part = ((every >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        part = ((every >> np.uint64(max(0, bits - 32))) * np.uint64(parts)) >> np.uint64(min(32, bits))
         return by_order, place, lengths, every, at, n, np.searchsorted(part, np.arange(parts + 1))
 
     def ask(batches):
