@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
+
+import pyarrow as pa
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+# Rows whose texts a Python worker holds at once.
+SLICE_ROWS = 500
 # Rows one window task sorts at most when ranks are taken within a hot group.
 RANK_BUCKET = 1000
 
@@ -16,6 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most `rows` rows, all of them."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def rank_within(df: DataFrame, group: str, uid: str, order: Sequence[str], out: str, bucket: int = RANK_BUCKET) -> DataFrame:
     """Add the 0-based rank of each row in its `group`, without gathering a group in one task.
 

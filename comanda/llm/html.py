@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from comanda.llm.common import slices
 from comanda.session import materialise
 
 # Votes are whole numbers, so sums don't depend on the order. A host's paths below this share of its votes count as none.
@@ -235,7 +236,7 @@ def host_paths(pages: DataFrame) -> DataFrame:
     """host, paths, votes: the paths that hold at least `LEAST_SHARE` of the votes of their host, so at most 100."""
 
     def vote(batches):
-        for batch in batches:
+        for batch in slices(batches):
             cast: Counter = Counter()
             for h, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 for path, n in Page(source or "").votes().items():
@@ -261,7 +262,7 @@ def extract(pages: DataFrame) -> DataFrame:
     asked = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host().alias("host")).join(winners, "host", "left")
 
     def read(batches):
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for source, votes in zip(batch.column("html").to_pylist(), batch.column("votes").to_pylist(), strict=True):
                 out.append(Page(source or "").text({v["path"]: v["n"] for v in votes or ()}))

@@ -18,6 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from comanda.llm.common import slices
 from comanda.session import materialise
 
 ORDER, BACKOFF, MIN_COUNT = 3, 0.4, 2
@@ -25,7 +26,7 @@ ORDER, BACKOFF, MIN_COUNT = 3, 0.4, 2
 UNIT_WORDS, PARTITION_KEYS = 1_000_000, 2_500_000
 # A key has so many bits more than the number of n-grams: about one key in a million is another's too.
 SPARE_BITS = 20
-KEPT_WORDS = 200_000
+KEPT_WORDS = 100_000
 
 MIX1, MIX2, GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -112,7 +113,7 @@ def units(docs: DataFrame, size: int) -> DataFrame:
 
     def gather(batches):
         ids, lengths, held, n = [], [], [], 0
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 cut = (text or "").encode().split()  # bytes are cut at space and U+0009 to U+000D
                 ids.append(doc_id)
@@ -149,7 +150,7 @@ def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, min_co
         return by_order, place, lengths, every, at, n, np.searchsorted(part, np.arange(parts + 1))
 
     def ask(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             for row in batch.to_pylist():
                 *_, every, _, n, cuts = keys_of(row)
                 out = [(p, pack_sorted(every[a:b]), pack(n[a:b].astype("<u4"))) for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
@@ -167,7 +168,7 @@ def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, min_co
         return pd.DataFrame({"unit": group["unit"], "part": group["part"], "totals": [pack(n[x].astype("<u8")) for x in np.split(at, ends)]})
 
     def score(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             for row in batch.to_pylist():
                 by_order, place, lengths, every, at, _, _ = keys_of(row)
                 answers = sorted((a["part"], a["totals"]) for a in row["answers"] or ())

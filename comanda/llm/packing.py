@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comanda.llm.common import rank_within
+from comanda.llm.common import rank_within, slices
 from comanda.session import materialise
 
 SIZE = 4096
@@ -26,7 +26,7 @@ END_ID = 1
 # Lengths are binned by this many ids for the patterns; patterns have up to this many pieces.
 UNIT, PARTS = 16, 3
 # Words whose ids a worker keeps; beyond that it starts anew.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 100_000
 # Characters encoded at once, which bounds the words looked up together.
 SLICE_CHARS = 1_000_000
 
@@ -93,7 +93,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, size: int = SIZE, end_id: int
     def pieces(batches):
         words = encoder(vocabulary)
         end = np.asarray([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), words.encode(texts), strict=True):

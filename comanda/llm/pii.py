@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from comanda.llm.common import slices
 from comanda.session import materialise
 
 KINDS = ("email", "ip", "card", "phone")
@@ -355,7 +356,7 @@ def fit(docs: DataFrame, rows: int = SAMPLE_DOCS, most: int = SAMPLE_WINDOWS) ->
     texts = some.join(F.broadcast(keys), "key").dropDuplicates(["key"])
 
     def stretches(batches):
-        for batch in batches:
+        for batch in slices(batches):
             got = [x for t in batch.column("text").to_pylist() for x in examples(t)]
             kinds, starts, ends = ([[s[i] for s in spans] for _, spans in got] for i in range(3))
             yield pa.RecordBatch.from_pydict(
@@ -377,7 +378,7 @@ def personal_data(docs: DataFrame, model: Field) -> DataFrame:
     """
 
     def search(batches):
-        for batch in batches:
+        for batch in slices(batches):
             got = [found(t or "", model) for t in batch.column("text").to_pylist()]
             kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
             rows = lambda spans: [dict(zip(("kind", "start", "end"), s, strict=True)) for s in spans]
@@ -393,7 +394,7 @@ def digests(docs: DataFrame, model: Field) -> DataFrame:
     """doc_id, number of base spans per kind, hash of the base spans, and all spans as text."""
 
     def search(batches):
-        for batch in batches:
+        for batch in slices(batches):
             got = [found(t or "", model) for t in batch.column("text").to_pylist()]
             arrays = {"doc_id": batch.column("doc_id").cast(pa.int64())}
             for k in KINDS:
@@ -420,7 +421,7 @@ def mask_documents(docs: DataFrame, model: Field) -> DataFrame:
     """`docs` with personal data in `text` masked, and `n_chars`, if there, as long as the new text. A null text stays."""
 
     def put(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = [None if t is None else mask(t, sum(found(t, model), [])) for t in batch.column("text").to_pylist()]
             arrays = {n: batch.column(n) for n in batch.schema.names}
             arrays["text"] = pa.array(texts, pa.string())

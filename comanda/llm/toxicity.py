@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from comanda.llm.common import slices
 from comanda.session import materialise
 
 EXAMPLES, VOCABULARY, NEIGHBOURS = 8000, 3000, 15
@@ -139,7 +140,7 @@ def select_features(examples: DataFrame, size: int) -> dict[str, int]:
     """The `size` features with the highest chi-squared among those that mark toxic examples."""
 
     def found(batches):
-        for batch in batches:
+        for batch in slices(batches):
             toxic = batch.column("toxic").to_pylist()
             for part in range(0, len(toxic), 200):
                 n: Counter = Counter()
@@ -170,7 +171,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = EXAMPLES, size: int = VO
     known = select_features(examples, size)
 
     def vectors(batches):
-        for batch in batches:
+        for batch in slices(batches):
             got = [counts(t, known) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column("doc_id").cast(pa.int64()), "toxic": batch.column("toxic").cast(pa.int32()), "at": pa.array([list(c) for c in got], pa.list_(pa.int32())), "n": pa.array([list(c.values()) for c in got], pa.list_(pa.int32()))}
@@ -213,7 +214,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
     """
 
     def score(batches):
-        for batch in batches:
+        for batch in slices(batches):
             got = [model.score(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column("doc_id").cast(pa.int64()), "score": pa.array([s for s, _ in got], pa.float64()), "predicted": pa.array([int(s >= REJECT_FROM) for s, _ in got], pa.int32()), "nearest": pa.array([n for _, n in got], pa.list_(pa.int64()))}
@@ -226,7 +227,7 @@ def reject_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of `docs` that are not predicted toxic, columns as they were."""
 
     def keep(batches):
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array([model.score(t)[0] < REJECT_FROM for t in batch.column("text").to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
