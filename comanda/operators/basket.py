@@ -135,8 +135,14 @@ def association_rules(
         sets = drop_rare(sets, thresholds.min_support, keys)
     counts = basket_counts(sets, keys)
     a, b, n = F.col("a"), F.col("b"), F.col("baskets")
+    # a small aggregate, not a window: the items and pairs of a key are never gathered in one task
+    whole = F.max(F.when(a.isNull() & b.isNull(), n))
+    if keys:
+        with_all = counts.join(counts.groupBy(*keys).agg(whole.alias("n_all")), list(keys))
+    else:
+        with_all = counts.withColumn("n_all", counts.agg(whole).scalar())
     metrics = (
-        counts.withColumn("n_all", F.max(F.when(a.isNull() & b.isNull(), n)).over(W.partitionBy(*keys)))
+        with_all
         .withColumn("n_a", F.max(F.when(b.isNull(), n)).over(W.partitionBy(*keys, "a")))
         .withColumn("n_b", F.max(F.when(a.isNull(), n)).over(W.partitionBy(*keys, "b")))
         .filter(a.isNotNull() & b.isNotNull())

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from comanda.functions.exprs import half_up, mean, ratio
 from comanda.functions.ordered import average_rank_pct
 from comanda.params import MenuTypes
+from comanda.session import materialise
 
 DURATION_BINS = (0, 60, 90, 120, 150, 300)
 
@@ -192,6 +193,7 @@ def hidden_gems(items: DataFrame, profit_above: float = 0.6, units_below: float
         half_up(ratio(F.sum("profit"), F.sum("units")), 4).alias("unit_profit"),
         F.sum("profit").alias("total_profit"),
     )
+    stats = materialise(stats)  # ranked twice and joined
     ranked = average_rank_pct(average_rank_pct(stats, "units", "units_pct"), "unit_profit", "profit_pct")
     return ranked.filter((F.col("profit_pct") > profit_above) & (F.col("units_pct") < units_below)).select(
         "item_id",

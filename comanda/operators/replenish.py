@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from comanda.functions.exprs import const, half_up, linear_interp, lookup, ratio, tier
@@ -140,7 +141,8 @@ def reorder_advice(
     df = df.withColumn("_rop", F.col("base") * lead + F.col("_ss"))
     on_hand, rop, base = F.col("on_hand"), F.col("_rop"), F.col("base")
     sellable = base * shelf
-    suggest = F.greatest(F.lit(0.0), F.least(rop - on_hand, sellable - on_hand))
+    # greatest and least pass over NULL: without a spread there is no reorder point and nothing is suggested
+    suggest = F.when(rop.isNull(), F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(rop - on_hand, sellable - on_hand)))
     cover = F.try_divide(on_hand, base)
     excess = F.greatest(F.lit(0.0), on_hand - sellable)
     cost = excess * F.col("price").cast("double") * (F.lit(1.0) - F.col("profit_margin").cast("double"))
@@ -164,6 +166,7 @@ def reorder_advice(
         half_up(excess, 1).alias("excess_qty"),
         half_up(cost, 0).alias("spoilage_cost"),
         "total_profit",
+        F.col("std_daily").isNull().alias("insufficient_data"),
     )
 
 
@@ -174,13 +177,18 @@ def by_urgency(advice: DataFrame) -> DataFrame:
 
 
 def spoilage_risk(advice: DataFrame, n: int = 8, keys: Sequence[str] = ("store_id",)) -> DataFrame:
-    """The n costliest surpluses with the cost of all of them. `advice` is read twice: pass a materialised table."""
-    risky = advice.filter(F.col("excess_qty") > 0)
-    total = risky.agg(F.sum(F.col("spoilage_cost").cast("decimal(28,0)"))).scalar()
-    worst = risky.orderBy(F.desc("spoilage_cost"), *keys, "item_id").limit(n)
-    return worst.select(*keys, "item_id", "abc", "shelf_life", "on_hand", "excess_qty", "spoilage_cost").withColumn(
-        "total_spoilage_cost", total
+    """The n costliest surpluses of each store with the cost of all of the store's (its menu bounds the window).
+
+    Without `keys` the whole table is one store.
+    """
+    store = W.partitionBy(*(keys or [F.lit(1)]))
+    risky = advice.filter(F.col("excess_qty") > 0).withColumn(
+        "total_spoilage_cost", F.sum(F.col("spoilage_cost").cast("decimal(28,0)")).over(store)
     )
+    place = F.row_number().over(store.orderBy(F.desc("spoilage_cost"), "item_id"))
+    worst = risky.withColumn("_place", place).filter(F.col("_place") <= n)
+    columns = ["item_id", "abc", "shelf_life", "on_hand", "excess_qty", "spoilage_cost", "total_spoilage_cost"]
+    return worst.orderBy(*keys, F.desc("spoilage_cost"), "item_id").select(*keys, *columns)
 
 
 def abc_summary(profile: DataFrame, policy: ProfitPolicy = ProfitPolicy(), keys: Sequence[str] = ("store_id",)) -> DataFrame:

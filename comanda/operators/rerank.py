@@ -143,14 +143,18 @@ def hour_step(arrival_hour: Column, factors: HourFactors = HourFactors()) -> Col
 
 
 def recommend_with_rules(
-    orders: DataFrame, scored_rules: DataFrame, n: int = 3, group: Sequence[str] = ("pattern", "arrival_hour")
+    orders: DataFrame,
+    scored_rules: DataFrame,
+    n: int = 3,
+    group: Sequence[str] = ("pattern", "arrival_hour"),
+    factors: HourFactors = HourFactors(),
 ) -> DataFrame:
     """Recall, rank and re-rank for every open order (dishes, arrival hour).
 
     `scored_rules` comes from `score_rules` and should be materialised. What follows the recall is grouped by
     order, so all windows share one partitioning.
     """
-    candidates = hour_adjusted(hits(orders, scored_rules))
+    candidates = hour_adjusted(hits(orders, scored_rules), factors)
     return diversify(best_per_drink(candidates, "final_score", group), n, "final_score", group)
 
 
@@ -160,7 +164,7 @@ def recommend_visits(sets: DataFrame, scored_rules: DataFrame, n: int = 3, facto
     stepped = sets.withColumn("arrival_hour", hour_step(F.col("arrival_hour"), factors))
 
     def picked(orders: DataFrame, group: Sequence[str]) -> DataFrame:
-        return recommend_with_rules(orders, scored_rules, n, group)
+        return recommend_with_rules(orders, scored_rules, n, group, factors)
 
     return for_all_visits(stepped, picked, ["arrival_hour"]).drop("arrival_hour")
 

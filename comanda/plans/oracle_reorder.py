@@ -54,7 +54,7 @@ view(
     "advice_v",
     f"""SELECT *, base * lead_time + ss AS rop, greatest(0.0, oh - base * shelf_life) AS excess,
   CASE WHEN oh / NULLIF(base, 0) < lead_time THEN 'urgent' WHEN oh < base * lead_time + ss THEN 'low' ELSE 'enough' END AS status,
-  CAST(ceil(greatest(0.0, least(base * lead_time + ss - oh, base * shelf_life - oh))) AS BIGINT) AS suggested_qty
+  CAST(CASE WHEN ss IS NULL THEN 0 ELSE ceil(greatest(0.0, least(base * lead_time + ss - oh, base * shelf_life - oh))) END AS BIGINT) AS suggested_qty
 FROM (SELECT *, peak_daily AS base, z * std_daily * sqrt(CAST(lead_time AS DOUBLE)) AS ss,
     CASE WHEN tag = 3 THEN 0.0::DOUBLE ELSE CAST(total_units * (tag + 1) * 3 // business_days AS DOUBLE) END AS oh
   FROM (SELECT *, CAST(right(item_id, 1) AS BIGINT) AS tag, CASE abc WHEN 'A' THEN 0.98 WHEN 'B' THEN 0.95 ELSE 0.90 END AS service_level,
@@ -85,13 +85,15 @@ select(
     "reorder_advice",
     f"""SELECT store_id, item_id, type, abc, CAST(service_level AS DOUBLE) AS service_level, {hu('base', 1)} AS daily_demand, {hu('std_daily', 1)} AS demand_std,
   lead_time, shelf_life, {hu('ss', 1)} AS safety_stock, {hu('rop', 1)} AS reorder_point, {hu('oh', 1)} AS on_hand, {hu('oh / NULLIF(base, 0)', 1)} AS days_of_cover,
-  suggested_qty, status, {hu('excess', 1)} AS excess_qty, {hu(COST, 0)} AS spoilage_cost, CAST(total_profit AS DOUBLE) AS total_profit FROM advice_v""",
+  suggested_qty, status, {hu('excess', 1)} AS excess_qty, {hu(COST, 0)} AS spoilage_cost, CAST(total_profit AS DOUBLE) AS total_profit,
+  std_daily IS NULL AS insufficient_data FROM advice_v""",
 )
 view("risky_v", f"SELECT *, {hu('excess', 1)} AS excess_qty, {hu(COST, 0)} AS spoilage_cost FROM advice_v WHERE {hu('excess', 1)} > 0")
 select(
     "spoilage_risk",
     f"""SELECT store_id, item_id, abc, shelf_life, {hu('oh', 1)} AS on_hand, excess_qty, spoilage_cost,
-  (SELECT sum(spoilage_cost) FROM risky_v) AS total_spoilage_cost FROM risky_v ORDER BY spoilage_cost DESC, store_id, item_id LIMIT 8""",
+  sum(spoilage_cost) OVER (PARTITION BY store_id) AS total_spoilage_cost FROM risky_v
+QUALIFY row_number() OVER (PARTITION BY store_id ORDER BY spoilage_cost DESC, item_id) <= 8""",
 )
 select(
     "abc_summary",

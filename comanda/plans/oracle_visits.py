@@ -61,6 +61,7 @@ select("cost_lines", "SELECT period, line, amount FROM cost_lines_v")
 select(
     "cost_summary_wide",
     """SELECT period, max(CASE WHEN line = '1-URGENT' THEN amount END) AS "1-URGENT", max(CASE WHEN line = '2-HIGH' THEN amount END) AS "2-HIGH",
+  max(CASE WHEN line = '3-MEDIUM' THEN amount END) AS "3-MEDIUM", max(CASE WHEN line = '4-NOT SPECIFIED' THEN amount END) AS "4-NOT SPECIFIED",
   max(CASE WHEN line = '5-LOW' THEN amount END) AS "5-LOW" FROM cost_lines_v GROUP BY period""",
 )
 select(

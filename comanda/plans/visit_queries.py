@@ -45,7 +45,7 @@ def cost_lines(spark, sf_dir):
 @query("cost_summary_wide")
 def cost_summary_wide(spark, sf_dir):
     lines = sheets.cost_lines(binding.cost_sheet(spark, sf_dir), ("period",))
-    return sheets.cost_summary(lines, ["1-URGENT", "2-HIGH", "5-LOW"], ("period",))
+    return sheets.cost_summary(lines, ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"], ("period",))
 
 
 @query("visit_rollup")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from comanda.operators import rerank, upsell
+from comanda.params import HourFactors
 
 
 def order_stream(spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet", files_per_batch: int = 64) -> DataFrame:
@@ -18,7 +19,7 @@ def order_stream(spark: SparkSession, folder: str, schema: str, pattern: str = "
     )
 
 
-def start_recommendations(requests: DataFrame, scored_rules: DataFrame, out: str, state: str, n: int = 3) -> StreamingQuery:
+def start_recommendations(requests: DataFrame, scored_rules: DataFrame, out: str, state: str, n: int = 3, factors: HourFactors = HourFactors()) -> StreamingQuery:
     """Recommend drinks for every request (visit_id, arrival_hour, foods) as it arrives.
 
     A request holds all a table has ordered so far, so requests do not depend on each other. Each batch writes its
@@ -27,7 +28,7 @@ def start_recommendations(requests: DataFrame, scored_rules: DataFrame, out: str
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        picked = rerank.recommend_visits(batch, scored_rules, n)
+        picked = rerank.recommend_visits(batch, scored_rules, n, factors)
         picked.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
         batch.unpersist()
 

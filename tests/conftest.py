@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -21,6 +22,7 @@ def spark():
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="6g",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="comanda-tests-"),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

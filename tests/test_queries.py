@@ -13,7 +13,7 @@ def con(small):
     return duck(small)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n != "pipeline" and not n.startswith("op")))
 def test_query(spark, small, con, name):
     df = QUERIES[name](spark, small)
     if name in SQL:
@@ -24,6 +24,7 @@ def test_query(spark, small, con, name):
 
 def test_only_random_starts_lack_sql():
     without = set(QUERIES) - set(SQL)
+    without = {n for n in without if n != "pipeline" and not n.startswith("op")}  # tests/llm hold those
     assert without == {"choose_k", "kmeans_segments", "isolation_forest"}
     assert set(SQL) <= set(QUERIES)
 
