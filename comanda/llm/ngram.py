@@ -23,7 +23,7 @@ from comanda.session import materialise
 
 ORDER, BACKOFF, MIN_COUNT = 3, 0.4, 2
 # Words of a unit and distinct n-grams asked of a partition, about.
-UNIT_WORDS, PARTITION_KEYS = 1_000_000, 2_500_000
+UNIT_WORDS, PARTITION_KEYS = 1_000_000, 2_000_000
 # A key has so many bits more than the number of n-grams: about one key in a million is another's too.
 SPARE_BITS = 20
 KEPT_WORDS = 100_000
@@ -41,7 +41,7 @@ class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) > KEPT_WORDS:
             self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
+        self[word] = h = xxhash.xxh64_intdigest(word) >> 16  # 48 bits
         return h
 
 
@@ -78,7 +78,7 @@ def grams(words: np.ndarray, place: np.ndarray, order: int) -> list[tuple[np.nda
 
     The lowest bit of a key tells single words from longer n-grams.
     """
-    out = [(np.arange(len(words)), words | np.uint64(1))]
+    out = [(np.arange(len(words)), mix(words) | np.uint64(1))]
     for n in range(2, order + 1):
         at = np.flatnonzero(place >= n - 1)
         h = np.full(len(at), n, np.uint64)
@@ -91,7 +91,7 @@ def grams(words: np.ndarray, place: np.ndarray, order: int) -> list[tuple[np.nda
 def unit_words(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes, positions within the documents and lengths of the documents of a unit."""
     lengths = np.frombuffer(row["lengths"], "<i4").astype(np.int64)
-    words = np.frombuffer(row["known"], "<u8")[unpack(row["words"], "<u4")] if lengths.sum() else np.zeros(0, np.uint64)
+    words = unpack(row["known"], "<u8")[unpack(row["words"], "<u4")] if lengths.sum() else np.zeros(0, np.uint64)
     starts = np.cumsum(lengths) - lengths
     return words, np.arange(len(words)) - np.repeat(starts, lengths), lengths
 
@@ -107,7 +107,7 @@ def units(docs: DataFrame, size: int) -> DataFrame:
         rank = np.empty(len(known), np.int64)
         rank[often] = np.arange(len(known))
         known, at = known[often], rank[at]
-        values = (ids, np.asarray(lengths, "<i4").tobytes(), known.astype("<u8").tobytes(), pack(at.astype("<u4")), len(every))
+        values = (ids, np.asarray(lengths, "<i4").tobytes(), pack(known.astype("<u8")), pack(at.astype("<u4")), len(every))
         kinds = (pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], ["docs", "lengths", "known", "words", "n_words"])
 
@@ -142,17 +142,21 @@ def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, min_co
     parts = max(1, -(-total * order // PARTITION_KEYS))
     bits = min(64, int(total * order).bit_length() + SPARE_BITS)
 
-    def keys_of(row: dict):
+    def keys_of(row: dict, asking: bool):
         words, place, lengths = unit_words(row)
         by_order = [(at, shortened(keys, bits)) for at, keys in grams(words, place, order)]
-        every, at, n = np.unique(np.concatenate([k for _, k in by_order]), return_inverse=True, return_counts=True)
+        keys = np.concatenate([k for _, k in by_order])
+        if asking:
+            by_order, (every, n), at = [], np.unique(keys, return_counts=True), None
+        else:
+            (every, at), n = np.unique(keys, return_inverse=True), None
         part = ((every >> np.uint64(max(0, bits - 32))) * np.uint64(parts)) >> np.uint64(min(32, bits))
         return by_order, place, lengths, every, at, n, np.searchsorted(part, np.arange(parts + 1))
 
     def ask(batches):
         for batch in slices(batches, 1):
             for row in batch.to_pylist():
-                *_, every, _, n, cuts = keys_of(row)
+                *_, every, _, n, cuts = keys_of(row, True)
                 out = [(p, pack_sorted(every[a:b]), pack(n[a:b].astype("<u4"))) for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
                 if out:
                     yield pa.RecordBatch.from_pydict(
@@ -170,7 +174,7 @@ def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, min_co
     def score(batches):
         for batch in slices(batches, 1):
             for row in batch.to_pylist():
-                by_order, place, lengths, every, at, _, _ = keys_of(row)
+                by_order, place, lengths, every, at, _, _ = keys_of(row, False)
                 answers = sorted((a["part"], a["totals"]) for a in row["answers"] or ())
                 found = np.concatenate([unpack(t, "<u8") for _, t in answers]).astype(np.float64) if answers else np.zeros(0)
                 counts, low = [], 0
