@@ -9,6 +9,8 @@ the lengths, not on the number of documents. Pieces find their place by their ra
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -26,18 +28,28 @@ END_ID = 1
 # Lengths are binned by this many ids for the patterns; patterns have up to this many pieces.
 UNIT, PARTS = 16, 3
 # Words whose ids a worker keeps; beyond that it starts anew.
-KEPT_WORDS = 100_000
+KEPT_WORDS = 200_000
+# Words encoded in one call.
+JOINED_WORDS = 2000
 # Characters encoded at once, which bounds the words looked up together.
 SLICE_CHARS = 1_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+# A mark that ends a word after a letter or number is a pre-token of its own.
+LAST_MARK = re.compile(r"[.,;:!?](?<=[^\W_].)(?!\S)")
+# Texts with these are not lowered or cut at marks: special ids, and letters whose lower case depends on what is around.
+ODD = ("<|", "\u03a3", "\u0130")
+
+
 class WordIds:
     """Ids of whole texts, by words that are looked up or encoded once.
 
-    Texts are cut at spaces, tabs and line ends only. The vocabulary's pre-tokenizer drops white space and never
-    joins across it, so the ids of a text are those of its words in order.
+    Texts are cut at spaces, tabs and line ends, and before the mark that ends a word. The vocabulary's pre-tokenizer
+    drops white space and never joins across these places, so the ids of a text are those of its words in order. It
+    lowers texts too, so words are looked up in lower case. A word of letters only is one pre-token: such words are
+    encoded together, joined by spaces, and their ids told apart by the number of the pre-token.
     """
 
     def __init__(self, path: str) -> None:
@@ -46,6 +58,28 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
 
+    def words(self, text: str) -> list[str]:
+        if not any(map(text.__contains__, ODD)):
+            text = LAST_MARK.sub(r" \g<0>", text.lower())
+        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+
+    def learn(self, words: list[str]) -> None:
+        # letters that the normalizer leaves letters
+        plain = {w for w in words if w.isalpha() and (w.isascii() or unicodedata.is_normalized("NFC", w) and w == w.lower())}
+        other = [w for w in words if w not in plain]
+        plain = list(plain)
+        for at in range(0, len(plain), JOINED_WORDS):
+            part = plain[at : at + JOINED_WORDS]
+            got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids, number = np.asarray(got.ids, "<u4"), np.asarray(got.word_ids, np.int64)
+            ends = np.searchsorted(number, np.arange(len(part)), "right") * 4
+            data, start = ids.tobytes(), 0
+            for word, end in zip(part, ends.tolist(), strict=True):
+                self.known[word] = data[start:end]
+                start = end
+        for word, got in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            self.known[word] = np.asarray(got.ids, "<u4").tobytes()
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
         at = 0
@@ -54,12 +88,10 @@ class WordIds:
             while end < len(texts) and (end == at or chars + len(texts[end]) <= SLICE_CHARS):
                 chars += len(texts[end])
                 end += 1
-            cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts[at:end]]
+            cut = [self.words(t) for t in texts[at:end]]
             if len(self.known) > KEPT_WORDS:
                 self.known = {"": b""}
-            missing = list({w for words in cut for w in words if w not in self.known})
-            for word, got in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False), strict=True):
-                self.known[word] = np.asarray(got.ids, "<u4").tobytes()
+            self.learn(list({w for words in cut for w in words if w not in self.known}))
             for words in cut:
                 yield b"".join(map(self.known.__getitem__, words))
             at = end

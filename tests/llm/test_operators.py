@@ -289,3 +289,12 @@ def test_pipeline_keeps_columns(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     assert corpus_pipeline.STAGES[3][1](spark, docs, small).columns == docs.columns
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_word_ids_equal_whole_text_ids():
+    from tokenizers import Tokenizer
+
+    whole, by_word = Tokenizer.from_file(vocabulary("word_bpe_49k.json")), packing.encoder(vocabulary("word_bpe_49k.json"))
+    odd = ["Σας ΣΑΣ İstanbul", "a<|endoftext|>, b <|ENDOFTEXT|>.", "don't, it's. x'S! ...! a², ½. é, ́! Å; ﬁ, ǅ!  , x .\x0b, ,\x0b. 12, 3_! _.", "漢字, ไทย่,  x. ẞ? \x1c.\x1fa,", "", "  ", "e ́ a,́ 힣, क़.", "ª, ⅷ. Ⅷ ʰ. Ꭰ, Ა. ŉ, 😀, a😀."]
+    for text, got in zip(odd, by_word.encode(odd), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
