@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from comanda.functions.exprs import half_up, ratio
-from comanda.functions.ordered import exact_quantile, hash_sample
+from comanda.functions.ordered import exact_quantile
 from comanda.operators.stocktake import LEVEL_HIGH
 from comanda.params import ANOMALY_CONTAMINATION, ANOMALY_MIN_ROWS
 from comanda.session import materialise
@@ -69,15 +69,22 @@ def grow_tree(sample: pd.DataFrame, features: Sequence[str]) -> pd.DataFrame:
 
 
 def tree_samples(df: DataFrame, ids: Sequence[str], features: Sequence[str], trees: int, rows: int) -> DataFrame:
-    """A sample of `rows` rows for each tree, the same on every run.
+    """A sample of `rows` rows for each tree, drawn from the whole table, the same on every run.
 
-    A hash-ordered sample of `trees` x `rows` rows of the table is taken first; every tree then takes its own
-    from those, in the order of a hash of tree and row. No task sees more than that many rows.
+    A row's draw for a tree is a hash of the tree, its ids and its features; a tree takes the rows of the lowest
+    draws. One scan keeps the draws low enough for about twice as many rows, so a tree's task sees no more than
+    that. `df` is counted: pass a written table.
     """
-    pool = hash_sample(df, ids, trees * rows).select(*features, F.concat_ws("|", *ids).alias("_key"))
-    each = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    order = W.partitionBy("tree").orderBy(F.md5(F.concat_ws("|", "tree", "_key")), "_key")
-    return each.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= rows).drop("_key")
+    share = min(1.0, 2.0 * (rows + 100) / max(df.count(), 1))
+    keyed = df.select(*features, F.xxhash64(*ids, *features).alias("_key"))
+    draws = F.transform(
+        F.sequence(F.lit(0), F.lit(trees - 1)),
+        lambda t: F.struct(t.alias("tree"), F.shiftrightunsigned(F.xxhash64(t, F.col("_key")), 1).alias("draw")),
+    )
+    low = F.filter(draws, lambda d: d["draw"] <= F.lit(int(share * (2**63 - 1024))))
+    each = keyed.select(*features, F.explode(low).alias("_d")).select(*features, "_d.tree", "_d.draw")
+    order = W.partitionBy("tree").orderBy("draw", *features)
+    return each.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= rows).drop("draw")
 
 
 def fit_forest(df: DataFrame, ids: Sequence[str], features: Sequence[str] = FEATURES, trees: int = 100, rows: int = 256):

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-import numpy as np
-import pandas as pd
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -15,7 +15,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from comanda.functions.exprs import half_up, mean, ratio
-from comanda.functions.ordered import hash_sample
 from comanda.params import MAX_SEGMENTS, MIN_VISITS
 
 FEATURES = ("visits", "avg_spend", "avg_drink_ratio", "avg_duration", "avg_hour")
@@ -88,81 +87,38 @@ class Clustering:
     inertia: float
 
 
-def first_centres(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """Spread-out rows of the sample: each next one drawn with its squared distance to those chosen so far."""
-    chosen = [sample[rng.integers(len(sample))]]
-    while len(chosen) < k:
-        nearest = np.min([((sample - c) ** 2).sum(axis=1) for c in chosen], axis=0)
-        weight = nearest / nearest.sum() if nearest.sum() > 0 else None
-        chosen.append(sample[rng.choice(len(sample), p=weight)])
-    return np.array(chosen)
-
-
-def step_totals(points: DataFrame, names: list[str], starts: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
-    """For every start and centre: cost, rows and sums of the rows nearest to it. All starts share one scan.
-
-    Each task adds up its rows in numpy; what leaves it is one row per start and centre.
-    """
-    sums = [f"s{i}" for i in range(len(names))]
-
-    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals = {s: np.zeros((len(c), len(names) + 2)) for s, c in starts.items()}
-        for batch in batches:
-            x = batch.to_numpy(dtype=float)
-            for s, centres in starts.items():
-                distance = ((x[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
-                near = distance.argmin(axis=1)
-                row = np.column_stack([distance[np.arange(len(x)), near], np.ones(len(x)), x])
-                np.add.at(totals[s], near, row)
-        for s, t in totals.items():
-            out = pd.DataFrame(t, columns=["cost", "n", *sums])
-            yield out.assign(start=s, centre=range(len(t)))
-
-    schema = ", ".join(f"{c} DOUBLE" for c in ("cost", "n", *sums)) + ", start INT, centre INT"
-    added = points.select(*names).mapInPandas(add_up, schema).groupBy("start", "centre")
-    rows = added.agg(*[F.sum(c).alias(c) for c in ("cost", "n", *sums)]).collect()
-    out = {s: np.zeros((len(c), len(names) + 2)) for s, c in starts.items()}
-    for r in rows:
-        out[r["start"]][r["centre"]] = [r["cost"], r["n"], *[r[c] for c in sums]]
-    return out
-
-
 def fit_kmeans(
     points: DataFrame,
     ks: Sequence[int],
     n_init: int = 10,
     seed: int = 42,
     features: Sequence[str] = FEATURES,
-    ids: Sequence[str] = ("customer_id",),
     max_iter: int = 300,
     tol: float = 1e-4,
-    sample_rows: int = 20_000,
+    parallel: int = 8,
 ) -> dict[int, Clustering]:
     """The best of `n_init` starts for every k. `points` must be a materialised table of standardised features.
 
-    All starts for all k advance together, so a step is one pass over the table however many there are; only
-    centres and their totals reach the driver. The first centres come from a hash-ordered sample.
+    Starts are spread over the whole table by MLlib, `parallel` fits run at once; only centres reach the driver. More centres than rows are an error.
     """
-    names = [f"z_{c}" for c in features]
-    sample = hash_sample(points, ids, sample_rows).select(*names).toPandas().to_numpy(dtype=float)
-    rng = np.random.default_rng(seed)
-    ks = [k for k in ks if k <= len(sample)]
-    plan = [k for k in ks for _ in range(n_init)]
-    centres = {i: first_centres(sample, k, rng) for i, k in enumerate(plan)}
-    moving = set(centres)
-    for _ in range(max_iter):
-        if not moving:
-            break
-        for s, t in step_totals(points, names, {s: centres[s] for s in moving}).items():
-            filled = t[:, 1] > 0
-            moved = centres[s].copy()
-            moved[filled] = t[filled, 2:] / t[filled, 1:2]
-            if ((moved - centres[s]) ** 2).sum() <= tol:
-                moving.discard(s)
-            centres[s] = moved
-    cost = {s: t[:, 0].sum() for s, t in step_totals(points, names, centres).items()}
-    best = {k: min((s for s, of in enumerate(plan) if of == k), key=lambda s: (cost[s], s)) for k in ks}
-    return {k: Clustering(centres[s].tolist(), float(cost[s])) for k, s in best.items()}
+    if max(ks) > (n := points.count()):
+        raise ValueError(f"{max(ks)} segments asked of {n} rows")
+    vectors = feature_vectors(points, features).select("features").persist()
+
+    def fitted(start: tuple[int, int]) -> tuple[float, list[list[float]]]:
+        model = KMeans(k=start[0], seed=seed + start[1], maxIter=max_iter, tol=tol).fit(vectors)
+        return model.summary.trainingCost, [c.tolist() for c in model.clusterCenters()]
+
+    starts = [(k, i) for k in ks for i in range(n_init)]
+    with ThreadPool(parallel) as pool:
+        fits = dict(zip(starts, pool.map(fitted, starts), strict=True))
+    out = {}
+    for k in ks:
+        _, centres = min(fits[k, i] for i in range(n_init))
+        cost = assign(points, centres, features).agg(F.sum("sq_distance")).first()[0]
+        out[k] = Clustering(centres, float(cost))
+    vectors.unpersist()
+    return out
 
 
 def compare_k(points: DataFrame, found: dict[int, Clustering], features: Sequence[str] = FEATURES) -> list[tuple]:

@@ -76,7 +76,8 @@ def choose_k(spark, sf_dir):
 @query("kmeans_segments")
 def kmeans_segments(spark, sf_dir):
     rows = points(spark, sf_dir)
-    best = segment.fit_kmeans(rows, [3])[3]
+    found = segment.fit_kmeans(rows, range(2, 8))
+    best = found[segment.best_k(segment.compare_k(rows, found))]
     return segment.assign(rows, best.centres).select("customer_id", "cluster")
 
 
