@@ -13,9 +13,6 @@ from comanda.params import MenuTypes, RuleThresholds
 from comanda.session import broadcast_if_small, materialise
 
 
-# Menus longer than this are pruned of rare items before pairs are counted.
-PRUNE_ABOVE_ITEMS = 1_000
-
 # Between the item ids of an order; not a character of any id.
 SEPARATOR = "\u0001"
 
@@ -83,14 +80,34 @@ def item_support(items: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 def basket_counts(sets: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Baskets in total (a and b NULL), per item (one of them NULL) and per dish-drink pair, in one pass over the
-    visits.
+    """Baskets in total (side and item NULL) and per dish (side a) and drink (side b), in one pass over the visits."""
+
+    def entry(side: str, item: Column) -> Column:
+        return F.struct(F.lit(side).alias("side"), item.alias("item"))
+
+    held = F.concat(
+        F.transform("foods", lambda x: entry("a", x)),
+        F.transform("drinks", lambda x: entry("b", x)),
+        F.array(F.struct(_nothing().alias("side"), _nothing().alias("item"))),
+    )
+    entries = sets.select(*keys, F.inline(held))
+    return entries.groupBy(*keys, "side", "item").agg(F.count(F.lit(1)).alias("n"))
 
-    Entries are made one by one, summed on each task and only then shuffled.
+
+def frequent_items(counts: DataFrame, min_support: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Dishes and drinks frequent enough to be in a kept pair, with all baskets as `n_all`.
+
+    A pair is never more frequent than either of its items, so leaving out the others cannot change the rules. At
+    most (mean basket size / min_support) items per key are left, however long the menu is. `counts` comes from
+    `basket_counts` and should be a written table.
     """
-    dishes = sets.select(*keys, F.explode(F.array_append("foods", _nothing())).alias("a"), "drinks")
-    entries = dishes.select(*keys, "a", F.explode(F.array_append("drinks", _nothing())).alias("b"))
-    return entries.groupBy(*keys, "a", "b").agg(F.count(F.lit(1)).alias("baskets"))
+    whole = counts.filter(F.col("side").isNull()).select(*keys, F.col("n").alias("n_all"))
+    items = counts.filter(F.col("side").isNotNull())
+    if keys:
+        items = items.join(whole, list(keys))
+    else:
+        items = items.withColumn("n_all", whole.scalar())
+    return items.filter(F.col("n") >= F.col("n_all") * const(min_support))
 
 
 def pair_counts(sets: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -100,52 +117,30 @@ def pair_counts(sets: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return pairs.groupBy(*keys, "antecedent_id", "consequent_id").agg(F.count(F.lit(1)).alias("baskets"))
 
 
-def drop_rare(sets: DataFrame, min_support: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Take items out of the sets that are too rare to be in any kept pair; no basket is dropped.
-
-    A pair is never more frequent than either of its items, so this cannot change the rules. It bounds what is
-    left: at most (mean basket size / min_support) items, hence few pairs per visit even with a large catalogue.
-    """
-    both = F.explode(F.array_append(F.array_union("foods", "drinks"), _nothing()))
-    counts = sets.select(*keys, both.alias("item_id")).groupBy(*keys, "item_id").agg(F.count(F.lit(1)).alias("n"))
-    frequent = _basket_total(counts, "n", keys).filter(F.col("n") >= F.col("n_baskets") * const(min_support))
-    kept = frequent.agg(F.collect_set("item_id")).scalar()
-    return sets.withColumns(
-        {"foods": F.array_intersect("foods", kept), "drinks": F.array_intersect("drinks", kept)}
-    )
-
-
 def association_rules(
     sets: DataFrame,
     menu: DataFrame,
     thresholds: RuleThresholds = RuleThresholds(),
     keys: Sequence[str] = (),
-    prune: bool | None = None,
 ) -> DataFrame:
     """Dish -> drink rules with support, confidence, lift and expected profit (confidence x unit profit).
 
     `keys` computes a separate rule set per store, daypart or the like in the same pass. The supports are shares
-    of all baskets, with or without dishes and drinks. Rare items are dropped first when the menu is long; with a
-    short one their pairs are few anyway and the extra pass over `sets` is spared. Pass written tables for `sets`
-    (from `basket_sets`) and `menu`.
+    of all baskets, with or without dishes and drinks. Items are counted first; pairs are made of frequent items
+    only. Pass written tables for `sets` (from `basket_sets`) and `menu`.
     """
-    if prune is None:
-        prune = menu.count() > PRUNE_ABOVE_ITEMS
-    if prune:
-        sets = drop_rare(sets, thresholds.min_support, keys)
-    counts = basket_counts(sets, keys)
-    a, b, n = F.col("a"), F.col("b"), F.col("baskets")
-    # a small aggregate, not a window: the items and pairs of a key are never gathered in one task
-    whole = F.max(F.when(a.isNull() & b.isNull(), n))
-    if keys:
-        with_all = counts.join(counts.groupBy(*keys).agg(whole.alias("n_all")), list(keys))
-    else:
-        with_all = counts.withColumn("n_all", counts.agg(whole).scalar())
+    frequent = materialise(frequent_items(materialise(basket_counts(sets, keys)), thresholds.min_support, keys))
+    a = frequent.filter("side = 'a'").select(*keys, F.col("item").alias("a"), F.col("n").alias("n_a"), "n_all")
+    b = frequent.filter("side = 'b'").select(*keys, F.col("item").alias("b"), F.col("n").alias("n_b"))
+    dishes = sets.select(*keys, F.explode("foods").alias("a"), "drinks")
+    dishes = dishes.join(broadcast_if_small(a.select(*keys, "a")), [*keys, "a"], "left_semi")
+    pairs = dishes.select(*keys, "a", F.explode("drinks").alias("b"))
+    pairs = pairs.join(broadcast_if_small(b.select(*keys, "b")), [*keys, "b"], "left_semi")
+    counts = pairs.groupBy(*keys, "a", "b").agg(F.count(F.lit(1)).alias("baskets"))
+    n = F.col("baskets")
     metrics = (
-        with_all
-        .withColumn("n_a", F.max(F.when(b.isNull(), n)).over(W.partitionBy(*keys, "a")))
-        .withColumn("n_b", F.max(F.when(a.isNull(), n)).over(W.partitionBy(*keys, "b")))
-        .filter(a.isNotNull() & b.isNotNull())
+        counts.join(broadcast_if_small(a), [*keys, "a"])
+        .join(broadcast_if_small(b), [*keys, "b"])
         .filter(n >= F.col("n_all") * const(thresholds.min_support))
         .filter(n >= F.col("n_a") * const(thresholds.min_confidence))
     )

@@ -65,14 +65,25 @@ def sku_days(sales: DataFrame) -> DataFrame:
     return known.groupBy("store_id", "sku_id", "date").agg(F.sum("qty_sold").alias("qty_sold"))
 
 
-def demand_stats(days: DataFrame) -> DataFrame:
-    """Mean, sample spread, total, number and variation of the daily sales, over the days with sales only."""
+def _recent_mean(days: DataFrame, window_days: int):
+    """Mean daily sales of a group over the last weeks before the last day of the whole table."""
+    last = days.agg(F.max("date")).scalar()
+    recent = F.when(F.col("date") > F.date_sub(last, window_days), F.col("qty_sold"))
+    return ratio(F.sum(recent), F.count(recent)).alias("rolling_avg_4wk")
+
+
+def demand_stats(days: DataFrame, window_days: int | None = None) -> DataFrame:
+    """Mean, sample spread, total, number and variation of the daily sales, over the days with sales only.
+
+    With `window_days` also the mean of `recent_average`, in the same pass; pass a written table then.
+    """
     qty = F.col("qty_sold")
     sums = days.groupBy("store_id", "sku_id").agg(
         F.sum(qty).alias("total_qty"),
         F.sum(qty * qty).alias("_sq"),
         F.count(qty).alias("n_days"),
         F.max("date").alias("last_date"),
+        *([_recent_mean(days, window_days)] if window_days else []),
     )
     out = sums.withColumns(
         {
@@ -88,9 +99,7 @@ def recent_average(days: DataFrame, window_days: int = 28) -> DataFrame:
 
     `days` is read twice, once for the last day: pass a materialised table.
     """
-    last = days.agg(F.max("date")).scalar()
-    recent = F.when(F.col("date") > F.date_sub(last, window_days), F.col("qty_sold"))
-    return days.groupBy("store_id", "sku_id").agg(ratio(F.sum(recent), F.count(recent)).alias("rolling_avg_4wk"))
+    return days.groupBy("store_id", "sku_id").agg(_recent_mean(days, window_days))
 
 
 def weekday_quantiles(days: DataFrame) -> DataFrame:

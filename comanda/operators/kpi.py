@@ -6,6 +6,7 @@ import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from comanda.functions.exprs import half_up, mean, ratio
@@ -42,31 +43,33 @@ def kpi_summary(visits: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def profit_structure(items: DataFrame, types: MenuTypes = MenuTypes()) -> DataFrame:
+def profit_structure(items: DataFrame, types: MenuTypes = MenuTypes(), keys: Sequence[str] = ()) -> DataFrame:
     """Revenue and profit of drinks and of everything else, with their shares."""
     drink = (F.col("type") == types.drinks).cast("bigint")
-    both = items.groupBy(drink.alias("is_drink")).agg(F.sum("price").alias("revenue"), F.sum("profit").alias("profit"))
-    totals = both.agg(F.struct(F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"))).scalar()
+    both = items.groupBy(*keys, drink.alias("is_drink")).agg(F.sum("price").alias("revenue"), F.sum("profit").alias("profit"))
+    # two rows per key
+    of_key = W.partitionBy(*(keys or [F.lit(0)]))
     return both.select(
+        *keys,
         "is_drink",
         "revenue",
         "profit",
-        half_up(ratio("revenue", totals["revenue"]), 4).alias("revenue_share"),
-        half_up(ratio("profit", totals["profit"]), 4).alias("profit_share"),
+        half_up(ratio("revenue", F.sum("revenue").over(of_key)), 4).alias("revenue_share"),
+        half_up(ratio("profit", F.sum("profit").over(of_key)), 4).alias("profit_share"),
     )
 
 
-def visits_by_hour(visits: DataFrame) -> DataFrame:
-    return visits.groupBy("arrival_hour").agg(F.count(F.lit(1)).alias("n_visits"))
+def visits_by_hour(visits: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    return visits.groupBy(*keys, "arrival_hour").agg(F.count(F.lit(1)).alias("n_visits"))
 
 
-def revenue_by_weekday(visits: DataFrame) -> DataFrame:
-    return visits.groupBy("weekday").agg(F.sum("total_revenue").alias("revenue"))
+def revenue_by_weekday(visits: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    return visits.groupBy(*keys, "weekday").agg(F.sum("total_revenue").alias("revenue"))
 
 
-def drink_ratio_by_hour(visits: DataFrame) -> DataFrame:
+def drink_ratio_by_hour(visits: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Mean of the visits' ratios, not the ratio of their sums."""
-    return visits.groupBy("arrival_hour").agg(half_up(mean("drink_ratio"), 4).alias("avg_drink_ratio"))
+    return visits.groupBy(*keys, "arrival_hour").agg(half_up(mean("drink_ratio"), 4).alias("avg_drink_ratio"))
 
 
 def _per_ratio(visits: DataFrame) -> DataFrame:
@@ -134,39 +137,46 @@ def drink_ratio_density(visits: DataFrame, grid: int = 200, bins: int = 30) -> D
     )
 
 
-def duration_vs_drinks(visits: DataFrame, bins: Sequence[int] = DURATION_BINS) -> DataFrame:
+def duration_vs_drinks(visits: DataFrame, bins: Sequence[int] = DURATION_BINS, keys: Sequence[str] = ()) -> DataFrame:
     """Mean drinks per head by length of stay. Bins are open below and closed above; visits outside are left out."""
     stay, label = F.col("duration_min"), None
     for lo, hi in zip(bins, bins[1:]):
         inside, name = (stay > lo) & (stay <= hi), F.lit(f"({lo},{hi}]")
         label = F.when(inside, name) if label is None else label.when(inside, name)
     binned = visits.withColumn("duration_bin", label).filter(F.col("duration_bin").isNotNull())
-    return binned.groupBy("duration_bin").agg(
+    return binned.groupBy(*keys, "duration_bin").agg(
         F.count(F.lit(1)).alias("n_visits"), half_up(mean(drinks_per_head()), 4).alias("drinks_per_head")
     )
 
 
-def top_items(items: DataFrame, n: int = 15) -> DataFrame:
+def _first(df: DataFrame, n: int, order: Sequence[Column | str], keys: Sequence[str]) -> DataFrame:
+    """The first n rows of each key in `order`; a key has at most a menu or a day's hours of rows."""
+    if not keys:
+        return df.orderBy(*order).limit(n)
+    return df.withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter(F.col("_n") <= n).drop("_n")
+
+
+def top_items(items: DataFrame, n: int = 15, keys: Sequence[str] = ()) -> DataFrame:
     """The n items with the largest total profit."""
-    totals = items.groupBy("item_id").agg(F.sum("profit").alias("total_profit"))
-    return totals.orderBy(F.desc("total_profit"), "item_id").limit(n)
+    totals = items.groupBy(*keys, "item_id").agg(F.sum("profit").alias("total_profit"))
+    return _first(totals, n, [F.desc("total_profit"), "item_id"], keys)
 
 
-def weak_hours(visits: DataFrame, min_visits: int = 30, n: int = 2) -> DataFrame:
+def weak_hours(visits: DataFrame, min_visits: int = 30, n: int = 2, keys: Sequence[str] = ()) -> DataFrame:
     """The hours with the lowest mean drink ratio among those with enough visits."""
-    hours = visits.groupBy("arrival_hour").agg(
+    hours = visits.groupBy(*keys, "arrival_hour").agg(
         F.count(F.lit(1)).alias("n_visits"), half_up(mean("drink_ratio"), 4).alias("avg_drink_ratio")
     )
-    return hours.filter(F.col("n_visits") >= min_visits).orderBy("avg_drink_ratio", "arrival_hour").limit(n)
+    return _first(hours.filter(F.col("n_visits") >= min_visits), n, ["avg_drink_ratio", "arrival_hour"], keys)
 
 
-def zero_drink_visits(visits: DataFrame) -> DataFrame:
+def zero_drink_visits(visits: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Visits without a drink: how many, what they spend, and the revenue lost if half had drunk as others do."""
     without = F.col("n_drink") == 0
     n_without = F.count_if(without)
     spend = F.when(without, F.col("spend_per_head"))
     drinkers = F.when(~without, F.col("drink_revenue"))
-    return visits.agg(
+    return visits.groupBy(*keys).agg(
         n_without.alias("n_zero"),
         half_up(ratio(n_without, F.count(F.lit(1))), 4).alias("zero_share"),
         half_up(mean(spend), 2).alias("zero_spend_per_head"),
@@ -175,10 +185,10 @@ def zero_drink_visits(visits: DataFrame) -> DataFrame:
     )
 
 
-def weekend_split(visits: DataFrame) -> DataFrame:
+def weekend_split(visits: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Friday and Saturday against the other days: visits in total and per day, mean spend, mean ratio."""
     n, days = F.count(F.lit(1)), F.count_distinct("date")
-    return visits.groupBy("is_weekend").agg(
+    return visits.groupBy(*keys, "is_weekend").agg(
         n.alias("n_visits"),
         half_up(ratio(n, days), 2).alias("visits_per_day"),
         half_up(mean("spend_per_head"), 2).alias("avg_spend_per_head"),
@@ -186,16 +196,17 @@ def weekend_split(visits: DataFrame) -> DataFrame:
     )
 
 
-def hidden_gems(items: DataFrame, profit_above: float = 0.6, units_below: float = 0.4) -> DataFrame:
+def hidden_gems(items: DataFrame, profit_above: float = 0.6, units_below: float = 0.4, keys: Sequence[str] = ()) -> DataFrame:
     """Items with a high unit profit that sell little, by their share ranks among all items."""
-    stats = items.groupBy("item_id").agg(
+    stats = items.groupBy(*keys, "item_id").agg(
         F.sum("units").alias("units"),
         half_up(ratio(F.sum("profit"), F.sum("units")), 4).alias("unit_profit"),
         F.sum("profit").alias("total_profit"),
     )
     stats = materialise(stats)  # ranked twice and joined
-    ranked = average_rank_pct(average_rank_pct(stats, "units", "units_pct"), "unit_profit", "profit_pct")
+    ranked = average_rank_pct(average_rank_pct(stats, "units", "units_pct", keys), "unit_profit", "profit_pct", keys)
     return ranked.filter((F.col("profit_pct") > profit_above) & (F.col("units_pct") < units_below)).select(
+        *keys,
         "item_id",
         "units",
         "unit_profit",
@@ -205,9 +216,9 @@ def hidden_gems(items: DataFrame, profit_above: float = 0.6, units_below: float
     )
 
 
-def buzz_split(visits: DataFrame) -> DataFrame:
+def buzz_split(visits: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Drink share before and after the evening turns, as mean of ratios and as ratio of sums."""
-    return visits.groupBy("is_buzz_hour").agg(
+    return visits.groupBy(*keys, "is_buzz_hour").agg(
         F.count(F.lit(1)).alias("n_visits"),
         half_up(mean("drink_ratio"), 4).alias("avg_drink_ratio"),
         half_up(ratio(F.sum("drink_revenue"), F.sum("total_revenue")), 4).alias("drink_share"),

@@ -87,6 +87,11 @@ def blocked(marked: DataFrame) -> DataFrame:
     return marked.filter(F.col("reason").isNotNull())
 
 
+def blocked_in_orders(orders: DataFrame, marked: DataFrame) -> DataFrame:
+    """The pairings not to offer with each open order, with their reasons. `marked` should be a written table."""
+    return hits(orders, blocked(marked))
+
+
 def pairing_penalty(tagged: DataFrame, penalties: DataFrame) -> DataFrame:
     """Pairing factor (1 where none is listed) and the expected profit under it, rounded."""
     out = tagged.join(F.broadcast(penalties), ["food_tag", "drink_tag"], "left")

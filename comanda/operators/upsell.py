@@ -90,7 +90,7 @@ class LogisticModel:
 
 def fit_logistic(train: DataFrame, features: Sequence[str] = UPSELL_FEATURES, c: float = 1.0) -> LogisticModel:
     """Logistic regression with an L2 penalty of strength 1/c on features scaled by the training rows."""
-    weighted = cells(train, features).cache()
+    weighted = cells(train, features).coalesce(1).cache()  # a row per combination of feature values
     scaling, n = fit_scaling(weighted, features)
     scaled = VectorAssembler(inputCols=[f"z_{f}" for f in features], outputCol="features").transform(
         scaling.apply(weighted)
@@ -207,8 +207,8 @@ def fit_tree(train: DataFrame, features: Sequence[str] = UPSELL_FEATURES, depth:
     but keeps leaves apart that differ in probability and not in class. The rows are weighted cells, so the leaf
     size is a share of the weight.
     """
-    weighted = cells(train, features).cache()
-    n = weighted.agg(F.sum("weight")).first()[0]
+    weighted = cells(train, features).coalesce(1).cache()  # a row per combination of feature values
+    n, *distinct = weighted.agg(F.sum("weight"), *[F.count_distinct(f) for f in features]).first()
     vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(weighted)
     model = DecisionTreeRegressor(
         labelCol="label",
@@ -216,7 +216,7 @@ def fit_tree(train: DataFrame, features: Sequence[str] = UPSELL_FEATURES, depth:
         maxDepth=depth,
         minInstancesPerNode=1,
         minWeightFractionPerNode=min((min_leaf - 0.5) / n, 0.499),
-        maxBins=64,
+        maxBins=max(2, *distinct),  # no value shares a bin
         seed=42,
     ).fit(vectors)
     weighted.unpersist()

@@ -16,11 +16,12 @@ class MenuTypes:
     sides: str = "副食"
     desserts: str = "甜點"
     drinks: str = "酒水"
+    # The types a drink is recommended for; without them mains and sides, so that desserts are left out.
+    antecedents: tuple[str, ...] = ()
 
     @property
-    def foods(self) -> tuple[str, str]:
-        """What a drink is recommended for: desserts are left out."""
-        return (self.mains, self.sides)
+    def foods(self) -> tuple[str, ...]:
+        return self.antecedents or (self.mains, self.sides)
 
 
 ENGLISH_TYPES = MenuTypes("main", "side", "dessert", "drink")

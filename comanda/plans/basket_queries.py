@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comanda.operators import basket, rerank
-from comanda.params import DAYPARTS, ENGLISH_TYPES
+from comanda.params import DAYPARTS, ENGLISH_TYPES, HourFactors
 from comanda.plans.queries import query
 from comanda.session import materialise
 from comanda.sources import binding
 
 TYPES = ENGLISH_TYPES
+# Other factors than the default ones: cocktails and still wines an hour earlier.
+EARLIER = HourFactors(cocktail_from=20, wine_from=22)
 
 
 def sets_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,9 +40,12 @@ def tagged(rules: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     return rerank.with_tags(rules, binding.menu(spark, sf_dir))
 
 
+def marked_from(rules: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rerank.mark_taboo(tagged(rules, spark, sf_dir), rerank.taboo_table(spark, binding.BOUND_TABOO))
+
+
 def marked_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    taboo = rerank.taboo_table(spark, binding.BOUND_TABOO)
-    return rerank.mark_taboo(tagged(rules_of(spark, sf_dir), spark, sf_dir), taboo)
+    return marked_from(rules_of(spark, sf_dir), spark, sf_dir)
 
 
 def scored_from(rules: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,11 +59,11 @@ def with_hour(sets: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     return sets.select("visit_id", "foods").join(heads, "visit_id")
 
 
-def ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ruled(spark: SparkSession, sf_dir: str, factors: HourFactors = HourFactors()) -> DataFrame:
     """The whole recommendation: baskets, rules, domain scores, the three drinks of every visit."""
     sets = sets_of(spark, sf_dir)
     scored = scored_from(rules_from(sets, spark, sf_dir), spark, sf_dir)
-    return rerank.recommend_visits(with_hour(sets, spark, sf_dir), scored)
+    return rerank.recommend_visits(materialise(with_hour(sets, spark, sf_dir)), scored, 3, factors)
 
 
 @query("baskets")
@@ -66,8 +73,9 @@ def baskets(spark, sf_dir):
 
 @query("baskets_daypart")
 def baskets_daypart(spark, sf_dir):
-    lines, heads = binding.order_lines(spark, sf_dir), binding.order_heads(spark, sf_dir)
-    return basket.build_baskets(basket.in_hours(lines, heads, DAYPARTS["dinner"]))
+    heads = binding.order_heads(spark, sf_dir).select("visit_id", "arrival_hour")
+    baskets = basket.build_baskets(binding.order_lines(spark, sf_dir)).join(heads, "visit_id")
+    return basket.add_daypart(baskets, DAYPARTS).drop("arrival_hour")
 
 
 @query("item_support")
@@ -85,6 +93,13 @@ def association_rules(spark, sf_dir):
     return basket.association_rules(sets_of(spark, sf_dir), menu_of(spark, sf_dir))
 
 
+@query("dessert_rules")
+def dessert_rules(spark, sf_dir):
+    types = replace(TYPES, antecedents=(TYPES.desserts,))
+    sets = materialise(basket.basket_sets(binding.order_lines(spark, sf_dir), types))
+    return basket.association_rules(sets, menu_of(spark, sf_dir))
+
+
 @query("fpgrowth_pairs")
 def fpgrowth_pairs(spark, sf_dir):
     return basket.fpgrowth_pairs(sets_of(spark, sf_dir))
@@ -139,6 +154,15 @@ def taboo_blocked(spark, sf_dir):
     return rerank.blocked(marked_rules(spark, sf_dir)).select("antecedent_id", "consequent_id", "reason")
 
 
+@query("blocked_by_visit")
+def blocked_by_visit(spark, sf_dir):
+    sets = sets_of(spark, sf_dir)
+    marked = materialise(marked_from(rules_from(sets, spark, sf_dir), spark, sf_dir))
+    orders = sets.select("visit_id", F.explode("foods").alias("antecedent_id"))
+    found = rerank.blocked_in_orders(orders, marked)
+    return found.select("visit_id", "antecedent_id", "consequent_id", "reason")
+
+
 @query("pairing_penalty")
 def pairing_penalty(spark, sf_dir):
     rules = tagged(rules_of(spark, sf_dir), spark, sf_dir)
@@ -175,6 +199,13 @@ def recommend_rules(spark, sf_dir):
     )
 
 
+@query("recommend_rules_factors")
+def recommend_rules_factors(spark, sf_dir):
+    return ruled(spark, sf_dir, EARLIER).select(
+        "visit_id", "rank", "consequent_id", "antecedent_id", "category", "expected_profit", "final_score"
+    )
+
+
 @query("recommend_raw")
 def recommend_raw(spark, sf_dir):
     sets = sets_of(spark, sf_dir)

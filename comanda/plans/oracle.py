@@ -108,7 +108,7 @@ FROM orders""",
 select("baskets", "SELECT DISTINCT visit_id, item_id FROM order_items_b")
 select(
     "baskets_daypart",
-    "SELECT DISTINCT visit_id, item_id FROM order_items_b WHERE arrival_hour BETWEEN 17 AND 20",
+    "SELECT daypart, visit_id, item_id FROM dayparts_v WHERE daypart IS NOT NULL",
 )
 view("baskets_v", "SELECT DISTINCT visit_id, arrival_hour, item_id, type, pairing_tag FROM order_items_b")
 view(
@@ -142,6 +142,9 @@ select(
     """SELECT antecedent_id AS antecedent, antecedent_id, consequent_id AS consequent, consequent_id, support, confidence, lift,
   CAST(unit_profit AS DOUBLE) AS unit_profit, CAST(expected_profit AS DOUBLE) AS expected_profit FROM rules_v""",
 )
+view("dessert_pairs_v", VIEWS["pairs_v"].replace("a.type IN ('main','side')", "a.type = 'dessert'"))
+view("dessert_rules_v", VIEWS["rules_v"].replace("pairs_v", "dessert_pairs_v"))
+select("dessert_rules", SELECTS["association_rules"].replace("rules_v", "dessert_rules_v"))
 select("fpgrowth_pairs", "SELECT antecedent_id, consequent_id, support, confidence, lift FROM rules_v")
 view(
     "hits_v",
@@ -215,6 +218,11 @@ select(
     "SELECT antecedent_id, consequent_id, CAST(expected_profit AS DOUBLE) AS expected_profit FROM marked_v WHERE reason IS NULL",
 )
 select("taboo_blocked", "SELECT antecedent_id, consequent_id, reason FROM marked_v WHERE reason IS NOT NULL")
+select(
+    "blocked_by_visit",
+    """SELECT o.visit_id, r.antecedent_id, r.consequent_id, r.reason FROM baskets_v o JOIN marked_v r ON r.antecedent_id = o.item_id
+WHERE o.type IN ('main','side') AND r.reason IS NOT NULL""",
+)
 select(
     "pairing_penalty",
     """SELECT antecedent_id, consequent_id, CAST(pairing_factor AS DOUBLE) AS pairing_factor,
@@ -256,6 +264,9 @@ FROM ({_diversify('tagged_hits_v', 'expected_profit')}) d WHERE rank <= 3""",
 RULED = """SELECT visit_id, CAST(rank AS BIGINT) AS rank, consequent_id, antecedent_id, category,
   CAST(expected_profit AS DOUBLE) AS expected_profit, CAST(final_score AS DOUBLE) AS final_score FROM ruled_v WHERE rank <= 3"""
 select("recommend_rules", RULED)
+view("adjusted_earlier_v", VIEWS["adjusted_v"].replace("arrival_hour >= 21", "arrival_hour >= 20").replace("arrival_hour >= 23", "arrival_hour >= 22"))
+view("ruled_earlier_v", _diversify("adjusted_earlier_v", "final_score"))
+select("recommend_rules_factors", RULED.replace("ruled_v", "ruled_earlier_v"))
 select(
     "rec_set_value",
     """SELECT visit_id, count(*) AS n_drinks, CAST(sum(expected_profit) AS DOUBLE) AS set_value FROM ruled_v WHERE rank <= 3 GROUP BY visit_id""",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from comanda.plans.oracle import hu, rt, select, view
+from comanda.plans.oracle import SELECTS, hu, rt, select, view
 
 view(
     "inventory_v",
@@ -101,7 +101,9 @@ select(
   {avg(PER_HEAD, 4)} AS drinks_per_head, {hu(rt('sum(CASE WHEN n_drink = 0 THEN 1 ELSE 0 END)', 'count(*)'), 4)} AS zero_drink_share
 FROM visits_v""",
 )
-view("profit_lines_v", "SELECT item_id, type, units, price, round(price * profit_margin, 1) AS profit FROM order_items_b")
+STORE = "concat('ST', CAST(customer_id % 10 AS VARCHAR))"
+select("kpi_by_store", SELECTS["kpi_summary"].replace("SELECT ", f"SELECT {STORE} AS store_id, ", 1) + f" GROUP BY {STORE}")
+view("profit_lines_v", "SELECT store_id, item_id, type, units, price, round(price * profit_margin, 1) AS profit FROM order_items_b")
 select(
     "profit_structure",
     f"""SELECT CAST(is_drink AS BIGINT) AS is_drink, CAST(r AS DOUBLE) AS revenue, CAST(p AS DOUBLE) AS profit,
@@ -147,6 +149,13 @@ view(
 )
 select("drink_ratio_by_hour", "SELECT arrival_hour, avg_drink_ratio FROM hours_v")
 select("weak_hours", "SELECT * FROM hours_v WHERE n_visits >= 30 ORDER BY avg_drink_ratio, arrival_hour LIMIT 2")
+select(
+    "weak_hours_by_store",
+    f"""SELECT store_id, arrival_hour, n_visits, avg_drink_ratio FROM (
+  SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY avg_drink_ratio, arrival_hour) AS k FROM (
+    SELECT {STORE} AS store_id, CAST(arrival_hour AS BIGINT) AS arrival_hour, count(*) AS n_visits, {avg('drink_ratio', 4)} AS avg_drink_ratio
+    FROM visits_v GROUP BY 1, 2) h) r WHERE k <= 2""",
+)
 select(
     "zero_drink_visits",
     f"""SELECT count(*) FILTER (WHERE n_drink = 0) AS n_zero, {hu(rt('count(*) FILTER (WHERE n_drink = 0)', 'count(*)'), 4)} AS zero_share,
@@ -168,6 +177,14 @@ select(
   FROM (SELECT item_id, CAST(sum(units) AS BIGINT) AS units, {hu(rt('sum(profit)', 'sum(units)'), 4)} AS unit_profit, sum(profit) AS total_profit
     FROM profit_lines_v GROUP BY item_id) s) t WHERE profit_pct > 0.6 AND units_pct < 0.4""",
 )
+select(
+    "hidden_gems_by_store",
+    f"""SELECT store_id, item_id, units, unit_profit, CAST(total_profit AS DOUBLE) AS total_profit, {hu('units_pct', 6)} AS units_pct, {hu('profit_pct', 6)} AS profit_pct FROM (
+  SELECT *, (rank() OVER (PARTITION BY store_id ORDER BY units) + (count(*) OVER (PARTITION BY store_id, units) - 1) / 2.0) / count(*) OVER (PARTITION BY store_id) AS units_pct,
+    (rank() OVER (PARTITION BY store_id ORDER BY unit_profit) + (count(*) OVER (PARTITION BY store_id, unit_profit) - 1) / 2.0) / count(*) OVER (PARTITION BY store_id) AS profit_pct
+  FROM (SELECT store_id, item_id, CAST(sum(units) AS BIGINT) AS units, {hu(rt('sum(profit)', 'sum(units)'), 4)} AS unit_profit, sum(profit) AS total_profit
+    FROM profit_lines_v GROUP BY store_id, item_id) s) t WHERE profit_pct > 0.6 AND units_pct < 0.4""",
+)
 select(
     "buzz_split",
     f"""SELECT CAST(is_buzz_hour AS BIGINT) AS is_buzz_hour, count(*) AS n_visits, {avg('drink_ratio', 4)} AS avg_drink_ratio,

@@ -12,7 +12,7 @@ from comanda.session import materialise
 
 def stocked_items(days: DataFrame, inventory: DataFrame, supplier: DataFrame, policy: StockPolicy) -> DataFrame:
     """Demand statistics, classes and safety stock per store and sku from the daily sales."""
-    stats = demand.demand_stats(days).join(demand.recent_average(days), ["store_id", "sku_id"])
+    stats = demand.demand_stats(days, 28)
     classified = replenish.classify_usage(stats, inventory, policy)
     return replenish.add_safety_stock(classified, supplier, policy)
 

@@ -27,7 +27,7 @@ def profile(spark, sf_dir):
 
 
 def advice(spark, sf_dir):
-    items = profile(spark, sf_dir)
+    items = materialise(profile(spark, sf_dir))
     return replenish.reorder_advice(items, binding.on_hand(items), FRIDAY)
 
 

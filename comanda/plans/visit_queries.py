@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from comanda.operators import kpi, visits
@@ -71,6 +72,26 @@ def kpi_summary(spark, sf_dir):
     return kpi.kpi_summary(binding.visits(spark, sf_dir))
 
 
+def by_store(visits: DataFrame) -> DataFrame:
+    """The bound visits with a store, by the last digit of the customer."""
+    return visits.withColumn("store_id", F.concat(F.lit("ST"), (F.col("customer_id") % 10).cast("string")))
+
+
+@query("kpi_by_store")
+def kpi_by_store(spark, sf_dir):
+    return kpi.kpi_summary(by_store(binding.visits(spark, sf_dir)), ["store_id"])
+
+
+@query("weak_hours_by_store")
+def weak_hours_by_store(spark, sf_dir):
+    return kpi.weak_hours(by_store(binding.visits(spark, sf_dir)), min_visits=1, keys=["store_id"])
+
+
+@query("hidden_gems_by_store")
+def hidden_gems_by_store(spark, sf_dir):
+    return kpi.hidden_gems(items_with_profit(spark, sf_dir), keys=["store_id"])
+
+
 @query("profit_structure")
 def profit_structure(spark, sf_dir):
     return kpi.profit_structure(items_with_profit(spark, sf_dir), ENGLISH_TYPES)

@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side of a join is broadcast only after its rows were counted and found below this bound.
-BROADCAST_ROWS = 1_000_000
+# A side of a join is broadcast only after its rows were counted, and its size taken, and both found below these bounds.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
 
 
 def build_session(app_name: str = "comanda", master: str | None = None, **conf: str) -> SparkSession:
@@ -21,6 +21,8 @@ def build_session(app_name: str = "comanda", master: str | None = None, **conf:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # small intermediate tables keep all cores busy
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     if master:
         builder = builder.master(master)
@@ -62,10 +64,11 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when the written table has at most `max_rows` rows, else the table as it is.
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint when the written table has at most `max_rows` rows and `max_bytes` bytes, else the table as it is.
 
-    Counting a written table reads its file footers only. Beyond the bound the join stays a shuffle join, which
-    AQE may still split on skew.
+    The bytes are the planner's size of the columns read. Counting a written table reads its file footers only.
+    Beyond the bounds the join stays a shuffle join, which AQE may still split on skew.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return F.broadcast(df) if size <= max_bytes and df.count() <= max_rows else df

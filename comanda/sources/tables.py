@@ -18,7 +18,12 @@ def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "parquet"
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet", mode: str = "overwrite"
 ) -> None:
-    """Write a result table, split by store or date columns where given. CSV gets a header line."""
+    """Write a result table, split by store or date columns where given. CSV gets a header line.
+
+    Rows of a store or date are brought together first, large ones in several parts, so that files are few.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)

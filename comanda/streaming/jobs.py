@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from comanda.operators import rerank, upsell
@@ -19,14 +21,29 @@ def order_stream(spark: SparkSession, folder: str, schema: str, pattern: str = "
     )
 
 
-def start_recommendations(requests: DataFrame, scored_rules: DataFrame, out: str, state: str, n: int = 3, factors: HourFactors = HourFactors()) -> StreamingQuery:
+# What has arrived, and then the end; {"processingTime": "10 seconds"} keeps a job up.
+ONCE = {"availableNow": True}
+
+
+def start_recommendations(
+    requests: DataFrame,
+    scored_rules: DataFrame,
+    out: str,
+    state: str,
+    n: int = 3,
+    factors: HourFactors = HourFactors(),
+    trigger: dict | None = None,
+) -> StreamingQuery:
     """Recommend drinks for every request (visit_id, arrival_hour, foods) as it arrives.
 
-    A request holds all a table has ordered so far, so requests do not depend on each other. Each batch writes its
-    own folder and overwrites it when it is run again: a restart neither loses nor doubles a recommendation.
+    A request holds all a table has ordered so far, so the latest one counts; those of a visit that meet in one batch
+    are taken together, and `read_batches` reads the newest batch of each visit. Each batch writes its own folder and
+    overwrites it when it is run again: a restart neither loses nor doubles a recommendation.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        foods = F.array_distinct(F.flatten(F.collect_list("foods"))).alias("foods")
+        batch = batch.groupBy("visit_id").agg(F.max("arrival_hour").alias("arrival_hour"), foods)
         batch.persist()
         picked = rerank.recommend_visits(batch, scored_rules, n, factors)
         picked.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
@@ -35,12 +52,14 @@ def start_recommendations(requests: DataFrame, scored_rules: DataFrame, out: str
     return (
         requests.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", state)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or ONCE))
         .start()
     )
 
 
-def start_potential(seated: DataFrame, model: upsell.LogisticModel, out: str, state: str) -> StreamingQuery:
+def start_potential(
+    seated: DataFrame, model: upsell.LogisticModel, out: str, state: str, trigger: dict | None = None
+) -> StreamingQuery:
     """Probability and tier for every table as it is seated: a stateless projection of the stream."""
     scored = upsell.score(seated, model).withColumn("tier", upsell.potential_tier("prob"))
     return (
@@ -48,7 +67,7 @@ def start_potential(seated: DataFrame, model: upsell.LogisticModel, out: str, st
         .outputMode("append")
         .option("path", out)
         .option("checkpointLocation", state)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or ONCE))
         .start()
     )
 
@@ -61,5 +80,7 @@ def finish(query: StreamingQuery) -> None:
 
 
 def read_batches(spark: SparkSession, out: str) -> DataFrame:
-    """All batches written so far."""
-    return spark.read.parquet(out).drop("batch")
+    """The newest recommendations of every visit in the batches written so far."""
+    every = spark.read.parquet(out)
+    newest = F.max("batch").over(W.partitionBy("visit_id"))  # a few rows per request of a visit
+    return every.withColumn("_newest", newest).filter("batch = _newest").drop("batch", "_newest")

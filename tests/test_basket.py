@@ -59,9 +59,8 @@ def test_baskets_and_counts(data):
     assert {(r["antecedent_id"], r["consequent_id"]): r["baskets"] for r in found} == dict(pair)
 
 
-@pytest.mark.parametrize("prune", [True, False, None])
 @pytest.mark.parametrize("min_support", ["0.01", "0.05"])
-def test_rules(data, prune, min_support):
+def test_rules(data, min_support):
     df, lines, menu = data
     want = baskets_of(lines)
     single, pair = counts_of(want)
@@ -69,7 +68,7 @@ def test_rules(data, prune, min_support):
     keep = {
         (a, b) for (a, b), c in pair.items() if Decimal(c) >= n * Decimal(min_support) and Decimal(c) >= single[a] * Decimal("0.05")
     }
-    rules = basket.association_rules(basket.basket_sets(df, TYPES), menu, RuleThresholds(min_support), prune=prune).collect()
+    rules = basket.association_rules(basket.basket_sets(df, TYPES), menu, RuleThresholds(min_support)).collect()
     assert {(r["antecedent_id"], r["consequent_id"]) for r in rules} == keep and len(rules) == len(keep)
     price = {i: 100 + 10 * k for k, i in enumerate(TYPE)}
     for r in rules:

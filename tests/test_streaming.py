@@ -43,6 +43,21 @@ def test_recommendations(spark, rules, tmp_path):
     assert run() == batch(requests)  # nothing new: nothing doubled
 
 
+def test_a_visit_that_orders_again(spark, rules, tmp_path):
+    schema = "visit_id BIGINT, foods ARRAY<STRING>, arrival_hour BIGINT"
+    folder, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    orders = [[(1, ["f0"], 18), (2, ["f1"], 19)], [(1, ["f0", "f2"], 18)], [(1, ["f0", "f2", "f3"], 18), (2, ["f1", "f3"], 19)]]
+    for rows in orders:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+        jobs.finish(jobs.start_recommendations(jobs.order_stream(spark, folder, schema), rules, out, state))
+    last = spark.createDataFrame(orders[-1], schema)
+    assert key(jobs.read_batches(spark, out).collect()) == key(rerank.recommend_visits(last, rules).collect())
+    # all of them in one batch
+    at_once, state = str(tmp_path / "at_once"), str(tmp_path / "state2")
+    jobs.finish(jobs.start_recommendations(jobs.order_stream(spark, folder, schema), rules, at_once, state))
+    assert key(jobs.read_batches(spark, at_once).collect()) == key(rerank.recommend_visits(last, rules).collect())
+
+
 def test_potential(spark, tmp_path):
     names = list(UPSELL_FEATURES)
     seated = spark.createDataFrame([(f"V{i}", i % 6 + 1, 17 + i % 8, i % 2, i % 3 % 2, i % 2) for i in range(50)], ["visit_id", *names])
