@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -33,8 +34,15 @@ SAMPLE_DOCS, SAMPLE_WINDOWS, PASSES = 2000, 400, 8
 # Stretches of one text that may be learned from.
 PER_TEXT = 30
 MOST_ATOMS = 24
+# Longer segments of an address are all tried up to so many; an address of 64 + 253 characters has fewer. Beyond it, those
+# that have the address's whole left or whole right side.
+ADDRESS_SEGMENTS = 10_000
+# Longer spans than this don't stay in the features' cache.
+KEPT_SPAN = 200
 # How much better than none a found span's score must be.
 MARGIN = 2.0
+# How much worse a span is that breaks off an address at a spelled-out dot.
+CUT = 4.0
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -44,6 +52,14 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]+")
 
 SPELLED_AT = re.compile(r"[\[({]\s*at\s*[\])}]|\sat\s(?=\S+\s(?:dot|punkt|punto|point)\s)", re.I)
+# What stands for a dot between two labels, and the labels before and after an at.
+DOT = r"(?:\.|[^\S\n]*[\[({][^\S\n]*(?:dot|punkt|punto|point|\.)[^\S\n]*[\])}][^\S\n]*|[^\S\n]+(?:dot|punkt|punto|point|\.)[^\S\n]+)"
+TAIL = re.compile(rf"[^\S\n]*[\w-]+(?:{DOT}[\w-]+)*", re.I)
+DOT_ANY = re.compile(DOT, re.I)
+DOT_ON = re.compile(rf"(?!\.){DOT}\w", re.I)
+DOT_BACK = re.compile(rf"[\w%+-]{DOT}\Z", re.I)
+AT = re.compile(f"@|{SPELLED_AT.pattern}", re.I)
+LONGEST_DOT = 40
 ATOM = re.compile(r"[^\W\d_]+|[0-9]+|[^\S\n]+|.", re.S)
 ANCHOR = re.compile(r"[0-9]+|@")
 CUES = {"tel", "phone", "call", "fax", "mobile", "cell", "telefon", "card", "visa", "credit", "ip", "host", "server", "mail", "email", "contact", "password", "token", "key", "version", "id"}
@@ -84,6 +100,27 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def reach(text: str, a: int, b: int) -> tuple[int, int]:
+    """From where to where an address may go around the at that is text[a:b]: labels with dots, written or spelled out."""
+    start = a
+    while start and text[start - 1].isspace() and text[start - 1] != "\n":
+        start -= 1
+    while start:
+        label = start
+        while label and (text[label - 1] in LOCAL or text[label - 1].isalnum()):
+            label -= 1
+        if label == start:
+            break
+        start = label
+        low = max(0, start - LONGEST_DOT)
+        m = DOT_BACK.search(text[low:start])
+        if not m:
+            break
+        start = low + m.start() + 1
+    m = TAIL.match(text, b)
+    return start, m.end() if m else b
+
+
 def bucket(n: int) -> str:
     return next((f"<{b}" for b in (1, 4, 7, 8, 9, 12, 13, 16, 17, 20) if n < b), "20+")
 
@@ -144,6 +181,7 @@ class Window:
         opens = [a[0].isalnum() or a in "+([" for a in atoms]
         closes = [a[-1].isalnum() for a in atoms]
         self.atoms = atoms
+        longer = self._longer(n, opens, closes)
         self.segments: list[tuple[int, int, tuple[str, ...]]] = []
         words = [w for w in re.findall(r"[^\W\d_]+", self.text)]
         cue = next((w.lower() for w in words if w.lower() in CUES), "")
@@ -154,12 +192,41 @@ class Window:
                 if atoms[j - 1] == "\n":
                     break
                 if closes[j - 1] and count[j] > count[i]:
-                    a, b = self.ends[i], self.ends[j]
-                    near = neighbour(self.text[a - 1 : a]), neighbour(self.text[b : b + 1])
-                    self.segments.append((i, j, segment_features(self.text[a:b], *near, cue)))
+                    self._add(i, j, cue)
+        for i, j in longer:
+            self._add(i, j, cue)
         # an atom outside of spans
         self.outside = [f"o{'at' if '@' in a else 'd' + bucket(len(a)) if s and a[0].isdigit() else 's' if s else ''}" for a, s in zip(atoms, special, strict=True)]
 
+    def _add(self, i: int, j: int, cue: str) -> None:
+        a, b = self.ends[i], self.ends[j]
+        near = neighbour(self.text[a - 1 : a]), neighbour(self.text[b : b + 1])
+        span = self.text[a:b]
+        self.segments.append((i, j, (segment_features if len(span) <= KEPT_SPAN else segment_features.__wrapped__)(span, *near, cue)))
+
+    def cuts(self, i: int, j: int) -> bool:
+        """Whether a spelled-out dot and a label go on before or after an address from atom i to j."""
+        a, b = self.ends[i], self.ends[j]
+        return any(a < y and x < b for x, y in self.ats) and bool(DOT_ON.match(self.text, b) or self.text[a - 1 : a] != "." and DOT_BACK.search(self.text[max(0, a - LONGEST_DOT) : a]))
+
+    def _longer(self, n: int, opens: list[bool], closes: list[bool]) -> list[tuple[int, int]]:
+        """Segments of more than `MOST_ATOMS` atoms that an address around an at can be."""
+        self.ats = [m.span() for m in AT.finditer(self.text)]
+        out: set[tuple[int, int]] = set()
+        for a, b in self.ats:
+            low, high = reach(self.text, a, b)
+            first, last = bisect_left(self.ends, low), bisect_right(self.ends, high) - 1
+            if last - first <= MOST_ATOMS:
+                continue
+            starts = [i for i in range(first, bisect_left(self.ends, a)) if opens[i]]
+            stops = [j for j in range(bisect_right(self.ends, b), last + 1) if closes[j - 1]]
+            if len(starts) * len(stops) > ADDRESS_SEGMENTS:
+                tried = [(starts[0], j) for j in stops] + [(i, stops[-1]) for i in starts]
+            else:
+                tried = [(i, j) for i in starts for j in stops]
+            out.update((i, j) for i, j in tried if j - i > MOST_ATOMS)
+        return sorted(out)
+
 
 class Field:
     """Weights by kind and feature; scores, expectations and the best segmentation."""
@@ -198,7 +265,7 @@ class Field:
         return out
 
     def best(self, w: Window) -> list[tuple[str, int, int]]:
-        """The spans of the best segmentation; a span must beat its atoms outside of spans by `MARGIN`."""
+        """The spans of the best segmentation; a span must beat its atoms outside of spans by `MARGIN`, part of an address by `CUT` more."""
         outside, segments = self.scored(w)
         n = len(outside)
         ending = defaultdict(list)
@@ -208,7 +275,7 @@ class Field:
         for j in range(1, n + 1):
             choice: tuple[float, tuple | None] = (top[j - 1][0] + outside[j - 1], None)
             for s in ending[j]:
-                if (value := top[s[0]][0] + s[3] - MARGIN) > choice[0]:
+                if (value := top[s[0]][0] + s[3] - MARGIN) > choice[0] and (value := value - CUT * w.cuts(s[0], s[1])) > choice[0]:
                     choice = (value, s)
             top.append(choice)
         out, j = [], n
@@ -228,7 +295,7 @@ def logsum(values: list[float]) -> float:
 def windows(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Stretches around digits and @ signs outside of `taken`, never across a taken span or a line end.
 
-    A stretch takes in two words on each side; stretches that touch are one.
+    A stretch takes in two words on each side, and all labels of an address; stretches that touch are one.
     """
     if not (ANCHOR.search(text) or SPELLED_AT.search(text)):
         return []
@@ -245,6 +312,10 @@ def windows(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
         high = min(taken[t][0] if t < len(taken) else len(text), (text.find("\n", b) + 1 or len(text) + 1) - 1)
         start = max(low, words_back(text, a, low))
         end = words_on(text, b, high)
+        if not text[a].isdigit():
+            first, last = reach(text, a, b)
+            start = max(low, min(start, first - 1))
+            end = max(end, words_on(text, last, high) if DOT_ANY.search(text, b, last) else min(last, high))
         if out and start <= out[-1][1] and "\n" not in text[out[-1][1] : a] and not any(x >= out[-1][1] and x < a for x, _ in taken[max(0, t - 1) : t]):
             out[-1][1] = max(end, out[-1][1])
         elif end > start:

@@ -250,6 +250,27 @@ def test_field_finds_other_forms():
     assert pii.found("chapter 12 on page 7", model) == ([], [])
 
 
+def test_field_finds_every_rewritten_form_whole():
+    names = ["bob", "ann.lee", "first.last", "k9.smith", "info", "sales_team", "x.y.z"]
+    domains = ["mail.example.com", "example.org", "dept.uni.ac.uk", "b.co.uk", "shop.example.co.jp"]
+    made = []
+    for i in range(300):
+        mail = f"{names[i % 7]}@{domains[i % 5]}"
+        made += pii.examples(f"{'so ' * (i % 9)}write to {mail} about the order, page {i % 50} of it")
+        made += pii.examples(f"{'so ' * (i % 7)}call +1 ({200 + i}) 555-{1000 + 37 * i % 9000} now, host 10.{i % 250}.3.{i % 99} is up")
+    model = pii.train(pii.training_windows(made, 400))
+    for mail in ("bob@mail.example.com", "a@b.co.uk", "first.last@dept.uni.ac.uk"):
+        for form, real in pii.rewrites("email", mail):
+            text = f"please write to {form} about the order"
+            if real:
+                assert pii.found(text, model) == ([], [("email", 16, 16 + len(form))]), form
+    long = "first.last [at] " + " [dot] ".join(f"part{chr(97 + i)}" for i in range(20)) + " [dot] com"
+    a, b = pii.windows(f"write to {long} now", [])[0]
+    assert a <= 9 and b >= 9 + len(long)
+    w = pii.Window(long)
+    assert (0, len(w.atoms)) in {(i, j) for i, j, _ in w.segments}
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
