@@ -94,6 +94,25 @@ def test_backoff_scores(docs, empty):
     assert ngram.scores(empty).count() == 0
 
 
+def test_backoff_counts_are_exact(spark):
+    # no n-gram of different words occurs twice; among a few million keys, hashes of 43 bits meet
+    rows = [(d, " ".join(f"w{d * 2000 + i}" for i in range(2000))) for d in range(1000)]
+    got = ngram.scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()
+    assert len(got) == 1000 and all((r["n_by_1"], r["n_by_2"], r["n_by_3"]) == (2000, 0, 0) for r in got)
+
+
+def test_backoff_keys_are_one_to_one():
+    for bits in (2, 31, 42):
+        top = 2**bits - 1
+        words = np.array([x for t in itertools.product((1, 2, top), repeat=3) for x in t], np.uint64)
+        keys = collections.defaultdict(set)
+        for at, high, low in ngram.grams(words, np.arange(len(words)), 3, bits):
+            n = 2 if len(at) == len(words) - 1 else 3
+            for i, k in zip(at.tolist(), zip(high.tolist(), low.tolist(), strict=True), strict=True):
+                keys[k].add(tuple(words[i - n + 1 : i + 1].tolist()))
+        assert all(len(v) == 1 for v in keys.values())
+
+
 def test_pages(spark):
     main = "".join(f"<p>Paragraph {i} of the article, long enough to count &amp; more.</p>" for i in range(5))
     page = f"<html><body><nav><a href=x>Menu</a></nav><div class='wrap'><div class='post-12'><h1>Title</h1>{main}</div><div class='comments'><p>{'A comment. ' * 40}</p></div></div><footer>f</footer></body>"
