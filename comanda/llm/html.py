@@ -1,29 +1,27 @@
 """Main text of web pages by consensus host paths.
 
-Every page is parsed into blocks of text and the containers around them. A container's score is the text its blocks
-hold outside links, in full for the block's parent and by half for the grandparent. Its path names tags and classes
-from the root, digits generalised. Pages vote per host with the shares of their containers' scores; Spark sums the
-votes per host and path. Then every page is extracted anew from the container whose path has most votes on its host,
-among those that hold at least half of what the page's best container holds.
+Every page is parsed into blocks of text and the containers around them. A container's score is the text outside links
+of the blocks it holds, in full for their nearest article or main, else the nearest section, div or layout cell, and by
+half for the container around that; lists, tables and quotes hand their text on. Its path names tags and classes from the
+root, digits generalised. Pages vote per host with the shares of their containers' scores; Spark sums the votes per host
+and path, and each page's own paths, those that hold at least half of what its best container holds, are joined with
+them. The page's text is what is in the containers of the path with most votes, and of several in their common container.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comanda.llm.common import slices
-from comanda.session import materialise
+from comanda.session import broadcast_if_small, materialise
 
-# Votes are whole numbers, so sums don't depend on the order. A host's paths below this share of its votes count as none.
+# Votes are whole numbers, so sums don't depend on the order; paths below this share of a host's votes count as none.
 VOTE, LEAST_SHARE = 1000, 0.01
-# Winning paths are broadcast up to this size, beyond it joined by host.
-BROADCAST_BYTES = 16 << 20
 
 TOKEN = re.compile(r"<(?:!--.*?(?:-->|\Z)|(/)?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*+)(?:>|\Z)|[!?/][^>]*(?:>|\Z))", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b")
@@ -37,7 +35,7 @@ BLOCK = HEADINGS | {
     "html", "head", "body", "main", "article", "section", "div", "p", "ul", "ol", "li", "dl", "dt", "dd", "table", "thead", "tbody", "tfoot", "tr", "td", "th", "caption",
     "blockquote", "pre", "figure", "figcaption", "header", "footer", "nav", "aside", "form", "fieldset", "address", "details", "summary", "center", "menu", "dialog", "hgroup", "search",
 }
-CONTAINER = {"html", "body", "main", "article", "section", "div", "td", "blockquote", "center", "details", "figure", "li", "ul", "ol", "table", "tbody", "tr", "dl", "fieldset"}
+CONTAINER = {"html", "body", "main", "article", "section", "div", "center"}
 # A start tag on the left ends an open element on the right, up to the nearest container.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 DROPPED = {"head", "nav", "footer", "aside", "form", "menu", "dialog", "button", "search"}
@@ -113,16 +111,25 @@ class Page:
                 while node.inline:
                     node = node.parent
                 self.blocks.append((node, text))
-                holder = node
-                while holder.parent and holder.tag not in CONTAINER:
-                    holder = holder.parent
+                holder = self._holder(node)
                 worth = max(0, len(text) - 2 * self._links)
                 holder.score += worth
-                above = holder.parent
-                if above:
-                    above.score += worth / 2
+                if holder.parent:
+                    self._region(holder.parent).score += worth / 2
         self._text, self._links = [], 0
 
+    @staticmethod
+    def _region(node: Node) -> Node:
+        while node.parent and node.tag not in CONTAINER:
+            node = node.parent
+        return node
+
+    def _holder(self, node: Node) -> Node:
+        """The nearest article or main, else the nearest container; a cell that holds blocks is one, one of bare text is not."""
+        above = self._above(node)
+        first = next((n for n in above if n.tag in ("article", "main")), None)
+        return first or next((n for n in above if n.tag in CONTAINER or n.tag == "td" and n is not node), self.root)
+
     def _close(self, tag: str) -> None:
         node = self._node
         while node.parent and node.tag != tag:
@@ -200,31 +207,39 @@ class Page:
     def _score(self) -> None:
         """Best score per path; of equal ones the outer path comes first."""
         self.paths: dict[str, float] = {}
+        self._nodes: dict[str, list[Node]] = {}
         seen: set[int] = set()
         for node, _ in self.blocks:
             while node and id(node) not in seen:
                 seen.add(id(node))
                 if node.score > 0:
                     self.paths[node.path] = self.paths.get(node.path, 0.0) + node.score * node.weight
+                    self._nodes.setdefault(node.path, []).append(node)
                 node = node.parent
-        self.best = min(self.paths, key=lambda p: (-self.paths[p], p.count(">"), p), default=None)
 
     def votes(self) -> dict[str, int]:
         total = sum(self.paths.values())
         return {p: v for p, s in self.paths.items() if (v := round(VOTE * s / total))}
 
-    def text(self, votes: dict[str, int]) -> tuple[str, str | None]:
-        """The text under the path with most votes among those that can hold the main text, and that path."""
-        if self.best is None:
-            return "\n\n".join(t for _, t in self.blocks), None
-        enough = [p for p, s in self.paths.items() if 2 * s >= self.paths[self.best]]
-        path = min(enough, key=lambda p: (-votes.get(p, 0), -self.paths[p], p.count(">"), p))
-        out = []
-        for node, text in self.blocks:
+    def _held(self, path: str) -> list[int]:
+        """The blocks in the path's container, or in the common container of several."""
+        nodes = self._nodes[path]
+        if len(nodes) > 1:
+            common = {id(n) for n in self._above(nodes[0])}
+            for other in nodes[1:]:
+                common &= {id(n) for n in self._above(other)}
+            nodes = [self._region(next(n for n in self._above(nodes[0]) if id(n) in common))]
+        inside, out = {id(n) for n in nodes}, []
+        for i, (node, _) in enumerate(self.blocks):
             above = self._above(node)
-            if any(n.path == path for n in above) and not (any(n.tag == "header" for n in above) and not any(n.tag in HEADINGS for n in above)):
-                out.append(text)
-        return "\n\n".join(out), path
+            if any(id(n) in inside for n in above) and not (any(n.tag == "header" for n in above) and not any(n.tag in HEADINGS for n in above)):
+                out.append(i)
+        return out
+
+    def candidates(self) -> list[dict]:
+        """path, score, depth and blocks (their places) of the paths that can hold the main text."""
+        best = max(self.paths.values(), default=0.0)
+        return [{"path": p, "score": s, "depth": p.count(">"), "blocks": self._held(p)} for p, s in self.paths.items() if 2 * s >= best]
 
 
 def host(url: str = "url") -> Column:
@@ -232,22 +247,31 @@ def host(url: str = "url") -> Column:
     return F.coalesce(F.regexp_extract(F.lower(F.col(url)), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit(""))
 
 
-def host_paths(pages: DataFrame) -> DataFrame:
-    """host, paths, votes: the paths that hold at least `LEAST_SHARE` of the votes of their host, so at most 100."""
+def parsed(pages: DataFrame) -> DataFrame:
+    """uid, page_id, url, host, blocks, candidates and votes of every page, as a written table."""
+    schema = "page_id long, url string, host string, blocks array<string>, candidates array<struct<path: string, score: double, depth: int, blocks: array<int>>>, votes array<struct<path: string, n: long>>"
+    strings = pa.list_(pa.string())
+    candidates = pa.list_(pa.struct([("path", pa.string()), ("score", pa.float64()), ("depth", pa.int32()), ("blocks", pa.list_(pa.int32()))]))
+    votes = pa.list_(pa.struct([("path", pa.string()), ("n", pa.int64())]))
 
-    def vote(batches):
+    def read(batches):
         for batch in slices(batches):
-            cast: Counter = Counter()
-            for h, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                for path, n in Page(source or "").votes().items():
-                    cast[h, path] += n
-            yield pa.RecordBatch.from_pydict({"host": pa.array([h for h, _ in cast], pa.string()), "path": pa.array([p for _, p in cast], pa.string()), "n": pa.array(cast.values(), pa.int64())})
-
-    votes = pages.select(host().alias("host"), "html").mapInArrow(vote, "host string, path string, n long")
-    votes = materialise(votes.groupBy("host", "path").agg(F.sum("n").alias("n")))
+            got = [Page(source or "") for source in batch.column("html").to_pylist()]
+            arrays = {n: batch.column(n) for n in ("page_id", "url", "host")}
+            arrays["blocks"] = pa.array([[t for _, t in x.blocks] for x in got], strings)
+            arrays["candidates"] = pa.array([x.candidates() for x in got], candidates)
+            arrays["votes"] = pa.array([[{"path": p, "n": n} for p, n in x.votes().items()] for x in got], votes)
+            yield pa.RecordBatch.from_pydict(arrays)
+
+    asked = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host().alias("host"), "html")
+    return materialise(asked.mapInArrow(read, schema).withColumn("uid", F.monotonically_increasing_id()))
+
+
+def host_paths(read: DataFrame) -> DataFrame:
+    """host, path, n: the paths that hold at least `LEAST_SHARE` of the votes of their host."""
+    votes = materialise(read.select("host", F.explode("votes").alias("v")).groupBy("host", F.col("v.path").alias("path")).agg(F.sum("v.n").alias("n")))
     totals = votes.groupBy("host").agg(F.sum("n").alias("total"))
-    kept = votes.join(totals, "host").filter(F.col("n") >= LEAST_SHARE * F.col("total"))
-    return kept.groupBy("host").agg(F.collect_list(F.struct("path", "n")).alias("votes"))
+    return materialise(votes.join(totals, "host").filter(F.col("n") >= LEAST_SHARE * F.col("total")).drop("total"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -256,16 +280,11 @@ def extract(pages: DataFrame) -> DataFrame:
     A null html is empty, a null or odd url has the empty host. Repeated pages are extracted each; other columns are
     ignored. An empty table gives no rows.
     """
-    winners = materialise(host_paths(pages))
-    size = winners.agg(F.sum(F.octet_length("host") + F.octet_length(F.to_json("votes")))).first()[0] or 0
-    winners = F.broadcast(winners) if size <= BROADCAST_BYTES else winners
-    asked = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host().alias("host")).join(winners, "host", "left")
-
-    def read(batches):
-        for batch in slices(batches):
-            out = []
-            for source, votes in zip(batch.column("html").to_pylist(), batch.column("votes").to_pylist(), strict=True):
-                out.append(Page(source or "").text({v["path"]: v["n"] for v in votes or ()}))
-            yield pa.RecordBatch.from_pydict({"page_id": batch.column("page_id"), "url": batch.column("url"), "text": pa.array([t for t, _ in out], pa.string()), "path": pa.array([p for _, p in out], pa.string())})
-
-    return asked.select("page_id", "url", "html", "votes").mapInArrow(read, "page_id long, url string, text string, path string")
+    read = parsed(pages)
+    own = read.select("uid", "host", F.posexplode("candidates").alias("i", "c")).select("uid", "host", "i", "c.path", "c.score", "c.depth")
+    # a page has few paths; beyond the bound of a broadcast, a hot host's rows are split as a skewed join
+    own = own.join(broadcast_if_small(host_paths(read)), ["host", "path"], "left").fillna(0, ["n"])
+    best = own.groupBy("uid").agg(F.min(F.struct((-F.col("n")).alias("n"), (-F.col("score")).alias("score"), "depth", "path", "i")).alias("best")).select("uid", "best.path", "best.i")
+    held = F.expr("transform(candidates[i].blocks, x -> blocks[x])")
+    text = F.concat_ws("\n\n", F.when(F.col("i").isNull(), F.col("blocks")).otherwise(held))
+    return read.drop("votes", "host").join(best, "uid", "left").select("page_id", "url", text.alias("text"), "path")

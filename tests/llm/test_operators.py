@@ -124,6 +124,24 @@ def test_pages(spark):
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize("wrap", ["article", "main", "div class='content'"])
+@pytest.mark.parametrize("body", ["ul", "table", "quote", "sections"])
+def test_pages_keep_the_whole_article(spark, wrap, body):
+    parts = [f"Part {i} of the text goes on for some hundred characters so that it is the heavier one of {i}." for i in range(12)]
+    held = {
+        "ul": "<ul>" + "".join(f"<li>{t}</li>" for t in parts) + "</ul>",
+        "table": "<table>" + "".join(f"<tr><td>{t}</td></tr>" for t in parts) + "</table>",
+        "quote": "".join(f"<blockquote><p>{t}</p></blockquote>" for t in parts),
+        "sections": "".join(f"<section><h2>S</h2><p>{t}</p></section>" for t in parts),
+    }[body]
+    intro = "An introduction of a few words."
+    page = f"<html><body><nav>menu</nav><{wrap}><h1>Title</h1><p>{intro}</p>{held}</{wrap.split()[0]}><footer>f</footer></body></html>"
+    rows = [(i, "http://a.example.org/", page) for i in range(2)]
+    want = ["Title", intro, *(x for t in parts for x in (["S", t] if body == "sections" else [t]))]
+    got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert [r["text"].split("\n\n") for r in got] == [want, want]
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(3)
     rows = [(i, [float(x) for x in rng.normal(size=24).round(1)], "x") for i in range(300)]
