@@ -11,17 +11,19 @@ them. The page's text is what is in the containers of the path with most votes,
 from __future__ import annotations
 
 import html as entities
+import json
 import re
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comanda.llm.common import slices
 from comanda.session import broadcast_if_small, materialise
 
-# Votes are whole numbers, so sums don't depend on the order; paths below this share of a host's votes count as none.
-VOTE, LEAST_SHARE = 1000, 0.01
+# Votes are whole numbers, so sums don't depend on the order; a page's votes for all its paths. No path has none.
+VOTE = 1 << 30
 
 TOKEN = re.compile(r"<(?:!--.*?(?:-->|\Z)|(/)?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*+)(?:>|\Z)|[!?/][^>]*(?:>|\Z))", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b")
@@ -219,7 +221,7 @@ class Page:
 
     def votes(self) -> dict[str, int]:
         total = sum(self.paths.values())
-        return {p: v for p, s in self.paths.items() if (v := round(VOTE * s / total))}
+        return {p: max(1, round(VOTE * s / total)) for p, s in self.paths.items()}
 
     def _held(self, path: str) -> list[int]:
         """The blocks in the path's container, or in the common container of several."""
@@ -248,9 +250,8 @@ def host(url: str = "url") -> Column:
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """uid, page_id, url, host, blocks, candidates and votes of every page, as a written table."""
-    schema = "page_id long, url string, host string, blocks array<string>, candidates array<struct<path: string, score: double, depth: int, blocks: array<int>>>, votes array<struct<path: string, n: long>>"
-    strings = pa.list_(pa.string())
+    """uid, page_id, url, host, blocks (compressed JSON), candidates and votes of every page, as a written table."""
+    schema = "page_id long, url string, host string, blocks binary, candidates array<struct<path: string, score: double, depth: int, blocks: array<int>>>, votes array<struct<path: string, n: long>>"
     candidates = pa.list_(pa.struct([("path", pa.string()), ("score", pa.float64()), ("depth", pa.int32()), ("blocks", pa.list_(pa.int32()))]))
     votes = pa.list_(pa.struct([("path", pa.string()), ("n", pa.int64())]))
 
@@ -258,7 +259,7 @@ def parsed(pages: DataFrame) -> DataFrame:
         for batch in slices(batches):
             got = [Page(source or "") for source in batch.column("html").to_pylist()]
             arrays = {n: batch.column(n) for n in ("page_id", "url", "host")}
-            arrays["blocks"] = pa.array([[t for _, t in x.blocks] for x in got], strings)
+            arrays["blocks"] = pa.array([zstandard.compress(json.dumps([t for _, t in x.blocks], ensure_ascii=False).encode()) for x in got], pa.binary())
             arrays["candidates"] = pa.array([x.candidates() for x in got], candidates)
             arrays["votes"] = pa.array([[{"path": p, "n": n} for p, n in x.votes().items()] for x in got], votes)
             yield pa.RecordBatch.from_pydict(arrays)
@@ -268,10 +269,8 @@ def parsed(pages: DataFrame) -> DataFrame:
 
 
 def host_paths(read: DataFrame) -> DataFrame:
-    """host, path, n: the paths that hold at least `LEAST_SHARE` of the votes of their host."""
-    votes = materialise(read.select("host", F.explode("votes").alias("v")).groupBy("host", F.col("v.path").alias("path")).agg(F.sum("v.n").alias("n")))
-    totals = votes.groupBy("host").agg(F.sum("n").alias("total"))
-    return materialise(votes.join(totals, "host").filter(F.col("n") >= LEAST_SHARE * F.col("total")).drop("total"))
+    """host, path, n: all votes of a host for a path."""
+    return materialise(read.select("host", F.explode("votes").alias("v")).groupBy("host", F.col("v.path").alias("path")).agg(F.sum("v.n").alias("n")))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -283,8 +282,16 @@ def extract(pages: DataFrame) -> DataFrame:
     read = parsed(pages)
     own = read.select("uid", "host", F.posexplode("candidates").alias("i", "c")).select("uid", "host", "i", "c.path", "c.score", "c.depth")
     # a page has few paths; beyond the bound of a broadcast, a hot host's rows are split as a skewed join
-    own = own.join(broadcast_if_small(host_paths(read)), ["host", "path"], "left").fillna(0, ["n"])
+    own = own.join(broadcast_if_small(host_paths(read)), ["host", "path"])
     best = own.groupBy("uid").agg(F.min(F.struct((-F.col("n")).alias("n"), (-F.col("score")).alias("score"), "depth", "path", "i")).alias("best")).select("uid", "best.path", "best.i")
-    held = F.expr("transform(candidates[i].blocks, x -> blocks[x])")
-    text = F.concat_ws("\n\n", F.when(F.col("i").isNull(), F.col("blocks")).otherwise(held))
-    return read.drop("votes", "host").join(best, "uid", "left").select("page_id", "url", text.alias("text"), "path")
+    chosen = read.drop("votes", "host").join(best, "uid", "left").select("page_id", "url", "blocks", F.expr("candidates[i].blocks").alias("held"), "path")
+
+    def put(batches):
+        for batch in slices(batches):
+            texts = []
+            for packed, held in zip(batch.column("blocks").to_pylist(), batch.column("held").to_pylist(), strict=True):
+                blocks = json.loads(zstandard.decompress(packed))
+                texts.append("\n\n".join(blocks if held is None else [blocks[x] for x in held]))
+            yield pa.RecordBatch.from_pydict({"page_id": batch.column("page_id"), "url": batch.column("url"), "text": pa.array(texts, pa.string()), "path": batch.column("path")})
+
+    return chosen.mapInArrow(put, "page_id long, url string, text string, path string")

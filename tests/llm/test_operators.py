@@ -142,6 +142,18 @@ def test_pages_keep_the_whole_article(spark, wrap, body):
     assert [r["text"].split("\n\n") for r in got] == [want, want]
 
 
+def test_rare_paths_keep_their_votes(spark):
+    # one page's scores alone take the wrapper; six others of its template vote for the post, on a host of 2,000 pages too
+    text = "Words of the post that fill a line of the page well enough. " * 4
+    common = [(i, "http://h.example.org/", f"<html><body><div class='c'><p>{text}</p></div></body></html>") for i in range(2000)]
+    rare = f"<html><body><div class='r'><div class='p'><p>{text}</p></div></div></body></html>"
+    odd = f"<html><body><div class='r'><p>{text}</p><p>More</p><div class='p'><p>{text}</p></div></div></body></html>"
+    few = [(3000 + i, "http://h.example.org/", rare) for i in range(6)] + [(4000, "http://h.example.org/", odd)]
+    take = lambda rows: {r["page_id"]: (r["text"], r["path"]) for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    small, large = take(few), take(few + common)
+    assert small[4000] == large[4000] and large[4000][1].endswith("div.p")
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(3)
     rows = [(i, [float(x) for x in rng.normal(size=24).round(1)], "x") for i in range(300)]
