@@ -69,6 +69,12 @@ def digits_of(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
 
+def octet(s: str) -> bool:
+    """Whether a run of digits, of any length, is at most 255."""
+    s = s.lstrip("0")
+    return len(s) <= 3 and int(s or 0) <= 255
+
+
 def luhn(digits: str) -> bool:
     odd = [int(c) for c in reversed(digits)]
     return sum(odd[::2] + [d * 2 - 9 * (d > 4) for d in odd[1::2]]) % 10 == 0
@@ -93,7 +99,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     """The contract's spans, by kind and start. A failing match is dropped and not tried again."""
     out = [("email", a, b) for a, b in emails(text)]
     if DIGIT.search(text):
-        out += [("ip", *m.span()) for m in IP.finditer(text) if all(int(x) <= 255 for x in m[0].split("."))]
+        out += [("ip", *m.span()) for m in IP.finditer(text) if all(map(octet, m[0].split(".")))]
         out += [("card", *m.span()) for m in CARD.finditer(text) if 13 <= len(d := digits_of(m[0])) <= 19 and luhn(d)]
         if "+" in text:
             out += [("phone", *m.span()) for m in PHONE.finditer(text) if 9 <= len(digits_of(m[0])) <= 15]
@@ -146,7 +152,7 @@ def segment_features(span: str, left: str, right: str, cue: str) -> tuple[str, .
         if 13 <= len(digits) <= 19:
             out.append(f"luhn{luhn(digits)}")
         if len(groups) == 4:
-            out.append(f"octets{all(len(g) <= 3 and int(g) <= 255 for g in groups)}|{len(set(re.findall(r'[^0-9]+', span))) == 1}")
+            out.append(f"octets{all(map(octet, groups))}|{len(set(re.findall(r'[^0-9]+', span))) == 1}")
     at = "@" in span or spelled
     out.append(f"at{'@' in span}{spelled}")
     if at:

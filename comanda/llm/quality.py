@@ -2,8 +2,8 @@
 
 Statistics are DataFrame expressions over the whole text. The list is learned by sequential covering: a rule grows by
 the condition with the best information gain on two thirds of the labelled rows, is pruned back to the prefix with the
-best precision on the other third, and the rows it covers are set aside before the next one grows. Each step is one
-aggregate over the labelled statistics (rows per feature and bin), so only bounded counts reach the driver.
+best precision on the other third, and the rows it covers are set aside before the next one grows; a rule that pruning
+rejects is left out and its rows are set aside from growing only. Each step is one aggregate over the labelled statistics (rows per feature and bin), so only bounded counts reach the driver.
 """
 
 from __future__ import annotations
@@ -170,13 +170,17 @@ def learn_rules(
 
     rules: list[Rule] = []
     left = rows
-    while len(rules) < max_rules:
-        rule = grow(left.filter(~F.col("for_pruning")))
-        rule = prune(left.filter("for_pruning"), rule) if rule else rule
-        if not rule:
+    grown_on = left.filter(~F.col("for_pruning"))
+    for _ in range(2 * max_rules):
+        grown = grow(grown_on)
+        if not grown or len(rules) == max_rules:
             break
-        rules.append(rule)
-        left = left.filter(~_all(rule))
+        rule = prune(left.filter("for_pruning"), grown)
+        if rule:
+            rules.append(rule)
+            left = left.filter(~_all(rule))
+        # what a rejected rule covers is set aside from growing only
+        grown_on = grown_on.filter(~_all(rule or grown))
     return rules
 
 
@@ -185,8 +189,8 @@ def verdict(rules: list[Rule]) -> Column:
     out = None
     for rule in rules:
         text = " and ".join(c.text() for c in rule)
-        out = (out or F).when(F.expr(text), F.lit(text))
-    return out if out is not None else F.lit(None).cast("string")
+        out = F.when(F.expr(text), F.lit(text)) if out is None else out.when(F.expr(text), F.lit(text))
+    return F.lit(None).cast("string") if out is None else out
 
 
 def labelled_statistics(stats: DataFrame, labels: DataFrame) -> DataFrame:
@@ -217,7 +221,11 @@ def quality_table(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[R
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of `docs` that are kept, with their columns as they were."""
+    """The rows of `docs` that are kept, with their columns as they were.
+
+    Null and empty texts fail the base rules; repeated rows are judged each; an empty table gives no rows. A row
+    without an id, or with conflicting labels, is judged but not learned from.
+    """
     _, rules = quality_table(docs, labels)
     plain = statistics(docs.select(F.struct("*").alias("_row"), "doc_id", "text"))
     # a number per row keeps the optimizer from writing the statistics out again inside the filter
