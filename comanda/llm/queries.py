@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import dedup, html, ngram, packing, pii, quality, sampling, sharding, topk, toxicity
+from comanda.llm import dedup, html, ngram, packing, pii, quality, repeats, sampling, sharding, topk, toxicity
 from comanda.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the windows of 50 words that an earlier document has."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -94,6 +99,7 @@ QUERIES: dict[str, Query] = {
         op8_toxicity,
         op9_pii,
         op10_packing,
+        op13_substring_dedup,
     )
 }
 
@@ -126,8 +132,8 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
 FROM d LEFT JOIN s ON s.doc_id = d.doc_id GROUP BY d.doc_id, ws""",
     "op4_topk": """
 WITH v AS (
-  SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS u, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, x -> x IS NOT NULL AND isfinite(x)))
+  SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS u, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and([x IS NOT NULL AND isfinite(x) for x in embedding])
 ),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON c.u <> q.u
@@ -135,4 +141,17 @@ s AS (
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+    "op13_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, unnest(range(1, len(ws) - 48)) AS i, ws FROM d WHERE len(ws) >= 50),
+x AS (SELECT doc_id, i, sha256(array_to_string(ws[i:i + 49], ' ')) AS s FROM p),
+m AS (SELECT s, min(doc_id) AS first FROM x GROUP BY s HAVING count(*) > 1),
+g AS (SELECT DISTINCT x.doc_id, unnest(range(x.i, x.i + 50)) AS j FROM x JOIN m ON m.s = x.s WHERE m.first < x.doc_id),
+w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS j FROM d),
+k AS (
+  SELECT w.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY w.j) AS kept FROM w LEFT JOIN g ON g.doc_id = w.doc_id AND g.j = w.j
+  WHERE g.j IS NULL GROUP BY w.doc_id
+)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id""",
 }
