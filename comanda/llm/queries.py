@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import dedup, html, ngram, packing, pii, quality, repeats, runs, sampling, sharding, topk, toxicity
+from comanda.llm import dedup, html, ngram, packing, pii, quality, repeats, runs, sampling, sharding, topk, toxicity, variants
 from comanda.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents' vocabulary with its near words, its form and the last form of its chain."""
+    return variants.document_groups(table(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words of every document, as digests."""
     return runs.digests(table(spark, sf_dir, "documents"))
@@ -104,6 +109,7 @@ QUERIES: dict[str, Query] = {
         op8_toxicity,
         op9_pii,
         op10_packing,
+        op11_spelling_variants,
         op12_periodic_runs,
         op13_substring_dedup,
     )
