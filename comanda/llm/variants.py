@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from comanda.llm.common import slices
 from comanda.session import materialise
 
-RUN = re.compile("[A-Za-zÀ-ÿ]+")
 LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 SHORTEST, FEWEST, RATIO = 7, 2, 10
 DELETE_EVERY = 31
@@ -52,8 +51,10 @@ def with_deletions(doc_id: int | None, run: str) -> str:
 def vocabulary(docs: DataFrame, change: Change | None = None, shortest: int = SHORTEST, fewest: int = FEWEST) -> DataFrame:
     """word, n: the runs of letters of all texts, A to Z in lower case, with at least `shortest` letters and `fewest` occurrences.
 
-    A null text has none. Counts are summed within a worker before the shuffle.
+    A null text has none. `change` may shorten a run, not make it longer. Counts are summed within a worker before the
+    shuffle.
     """
+    letters = re.compile(f"[A-Za-z\u00c0-\u00ff]{{{shortest},}}")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
@@ -61,9 +62,8 @@ def vocabulary(docs: DataFrame, change: Change | None = None, shortest: int = SH
         for batch in slices(batches, TEXTS):
             for doc, text in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "text")), strict=True):
                 own: Counter = Counter()
-                for run, n in Counter(RUN.findall(text or "")).items():
-                    if len(run) >= shortest:
-                        own[run.translate(LOWER)] += n
+                for run, n in Counter(letters.findall(text or "")).items():
+                    own[run.translate(LOWER)] += n
                 for run, n in own.items():
                     word = change(doc, run) if change else run
                     if len(word) >= shortest:
