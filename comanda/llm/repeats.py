@@ -137,13 +137,14 @@ def probes(docs: DataFrame) -> DataFrame:
 def marked(docs: DataFrame) -> DataFrame:
     """doc_id, doc_key, hits, blocks: the probes of a text that meet an anchor of a smaller id, and its own anchors met.
 
-    The index has one row per anchor; a hot anchor's probes are rows of one skewed join key, which AQE splits.
+    The index has one row per anchor; a hot anchor's probes are rows of one skewed join key. The indexes are written
+    first, so that both sides of a join are plain shuffles, which AQE can split.
     """
     sent = materialise(probes(docs))
     own = sent.filter("is_block")
-    index = own.groupBy("h").agg(F.min("doc_id").alias("first"))
+    index = materialise(own.groupBy("h").agg(F.min("doc_id").alias("first")))
     hits = materialise(sent.filter("not is_block").join(index, "h").filter("first < doc_id").select("h", "doc_id", "doc_key", "at"))
-    met = hits.groupBy("h").agg(F.max("doc_id").alias("last"))
+    met = materialise(hits.groupBy("h").agg(F.max("doc_id").alias("last")))
     blocks = own.join(met, "h").filter("doc_id < last").select("doc_id", "doc_key", "at", F.lit(True).alias("is_block"))
     both = hits.select("doc_id", "doc_key", "at", F.lit(False).alias("is_block")).unionByName(blocks)
     # a text's marks are bounded by its words
@@ -198,7 +199,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     base = base.select(F.col("doc_id").cast("long").alias("doc_id"), key().alias("doc_key"), "text")
     texts = materialise(base.join(marked(docs), ["doc_id", "doc_key"]))
     sent = materialise(windows(texts))
-    index = sent.filter("is_block").groupBy("h1", "h2").agg(F.min("doc_id").alias("first"))
+    index = materialise(sent.filter("is_block").groupBy("h1", "h2").agg(F.min("doc_id").alias("first")))
     again = sent.filter("not is_block").join(index, ["h1", "h2"]).filter("first < doc_id")
     starts = again.groupBy("doc_id", "doc_key").agg(F.sort_array(F.collect_set("at")).alias("at"))
     # windows that touch or overlap make one span
