@@ -95,28 +95,15 @@ def average_rank_pct(
     return df.join(ranked.select(*by, value, pct.alias(out)), [*by, value])
 
 
-def exact_quantile(df: DataFrame, value: str, q: float, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """One row, one column `quantile`: the linearly interpolated q-quantile of `value` over the whole table."""
-    counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_ties"))
-    ranked = running_total(counts, "_ties", [F.col(value)], out="_upto", rows_per_task=rows_per_task)
-    n = ranked.agg(F.sum("_ties")).scalar()
-    place = (n - 1) * F.lit(q)
-    ranked = ranked.withColumn("_place", place)
+def exact_quantile(df: DataFrame, value: str, q: float, rows_per_task: int = ROWS_PER_TASK, by: Sequence[str] = ()) -> DataFrame:
+    """Column `quantile`: the linearly interpolated q-quantile of `value`, one row, or one per group of `by`."""
+    by = _names(by)
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_ties"))
+    ranked = running_total(counts, "_ties", [F.col(value)], by, "_upto", rows_per_task=rows_per_task)
+    totals = ranked.groupBy(*by).agg(F.sum("_ties").alias("_n"))
+    ranked = ranked.join(totals, by) if by else ranked.withColumn("_n", totals.scalar())
+    ranked = ranked.withColumn("_place", (F.col("_n") - 1) * F.lit(q))
     low = F.min(F.when(F.col("_upto") > F.floor("_place"), F.col(value)))
     high = F.min(F.when(F.col("_upto") > F.ceil("_place"), F.col(value)))
     part = F.max(F.col("_place") - F.floor("_place"))
-    return ranked.agg((low + (high - low) * part).alias("quantile"))
-
-
-def hash_sample(df: DataFrame, ids: Sequence[str], rows: int) -> DataFrame:
-    """The first `rows` rows in the order of a hash of their ids, the same however the table is partitioned.
-
-    `ids` must tell rows apart. On a larger table only rows with a hash low enough for twice as many are sorted,
-    so neither a task nor the driver sees more than that. `df` is counted first: pass a written table.
-    """
-    key = F.concat_ws("|", *ids)
-    hashed = df.withColumn("_hash", F.md5(key))
-    share = 2.0 * (rows + 100) / max(df.count(), 1)
-    if share < 1.0:
-        hashed = hashed.filter(F.col("_hash") < f"{int(share * 16**8):08x}")
-    return hashed.orderBy("_hash", *ids).limit(rows).drop("_hash")
+    return ranked.groupBy(*by).agg((low + (high - low) * part).alias("quantile"))

@@ -247,31 +247,91 @@ def set_value(recommended: DataFrame, group: Sequence[str] = ("visit_id",)) -> D
     )
 
 
-def fpgrowth_pairs(
-    sets: DataFrame,
-    thresholds: RuleThresholds = RuleThresholds(),
-    max_antecedents: int | None = 1,
-) -> DataFrame:
-    """Rules from MLlib's FP-growth, which also finds rules with several dishes before the arrow.
+def frequent_sets(sets: DataFrame, min_support: str) -> DataFrame:
+    """dishes (sorted), drinks (sorted), n: the frequent item sets by MLlib's FP-growth, dishes and drinks apart.
 
-    With `max_antecedents=1` these are the same rules as `association_rules`.
+    Items carry their kind as a first letter, so the menu's drinks are never gathered.
     """
     from pyspark.ml.fpm import FPGrowth
 
-    names = sets.select(F.concat("foods", "drinks").alias("items"))
-    model = FPGrowth(
-        itemsCol="items", minSupport=float(thresholds.min_support), minConfidence=float(thresholds.min_confidence)
-    ).fit(names)
-    # the drinks of the menu, as one small array
-    drinks = sets.select(F.explode("drinks").alias("d")).agg(F.collect_set("d")).scalar()
-    rules = model.associationRules
-    if max_antecedents is not None:
-        rules = rules.filter(F.size("antecedent") <= max_antecedents)
-    rules = rules.filter(F.arrays_overlap("consequent", drinks) & ~F.arrays_overlap("antecedent", drinks))
-    return rules.select(
-        F.array_join(F.array_sort("antecedent"), "+").alias("antecedent_id"),
-        F.col("consequent")[0].alias("consequent_id"),
-        half_up("support", 4).alias("support"),
-        half_up("confidence", 4).alias("confidence"),
-        half_up("lift", 3).alias("lift"),
+    named = F.concat(F.transform("foods", lambda x: F.concat(F.lit("f"), x)), F.transform("drinks", lambda x: F.concat(F.lit("d"), x)))
+    found = FPGrowth(itemsCol="items", minSupport=float(min_support)).fit(sets.select(named.alias("items"))).freqItemsets
+
+    def of(kind: str) -> Column:
+        return F.array_sort(F.transform(F.filter("items", lambda x: x.startswith(kind)), lambda x: F.substring(x, 2, 1 << 30)))
+
+    return found.select(of("f").alias("dishes"), of("d").alias("drinks"), F.col("freq").alias("n"))
+
+
+SET_MARK = "+"
+
+
+def counted_rules(sets: DataFrame, thresholds: RuleThresholds, max_dishes: int | None) -> DataFrame:
+    """dishes, consequent_id and the counts of every rule above the thresholds."""
+    found = frequent_sets(sets, thresholds.min_support).filter(F.size("drinks") <= 1)
+    found = materialise(found if max_dishes is None else found.filter(F.size("dishes") <= max_dishes))
+    before = found.filter(F.size("drinks") == 0).select("dishes", F.col("n").alias("n_a"))
+    after = found.filter((F.size("dishes") == 0) & (F.size("drinks") == 1)).select(F.col("drinks")[0].alias("consequent_id"), F.col("n").alias("n_b"))
+    both = found.filter((F.size("dishes") > 0) & (F.size("drinks") == 1)).select("dishes", F.col("drinks")[0].alias("consequent_id"), F.col("n").alias("baskets"))
+    counted = both.join(before, "dishes").join(after, "consequent_id").withColumn("n_all", sets.agg(F.count(F.lit(1))).scalar())
+    n = F.col("baskets")
+    return counted.filter((n >= F.col("n_all") * const(thresholds.min_support)) & (n >= F.col("n_a") * const(thresholds.min_confidence)))
+
+
+def _rule_columns() -> list[Column]:
+    n = F.col("baskets")
+    return [
+        F.array_join("dishes", SET_MARK).alias("antecedent_id"),
+        F.col("consequent_id"),
+        half_up(ratio(n, "n_all"), 4).alias("support"),
+        half_up(ratio(n, "n_a"), 4).alias("confidence"),
+        half_up(ratio(n * F.col("n_all"), F.col("n_a") * F.col("n_b")), 3).alias("lift"),
+    ]
+
+
+def set_rules(sets: DataFrame, menu: DataFrame, thresholds: RuleThresholds = RuleThresholds(), max_dishes: int | None = 2) -> DataFrame:
+    """Rules with up to `max_dishes` dishes before the arrow, with support, confidence, lift and expected profit.
+
+    `antecedent_id` joins the dishes, in order, by `SET_MARK`; `dishes` lists them. With one dish these are the rules of
+    `association_rules`. Pass written tables for `sets` (from `basket_sets`) and `menu`.
+    """
+    drink = menu.select(F.col("item_id").alias("consequent_id"), (F.col("price") * F.col("profit_margin")).alias("profit"))
+    return counted_rules(sets, thresholds, max_dishes).join(drink, "consequent_id").select(
+        *_rule_columns(),
+        "dishes",
+        F.round("profit", 1).cast("decimal(12,1)").alias("unit_profit"),
+        half_up(ratio(F.col("baskets") * F.col("profit"), "n_a"), 1).cast("decimal(12,1)").alias("expected_profit"),
     )
+
+
+def fpgrowth_pairs(sets: DataFrame, thresholds: RuleThresholds = RuleThresholds(), max_antecedents: int | None = 1) -> DataFrame:
+    """Rules from MLlib's FP-growth without the profit; with `max_antecedents=1` those of `association_rules`."""
+    return counted_rules(sets, thresholds, max_antecedents).select(*_rule_columns())
+
+
+def held_sets(orders: DataFrame, rules: DataFrame, keys: Sequence[str] = ("pattern",)) -> DataFrame:
+    """`keys` and antecedent_id of every set of dishes in `rules` that an order holds whole.
+
+    `orders` has a row per order and dish (as antecedent_id) and is read twice, `rules` comes from `set_rules`: pass
+    written tables. A set is filed under its rarest dish, the one that fewest orders have, so an order meets a set
+    once, by that dish; the set's other dishes are then matched and counted. Neither orders nor sets are crossed.
+    """
+    orders = orders.select(*keys, F.col("antecedent_id").alias("_dish")).distinct()
+    wanted = rules.select("antecedent_id", "dishes").distinct()
+    often = orders.groupBy("_dish").agg(F.count(F.lit(1)).alias("_n"))
+    filed = wanted.select("antecedent_id", "dishes", F.explode("dishes").alias("_dish")).join(often, "_dish")
+    rarest = filed.groupBy("antecedent_id", "dishes").agg(F.min(F.struct("_n", "_dish")).alias("_first"), F.count(F.lit(1)).alias("_known"))
+    # a set with a dish that nobody ordered is held by no order
+    index = materialise(rarest.filter(F.col("_known") == F.size("dishes")).select("antecedent_id", F.col("_first._dish").alias("_dish"), "dishes"))
+    met = orders.join(broadcast_if_small(index), "_dish")
+    alone = met.filter(F.size("dishes") == 1).select(*keys, "antecedent_id")
+    others = met.filter(F.size("dishes") > 1).withColumn("_rest", F.array_remove("dishes", F.col("_dish")))
+    asked = others.select(*keys, "antecedent_id", F.size("_rest").alias("_asked"), F.explode("_rest").alias("_dish"))
+    matched = asked.join(orders, [*keys, "_dish"]).groupBy(*keys, "antecedent_id", "_asked").agg(F.count(F.lit(1)).alias("_found"))
+    return alone.unionByName(matched.filter("_found = _asked").select(*keys, "antecedent_id"))
+
+
+def recommend_by_sets(orders: DataFrame, rules: DataFrame, n: int = 3, strategy: str = "profit", group: Sequence[str] = ("pattern",)) -> DataFrame:
+    """Top drinks for every open order by rules of one or more dishes, all of which must be on it."""
+    orders, plain = materialise(orders), rules.drop("dishes")
+    return recommend(held_sets(orders, rules, group), plain, n, strategy, group)

@@ -105,6 +105,24 @@ def fpgrowth_pairs(spark, sf_dir):
     return basket.fpgrowth_pairs(sets_of(spark, sf_dir))
 
 
+def set_rules_from(sets: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise(basket.set_rules(sets, menu_of(spark, sf_dir)))
+
+
+@query("fpgrowth_rules")
+def fpgrowth_rules(spark, sf_dir):
+    rules = set_rules_from(sets_of(spark, sf_dir), spark, sf_dir)
+    return rules.withColumn("n_dishes", F.size("dishes")).drop("dishes")
+
+
+@query("recommend_sets")
+def recommend_sets(spark, sf_dir):
+    sets = sets_of(spark, sf_dir)
+    rules = set_rules_from(sets, spark, sf_dir)
+    picked = basket.for_all_visits(sets, lambda orders, group: basket.recommend_by_sets(orders, rules, group=group))
+    return picked.select("visit_id", "rank", "consequent_id", "antecedent_id", "expected_profit")
+
+
 @query("recommend_profit")
 def recommend_profit(spark, sf_dir):
     sets = sets_of(spark, sf_dir)

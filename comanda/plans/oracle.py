@@ -29,8 +29,8 @@ def rt(num: str, den: str) -> str:
 
 def _kind(name: str) -> str:
     """What an iteration or a later level reads again is computed once."""
-    once = ("zcells_v", "cov_v", "deflated_v", "cells_v", "split_v", "splits_v")
-    return " MATERIALIZED" if name in once or re.match(r"(tree|best|test)\d_v", name) else ""
+    once = ("set_rules_v", "zcells_v", "cov_v", "deflated_v", "cells_v", "split_v", "splits_v")
+    return " MATERIALIZED" if name in once or re.match(r"(tree|best|test|iso_l|iso_c)\d_v|iso_(rows|nodes)_v", name) else ""
 
 
 def with_views(sql: str) -> str:
@@ -146,6 +146,36 @@ view("dessert_pairs_v", VIEWS["pairs_v"].replace("a.type IN ('main','side')", "a
 view("dessert_rules_v", VIEWS["rules_v"].replace("pairs_v", "dessert_pairs_v"))
 select("dessert_rules", SELECTS["association_rules"].replace("rules_v", "dessert_rules_v"))
 select("fpgrowth_pairs", "SELECT antecedent_id, consequent_id, support, confidence, lift FROM rules_v")
+view(
+    "set_counts_v",
+    """SELECT a.item_id AS antecedent_id, 1 AS n_dishes, a.n_item AS n_a FROM support_v a WHERE a.type IN ('main','side')
+UNION ALL
+SELECT concat(x.item_id, '+', y.item_id), 2, count(*) FROM baskets_v x JOIN baskets_v y ON x.visit_id = y.visit_id AND x.item_id < y.item_id
+WHERE x.type IN ('main','side') AND y.type IN ('main','side') GROUP BY x.item_id, y.item_id""",
+)
+view(
+    "set_visits_v",
+    """SELECT visit_id, item_id AS antecedent_id FROM baskets_v WHERE type IN ('main','side')
+UNION ALL
+SELECT x.visit_id, concat(x.item_id, '+', y.item_id) FROM baskets_v x JOIN baskets_v y ON x.visit_id = y.visit_id AND x.item_id < y.item_id
+WHERE x.type IN ('main','side') AND y.type IN ('main','side')""",
+)
+view(
+    "set_rules_v",
+    f"""SELECT p.antecedent_id, p.consequent_id, a.n_dishes, {hu(rt('n_ab', 'b.n'), 4)} AS support, {hu(rt('n_ab', 'a.n_a'), 4)} AS confidence,
+  {hu(rt('n_ab * b.n', 'a.n_a * b.n_item'), 3)} AS lift, round(m.price * m.profit_margin, 1) AS unit_profit,
+  CAST({hu(rt('n_ab * (m.price * m.profit_margin)', 'a.n_a'), 1)} AS DECIMAL(12,1)) AS expected_profit
+FROM (SELECT s.antecedent_id, b.item_id AS consequent_id, count(*) AS n_ab FROM set_visits_v s JOIN baskets_v b ON b.visit_id = s.visit_id
+    WHERE b.type = 'drink' GROUP BY 1, 2) p
+JOIN set_counts_v a ON a.antecedent_id = p.antecedent_id JOIN support_v b ON b.item_id = p.consequent_id JOIN menu_b m ON m.item_id = p.consequent_id
+WHERE n_ab >= b.n * 0.01 AND n_ab >= a.n_a * 0.05""",
+)
+select(
+    "fpgrowth_rules",
+    """SELECT antecedent_id, consequent_id, support, confidence, lift, CAST(unit_profit AS DOUBLE) AS unit_profit,
+  CAST(expected_profit AS DOUBLE) AS expected_profit, CAST(n_dishes AS BIGINT) AS n_dishes FROM set_rules_v""",
+)
+view("set_hits_v", "SELECT s.visit_id, r.* FROM set_visits_v s JOIN set_rules_v r ON r.antecedent_id = s.antecedent_id")
 view(
     "hits_v",
     """SELECT o.visit_id, o.arrival_hour, r.* FROM baskets_v o JOIN rules_v r ON r.antecedent_id = o.item_id
@@ -162,6 +192,7 @@ def _recommend(score: str, extra: str) -> str:
 
 select("recommend_profit", _recommend("expected_profit", "CAST(expected_profit AS DOUBLE) AS expected_profit"))
 select("recommend_confidence", _recommend("confidence", "confidence"))
+select("recommend_sets", _recommend("expected_profit", "CAST(expected_profit AS DOUBLE) AS expected_profit").replace("hits_v", "set_hits_v"))
 select("recommend_raw", _recommend("expected_profit", "CAST(expected_profit AS DOUBLE) AS final_score"))
 
 

@@ -128,3 +128,84 @@ select(
     "negative_variance",
     "SELECT store_id, sku_id, variance_qty, CAST(waste_cost AS DOUBLE) AS waste_cost FROM variance_v WHERE variance_qty < 0",
 )
+
+# --- isolation forests per store, grown level by level --------------------------------------------------------------
+
+view(
+    "part_counts_v",
+    """SELECT *, variance_qty_raw AS variance_qty, CAST(variance_qty_raw AS DOUBLE) / NULLIF(CAST(qty_sold AS DOUBLE), 0) AS ratio FROM (
+  SELECT *, CAST(floor(CAST(returned_qty * (tag_no - 2) AS DOUBLE) / 4) AS BIGINT) AS variance_qty_raw FROM (
+    SELECT concat('ST', CAST(l_suppkey % 10 AS VARCHAR)) AS store_id, concat('P', CAST(l_partkey AS VARCHAR)) AS sku_id, type AS category, tag_no,
+      CAST(sum(l_quantity) FILTER (WHERE l_returnflag <> 'R') AS BIGINT) AS sold, CAST(coalesce(sum(l_quantity) FILTER (WHERE l_returnflag <> 'R'), 0) AS BIGINT) AS qty_sold,
+      CAST(coalesce(sum(l_quantity) FILTER (WHERE l_returnflag = 'R'), 0) AS BIGINT) AS returned_qty
+    FROM lineitem JOIN parts_b ON l_partkey = p_partkey GROUP BY 1, 2, 3, 4) s) t""",
+)
+view(
+    "iso_rows_v",
+    """SELECT store_id, sku_id, qty_sold, variance_qty, coalesce(ratio, 0) AS f0, coalesce(abs(ratio), 0) AS f1,
+  CAST(dense_rank() OVER (ORDER BY category) - 1 AS DOUBLE) AS f2, count(*) OVER (PARTITION BY store_id) AS n,
+  CAST('0x' || substr(md5(store_id || '|' || sku_id), 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(md5(store_id || '|' || sku_id), 9, 8) AS BIGINT) AS h2
+FROM part_counts_v""",
+)
+view(
+    "iso_l0_v",
+    """SELECT store_id, tree, 1 AS node, least(n, 256) AS m, f0, f1, f2 FROM (
+  SELECT *, row_number() OVER (PARTITION BY store_id, tree ORDER BY (h1 * (tree + 1) + h2) % 2147483647, store_id, sku_id) AS place
+  FROM iso_rows_v, (SELECT range AS tree FROM range(100)) WHERE n >= 60) t WHERE place <= 256""",
+)
+LEVELS = 8
+PATH = "CASE WHEN k <= 1 THEN 0 WHEN k = 2 THEN 1 ELSE 2 * (ln(k - 1.0::DOUBLE) + 0.5772156649015329::DOUBLE) - 2 * (k - 1.0::DOUBLE) / k END"
+HASH = "md5(store_id || '|' || CAST(tree AS VARCHAR) || '|' || CAST(node AS VARCHAR))"
+for level in range(LEVELS + 1):
+    view(
+        f"iso_c{level}_v",
+        f"""SELECT store_id, tree, node, feature, CASE feature WHEN 0 THEN a0 + u * (b0 - a0) WHEN 1 THEN a1 + u * (b1 - a1) WHEN 2 THEN a2 + u * (b2 - a2) ELSE 0 END AS threshold,
+  CASE WHEN feature < 0 THEN CAST({level}000000000 + round(1000000000 * ({PATH})) AS BIGINT) ELSE 0 END AS path
+FROM (SELECT *, CASE WHEN stop THEN -1 ELSE varying[1 + CAST('0x' || substr(h, 1, 8) AS BIGINT) % len(varying)] END AS feature,
+    CAST('0x' || substr(h, 9, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u
+  FROM (SELECT *, {HASH} AS h, {level} >= ceil(log2(greatest(m, 2))) OR k <= 1 OR len(varying) = 0 AS stop
+    FROM (SELECT *, list_concat(list_concat(CASE WHEN b0 > a0 THEN [0] ELSE [] END, CASE WHEN b1 > a1 THEN [1] ELSE [] END), CASE WHEN b2 > a2 THEN [2] ELSE [] END) AS varying
+      FROM (SELECT store_id, tree, node, max(m) AS m, count(*) AS k, min(f0) AS a0, max(f0) AS b0, min(f1) AS a1, max(f1) AS b1, min(f2) AS a2, max(f2) AS b2
+        FROM iso_l{level}_v GROUP BY 1, 2, 3) g) v) w) x""",
+    )
+    if level < LEVELS:
+        view(
+            f"iso_l{level + 1}_v",
+            f"""SELECT l.store_id, l.tree, 2 * l.node + CASE WHEN CASE feature WHEN 0 THEN f0 WHEN 1 THEN f1 ELSE f2 END > threshold THEN 1 ELSE 0 END AS node, m, f0, f1, f2
+FROM iso_l{level}_v l JOIN iso_c{level}_v c ON c.store_id = l.store_id AND c.tree = l.tree AND c.node = l.node WHERE feature >= 0""",
+        )
+view("iso_nodes_v", " UNION ALL ".join(f"SELECT * FROM iso_c{level}_v" for level in range(LEVELS + 1)))
+
+
+def _walk(nodes: str, same: str) -> str:
+    return f"""SELECT r.store_id, r.sku_id, f0, f1, f2, t.tree, t.node, t.feature, t.threshold, t.path FROM iso_rows_v r JOIN {nodes} t ON {same} t.node = 1
+UNION ALL
+SELECT w.store_id, w.sku_id, f0, f1, f2, t.tree, t.node, t.feature, t.threshold, t.path FROM {{}} w JOIN {nodes} t ON {same.replace('r.', 'w.')} t.tree = w.tree
+  AND t.node = 2 * w.node + CASE WHEN CASE w.feature WHEN 0 THEN f0 WHEN 1 THEN f1 ELSE f2 END > w.threshold THEN 1 ELSE 0 END WHERE w.feature >= 0"""
+
+
+view("iso_walk_v", _walk("iso_nodes_v", "t.store_id = r.store_id AND").format("iso_walk_v"))
+view(
+    "iso_scored_v",
+    f"""SELECT s.store_id, s.sku_id, {hu("-pow(2.0::DOUBLE, -(total / 1000000000.0::DOUBLE / 100.0::DOUBLE / (round(1000000000 * (" + PATH.replace('k', 'least(n, 256)') + ")) / 1000000000.0::DOUBLE)))", 9)} AS score
+FROM (SELECT store_id, sku_id, CAST(sum(path) AS DOUBLE) AS total FROM iso_walk_v WHERE feature < 0 GROUP BY 1, 2) s JOIN iso_rows_v r ON r.store_id = s.store_id AND r.sku_id = s.sku_id""",
+)
+select(
+    "isolation_by_store",
+    f"""SELECT r.store_id, r.sku_id, {hu('margin', 4)} AS anomaly_score, coalesce(margin < 0, false) AS anomaly_flag,
+  CASE WHEN margin < 0 THEN '高' WHEN qty_sold = 0 THEN '低' WHEN variance_qty > qty_sold * 0.15 OR variance_qty < qty_sold * -0.15 THEN '中' ELSE '低' END AS alert_level
+FROM iso_rows_v r LEFT JOIN (SELECT store_id, sku_id, score - quantile_cont(score, 0.05) OVER (PARTITION BY store_id) AS margin FROM iso_scored_v) s
+  ON s.store_id = r.store_id AND s.sku_id = r.sku_id""",
+)
+view(
+    "given_nodes_v",
+    """SELECT * FROM (VALUES (0, 1, 0, 0.1::DOUBLE, 0), (0, 2, 1, 0.05, 0), (0, 3, -1, 0.0, 1500000000), (0, 4, 2, 1.5, 0), (0, 5, -1, 0.0, 2250000000), (0, 8, -1, 0.0, 4125000000),
+  (0, 9, -1, 0.0, 3000000000), (1, 1, 2, 0.5, 0), (1, 2, -1, 0.0, 2000000000), (1, 3, 0, -0.2, 0), (1, 6, -1, 0.0, 2000000000), (1, 7, -1, 0.0, 3375000000), (2, 1, -1, 0.0, 1000000000))
+  AS t(tree, node, feature, threshold, path)""",
+)
+view("given_walk_v", _walk("given_nodes_v", "").format("given_walk_v"))
+select(
+    "isolation_score",
+    f"""SELECT store_id, sku_id, CAST(total AS BIGINT) AS path_sum, {hu("-pow(2.0::DOUBLE, -(CAST(total AS DOUBLE) / 1000000000.0::DOUBLE / 3.0::DOUBLE / 4.0::DOUBLE))", 9)} AS score
+FROM (SELECT store_id, sku_id, sum(path) AS total FROM given_walk_v WHERE feature < 0 GROUP BY 1, 2) t""",
+)

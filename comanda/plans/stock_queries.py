@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from comanda.functions.exprs import half_up
-from comanda.operators import anomaly, cost, demand, stocktake
+from comanda.operators import anomaly, cost, demand, forest, stocktake
 from comanda.params import ENGLISH_COST_BANDS
 from comanda.plans.queries import query
 from comanda.session import materialise
@@ -101,6 +101,35 @@ def isolation_forest(spark, sf_dir):
     return found.select(*ITEM, "anomaly_score", "anomaly_flag", "alert_level")
 
 
+def part_variance(spark, sf_dir):
+    return stocktake.variance_alerts(stocktake.usage_variance(binding.part_counts(spark, sf_dir)))
+
+
+# A forest of three small trees, for the part of the scores that does not grow: tree, node, feature, threshold, path in billionths.
+GIVEN_NODES = [
+    *[(0, 1, 0, 0.1, 0), (0, 2, 1, 0.05, 0), (0, 3, -1, 0.0, 1_500_000_000), (0, 4, 2, 1.5, 0), (0, 5, -1, 0.0, 2_250_000_000)],
+    *[(0, 8, -1, 0.0, 4_125_000_000), (0, 9, -1, 0.0, 3_000_000_000)],
+    *[(1, 1, 2, 0.5, 0), (1, 2, -1, 0.0, 2_000_000_000), (1, 3, 0, -0.2, 0), (1, 6, -1, 0.0, 2_000_000_000), (1, 7, -1, 0.0, 3_375_000_000)],
+    (2, 1, -1, 0.0, 1_000_000_000),
+]
+
+
+@query("isolation_score")
+def isolation_score(spark, sf_dir):
+    rows = materialise(anomaly.anomaly_features(part_variance(spark, sf_dir)).select(*ITEM, *anomaly.FEATURES))
+    stores = rows.select("store_id").distinct()
+    names = [c.split()[0] for c in forest.NODES.split(", ")]
+    given = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(names, node, strict=True)]) for node in GIVEN_NODES])
+    summed = forest.path_sums(rows, materialise(stores.select("store_id", F.inline(given))), ["store_id"])
+    return summed.select(*ITEM, "path_sum", half_up(-F.pow(F.lit(2.0), -(F.col("path_sum") / 1e9 / 3.0 / 4.0)), 9).alias("score"))
+
+
+@query("isolation_by_store")
+def isolation_by_store(spark, sf_dir):
+    found = forest.detect_anomalies_by(part_variance(spark, sf_dir))
+    return found.select(*ITEM, "anomaly_score", "anomaly_flag", "alert_level")
+
+
 @query("stockout_risk")
 def stockout_risk(spark, sf_dir):
     rows = with_cover(spark, sf_dir)

@@ -210,6 +210,30 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def part_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stock count per store and part, as `inventory`; lines are summed per store and part before parts are joined."""
+    lines = driver_table(spark, sf_dir, "lineitem")
+    returned = F.col("l_returnflag") == "R"
+    quantity = F.col("l_quantity").cast("bigint")
+    summed = lines.groupBy((F.col("l_suppkey") % 10).alias("store_no"), "l_partkey").agg(
+        F.sum(quantity).alias("opening_stock"), F.sum(F.when(~returned, quantity).otherwise(0)).alias("qty_sold"), F.sum(F.when(returned, quantity).otherwise(0)).alias("returned_qty")
+    )
+    variance = F.floor((F.col("returned_qty") * (F.col("tag_no") - 2)).cast("decimal(20,0)") / 4).cast("bigint")
+    theoretical = F.col("opening_stock") * 2 - F.col("qty_sold")
+    return summed.join(parts(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey")).select(
+        F.concat(F.lit("ST"), F.col("store_no").cast("string")).alias("store_id"),
+        _sku_id(F.col("p_partkey")).alias("sku_id"),
+        F.col("type").alias("category"),
+        "opening_stock",
+        F.col("opening_stock").alias("received_qty"),
+        "qty_sold",
+        theoretical.alias("theoretical_stock"),
+        (theoretical - variance).alias("closing_stock"),
+        variance.alias("variance_qty_raw"),
+        F.lit(1).cast(MONEY).alias("unit_cost"),
+    )
+
+
 def _sku_store(part_key: Column) -> Column:
     return F.concat(F.lit("ST"), (part_key % 10).cast("string"))
 

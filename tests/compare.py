@@ -10,6 +10,7 @@ import duckdb
 
 TYPES = {
     "bigint": {"BIGINT"},
+    "int": {"INTEGER"},
     "double": {"DOUBLE"},
     "string": {"VARCHAR"},
     "boolean": {"BOOLEAN"},

@@ -1,9 +1,11 @@
 """Baskets, rules and re-ranking against plain loops over small random data."""
 
+import itertools
 import random
 from collections import Counter
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -195,3 +197,51 @@ def test_rows_without_keys_are_left_out(spark):
     df = spark.createDataFrame([(1, "f0", "main"), (None, "f1", "main"), (2, None, "main")], "visit_id BIGINT, item_id STRING, type STRING")
     assert [tuple(r) for r in basket.build_baskets(df).collect()] == [(1, "f0")]
     assert basket.basket_sets(df, TYPES).count() == 1
+
+
+def sets_frame(spark, n=400, seed=3):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for v in range(n):
+        foods = sorted({f"f{int(x)}" for x in rng.zipf(1.5, int(rng.integers(0, 6))) if x < 9})
+        drinks = sorted({f"d{int(x)}" for x in rng.integers(0, 4, int(rng.integers(0, 3)))})
+        rows.append((v, foods, drinks))
+    return rows, spark.createDataFrame(rows, "visit_id BIGINT, foods ARRAY<STRING>, drinks ARRAY<STRING>")
+
+
+@pytest.mark.parametrize("most", [1, 2, 3])
+def test_rules_of_several_dishes(spark, most):
+    rows, sets = sets_frame(spark)
+    menu = spark.createDataFrame([(f"d{i}", Decimal(10 * i + 5), Decimal("0.5")) for i in range(4)], "item_id STRING, price DECIMAL(8,2), profit_margin DECIMAL(5,4)")
+    got = {(r["antecedent_id"], r["consequent_id"]): (r["support"], r["confidence"], r["lift"], r["expected_profit"]) for r in basket.set_rules(sets, menu, RuleThresholds("0.02", "0.1"), most).collect()}
+    want = {}
+    count = lambda *items: sum(set(items) <= set(f) | set(d) for _, f, d in rows)
+    for k in range(1, most + 1):
+        for dishes in itertools.combinations([f"f{i}" for i in range(1, 9)], k):
+            for d in ("d0", "d1", "d2", "d3"):
+                ab, a, b = count(*dishes, d), count(*dishes), count(d)
+                if ab >= 0.02 * len(rows) and ab >= 0.1 * a:
+                    want["+".join(dishes), d] = (ab / len(rows), ab / a, ab * len(rows) / (a * b), ab * (10 * int(d[1]) + 5) / 2 / a)
+    assert got.keys() == want.keys() and any("+" in a for a, _ in want) == (most > 1)
+    for k, (s, c, lift, profit) in want.items():
+        assert [float(x) for x in got[k]] == pytest.approx([s, c, lift, profit], abs=0.051) and abs(got[k][0] - s) < 6e-5 and abs(got[k][2] - lift) < 6e-4
+
+
+def test_orders_hold_sets(spark):
+    rows, _ = sets_frame(spark, 200, 5)
+    wanted = [["f1"], ["f1", "f2"], ["f1", "f2", "f3"], ["f3", "f4"], ["f1", "zz"], ["zz"]]
+    rules = spark.createDataFrame([("+".join(d), d) for d in wanted], "antecedent_id STRING, dishes ARRAY<STRING>")
+    orders = spark.createDataFrame([(v, f) for v, foods, _ in rows for f in [*foods, *foods[:1]]], "pattern BIGINT, antecedent_id STRING")
+    held = basket.held_sets(orders, rules)
+    got = sorted(tuple(r) for r in held.collect())
+    assert got == sorted((v, "+".join(d)) for v, foods, _ in rows for d in wanted if set(d) <= set(foods)) and any(k.count("+") == 2 for _, k in got)
+    plan = held._jdf.queryExecution().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_recommendations_by_sets(spark):
+    rules = [("f1", ["f1"], "d0", 5), ("f2", ["f2"], "d1", 9), ("f1+f2", ["f1", "f2"], "d0", 12), ("f1+f2", ["f1", "f2"], "d2", 9), ("f3", ["f3"], "d3", 1)]
+    table = spark.createDataFrame([(a, s, d, Decimal(p)) for a, s, d, p in rules], "antecedent_id STRING, dishes ARRAY<STRING>, consequent_id STRING, expected_profit DECIMAL(12,1)")
+    orders = spark.createDataFrame([("x", "f1"), ("x", "f2"), ("x", "f3"), ("y", "f1"), ("z", "f9")], "pattern STRING, antecedent_id STRING")
+    got = sorted((r["pattern"], r["rank"], r["consequent_id"], r["antecedent_id"]) for r in basket.recommend_by_sets(orders, table).collect())
+    assert got == [("x", 1, "d0", "f1+f2"), ("x", 2, "d1", "f2"), ("x", 3, "d2", "f1+f2"), ("y", 1, "d0", "f1")]

@@ -94,12 +94,3 @@ def test_interpolation(spark):
     got = [r[0] for r in df.select(exprs.linear_interp("x", list(points.items()))).collect()]
     assert got == pytest.approx(list(np.interp(levels, list(points), list(points.values()))))
     assert got[1] == 1.28 and got[6] == 2.05
-
-
-def test_hash_sample(spark):
-    df = spark.range(50_000).withColumnRenamed("id", "k")
-    first = {r["k"] for r in ordered.hash_sample(df, ["k"], 300).collect()}
-    again = {r["k"] for r in ordered.hash_sample(df.repartition(9), ["k"], 300).collect()}
-    whole = {r["k"] for r in df.orderBy(F.md5(F.col("k").cast("string")), "k").limit(300).collect()}
-    assert first == again == whole and len(first) == 300
-    assert ordered.hash_sample(df.limit(20), ["k"], 300).count() == 20
