@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -181,15 +181,16 @@ def open_orders(patterns: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return distinct.withColumn("antecedent_id", F.explode(F.split("pattern", SEPARATOR)))
 
 
-def for_all_visits(sets: DataFrame, recommend_orders, keys: Sequence[str] = ()) -> DataFrame:
+def for_all_visits(sets: DataFrame, recommend_orders, keys: Sequence[str] = (), keep: Callable[[DataFrame], DataFrame] = materialise) -> DataFrame:
     """Recommendations for every visit, worked out once per distinct order.
 
     What is recommended depends on the dishes (and `keys`) only, and a menu has far fewer combinations than there
     are visits, so the ranking runs over the distinct orders and its result is joined back. With few of them that
-    join is a broadcast; beyond the bound it is a shuffle join. `sets` is read twice: pass a materialised table.
+    join is a broadcast; beyond the bound it is a shuffle join. `sets` is read twice: pass a materialised table. `keep`
+    holds the recommendations per order: a written table, or for a stream's batch something that goes with the batch.
     """
     patterns = with_pattern(sets)
-    picked = materialise(recommend_orders(open_orders(patterns, keys), ("pattern", *keys)))
+    picked = keep(recommend_orders(open_orders(patterns, keys), ("pattern", *keys)))
     visits = patterns.select("visit_id", "pattern", *keys)
     return visits.join(broadcast_if_small(picked), ["pattern", *keys]).drop("pattern")
 

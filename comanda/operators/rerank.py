@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -20,6 +20,7 @@ from comanda.params import (
     WINES,
     HourFactors,
 )
+from comanda.session import materialise
 
 SCORE = "decimal(12,1)"
 
@@ -163,15 +164,17 @@ def recommend_with_rules(
     return diversify(best_per_drink(candidates, "final_score", group), n, "final_score", group)
 
 
-def recommend_visits(sets: DataFrame, scored_rules: DataFrame, n: int = 3, factors: HourFactors = HourFactors()) -> DataFrame:
+def recommend_visits(
+    sets: DataFrame, scored_rules: DataFrame, n: int = 3, factors: HourFactors = HourFactors(), keep: Callable[[DataFrame], DataFrame] = materialise
+) -> DataFrame:
     """Re-ranked recommendations for visits (visit_id, arrival_hour, foods), worked out per distinct order and
-    step of the evening."""
+    step of the evening. `keep` as in `for_all_visits`."""
     stepped = sets.withColumn("arrival_hour", hour_step(F.col("arrival_hour"), factors))
 
     def picked(orders: DataFrame, group: Sequence[str]) -> DataFrame:
         return recommend_with_rules(orders, scored_rules, n, group, factors)
 
-    return for_all_visits(stepped, picked, ["arrival_hour"]).drop("arrival_hour")
+    return for_all_visits(stepped, picked, ["arrival_hour"], keep).drop("arrival_hour")
 
 
 def recommend_without_rules(orders: DataFrame, rules: DataFrame, n: int = 3, group: Sequence[str] = ("pattern",)) -> DataFrame:

@@ -248,6 +248,26 @@ def recommend_stream_equiv(spark, sf_dir):
     )
 
 
+LINE_SCHEMA = "visit_id BIGINT, foods ARRAY<STRING>, arrival_hour BIGINT, ts TIMESTAMP"
+
+
+@query("open_orders_stream_equiv")
+def open_orders_stream_equiv(spark, sf_dir):
+    """Every dish as a line of its own, in files of any order; what a table has ordered so far is the stream's state."""
+    sets = basket_queries.sets_of(spark, sf_dir)
+    scored_rules = basket_queries.scored_from(basket_queries.rules_from(sets, spark, sf_dir), spark, sf_dir)
+    heads = binding.order_heads(spark, sf_dir).select("visit_id", "arrival_hour", "date")
+    dishes = sets.select("visit_id", F.posexplode("foods").alias("place", "dish")).join(heads, "visit_id")
+    minute = F.col("arrival_hour") * 60 + F.col("place")
+    lines = dishes.select("visit_id", F.array("dish").alias("foods"), "arrival_hour", (F.col("date").cast("timestamp") + F.make_dt_interval(mins=minute.cast("int"))).alias("ts"))
+    arriving, out = new_folder(spark, "lines"), new_folder(spark, "open-orders")
+    lines.repartition(4).write.parquet(arriving)
+    # the files of these tables come in no order of time, so no line counts as late
+    stream = jobs.order_stream(spark, arriving, LINE_SCHEMA, files_per_batch=2)
+    jobs.finish(jobs.start_open_orders(stream, scored_rules, out, new_folder(spark, "open-orders-state"), lateness="40000 days"))
+    return jobs.read_batches(spark, out).select("visit_id", "rank", "consequent_id", "antecedent_id", "category", "expected_profit", "final_score")
+
+
 @query("upsell_stream_equiv")
 def upsell_stream_equiv(spark, sf_dir):
     seated = new_folder(spark, "seated")

@@ -162,6 +162,7 @@ TIER = "CASE WHEN prob >= 0.6 THEN 'high' WHEN prob >= 0.4 THEN 'medium' ELSE 'l
 select("potential_tier", f"SELECT visit_id, {hu('prob', 6)} AS prob, {TIER} AS tier FROM prob_v")
 select("upsell_stream_equiv", f"SELECT visit_id, {hu('prob', 6)} AS prob, {TIER} AS tier FROM prob_v")
 select("recommend_stream_equiv", SELECTS["recommend_rules"])
+select("open_orders_stream_equiv", SELECTS["recommend_rules"])
 
 # the logistic regression by gradient descent over the counted cells
 view(

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from comanda.operators import rerank, upsell
 from comanda.params import HourFactors
@@ -43,11 +46,7 @@ def start_recommendations(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         foods = F.array_distinct(F.flatten(F.collect_list("foods"))).alias("foods")
-        batch = batch.groupBy("visit_id").agg(F.max("arrival_hour").alias("arrival_hour"), foods)
-        batch.persist()
-        picked = rerank.recommend_visits(batch, scored_rules, n, factors)
-        picked.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        batch.unpersist()
+        write_recommendations(batch.groupBy("visit_id").agg(F.max("arrival_hour").alias("arrival_hour"), foods), scored_rules, f"{out}/batch={batch_id}", n, factors)
 
     return (
         requests.writeStream.foreachBatch(write_batch)
@@ -57,6 +56,99 @@ def start_recommendations(
     )
 
 
+def write_recommendations(orders: DataFrame, scored_rules: DataFrame, path: str, n: int, factors: HourFactors) -> None:
+    """One batch's recommendations. What is read twice is persisted for the batch; no table is left behind."""
+    held = [orders.persist()]
+
+    def keep(df: DataFrame) -> DataFrame:
+        held.append(df.persist())
+        return df
+
+    try:
+        rerank.recommend_visits(orders, scored_rules, n, factors, keep).write.mode("overwrite").parquet(path)
+    finally:
+        for df in held:
+            df.unpersist()
+
+
+# --- open orders as state --------------------------------------------------------------------------------------------
+
+# How late a line may come, and how long after its last line a table's order is kept.
+LATENESS, OPEN_FOR = "30 minutes", 4 * 3600
+ORDER_STATE = "foods ARRAY<STRING>, arrival_hour BIGINT, first_ms BIGINT, last_ms BIGINT, version BIGINT"
+OPEN_ORDER = "visit_id BIGINT, arrival_hour BIGINT, foods ARRAY<STRING>, version BIGINT"
+
+
+class OpenOrder(StatefulProcessor):
+    """What a table has ordered so far, from lines (visit_id, foods, arrival_hour, ts) in any order and any number of times.
+
+    Dishes are united, and the hour is that of the earliest line, so neither late nor repeated lines change the
+    outcome. A changed order is handed on with a version that grows. `open_for` seconds after its latest line, by event
+    time, the order's state is dropped.
+    """
+
+    def __init__(self, open_for: int = OPEN_FOR) -> None:
+        self.open_for = open_for
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.order = handle.getValueState("order", ORDER_STATE)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        known = self.order.get()
+        foods, hour, first, last, version = (list(known[0]), *known[1:]) if known else ([], None, None, None, 0)
+        before = (sorted(foods), hour)
+        for part in rows:
+            for dishes, arrived, ts in zip(part["foods"], part["arrival_hour"], part["ts"], strict=True):
+                ms = int(pd.Timestamp(ts).timestamp() * 1000)
+                foods = sorted({*foods, *(dishes if dishes is not None else ())})
+                if first is None or (ms, arrived) < (first, hour):
+                    first, hour = ms, int(arrived)
+                last = ms if last is None else max(last, ms)
+        if (foods, hour) != before:
+            version += 1
+            yield pd.DataFrame({"visit_id": [key[0]], "arrival_hour": [hour], "foods": [foods], "version": [version]})
+        if known and (foods, hour, first, last, version) == (list(known[0]), *known[1:]):
+            return
+        self.order.update((foods, hour, first, last, version))
+        if known and known[3] != last:
+            self.handle.deleteTimer(known[3] + 1000 * self.open_for)
+        if not known or known[3] != last:
+            self.handle.registerTimer(last + 1000 * self.open_for)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.order.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def open_orders(lines: DataFrame, lateness: str = LATENESS, open_for: int = OPEN_FOR) -> DataFrame:
+    """visit_id, arrival_hour, foods, version of every order that changed, from a stream of lines with their time `ts`."""
+    spark = lines.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    timed = lines.filter("visit_id is not null and ts is not null").withWatermark("ts", lateness)
+    return timed.groupBy("visit_id").transformWithStateInPandas(OpenOrder(open_for), OPEN_ORDER, "Update", "EventTime")
+
+
+def start_open_orders(
+    lines: DataFrame, scored_rules: DataFrame, out: str, state: str, n: int = 3, factors: HourFactors = HourFactors(),
+    lateness: str = LATENESS, open_for: int = OPEN_FOR, trigger: dict | None = None,
+) -> StreamingQuery:
+    """Recommend drinks for all a table has ordered so far whenever a line (visit_id, foods, arrival_hour, ts) adds to it.
+
+    Lines may come late, up to `lateness` behind the newest one, and more than once. Each batch writes its own folder
+    and overwrites it when it is run again; `read_batches` reads the newest of each visit.
+    """
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        write_recommendations(batch.select("visit_id", "arrival_hour", "foods"), scored_rules, f"{out}/batch={batch_id}", n, factors)
+
+    changed = open_orders(lines, lateness, open_for)
+    return changed.writeStream.foreachBatch(write_batch).outputMode("update").option("checkpointLocation", state).trigger(**(trigger or ONCE)).start()
+
+
 def start_potential(
     seated: DataFrame, model: upsell.LogisticModel, out: str, state: str, trigger: dict | None = None
 ) -> StreamingQuery:

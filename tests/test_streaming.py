@@ -1,11 +1,14 @@
 """The streams give what the batch gives, over several files and batches, and again after a restart."""
 
+import os
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
 
 from comanda.operators import rerank, upsell
 from comanda.params import UPSELL_FEATURES
+from comanda.session import shared_folder
 from comanda.streaming import jobs
 
 RULES = "antecedent_id STRING, consequent_id STRING, expected_profit DECIMAL(12,1), pairing_score DECIMAL(12,1), category STRING, slow_wine BOOLEAN"
@@ -72,3 +75,50 @@ def test_potential(spark, tmp_path):
     want = upsell.score(seated, model).withColumn("tier", upsell.potential_tier("prob"))
     columns = ("visit_id", "prob", "pred", "tier")
     assert sorted(tuple(r[c] for c in columns) for r in spark.read.parquet(out).collect()) == sorted(tuple(r[c] for c in columns) for r in want.collect())
+
+
+LINES = "visit_id BIGINT, foods ARRAY<STRING>, arrival_hour BIGINT, ts TIMESTAMP"
+
+
+def at(minutes):
+    return datetime(2026, 7, 1, 18) + timedelta(minutes=minutes)
+
+
+def feed(spark, folder, rows):
+    spark.createDataFrame(rows, LINES).coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_open_orders_keep_state_over_batches(spark, rules, tmp_path):
+    folder, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    batches = [
+        [(1, ["f0"], 18, at(5)), (2, ["f1"], 18, at(0)), (None, ["f1"], 18, at(1)), (4, None, 18, at(1))],
+        [(1, ["f2"], 19, at(50)), (1, ["f2"], 19, at(50)), (2, ["f1"], 18, at(0)), (2, ["f1", "f1"], 18, at(0))],
+        # late, but within the bound: the hour is that of the earliest line
+        [(1, ["f3"], 17, at(25)), (3, [], 19, at(55))],
+    ]
+
+    def tables():
+        return len([p for p in os.listdir(shared_folder(spark)) if p.startswith("table-")])
+
+    before = tables()
+    for rows in batches:
+        feed(spark, folder, rows)
+        jobs.finish(jobs.start_open_orders(jobs.order_stream(spark, folder, LINES, files_per_batch=1), rules, out, state))
+    assert tables() == before
+    whole = spark.createDataFrame([(1, ["f0", "f2", "f3"], 18), (2, ["f1"], 18)], "visit_id BIGINT, foods ARRAY<STRING>, arrival_hour BIGINT")
+    assert key(jobs.read_batches(spark, out).collect()) == key(rerank.recommend_visits(whole, rules).collect())
+    # repeated lines change nothing, so nothing is written for visit 2 again
+    assert {r["batch"] for r in spark.read.parquet(out).filter("visit_id = 2").collect()} == {0}
+
+
+def test_open_orders_are_dropped_after_their_time(spark, rules, tmp_path):
+    folder, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+
+    def held():
+        rows = spark.read.format("statestore").option("path", state).option("stateVarName", "order").load().collect()
+        return sorted(r["key"]["visit_id"] for r in rows)
+
+    for rows, kept in [([(1, ["f0"], 18, at(0)), (2, ["f1"], 18, at(200))], [1, 2]), ([(3, ["f1"], 23, at(300))], [2, 3]), ([(1, ["f3"], 23, at(5))], [2, 3])]:
+        feed(spark, folder, rows)
+        jobs.finish(jobs.start_open_orders(jobs.order_stream(spark, folder, LINES, files_per_batch=1), rules, out, state))
+        assert held() == kept  # the last line is later than the bound and is left out
