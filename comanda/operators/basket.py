@@ -130,13 +130,24 @@ def association_rules(
     only. Pass written tables for `sets` (from `basket_sets`) and `menu`.
     """
     frequent = materialise(frequent_items(materialise(basket_counts(sets, keys)), thresholds.min_support, keys))
-    a = frequent.filter("side = 'a'").select(*keys, F.col("item").alias("a"), F.col("n").alias("n_a"), "n_all")
-    b = frequent.filter("side = 'b'").select(*keys, F.col("item").alias("b"), F.col("n").alias("n_b"))
+    a, b = _sides(frequent, keys)
     dishes = sets.select(*keys, F.explode("foods").alias("a"), "drinks")
     dishes = dishes.join(broadcast_if_small(a.select(*keys, "a")), [*keys, "a"], "left_semi")
     pairs = dishes.select(*keys, "a", F.explode("drinks").alias("b"))
     pairs = pairs.join(broadcast_if_small(b.select(*keys, "b")), [*keys, "b"], "left_semi")
     counts = pairs.groupBy(*keys, "a", "b").agg(F.count(F.lit(1)).alias("baskets"))
+    return rules_from_counts(counts, frequent, menu, thresholds, keys)
+
+
+def _sides(frequent: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    a = frequent.filter("side = 'a'").select(*keys, F.col("item").alias("a"), F.col("n").alias("n_a"), "n_all")
+    b = frequent.filter("side = 'b'").select(*keys, F.col("item").alias("b"), F.col("n").alias("n_b"))
+    return a, b
+
+
+def rules_from_counts(counts: DataFrame, frequent: DataFrame, menu: DataFrame, thresholds: RuleThresholds, keys: Sequence[str]) -> DataFrame:
+    """Rules above the thresholds from the baskets per pair (a, b) and per frequent item."""
+    a, b = _sides(frequent, keys)
     n = F.col("baskets")
     metrics = (
         counts.join(broadcast_if_small(a), [*keys, "a"])
@@ -169,6 +180,52 @@ def association_rules(
     )
 
 
+# Items of a visit in one row; a larger basket is cut into blocks.
+BLOCK_ITEMS = 256
+
+
+def item_counts(lines: DataFrame, types: MenuTypes, keys: Sequence[str] = ()) -> DataFrame:
+    """The counts of `basket_counts` from distinct (visit, item, type) lines, without a row per visit."""
+    side = F.when(F.col("type").isin(*types.foods), "a").when(F.col("type") == types.drinks, "b")
+    items = lines.select(*keys, side.alias("side"), F.col("item_id").alias("item")).filter("side is not null").groupBy(*keys, "side", "item").agg(F.count(F.lit(1)).alias("n"))
+    visits = lines.select(*keys, "visit_id").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return items.unionByName(visits.select(*keys, _nothing().alias("side"), _nothing().alias("item"), "n"))
+
+
+def blocks(lines: DataFrame, column: str, keys: Sequence[str], block: int) -> DataFrame:
+    """keys, visit_id, and the items of a visit in arrays of about `block`, by a hash of the item."""
+    sizes = lines.groupBy(*keys, "visit_id").agg(F.ceil(F.count(F.lit(1)) / block).alias("_blocks"))
+    # small baskets have one block, so only the large ones are looked up
+    large = sizes.filter("_blocks > 1")
+    dealt = lines.join(large, [*keys, "visit_id"], "left").withColumn("_block", F.pmod(F.xxhash64("item"), F.coalesce("_blocks", F.lit(1))))
+    return dealt.groupBy(*keys, "visit_id", "_block").agg(F.collect_list("item").alias(column)).drop("_block")
+
+
+def association_rules_by_blocks(
+    items: DataFrame, menu: DataFrame, types: MenuTypes, thresholds: RuleThresholds = RuleThresholds(), keys: Sequence[str] = (), block: int = BLOCK_ITEMS
+) -> DataFrame:
+    """The rules of `association_rules` from order lines, for baskets of any size.
+
+    No row holds a whole visit: lines become distinct (visit, item) rows, infrequent items leave, and what is left of a
+    visit's dishes and drinks is cut into blocks of about `block` items, of which every pair meets by the visit. Each
+    (visit, dish, drink) is counted once.
+    """
+    known = F.col("visit_id").isNotNull() & F.col("item_id").isNotNull()
+    lines = materialise(items.filter(known).select(*keys, "visit_id", "item_id", "type").distinct())
+    frequent = materialise(frequent_items(materialise(item_counts(lines, types, keys)), thresholds.min_support, keys))
+
+    def left(side: str, column: str) -> DataFrame:
+        wanted = frequent.filter(F.col("side") == side).select(*keys, F.col("item").alias("item_id"))
+        of_side = F.col("type").isin(*types.foods) if side == "a" else F.col("type") == types.drinks
+        kept = lines.filter(of_side).join(broadcast_if_small(wanted), [*keys, "item_id"], "left_semi")
+        return blocks(kept.select(*keys, "visit_id", F.col("item_id").alias("item")), column, keys, block)
+
+    both = left("a", "_as").join(left("b", "_bs"), [*keys, "visit_id"])
+    pairs = both.select(*keys, F.explode("_as").alias("a"), "_bs").select(*keys, "a", F.explode("_bs").alias("b"))
+    counts = pairs.groupBy(*keys, "a", "b").agg(F.count(F.lit(1)).alias("baskets"))
+    return rules_from_counts(counts, frequent, menu, thresholds, keys)
+
+
 def with_pattern(sets: DataFrame) -> DataFrame:
     """What was ordered, as one text, for the visits that ordered a dish."""
     ordered = sets.filter(F.size("foods") > 0)

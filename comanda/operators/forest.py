@@ -48,8 +48,8 @@ def store_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return materialise(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
 
 
-def store_samples(df: DataFrame, sizes: DataFrame, keys: Sequence[str], ids: Sequence[str], features: Sequence[str], trees: int, rows: int) -> DataFrame:
-    """`rows` rows for each tree of each store, those of the lowest draws, ties by the ids.
+def store_samples(df: DataFrame, sizes: DataFrame, keys: Sequence[str], ids: Sequence[str], features: Sequence[str], trees: int, rows: int, place: str = "") -> DataFrame:
+    """`rows` rows for each tree of each store, those of the lowest draws, ties by the ids; numbered from 1 in `place`, if named.
 
     Only draws low enough for about twice as many rows are sorted, so a window of a tree sees no more than that.
     """
@@ -61,8 +61,8 @@ def store_samples(df: DataFrame, sizes: DataFrame, keys: Sequence[str], ids: Seq
     )
     each = hashed.select(*{*keys, *ids, *features}, F.explode(F.filter(draws, lambda d: d["draw"] <= share * DRAWS)).alias("_d"))
     each = each.select(*keys, *ids_beside(ids, keys), *features, "_d.tree", "_d.draw")
-    place = F.row_number().over(W.partitionBy(*keys, "tree").orderBy("draw", *ids))
-    return each.withColumn("_place", place).filter(F.col("_place") <= rows).select(*keys, "tree", *features)
+    numbered = each.withColumn(place or "_place", F.row_number().over(W.partitionBy(*keys, "tree").orderBy("draw", *ids)))
+    return numbered.filter(F.col(place or "_place") <= rows).select(*keys, "tree", *features, *([place] if place else []))
 
 
 def ids_beside(ids: Sequence[str], keys: Sequence[str]) -> list[str]:

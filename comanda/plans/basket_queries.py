@@ -93,6 +93,11 @@ def association_rules(spark, sf_dir):
     return basket.association_rules(sets_of(spark, sf_dir), menu_of(spark, sf_dir))
 
 
+@query("association_rules_blocks")
+def association_rules_blocks(spark, sf_dir):
+    return basket.association_rules_by_blocks(binding.order_lines(spark, sf_dir), menu_of(spark, sf_dir), TYPES)
+
+
 @query("dessert_rules")
 def dessert_rules(spark, sf_dir):
     types = replace(TYPES, antecedents=(TYPES.desserts,))

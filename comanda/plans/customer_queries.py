@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from comanda.functions.exprs import half_up
-from comanda.operators import segment, upsell
+from comanda.operators import by_store, segment, upsell
 from comanda.params import UPSELL_FEATURES
 from comanda.plans import basket_queries
 from comanda.plans.queries import query
@@ -81,6 +81,18 @@ def kmeans_segments(spark, sf_dir):
     return segment.assign(rows, best.centres).select("customer_id", "cluster")
 
 
+def store_of(customer):
+    """The store a customer counts for, as these tables have no home store."""
+    return F.concat(F.lit("ST"), (customer % 5).cast("string"))
+
+
+@query("kmeans_by_store")
+def kmeans_by_store(spark, sf_dir):
+    rows = materialise(customers(spark, sf_dir).withColumn("store_id", store_of(F.col("customer_id"))))
+    found = by_store.kmeans_by(materialise(by_store.standardise_by(rows, ["store_id"])), 3, max_iter=12)
+    return found.select("store_id", "customer_id", "cluster", half_up("sq_distance", 6).alias("sq_distance"))
+
+
 @query("kmeans_assign")
 def kmeans_assign(spark, sf_dir):
     return assigned(spark, sf_dir).select("customer_id", "cluster", half_up("sq_distance", 6).alias("sq_distance"))
@@ -168,6 +180,13 @@ def upsell_fit(spark, sf_dir):
     )
 
 
+@query("upsell_fit_by_store")
+def upsell_fit_by_store(spark, sf_dir):
+    train, _ = train_and_test(spark, sf_dir)
+    rows = train.withColumn("store_id", store_of(F.split("visit_id", "[|]")[0].cast("bigint")))
+    return by_store.fit_logistic_by(rows).withColumn("coefficient", half_up("coefficient", 4))
+
+
 @query("upsell_score")
 def upsell_score(spark, sf_dir):
     return scored(spark, sf_dir).select("visit_id", half_up("prob", 6).alias("prob"), "pred")
@@ -199,6 +218,48 @@ def roc_curve(spark, sf_dir):
     return upsell.roc_curve(scored(spark, sf_dir))
 
 
+def tested(spark, sf_dir):
+    """The visits of the test set, scored by the model fitted on the others."""
+    train, test = train_and_test(spark, sf_dir)
+    return materialise(upsell.score(test, upsell.fit_logistic(train)).select("label", "prob", "pred"))
+
+
+def tested_tree(spark, sf_dir):
+    train, test = train_and_test(spark, sf_dir)
+    by_tree = upsell.score_tree(test, upsell.fit_tree(train))
+    return materialise(by_tree.select("label", "prob", (F.col("prob") >= 0.5).cast("bigint").alias("pred")))
+
+
+@query("confusion_matrix_test")
+def confusion_matrix_test(spark, sf_dir):
+    return upsell.confusion_matrix(tested(spark, sf_dir))
+
+
+@query("class_report_test")
+def class_report_test(spark, sf_dir):
+    return upsell.class_report(tested(spark, sf_dir))
+
+
+@query("auc_test")
+def auc_test(spark, sf_dir):
+    return upsell.auc(tested(spark, sf_dir))
+
+
+@query("roc_curve_test")
+def roc_curve_test(spark, sf_dir):
+    return upsell.roc_curve(tested(spark, sf_dir)).drop("threshold")
+
+
+@query("confusion_matrix_tree")
+def confusion_matrix_tree(spark, sf_dir):
+    return upsell.confusion_matrix(tested_tree(spark, sf_dir))
+
+
+@query("class_report_tree")
+def class_report_tree(spark, sf_dir):
+    return upsell.class_report(tested_tree(spark, sf_dir))
+
+
 @query("upsell_tree")
 def upsell_tree(spark, sf_dir):
     train, _ = train_and_test(spark, sf_dir)

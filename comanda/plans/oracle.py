@@ -30,7 +30,7 @@ def rt(num: str, den: str) -> str:
 def _kind(name: str) -> str:
     """What an iteration or a later level reads again is computed once."""
     once = ("set_rules_v", "zcells_v", "cov_v", "deflated_v", "cells_v", "split_v", "splits_v")
-    return " MATERIALIZED" if name in once or re.match(r"(tree|best|test|iso_l|iso_c)\d_v|iso_(rows|nodes)_v", name) else ""
+    return " MATERIALIZED" if name in once or re.match(r"(tree|best|test|iso_l|iso_c)\d_v|iso_(rows|nodes)_v|centres\d+_v|store_(points|zcells|near)_v", name) else ""
 
 
 def with_views(sql: str) -> str:
@@ -142,6 +142,7 @@ select(
     """SELECT antecedent_id AS antecedent, antecedent_id, consequent_id AS consequent, consequent_id, support, confidence, lift,
   CAST(unit_profit AS DOUBLE) AS unit_profit, CAST(expected_profit AS DOUBLE) AS expected_profit FROM rules_v""",
 )
+select("association_rules_blocks", SELECTS["association_rules"])
 view("dessert_pairs_v", VIEWS["pairs_v"].replace("a.type IN ('main','side')", "a.type = 'dessert'"))
 view("dessert_rules_v", VIEWS["rules_v"].replace("pairs_v", "dessert_pairs_v"))
 select("dessert_rules", SELECTS["association_rules"].replace("rules_v", "dessert_rules_v"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from comanda.operators.segment import FEATURES
 from comanda.params import UPSELL_FEATURES
 from comanda.plans.customer_queries import CENTRES, GIVEN_MODEL
-from comanda.plans.oracle import SELECTS, hu, rt, select, view
+from comanda.plans.oracle import SELECTS, VIEWS, hu, rt, select, view
 
 view(
     "per_customer_v",
@@ -266,6 +266,89 @@ select(
 FROM ({_auc_of(_BY_LOGISTIC)}) a, ({_auc_of(_BY_TREE)}) b""",
 )
 
+# --- both models on the visits of the test set -------------------------------------------------------------------
+
+_PRED = "CASE WHEN prob >= 0.5 THEN 1 ELSE 0 END AS pred"
+view(
+    "tested_v",
+    f"""SELECT label, {hu('prob', 9)} AS threshold, {_PRED} FROM (SELECT label, 1 / (1 + exp(-(b0 + {_LINE}))) AS prob
+FROM test0_v, (SELECT * FROM descent_v WHERE step = 1500) d, (SELECT {_SCALES} FROM cells_v) m) t""",
+)
+view("tested_tree_v", f"SELECT label, {_PRED} FROM test4_v t JOIN leaves_v l ON l.node = t.node")
+for _name, _rows in (("test", "tested_v"), ("tree", "tested_tree_v")):
+    view(f"class_{_name}_v", VIEWS["per_class_v"].replace("prob_v", _rows))
+    select(f"confusion_matrix_{_name}", SELECTS["confusion_matrix"].replace("prob_v", _rows))
+    select(f"class_report_{_name}", SELECTS["class_report"].replace("per_class_v", f"class_{_name}_v"))
+select("auc_test", SELECTS["auc"].replace("prob_v", "tested_v"))
+select("roc_curve_test", SELECTS["roc_curve"].replace("SELECT threshold, CAST", "SELECT CAST", 1).replace("prob_v", "tested_v"))
+
+# --- models per store --------------------------------------------------------------------------------------------
+
+view(
+    "store_cells_v",
+    f"""SELECT concat('ST', CAST(CAST(split_part(visit_id, '|', 1) AS BIGINT) % 5 AS VARCHAR)) AS store_id, {_F}, label, CAST(count(*) AS DOUBLE) AS weight
+FROM split_v WHERE is_test = 0 GROUP BY 1, {_F}, label""",
+)
+_ZS = ", ".join(f"CASE WHEN q_{c} - m_{c} * m_{c} > 1e-12 THEN ({c} - m_{c}) / sqrt(q_{c} - m_{c} * m_{c}) ELSE 0 END AS z{i + 1}" for i, c in enumerate(UPSELL_FEATURES))
+view(
+    "store_zcells_v",
+    f"""SELECT c.store_id, CAST(label AS DOUBLE) AS y, weight / n AS w, 1 / n AS penalty, {_ZS} FROM store_cells_v c
+JOIN (SELECT store_id, sum(weight) AS n, min(label) AS a, max(label) AS b, {_MEANS} FROM store_cells_v GROUP BY store_id) s ON s.store_id = c.store_id WHERE a < b""",
+)
+view(
+    "store_descent_v",
+    f"""SELECT DISTINCT store_id, 0 AS step, CAST(0 AS DOUBLE) AS b0, {', '.join(f'CAST(0 AS DOUBLE) AS b{i}' for i in _N)} FROM store_zcells_v
+UNION ALL
+SELECT store_id, step + 1, b0 - 1.2 * sum(w * (p - y)), {', '.join(f'b{i} - 1.2 * (sum(w * (p - y) * z{i}) + max(penalty) * b{i})' for i in _N)}
+FROM (SELECT d.*, z.* EXCLUDE (store_id), 1 / (1 + exp(-(b0 + {' + '.join(f'b{i} * z{i}' for i in _N)}))) AS p FROM store_descent_v d JOIN store_zcells_v z ON z.store_id = d.store_id WHERE step < 1500) t
+GROUP BY store_id, step, b0, {_B}""",
+)
+select(
+    "upsell_fit_by_store",
+    f"""SELECT store_id, feature, {hu('coefficient', 4)} AS coefficient FROM (SELECT store_id, unnest(["""
+    + ", ".join(f"'{c}'" for c in ("intercept", *UPSELL_FEATURES))
+    + f"]) AS feature, unnest([b0, {_B}]) AS coefficient FROM store_descent_v WHERE step = 1500) t",
+)
+_ZI = [f"z{i}" for i in range(len(FEATURES))]
+_STATS = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in FEATURES)
+view(
+    "store_points_v",
+    f"""SELECT c.store_id, customer_id, {', '.join(f'CAST(round(({c} - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1 END * 1000000, 0) AS BIGINT) AS z{i}' for i, c in enumerate(FEATURES))}
+FROM (SELECT *, concat('ST', CAST(customer_id % 5 AS VARCHAR)) AS store_id FROM customers_v) c
+JOIN (SELECT concat('ST', CAST(customer_id % 5 AS VARCHAR)) AS store_id, {_STATS} FROM customers_v GROUP BY 1) s ON s.store_id = c.store_id""",
+)
+view(
+    "centres0_v",
+    f"""SELECT store_id, start, place - 1 AS cluster, {', '.join(f'CAST({z} AS DOUBLE) AS c{i}' for i, z in enumerate(_ZI))} FROM (
+  SELECT *, row_number() OVER (PARTITION BY store_id, start ORDER BY (h1 * (start + 1) + h2) % 2147483647, store_id, customer_id) AS place FROM (
+    SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2
+    FROM (SELECT *, md5(store_id || '|' || CAST(customer_id AS VARCHAR)) AS h FROM store_points_v) a) b, (SELECT range AS start FROM range(5)) r) t WHERE place <= 3""",
+)
+_D = " + ".join(f"(z{i} - c{i}) * (z{i} - c{i})" for i in range(len(FEATURES)))
+
+
+def _near(centres: str) -> str:
+    return f"""SELECT * FROM (SELECT p.*, start, cluster, {_D} AS d, row_number() OVER (PARTITION BY p.store_id, start, customer_id ORDER BY {_D}, cluster) AS k
+    FROM store_points_v p JOIN {centres} c ON c.store_id = p.store_id) n WHERE k = 1"""
+
+
+for _step in range(12):
+    view(
+        f"centres{_step + 1}_v",
+        f"""SELECT o.store_id, o.start, o.cluster, {', '.join(f'coalesce(n{i}, c{i}) AS c{i}' for i in range(len(FEATURES)))} FROM centres{_step}_v o LEFT JOIN (
+  SELECT store_id, start, cluster, {', '.join(f'CAST(sum(z{i}) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS n{i}' for i in range(len(FEATURES)))} FROM ({_near(f'centres{_step}_v')}) a
+  GROUP BY 1, 2, 3) m ON m.store_id = o.store_id AND m.start = o.start AND m.cluster = o.cluster""",
+    )
+view("store_near_v", _near("centres12_v"))
+select(
+    "kmeans_by_store",
+    f"""SELECT a.store_id, customer_id, number AS cluster, {hu('d / 1000000000000.0::DOUBLE', 6)} AS sq_distance FROM store_near_v a
+JOIN (SELECT store_id, start FROM (SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY cost, start) AS k
+    FROM (SELECT store_id, start, {hu('sum(d) / 1000000000000.0::DOUBLE', 6)} AS cost FROM store_near_v GROUP BY 1, 2) c) t WHERE k = 1) b ON b.store_id = a.store_id AND b.start = a.start
+JOIN (SELECT store_id, start, cluster, row_number() OVER (PARTITION BY store_id, start ORDER BY {', '.join(f'c{i}' for i in range(len(FEATURES)))}, cluster) - 1 AS number
+    FROM centres12_v) n ON n.store_id = a.store_id AND n.start = a.start AND n.cluster = a.cluster""",
+)
+
 # --- principal components by power iteration ---------------------------------------------------------------------
 
 _K = range(len(FEATURES))

@@ -245,3 +245,29 @@ def test_recommendations_by_sets(spark):
     orders = spark.createDataFrame([("x", "f1"), ("x", "f2"), ("x", "f3"), ("y", "f1"), ("z", "f9")], "pattern STRING, antecedent_id STRING")
     got = sorted((r["pattern"], r["rank"], r["consequent_id"], r["antecedent_id"]) for r in basket.recommend_by_sets(orders, table).collect())
     assert got == [("x", 1, "d0", "f1+f2"), ("x", 2, "d1", "f2"), ("x", 3, "d2", "f1+f2"), ("y", 1, "d0", "f1")]
+
+
+@pytest.mark.parametrize("block", [1, 3, 256])
+def test_rules_by_blocks_are_the_rules(spark, block):
+    rng = np.random.default_rng(7)
+    kinds = {f"f{i}": "main" for i in range(12)} | {f"w{i}": "drink" for i in range(7)} | {"s0": "dessert"}
+    names = sorted(kinds)
+    lines = [(f"T{v % 2}", v, names[int(x)], kinds[names[int(x)]]) for v in range(150) for x in rng.integers(0, len(names), int(rng.integers(0, 25)))]
+    lines += [("T0", None, "f1", "main"), ("T0", 7, None, "main")]
+    items = spark.createDataFrame(lines, "store_id STRING, visit_id BIGINT, item_id STRING, type STRING").repartition(4)
+    menu = spark.createDataFrame([(n, n, Decimal(9), Decimal("0.5")) for n in names], "item_id STRING, item_name STRING, price DECIMAL(8,2), profit_margin DECIMAL(5,4)")
+    for keys in ([], ["store_id"]):
+        plain = basket.association_rules(basket.basket_sets(items, TYPES, keys), menu, RuleThresholds("0.05", "0.1"), keys)
+        blocked = basket.association_rules_by_blocks(items, menu, TYPES, RuleThresholds("0.05", "0.1"), keys, block)
+        assert sorted(map(tuple, blocked.collect())) == sorted(map(tuple, plain.collect())) and plain.count() > 20
+
+
+def test_a_visit_of_a_million_items(spark):
+    large = spark.range(1_000_000).select(F.lit(0).cast("bigint").alias("visit_id"), F.concat(F.lit("i"), "id").alias("item_id"), F.when(F.col("id") % 2 == 0, "main").otherwise("drink").alias("type"))
+    small = spark.createDataFrame([(v, i, t) for v in range(1, 60) for i, t in (("i0", "main"), ("i1", "drink"), ("i2", "main"))], "visit_id BIGINT, item_id STRING, type STRING")
+    items = large.unionByName(small)
+    menu = spark.createDataFrame([("i0", "x", Decimal(9), Decimal("0.5")), ("i1", "y", Decimal(9), Decimal("0.5")), ("i2", "z", Decimal(9), Decimal("0.5"))], "item_id STRING, item_name STRING, price DECIMAL(8,2), profit_margin DECIMAL(5,4)")
+    got = basket.association_rules_by_blocks(items, menu, TYPES, RuleThresholds("0.05", "0.1")).collect()
+    assert sorted((r["antecedent_id"], r["consequent_id"], r["support"]) for r in got) == [("i0", "i1", 1.0), ("i2", "i1", 1.0)]
+    held = basket.blocks(large.withColumn("item", F.col("item_id")), "held", [], 256).select(F.size("held").alias("n"))
+    assert held.agg(F.max("n"), F.sum("n")).first()[:] <= (400, 1_000_000)
