@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -22,6 +23,7 @@ from comanda.params import (
     ProfitPolicy,
     StockPolicy,
 )
+from comanda.session import broadcast_if_small, materialise
 
 URGENT, LOW, ENOUGH = "urgent", "low", "enough"
 # The report's words for the three states.
@@ -115,6 +117,37 @@ def service_z(level: Column) -> Column:
     return linear_interp(level, list(SERVICE_LEVEL_Z.items()))
 
 
+def level_ranges(points: DataFrame, keys: Sequence[str] = ("store_id",)) -> DataFrame:
+    """keys, lo, hi, z_lo, z_hi: the stretches between the break points (keys, level, z) of a store, and those beyond its ends.
+
+    A stretch holds its lower end; the first has no lower end, the last no upper one, and z stays the same on both.
+    """
+    per_store = W.partitionBy(*keys).orderBy("level")
+    after, z_after = F.lead("level").over(per_store), F.lead("z").over(per_store)
+    from_here = points.select(*keys, F.col("level").alias("lo"), after.alias("hi"), F.col("z").alias("z_lo"), F.coalesce(z_after, "z").alias("z_hi"))
+    first = points.groupBy(*keys).agg(F.min(F.struct("level", "z")).alias("_first"))
+    nothing = F.lit(None).cast("double")
+    before = first.select(*keys, nothing.alias("lo"), F.col("_first.level").alias("hi"), F.col("_first.z").alias("z_lo"), F.col("_first.z").alias("z_hi"))
+    return from_here.unionByName(before)
+
+
+def service_z_by(df: DataFrame, points: DataFrame, level: str = "service_level", keys: Sequence[str] = ("store_id",)) -> DataFrame:
+    """Add `z`, the safety factor of a row's service level by its store's table of break points (keys, level, z).
+
+    A range join within the store: the row meets the one stretch that holds its level. Linear between the break points,
+    flat beyond them; null for a null level or a store without a table. The tables are small and broadcast when they
+    are found to be; a store's rows are never gathered.
+    """
+    ranges = broadcast_if_small(materialise(level_ranges(points, keys)))
+    x = F.col(level).cast("double")
+    inside = (F.col("lo").isNull() | (x >= F.col("lo"))) & (F.col("hi").isNull() | (x < F.col("hi")))
+    same = [F.col(f"_rows.{k}") == F.col(f"_ranges.{k}") for k in keys]
+    joined = df.alias("_rows").join(ranges.alias("_ranges"), reduce(lambda a, b: a & b, same) & inside, "left")
+    share = (x - F.col("lo")) / (F.col("hi") - F.col("lo"))
+    z = F.when(F.col("lo").isNull() | F.col("hi").isNull(), F.col("z_lo")).otherwise(F.col("z_lo") + share * (F.col("z_hi") - F.col("z_lo")))
+    return joined.select("_rows.*", F.when(x.isNotNull(), z).alias("z"))
+
+
 def safety_stock(std: Column, lead_time: Column, z: Column) -> Column:
     return z * std * F.sqrt(lead_time.cast("double"))
 

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from comanda.functions.exprs import half_up, mean, ratio
 from comanda.params import MAX_SEGMENTS, MIN_VISITS
+from comanda.session import materialise
 
 FEATURES = ("visits", "avg_spend", "avg_drink_ratio", "avg_duration", "avg_hour")
 
@@ -163,6 +165,55 @@ def assign(scaled: DataFrame, centres: Sequence[Sequence[float]], features: Sequ
     )
 
 
+def silhouette(assigned: DataFrame, ids: Sequence[str] = ("customer_id",), features: Sequence[str] = FEATURES, per_cluster: int = 2000) -> DataFrame:
+    """One row: n_rows, n_sampled, silhouette on plain distances, error_bound.
+
+    Up to `per_cluster` rows of each cluster are drawn by a hash of their ids; a cluster with no more rows takes part
+    whole, and if all do, the result is exact and the bound 0. Drawn rows are compared with the drawn rows of every
+    cluster, a block per cluster, so the work is bounded by (clusters x per_cluster) squared distances. Clusters weigh by
+    their true sizes. The bound holds with 95%: Hoeffding's for the means of the drawn rows' values, which lie in -1 to 1,
+    plus twice the standard errors of their mean distances, relative to the larger one. `assigned` is a written table.
+    """
+    sizes = materialise(assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("_n")))
+    hashed = assigned.join(F.broadcast(sizes), "cluster").withColumn("_hash", F.md5(F.concat_ws("|", *ids)))
+    # only hashes low enough for about twice as many rows are sorted
+    share = F.least(F.lit(1.0), F.lit(2.0 * (per_cluster + 100)) / F.col("_n"))
+    low = F.conv(F.substring("_hash", 1, 8), 16, 10).cast("bigint") <= share * F.lit(2.0**32)
+    place = F.row_number().over(W.partitionBy("cluster").orderBy("_hash", *ids))
+    point = F.array(*[F.col(f"z_{c}") for c in features])
+    drawn = hashed.filter(low).withColumn("_place", place).filter(F.col("_place") <= per_cluster).select("cluster", "_n", point.alias("_point"))
+    drawn = materialise(drawn)
+    blocks = drawn.groupBy("cluster").agg(F.collect_list("_point").alias("_members")).withColumnRenamed("cluster", "_other")
+    others = F.array([F.lit(r["cluster"]) for r in sizes.select("cluster").collect()])
+    asked = drawn.repartition(len(features) * 8).withColumn("_uid", F.monotonically_increasing_id()).withColumn("_other", F.explode(others))
+
+    def distance(m: Column) -> Column:
+        return F.sqrt(reduce(lambda a, b: a + b, [(F.col("_point")[i] - m[i]) * (F.col("_point")[i] - m[i]) for i in range(len(features))]))
+
+    far = F.transform("_members", distance)
+    total = F.aggregate(far, F.lit(0.0), lambda a, d: a + d)
+    squares = F.aggregate(far, F.lit(0.0), lambda a, d: a + d * d)
+    met = asked.join(F.broadcast(blocks), "_other").select("_uid", "cluster", "_n", "_other", F.size("_members").alias("_m"), total.alias("_t"), squares.alias("_q"))
+    own = F.col("cluster") == F.col("_other")
+    seen = F.col("_m") - own.cast("int")
+    mean = F.try_divide("_t", seen)
+    error = F.sqrt(F.greatest(F.try_divide("_q", seen) - mean * mean, F.lit(0.0)) / seen)
+    met = met.select("_uid", "cluster", "_n", own.alias("_own"), mean.alias("_mean"), error.alias("_error"))
+    per_row = met.groupBy("_uid", "cluster", "_n").agg(
+        F.max(F.when(F.col("_own"), F.struct("_mean", "_error"))).alias("a"), F.min(F.when(~F.col("_own"), F.struct("_mean", "_error"))).alias("b")
+    )
+    a, b = F.col("a._mean"), F.col("b._mean")
+    top = F.greatest(a, b)
+    value = F.when((F.col("_n") > 1) & b.isNotNull() & (top > 0), (b - a) / top).otherwise(F.lit(0.0))
+    slack = F.when(top > 0, 2 * (F.col("a._error") + F.col("b._error")) / top).otherwise(F.lit(0.0))
+    each = per_row.groupBy("cluster", "_n").agg(F.count(F.lit(1)).alias("_m"), F.avg(value).alias("_value"), F.avg(slack).alias("_slack"))
+    n, k = F.sum("_n"), F.count(F.lit(1))
+    drawn_only = F.col("_m") < F.col("_n")
+    hoeffding = F.when(drawn_only, F.sqrt(F.lit(2.0) / F.col("_m"))).otherwise(F.lit(0.0))
+    bound = F.sum(hoeffding * F.col("_n")) / n * F.sqrt(F.log(2 * k / F.lit(0.05))) + F.when(F.max(drawn_only.cast("int")) == 1, F.sum(F.col("_slack") * F.col("_n")) / n).otherwise(F.lit(0.0))
+    return each.agg(n.alias("n_rows"), F.sum("_m").alias("n_sampled"), (F.sum(F.col("_value") * F.col("_n")) / n).alias("silhouette"), bound.alias("error_bound"))
+
+
 def move_centres(assigned: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     """The means of the assigned rows: one step of the iteration."""
     means = [F.avg(f"z_{c}").alias(f"z_{c}") for c in features]

@@ -98,6 +98,24 @@ def kmeans_assign(spark, sf_dir):
     return assigned(spark, sf_dir).select("customer_id", "cluster", half_up("sq_distance", 6).alias("sq_distance"))
 
 
+def by_fixed_centres(spark, sf_dir, measure):
+    """(k, ...) of `measure` for the first two, three and four of the fixed centres."""
+    rows = points(spark, sf_dir)
+    each = [measure(materialise(segment.assign(rows, CENTRES[:k]))).withColumn("k", F.lit(k)) for k in (2, 3, 4)]
+    return each[0].unionByName(each[1]).unionByName(each[2])
+
+
+@query("inertia_fixed")
+def inertia_fixed(spark, sf_dir):
+    return by_fixed_centres(spark, sf_dir, lambda rows: rows.agg(half_up(F.sum("sq_distance"), 4).alias("inertia")))
+
+
+@query("silhouette_fixed")
+def silhouette_fixed(spark, sf_dir):
+    found = by_fixed_centres(spark, sf_dir, segment.silhouette)
+    return found.select("k", "n_rows", "n_sampled", half_up("silhouette", 4).alias("silhouette"), (F.col("error_bound") == 0).alias("exact"))
+
+
 @query("kmeans_update")
 def kmeans_update(spark, sf_dir):
     moved = segment.move_centres(assigned(spark, sf_dir))

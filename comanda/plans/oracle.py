@@ -30,7 +30,7 @@ def rt(num: str, den: str) -> str:
 def _kind(name: str) -> str:
     """What an iteration or a later level reads again is computed once."""
     once = ("set_rules_v", "zcells_v", "cov_v", "deflated_v", "cells_v", "split_v", "splits_v")
-    return " MATERIALIZED" if name in once or re.match(r"(tree|best|test|iso_l|iso_c)\d_v|iso_(rows|nodes)_v|centres\d+_v|store_(points|zcells|near)_v", name) else ""
+    return " MATERIALIZED" if name in once or re.match(r"(tree|best|test|iso_l|iso_c)\d_v|iso_(rows|nodes)_v|centres\d+_v|(drawn|fixed)\d_v|store_(points|zcells|near)_v", name) else ""
 
 
 def with_views(sql: str) -> str:

@@ -44,6 +44,31 @@ view(
 FROM (SELECT *, {', '.join(f'{_distance(c)} AS d{i}' for i, c in enumerate(CENTRES))} FROM scaled_v) t""",
 )
 select("kmeans_assign", f"SELECT customer_id, cluster, {hu('sq_distance', 6)} AS sq_distance FROM assigned_v")
+for _k in (2, 3, 4):
+    view(
+        f"fixed{_k}_v",
+        f"""SELECT *, least({', '.join(_D[:_k])}) AS sq_distance, CASE least({', '.join(_D[:_k])}) {' '.join(f'WHEN {d} THEN {i}' for i, d in enumerate(_D[:_k]))} END AS cluster
+FROM (SELECT *, {', '.join(f'{_distance(c)} AS d{i}' for i, c in enumerate(CENTRES[:_k]))} FROM scaled_v) t""",
+    )
+    view(
+        f"drawn{_k}_v",
+        f"""SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY cluster) AS n, row_number() OVER (PARTITION BY cluster ORDER BY md5(CAST(customer_id AS VARCHAR)), customer_id) AS place
+FROM fixed{_k}_v) t WHERE place <= 2000""",
+    )
+    view(
+        f"far{_k}_v",
+        f"""SELECT a.customer_id, a.cluster, a.n, b.cluster AS other,
+  sum(sqrt({' + '.join(f'(a.z_{c} - b.z_{c}) * (a.z_{c} - b.z_{c})' for c in FEATURES)})) / NULLIF(count(*) - CASE WHEN a.cluster = b.cluster THEN 1 ELSE 0 END, 0) AS mean
+FROM drawn{_k}_v a, drawn{_k}_v b GROUP BY 1, 2, 3, 4""",
+    )
+    view(
+        f"silhouette{_k}_v",
+        f"""SELECT {_k} AS k, CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(m) AS BIGINT) AS n_sampled, {hu('sum(v * n) / sum(n)', 4)} AS silhouette, bool_and(m = n) AS exact
+FROM (SELECT cluster, n, count(*) AS m, avg(CASE WHEN n > 1 AND b IS NOT NULL AND greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0 END) AS v
+  FROM (SELECT customer_id, cluster, n, max(mean) FILTER (WHERE other = cluster) AS a, min(mean) FILTER (WHERE other <> cluster) AS b FROM far{_k}_v GROUP BY 1, 2, 3) r GROUP BY 1, 2) c""",
+    )
+select("silhouette_fixed", " UNION ALL ".join(f"SELECT CAST(k AS BIGINT) AS k, n_rows, n_sampled, silhouette, exact FROM silhouette{k}_v" for k in (2, 3, 4)))
+select("inertia_fixed", " UNION ALL ".join(f"SELECT CAST({k} AS BIGINT) AS k, {hu('sum(sq_distance)', 4)} AS inertia FROM fixed{k}_v" for k in (2, 3, 4)))
 select(
     "kmeans_update",
     f"SELECT cluster, count(*) AS n, {', '.join(f'{hu(f'avg(z_{c})', 6)} AS z_{c}' for c in FEATURES)} FROM assigned_v GROUP BY cluster",

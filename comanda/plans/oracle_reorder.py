@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from comanda.params import SERVICE_LEVEL_Z
 from comanda.plans.oracle import hu, rt, select, view
+from comanda.plans.reorder_queries import OTHER_LEVELS
 
 view(
     "daily_v",
@@ -244,3 +246,21 @@ select(
   CAST(sum(CAST(floor(final_qty) AS BIGINT) * unit_cost) AS DOUBLE) AS spend, count(*) FILTER (WHERE reason <> '') AS n_exceptions,
   count(*) FILTER (WHERE needs_data_fill) AS n_data_gaps FROM orders_v GROUP BY store_id""",
 )
+
+_POINTS = ", ".join(
+    f"('ST{s}', {x}::DOUBLE, {z}::DOUBLE)" for s in range(10) for x, z in (SERVICE_LEVEL_Z if s % 2 == 0 else OTHER_LEVELS).items()
+)
+select(
+    "service_z_table",
+    f"""SELECT p_partkey, r.store_id, service_level, {hu('coalesce(max(z) FILTER (WHERE level <= service_level AND (next IS NULL OR service_level < next) AND next IS NULL), max(z + (service_level - level) / (next - level) * (z_next - z)) FILTER (WHERE level <= service_level AND service_level < next), arg_min(z, level))', 6)} AS z
+FROM (SELECT p_partkey, concat('ST', CAST(p_partkey % 10 AS VARCHAR)) AS store_id, CAST(p_partkey % 16 + 85 AS DOUBLE) / 100 AS service_level FROM part) r
+JOIN (SELECT *, lead(level) OVER (PARTITION BY store_id ORDER BY level) AS next, lead(z) OVER (PARTITION BY store_id ORDER BY level) AS z_next
+  FROM (VALUES {_POINTS}) AS t(store_id, level, z)) p ON p.store_id = r.store_id GROUP BY 1, 2, 3""",
+)
+select("daily_by_increments", "SELECT store_id, sku_id, CAST(date AS VARCHAR) AS date, CAST(qty_sold AS BIGINT) AS qty_sold FROM sku_days_v")
+select(
+    "weekday_quantiles_sketch",
+    """SELECT store_id, sku_id, CAST(isodow(date) - 1 AS BIGINT) AS weekday, count(*) AS n_days, CAST(quantile_disc(qty_sold, 0.5) AS BIGINT) AS p50, CAST(quantile_disc(qty_sold, 0.9) AS BIGINT) AS p90
+FROM sku_days_v GROUP BY 1, 2, 3
+UNION ALL SELECT store_id, sku_id, -1, count(*), CAST(quantile_disc(qty_sold, 0.5) AS BIGINT), CAST(quantile_disc(qty_sold, 0.9) AS BIGINT) FROM sku_days_v GROUP BY 1, 2""",
+)

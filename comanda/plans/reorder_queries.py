@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from comanda.functions.exprs import half_up
 from comanda.operators import demand, replenish
-from comanda.params import ENGLISH_TYPES, SHELF_LIFE_BY_CATEGORY, SUPPLIER_DEFAULTS, StockPolicy, in_english
+from comanda.params import ENGLISH_TYPES, SERVICE_LEVEL_Z, SHELF_LIFE_BY_CATEGORY, SUPPLIER_DEFAULTS, StockPolicy, in_english
 from comanda.plans import reorder
 from comanda.plans.queries import query
-from comanda.session import materialise
-from comanda.sources import binding
+from comanda.session import materialise, new_folder
+from comanda.sources import binding, incremental
 
 # The bound demand varies more evenly than a kitchen's; this cut uses all three classes.
 POLICY = StockPolicy(y_upto="0.6")
@@ -187,6 +187,40 @@ def service_z(spark, sf_dir):
     return rows.withColumn("z", half_up(replenish.service_z(F.col("service_level")), 6))
 
 
+# Break points of the stores: those of the policy, and for every second store others.
+OTHER_LEVELS = {0.85: 1.04, 0.92: 1.41, 0.96: 1.75, 0.995: 2.58}
+
+
+@query("service_z_table")
+def service_z_table(spark, sf_dir):
+    key = F.col("p_partkey")
+    level = (key % 16 + 85).cast("double") / F.lit(100.0)
+    rows = binding.parts(spark, sf_dir).select("p_partkey", F.concat(F.lit("ST"), (key % 10).cast("string")).alias("store_id"), level.alias("service_level"))
+    tables = [(f"ST{s}", float(x), float(z)) for s in range(10) for x, z in (SERVICE_LEVEL_Z if s % 2 == 0 else OTHER_LEVELS).items()]
+    points = spark.createDataFrame(tables, "store_id STRING, level DOUBLE, z DOUBLE")
+    return replenish.service_z_by(rows, points).withColumn("z", half_up("z", 6))
+
+
+@query("weekday_quantiles_sketch")
+def weekday_quantiles_sketch(spark, sf_dir):
+    """Months are sketched one by one and merged; few enough days per weekday are kept whole."""
+    sketches = materialise(demand.month_sketches(days(spark, sf_dir)))
+    found = demand.quantiles_of_sketches(sketches)
+    return found.select("store_id", "sku_id", F.coalesce("weekday", F.lit(-1)).alias("weekday"), "n_days", "p50", "p90")
+
+
+@query("daily_by_increments")
+def daily_by_increments(spark, sf_dir):
+    """Days kept up by increments: fulfilled lines first, the others late, the second increment twice."""
+    lines = binding.sku_sales_with_status(spark, sf_dir)
+    folder = new_folder(spark, "daily")
+    store = incremental.DailyStore(spark, f"{folder}/lines", f"{folder}/days")
+    store.add(lines.filter("status = 'F'").drop("status"), "first")
+    for _ in range(2):
+        store.add(lines.filter("status <> 'F'").drop("status"), "second")
+    return store.days().select("store_id", "sku_id", "date", "qty_sold")
+
+
 @query("safety_stock_b")
 def safety_stock_b(spark, sf_dir):
     return stocked(spark, sf_dir).select(

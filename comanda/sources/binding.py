@@ -248,17 +248,23 @@ def _sku_category(type_: Column, tag_no: Column) -> Column:
 
 def sku_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales lines at part level: store, sku, date, quantity. Each part is sold by one store."""
+    return sku_sales_with_status(spark, sf_dir).drop("status")
+
+
+def sku_sales_with_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`sku_sales` with the status of the line."""
     key = F.col("l_partkey")
     lines = driver_table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         _sku_store(key).alias("store_id"),
         _sku_id(key).alias("sku_id"),
         F.col("l_quantity").cast("bigint").alias("qty_sold"),
+        F.col("l_linestatus").alias("status"),
     )
     dates = driver_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("date")
     )
-    return lines.join(dates, "l_orderkey").select("store_id", "sku_id", "date", "qty_sold")
+    return lines.join(dates, "l_orderkey").select("store_id", "sku_id", "date", "qty_sold", "status")
 
 
 def sku_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,3 +30,9 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Write `df` in place of the partitions it has rows for; all others stay. Running it again changes nothing."""
+    writer = df.hint("rebalance", *partition_by).write.mode("overwrite").format("parquet")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path)
