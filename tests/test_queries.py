@@ -32,7 +32,3 @@ def test_only_random_starts_lack_sql():
 def test_entry(spark, small):
     df = entry.entry(spark)
     assert df.columns[0] == "visit_id" and df.count() > 0
-
-
-def test_backoff_scores_agree_with_sql(spark, small, con):
-    assert compare(QUERIES["op2_lm_scoring"](spark, small), con, SQL["op2_lm_scoring"]) == []
