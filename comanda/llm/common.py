@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from comanda.session import materialise
+
 # Rows whose texts a Python worker holds at once.
 SLICE_ROWS = 500
 # Rows one window task sorts at most when ranks are taken within a hot group.
@@ -20,6 +23,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def written(df: DataFrame) -> DataFrame:
+    """`materialise`, and let go of the shuffle files that led to it.
+
+    Spark removes a finished shuffle's files once the driver has collected the plan that refers to them, which by itself
+    may take long. For steps that each shuffle about as much as their input, what is done would fill the disks.
+    """
+    out = materialise(df)
+    del df
+    gc.collect()
+    out.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches in parts of at most `rows` rows, all of them."""
     for batch in batches:

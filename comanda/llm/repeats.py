@@ -1,9 +1,9 @@
 """Exact repeats between documents by fixed-block anchors.
 
 A repeat is a window of `WINDOW` consecutive words that also starts in a document with a smaller id. Every document is cut
-into non-overlapping blocks of `BLOCK` words; a window of 50 words holds at least four whole blocks in a row. Every
-rolling window of `BLOCK` words is a probe. Of four blocks in a row the one of smallest hash is the anchor, and a
-rolling window that is smallest of no four in a row, a block apart, can't meet one; so only anchors are indexed and only
+into non-overlapping blocks of `BLOCK` words; a window of 50 words holds at least `RUN` (five) whole blocks in a row. Every
+rolling window of `BLOCK` words is a probe. Of five blocks in a row the one of smallest hash is the anchor, and a
+rolling window that is smallest of no five in a row, a block apart, can't meet one; so only anchors are indexed and only
 possible anchors are sent, and no repeat is lost.
 
 The index holds each anchor once, with its smallest document id, so the join with the probes makes at most one row per
@@ -23,10 +23,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from comanda.llm.common import slices
-from comanda.session import materialise
+from comanda.llm.common import slices, written
 
-WINDOW, BLOCK = 50, 10
+WINDOW, BLOCK = 50, 8
 # Whole blocks that every window holds, wherever it starts.
 RUN = (WINDOW - BLOCK + 1) // BLOCK
 # Rows sent to the JVM at once, and texts a worker reads at once.
@@ -102,111 +101,105 @@ def _signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def probes(docs: DataFrame) -> DataFrame:
-    """h, doc_id, doc_key, at, is_block: possible anchors of every text with at least one window."""
-    types = {"h": pa.int64(), "doc_id": pa.int64(), "doc_key": pa.int64(), "at": pa.int32(), "is_block": pa.bool_()}
+def _batches(texts: Iterator[tuple], types: dict[str, pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """Rows of arrays by column, one tuple per text, in batches of about `SEND_ROWS` rows."""
+    out: dict[str, list] = {n: [] for n in types}
+    rows = 0
+    for arrays in texts:
+        for n, x in zip(types, arrays, strict=True):
+            out[n].append(x)
+        rows += len(arrays[0])
+        if rows >= SEND_ROWS:
+            yield _sent(out, types)
+            out, rows = {n: [] for n in types}, 0
+    yield _sent(out, types)
+
+
+def anchor_rows(docs: DataFrame, own: bool) -> DataFrame:
+    """h, doc_id, at: a text's own anchors (`own`), or its rolling windows that can be an anchor elsewhere."""
+    types = {"h": pa.int64(), "doc_id": pa.int64(), "at": pa.int32()}
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = Numbers()
-        for batch in slices(batches, TEXTS):
-            out: dict[str, list] = {n: [] for n in types}
-            rows = 0
-            for doc, doc_key, text in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "doc_key", "text")), strict=True):
+
+        def each(batch: pa.RecordBatch) -> Iterator[tuple]:
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 found = words(text)
-                if len(found) < WINDOW:
-                    continue
-                h = rolling(numbers.of(found), BLOCK)
-                sent, own = anchors(h), anchors(h, np.arange(0, len(h), BLOCK))
-                at = np.concatenate([sent, own])
-                out["h"].append(_signed(h[at]))
-                out["doc_id"].append(np.full(len(at), doc, np.int64))
-                out["doc_key"].append(np.full(len(at), doc_key, np.int64))
-                out["at"].append(at.astype(np.int32))
-                out["is_block"].append(np.arange(len(at)) >= len(sent))
-                rows += len(at)
-                if rows >= SEND_ROWS:
-                    yield _sent(out, types)
-                    out, rows = {n: [] for n in types}, 0
-            yield _sent(out, types)
+                if len(found) >= WINDOW:
+                    h = rolling(numbers.of(found), BLOCK)
+                    at = anchors(h, np.arange(0, len(h), BLOCK)) if own else anchors(h)
+                    yield _signed(h[at]), np.full(len(at), doc, np.int64), at.astype(np.int32)
 
-    asked = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    asked = asked.select(F.col("doc_id").cast("long").alias("doc_id"), key().alias("doc_key"), "text")
-    return asked.mapInArrow(emit, "h long, doc_id long, doc_key long, at int, is_block boolean")
+        for batch in slices(batches, TEXTS):
+            yield from _batches(each(batch), types)
+
+    asked = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return asked.mapInArrow(emit, "h long, doc_id long, at int")
 
 
 def marked(docs: DataFrame) -> DataFrame:
-    """doc_id, doc_key, hits, blocks: the probes of a text that meet an anchor of a smaller id, and its own anchors met.
+    """doc_id, hits, blocks: the probes of an id's texts that meet an anchor of a smaller id, and its own anchors met.
 
     The index has one row per anchor; a hot anchor's probes are rows of one skewed join key. The indexes are written
     first, so that both sides of a join are plain shuffles, which AQE can split.
     """
-    sent = materialise(probes(docs))
-    own = sent.filter("is_block")
-    index = materialise(own.groupBy("h").agg(F.min("doc_id").alias("first")))
-    hits = materialise(sent.filter("not is_block").join(index, "h").filter("first < doc_id").select("h", "doc_id", "doc_key", "at"))
-    met = materialise(hits.groupBy("h").agg(F.max("doc_id").alias("last")))
-    blocks = own.join(met, "h").filter("doc_id < last").select("doc_id", "doc_key", "at", F.lit(True).alias("is_block"))
-    both = hits.select("doc_id", "doc_key", "at", F.lit(False).alias("is_block")).unionByName(blocks)
-    # a text's marks are bounded by its words
-    return both.groupBy("doc_id", "doc_key").agg(
-        F.collect_list(F.when(~F.col("is_block"), F.col("at"))).alias("hits"), F.collect_list(F.when(F.col("is_block"), F.col("at"))).alias("blocks")
+    own = written(anchor_rows(docs, own=True))
+    index = written(own.groupBy("h").agg(F.min("doc_id").alias("first")))
+    hits = written(anchor_rows(docs, own=False).join(index, "h").filter("first < doc_id").select("h", "doc_id", "at"))
+    met = written(hits.groupBy("h").agg(F.max("doc_id").alias("last")))
+    blocks = own.join(met, "h").filter("doc_id < last").select("doc_id", "at", F.lit(True).alias("is_block"))
+    both = hits.select("doc_id", "at", F.lit(False).alias("is_block")).unionByName(blocks)
+    # an id's marks are bounded by its words
+    return both.groupBy("doc_id").agg(
+        F.collect_set(F.when(~F.col("is_block"), F.col("at"))).alias("hits"), F.collect_set(F.when(F.col("is_block"), F.col("at"))).alias("blocks")
     )
 
 
 def around(at: list[int], windows: int) -> np.ndarray:
-    """Starts of the windows of `WINDOW` words that hold the block of `BLOCK` words at one of `at`."""
+    """Starts of the windows of `WINDOW` words that hold the block of `BLOCK` words at one of `at`, of those within the text."""
     held = np.zeros(windows + 1, np.int32)
     a = np.array(at, np.int64)
+    a = a[a < windows + WINDOW - BLOCK]
     np.add.at(held, np.maximum(a - (WINDOW - BLOCK), 0), 1)
     np.add.at(held, np.minimum(a + 1, windows), -1)
     return np.flatnonzero(np.cumsum(held[:-1]) > 0)
 
 
-def windows(texts: DataFrame) -> DataFrame:
-    """h1, h2, doc_id, doc_key, at, is_block: every window around the marks of the marked texts."""
-    types = {"h1": pa.int64(), "h2": pa.int64(), "doc_id": pa.int64(), "doc_key": pa.int64(), "at": pa.int32(), "is_block": pa.bool_()}
+def windows(texts: DataFrame, marks: str) -> DataFrame:
+    """h1, h2, doc_id, doc_key, at: every window around the marks of the marked texts."""
+    types = {"h1": pa.int64(), "h2": pa.int64(), "doc_id": pa.int64(), "doc_key": pa.int64(), "at": pa.int32()}
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = Numbers()
+
+        def each(batch: pa.RecordBatch) -> Iterator[tuple]:
+            for doc, doc_key, text, places in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "doc_key", "text", marks)), strict=True):
+                found = words(text) if places else []
+                if len(found) >= WINDOW:
+                    h = numbers.of(found)
+                    at = around(places, len(h) - WINDOW + 1)
+                    h1, h2 = (rolling(h, WINDOW, seed)[at] for seed in (0, 1))
+                    yield _signed(h1), _signed(h2), np.full(len(at), doc, np.int64), np.full(len(at), doc_key, np.int64), at.astype(np.int32)
+
         for batch in slices(batches, TEXTS):
-            out: dict[str, list] = {n: [] for n in types}
-            rows = 0
-            for doc, doc_key, text, hits, blocks in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "doc_key", "text", "hits", "blocks")), strict=True):
-                found = words(text)
-                n = len(found) - WINDOW + 1
-                h = numbers.of(found)
-                h1, h2 = rolling(h, WINDOW), rolling(h, WINDOW, 1)
-                for is_block, marks in ((False, hits), (True, blocks)):
-                    at = around(marks, n)
-                    out["h1"].append(_signed(h1[at]))
-                    out["h2"].append(_signed(h2[at]))
-                    out["doc_id"].append(np.full(len(at), doc, np.int64))
-                    out["doc_key"].append(np.full(len(at), doc_key, np.int64))
-                    out["at"].append(at.astype(np.int32))
-                    out["is_block"].append(np.full(len(at), is_block))
-                    rows += len(at)
-                if rows >= SEND_ROWS:
-                    yield _sent(out, types)
-                    out, rows = {n: [] for n in types}, 0
-            yield _sent(out, types)
+            yield from _batches(each(batch), types)
 
-    return texts.mapInArrow(emit, "h1 long, h2 long, doc_id long, doc_key long, at int, is_block boolean")
+    return texts.select("doc_id", "doc_key", "text", marks).mapInArrow(emit, "h1 long, h2 long, doc_id long, doc_key long, at int")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
     """doc_id, doc_key, text and spans of every row with a repeat: its maximal repeats as (start, end) in words, in order."""
     base = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     base = base.select(F.col("doc_id").cast("long").alias("doc_id"), key().alias("doc_key"), "text")
-    texts = materialise(base.join(marked(docs), ["doc_id", "doc_key"]))
-    sent = materialise(windows(texts))
-    index = materialise(sent.filter("is_block").groupBy("h1", "h2").agg(F.min("doc_id").alias("first")))
-    again = sent.filter("not is_block").join(index, ["h1", "h2"]).filter("first < doc_id")
+    texts = written(base.join(marked(docs), "doc_id"))
+    index = written(windows(texts, "blocks").groupBy("h1", "h2").agg(F.min("doc_id").alias("first")))
+    again = windows(texts, "hits").join(index, ["h1", "h2"]).filter("first < doc_id")
     starts = again.groupBy("doc_id", "doc_key").agg(F.sort_array(F.collect_set("at")).alias("at"))
     # windows that touch or overlap make one span
     new = f"filter(at, (x, i) -> i = 0 or x - at[i - 1] > {WINDOW})"
     last = f"filter(at, (x, i) -> i = size(at) - 1 or at[i + 1] - x > {WINDOW})"
     spans = starts.withColumn("spans", F.expr(f"zip_with({new}, {last}, (a, b) -> struct(a as start, b + {WINDOW} as end))")).drop("at")
-    return texts.select("doc_id", "doc_key", "text").join(spans, ["doc_id", "doc_key"])
+    return texts.select("doc_id", "doc_key", "text").join(written(spans), ["doc_id", "doc_key"])
 
 
 def _digest(kept: list[bytes]) -> str:
