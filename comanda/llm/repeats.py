@@ -1,9 +1,9 @@
 """Exact repeats between documents by fixed-block anchors.
 
 A repeat is a window of `WINDOW` consecutive words that also starts in a document with a smaller id. Every document is cut
-into non-overlapping blocks of `BLOCK` words; a window of 50 words holds at least `RUN` (five) whole blocks in a row. Every
-rolling window of `BLOCK` words is a probe. Of five blocks in a row the one of smallest hash is the anchor, and a
-rolling window that is smallest of no five in a row, a block apart, can't meet one; so only anchors are indexed and only
+into non-overlapping blocks of `BLOCK` words; a window of 50 words holds at least `RUN` (seven) whole blocks in a row. Every
+rolling window of `BLOCK` words is a probe. Of seven blocks in a row the one of smallest hash is the anchor, and a
+rolling window that is smallest of no seven in a row, a block apart, can't meet one; so only anchors are indexed and only
 possible anchors are sent, and no repeat is lost.
 
 The index holds each anchor once, with its smallest document id, so the join with the probes makes at most one row per
@@ -25,14 +25,14 @@ from pyspark.sql import functions as F
 
 from comanda.llm.common import slices, written
 
-WINDOW, BLOCK = 50, 8
+WINDOW, BLOCK = 50, 6
 # Whole blocks that every window holds, wherever it starts.
 RUN = (WINDOW - BLOCK + 1) // BLOCK
 # Rows sent to the JVM at once, and texts a worker reads at once.
 SEND_ROWS, TEXTS = 50_000, 200
 
 # Hashes of words kept by a worker; beyond it the table starts anew.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
 FACTORS = np.random.default_rng(13).integers(1 << 62, size=(2, WINDOW), dtype=np.uint64) * np.uint64(4) + np.uint64(1)
 
 
