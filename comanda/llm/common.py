@@ -36,6 +36,16 @@ def written(df: DataFrame) -> DataFrame:
     return out
 
 
+def remove_written(tables: list[DataFrame]) -> None:
+    """Delete the folders of `written` tables that nothing reads any more. The frames can't be used afterwards."""
+    for df in tables:
+        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+        spark = df.sparkSession
+        for folder in folders:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches in parts of at most `rows` rows, all of them."""
     for batch in batches:

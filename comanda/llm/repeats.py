@@ -1,9 +1,9 @@
 """Exact repeats between documents by fixed-block anchors.
 
 A repeat is a window of `WINDOW` consecutive words that also starts in a document with a smaller id. Every document is cut
-into non-overlapping blocks of `BLOCK` words; a window of 50 words holds at least `RUN` (seven) whole blocks in a row. Every
-rolling window of `BLOCK` words is a probe. Of seven blocks in a row the one of smallest hash is the anchor, and a
-rolling window that is smallest of no seven in a row, a block apart, can't meet one; so only anchors are indexed and only
+into non-overlapping blocks of `BLOCK` words; a window of 50 words holds at least `RUN` (five) whole blocks in a row. Every
+rolling window of `BLOCK` words is a probe. Of five blocks in a row the one of smallest hash is the anchor, and a
+rolling window that is smallest of no five in a row, a block apart, can't meet one; so only anchors are indexed and only
 possible anchors are sent, and no repeat is lost.
 
 The index holds each anchor once, with its smallest document id, so the join with the probes makes at most one row per
@@ -23,9 +23,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from comanda.llm.common import slices, written
+from comanda.llm.common import remove_written, slices, written
 
-WINDOW, BLOCK = 50, 6
+WINDOW, BLOCK = 50, 8
 # Whole blocks that every window holds, wherever it starts.
 RUN = (WINDOW - BLOCK + 1) // BLOCK
 # Rows sent to the JVM at once, and texts a worker reads at once.
@@ -137,8 +137,8 @@ def anchor_rows(docs: DataFrame, own: bool) -> DataFrame:
     return asked.mapInArrow(emit, "h long, doc_id long, at int")
 
 
-def marked(docs: DataFrame) -> DataFrame:
-    """doc_id, hits, blocks: the probes of an id's texts that meet an anchor of a smaller id, and its own anchors met.
+def marked(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """doc_id, hits, blocks, and the written tables behind them: the probes of an id's texts that meet an anchor of a smaller id, and its own anchors met.
 
     The index has one row per anchor; a hot anchor's probes are rows of one skewed join key. The indexes are written
     first, so that both sides of a join are plain shuffles, which AQE can split.
@@ -150,9 +150,10 @@ def marked(docs: DataFrame) -> DataFrame:
     blocks = own.join(met, "h").filter("doc_id < last").select("doc_id", "at", F.lit(True).alias("is_block"))
     both = hits.select("doc_id", "at", F.lit(False).alias("is_block")).unionByName(blocks)
     # an id's marks are bounded by its words
-    return both.groupBy("doc_id").agg(
+    marks = both.groupBy("doc_id").agg(
         F.collect_set(F.when(~F.col("is_block"), F.col("at"))).alias("hits"), F.collect_set(F.when(F.col("is_block"), F.col("at"))).alias("blocks")
     )
+    return marks, [own, index, hits, met]
 
 
 def around(at: list[int], windows: int) -> np.ndarray:
@@ -191,7 +192,10 @@ def repeats(docs: DataFrame) -> DataFrame:
     """doc_id, doc_key, text and spans of every row with a repeat: its maximal repeats as (start, end) in words, in order."""
     base = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     base = base.select(F.col("doc_id").cast("long").alias("doc_id"), key().alias("doc_key"), "text")
-    texts = written(base.join(marked(docs), "doc_id"))
+    marks, behind = marked(docs)
+    texts = written(base.join(marks, "doc_id"))
+    del marks
+    remove_written(behind)
     index = written(windows(texts, "blocks").groupBy("h1", "h2").agg(F.min("doc_id").alias("first")))
     again = windows(texts, "hits").join(index, ["h1", "h2"]).filter("first < doc_id")
     starts = again.groupBy("doc_id", "doc_key").agg(F.sort_array(F.collect_set("at")).alias("at"))
