@@ -1,11 +1,12 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Features are words and word beginnings that the training labels tie to toxicity (chi-squared over the examples). Every
-example is a TF-IDF vector over them. The index keeps, per feature and block of examples, the largest weight; a query
-visits blocks in the order of what they can reach at most and stops when no block can reach its k-th best, so the k
-nearest are exact. Their votes, weighted by similarity, are calibrated on the examples themselves, each left out once.
+Every word of every example is a feature; word beginnings and repeated words are features too where the labels tie them to
+toxicity. A feature weighs its IDF over all documents times a factor from the labels (`LEAST` to 1), so that words without a
+tie to toxicity count little but none is left out. The index keeps, per feature and block of examples that have it, the
+largest weight; a query visits blocks in the order of what they can reach at most and stops when no block can reach its k-th
+best, so the k nearest are exact. Their votes, weighted by similarity, are calibrated on the examples, each left out once.
 
-Only a bounded sample of labelled rows (`EXAMPLES`) becomes examples; every document is scored over its whole text.
+Only a bounded sample of labelled rows (`EXAMPLES`) becomes examples; every document is counted and scored over its whole text.
 """
 
 from __future__ import annotations
@@ -22,11 +23,12 @@ from pyspark.sql import functions as F
 from comanda.llm.common import slices
 from comanda.session import materialise
 
-EXAMPLES, VOCABULARY, NEIGHBOURS = 8000, 3000, 15
+EXAMPLES, NEIGHBOURS = 8000, 15
 # Lengths of the beginnings taken as features, and how often a feature must occur to count as a repeated one as well.
 PREFIXES, REPEATS = (4, 5, 6), (2, 4)
-# A feature needs so many toxic examples, lift and chi-squared (high, as very many features are tried).
-SUPPORT, LIFT, CHI2 = 3, 5.0, 40.0
+# The factor of a feature rises from LEAST to 1 between these standard scores of its share of toxic examples, if SUPPORT of
+# them have it. Beginnings and repeats are features from MARKS toxic examples and the lower score on.
+LEAST, SCORES, SUPPORT, MARKS = 0.05, (2.0, 8.0), 2, 3
 # Similarity that votes for the share of toxic examples, so that few or distant neighbours decide little.
 PRIOR = 1.0
 BLOCK = 128
@@ -45,14 +47,13 @@ def features(word: str) -> list[str]:
 
 
 def counts(text: str | None, known: dict[str, int] | None = None) -> Counter:
-    """How often each feature occurs in the whole text; with `known`, by its number there."""
+    """How often each feature occurs in the whole text; with `known`, those in it, by their numbers there."""
     found: Counter = Counter()
     for word, n in Counter(WORD.findall((text or "").lower())).items():
         for f in features(word):
-            if known is None or f in known or f"{f}*{REPEATS[0]}" in known:
+            if known is None or f in known:
                 found[f] += n
-    repeated = {f"{f}*{r}": 1 for f, n in found.items() for r in REPEATS if n >= r}
-    found.update(repeated)
+    found.update({f"{f}*{r}": 1 for f, n in found.items() if n >= REPEATS[0] for r in REPEATS if n >= r})
     return found if known is None else Counter({known[f]: n for f, n in found.items() if f in known})
 
 
@@ -68,57 +69,75 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     return materialise(texts.dropDuplicates(["text"]).select("doc_id", "text", "toxic"))
 
 
+def gather(at: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The positions `starts[i]` up to `starts[i + 1]` of each i of `at`, one after the other, and how many each has."""
+    n = starts[at + 1] - starts[at]
+    ends = np.cumsum(n)
+    return np.repeat(starts[at] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0), n
+
+
 @dataclass
 class Model:
-    """Index over the examples that have features, and the calibration of their votes."""
+    """Index over the examples, by feature and block of examples, and the calibration of their votes."""
 
     known: dict[str, int]
-    idf: np.ndarray
+    weights: np.ndarray  # of the features
     ids: np.ndarray
     toxic: np.ndarray
-    starts: np.ndarray  # of the postings of (feature, block)
+    parts: np.ndarray  # where a feature's parts start; a part is what a block holds of it
+    block: np.ndarray  # of a part
+    most: np.ndarray  # the largest weight in a part
+    starts: np.ndarray  # of a part's postings
     example: np.ndarray
     weight: np.ndarray
-    most: np.ndarray  # feature x block
     curve: tuple[np.ndarray, np.ndarray]
     empty_score: float
     base: float
 
     def vector(self, counted: Counter) -> tuple[np.ndarray, np.ndarray]:
         at = np.fromiter(sorted(counted), np.int64, len(counted))
-        w = (1 + np.log([counted[i] for i in at.tolist()])) * self.idf[at] if len(at) else np.zeros(0)
+        w = (1 + np.log(np.fromiter((counted[i] for i in at.tolist()), float, len(at)))) * self.weights[at]
         return at, w / (np.sqrt(np.square(w).sum()) or 1.0)
 
-    def nearest(self, at: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of highest cosine, ties to the earlier example; none of similarity 0."""
-        blocks = self.most.shape[1]
-        reach = w @ self.most[at]
+    def nearest(self, at: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The k examples of highest cosine, ties to the smaller id; none of similarity 0, nor the one of id `without`."""
+        part, n = gather(at, self.parts)
+        q, block = np.repeat(w, n), self.block[part]
+        reach = np.bincount(block, q * self.most[part])
+        order = np.argsort(-reach, kind="stable")
+        order = order[reach[order] > 0]
         best, scores = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-reach, kind="stable"):
-            if reach[b] <= 0 or len(best) == k and reach[b] * (1 + 1e-9) < scores[-1]:
-                break
-            total = np.zeros(BLOCK)
-            for f, q in zip(at, w, strict=True):
-                lo, hi = self.starts[f * blocks + b], self.starts[f * blocks + b + 1]
-                total[self.example[lo:hi] - b * BLOCK] += q * self.weight[lo:hi]
+        done, step = 0, 1
+        while done < len(order) and not (len(best) == k and reach[order[done]] * (1 + 1e-9) < scores[-1]):
+            turn = np.zeros(len(reach), bool)
+            turn[order[done : done + step]] = True
+            mine = turn[block]
+            posting, n = gather(part[mine], self.starts)
+            total = np.bincount(self.example[posting], np.repeat(q[mine], n) * self.weight[posting])
             found = np.flatnonzero(total > 0)
-            found = found[found + b * BLOCK != without]
-            best, scores = np.concatenate([best, found + b * BLOCK]), np.concatenate([scores, total[found]])
-            top = np.lexsort((best, -scores))[:k]
+            if without is not None:
+                found = found[self.ids[found] != without]
+            if len(found) > k:  # all that tie with the k-th stay
+                found = found[total[found] >= np.partition(total[found], -k)[-k]]
+            best, scores = np.concatenate([best, found]), np.concatenate([scores, total[found]])
+            top = np.lexsort((self.ids[best], -scores))[:k]
             best, scores = best[top], scores[top]
+            done, step = done + step, 2 * step
         return best, scores
 
     def vote(self, best: np.ndarray, scores: np.ndarray) -> float:
         return float((scores @ self.toxic[best] + PRIOR * self.base) / (scores.sum() + PRIOR))
 
+    def votes(self, text: str | None, without: int | None = None) -> tuple[float | None, list[int]]:
+        """What the nearest examples vote for, before calibration, and their ids; None without any."""
+        at, w = self.vector(counts(text, self.known))
+        best, scores = self.nearest(at, w, without=without) if len(at) else ((), ())
+        return (self.vote(best, scores), self.ids[best].tolist()) if len(best) else (None, [])
+
     def score(self, text: str | None) -> tuple[float, list[int]]:
         """Calibrated score of a whole text and the ids of the nearest examples, nearest first."""
-        at, w = self.vector(counts(text, self.known))
-        best, scores = self.nearest(at, w) if len(at) else ((), ())
-        if not len(best):
-            return self.empty_score, []
-        raw = self.vote(best, scores)
-        return 0.999 * float(np.interp(raw, *self.curve)) + 0.001 * raw, self.ids[best].tolist()
+        raw, ids = self.votes(text)
+        return (self.empty_score, []) if raw is None else (0.999 * float(np.interp(raw, *self.curve)) + 0.001 * raw, ids)
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -136,39 +155,71 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return xs, np.array([b[0] for b in blocks for _ in (0, 1)])
 
 
-def select_features(examples: DataFrame, size: int) -> dict[str, int]:
-    """The `size` features with the highest chi-squared among those that mark toxic examples."""
+def select_features(examples: DataFrame) -> tuple[dict[str, int], np.ndarray]:
+    """The numbers of all words of the examples and of the beginnings and repeats that mark toxic ones; their factors."""
 
     def found(batches):
-        for batch in slices(batches):
-            toxic = batch.column("toxic").to_pylist()
-            for part in range(0, len(toxic), 200):
-                n: Counter = Counter()
-                p: Counter = Counter()
-                for text, y in zip(batch.column("text").slice(part, 200).to_pylist(), toxic[part : part + 200], strict=True):
-                    seen = counts(text).keys()
-                    n.update(seen)
-                    p.update(seen if y == 1 else ())
-                yield pa.RecordBatch.from_pydict({"feature": pa.array(n.keys(), pa.string()), "n": pa.array(n.values(), pa.int64()), "p": pa.array([p[f] for f in n], pa.int64())})
-
-    total = examples.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("toxic") == 1).alias("p")).first()
-    n, p = total["n"], total["p"]
-    if not p or p == n:
-        return {}
+        for batch in slices(batches, 200):
+            n: Counter = Counter()
+            p: Counter = Counter()
+            for text, y in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+                seen = counts(text).keys()
+                n.update(seen)
+                p.update(seen if y == 1 else ())
+            yield pa.RecordBatch.from_pydict({"feature": pa.array(n.keys(), pa.string()), "n": pa.array(n.values(), pa.int64()), "p": pa.array([p[f] for f in n], pa.int64())})
+
+    share = examples.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0] or 0.0
     by = examples.select("text", "toxic").mapInArrow(found, "feature string, n long, p long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("p").alias("p"))
-    clean = F.col("n") - F.col("p")
-    gap = F.col("p") * (n - p) - clean * p
-    chi2 = F.lit(float(n)) * gap * gap / (F.lit(float(p)) * (n - p) * F.col("n") * (n - F.col("n") + 1e-9))
-    lift = (F.col("p") / F.lit(float(p))) / ((clean + 1) / F.lit(float(n - p)))
-    rows = by.withColumn("chi2", chi2).filter((F.col("p") >= SUPPORT) & (lift >= LIFT) & (F.col("chi2") >= CHI2))
-    rows = rows.orderBy(F.desc("chi2"), "feature").limit(size).collect()
-    return {r["feature"]: i for i, r in enumerate(rows)}
+    spread = F.sqrt(F.col("n") * F.lit(share * (1 - share) + 1e-12))
+    rows = by.withColumn("z", (F.col("p") - F.col("n") * share) / spread)
+    rows = rows.filter(~F.col("feature").rlike("[-*]") | (F.col("p") >= MARKS) & (F.col("z") >= SCORES[0]))
+    got = rows.select("feature", "p", "z").orderBy("feature").toArrow()
+    rise = np.clip((got["z"].to_numpy() - SCORES[0]) / (SCORES[1] - SCORES[0]), 0, 1)
+    factors = LEAST + (1 - LEAST) * np.where(got["p"].to_numpy() >= SUPPORT, rise, 0)
+    return {f: i for i, f in enumerate(got["feature"].to_pylist())}, factors
+
+
+def idf(docs: DataFrame, known: dict[str, int]) -> np.ndarray:
+    """The IDF of each known feature over all documents, counted in one pass over their whole texts."""
+
+    def having(batches):
+        n = np.zeros(len(known), np.int64)
+        for batch in slices(batches):
+            for text in batch.column("text").to_pylist():
+                n[list(counts(text, known))] += 1
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_pydict({"at": pa.array(at, pa.int32()), "n": pa.array(n[at], pa.int64())})
 
+    got = docs.select("text").mapInArrow(having, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(len(known))
+    df[got["at"].to_numpy()] = got["n"].to_numpy()
+    return np.log((docs.count() + 1) / (df + 1)) + 1
+
+
+def index(known: dict[str, int], weights: np.ndarray, examples: pa.Table) -> Model:
+    """The index over the examples (doc_id, toxic, and the numbers and counts of their features), not calibrated yet."""
+    examples = examples.sort_by([("toxic", "descending"), ("doc_id", "ascending")])  # blocks of one kind reach less
+    lengths = examples["at"].combine_chunks().value_lengths().to_numpy()
+    toxic = (examples["toxic"].to_numpy() == 1).astype(float)
+    base, rest = float(toxic.mean()) if len(toxic) else 0.0, toxic[lengths == 0]
+    e = np.repeat(np.arange(len(lengths)), lengths)
+    f = examples["at"].combine_chunks().flatten().to_numpy().astype(np.int64)
+    w = (1 + np.log(examples["n"].combine_chunks().flatten().to_numpy())) * weights[f]
+    norms = np.sqrt(np.bincount(e, np.square(w), len(lengths)))
+    order = np.lexsort((e, f))
+    f, e, w = f[order], e[order], (w / norms[e])[order]
+    blocks = len(lengths) // BLOCK + 1
+    part, starts = np.unique(f * blocks + e // BLOCK, return_index=True)
+    most = np.maximum.reduceat(w, starts) if len(w) else w
+    parts = np.searchsorted(part // blocks, np.arange(len(known) + 1))
+    empty = (rest.sum() + 0.5 * bool(len(rest))) / (len(rest) + 1)
+    return Model(known, weights, examples["doc_id"].to_numpy(), toxic, parts, part % blocks, most, np.append(starts, len(w)), e.astype(np.int32), w, (np.zeros(1), np.zeros(1)), float(empty), base)
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = EXAMPLES, size: int = VOCABULARY) -> Model:
+
+def fit(docs: DataFrame, labels: DataFrame, rows: int = EXAMPLES) -> Model:
     """Learn from at most `rows` labelled documents that are not held out. Without labels every score is 0."""
     examples = sample(docs, labels, rows)
-    known = select_features(examples, size)
+    known, factors = select_features(examples)
 
     def vectors(batches):
         for batch in slices(batches):
@@ -177,33 +228,17 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = EXAMPLES, size: int = VO
                 {"doc_id": batch.column("doc_id").cast(pa.int64()), "toxic": batch.column("toxic").cast(pa.int32()), "at": pa.array([list(c) for c in got], pa.list_(pa.int32())), "n": pa.array([list(c.values()) for c in got], pa.list_(pa.int32()))}
             )
 
-    got = sorted(examples.mapInArrow(vectors, "doc_id long, toxic int, at array<int>, n array<int>").collect())
-    df = np.zeros(len(known))
-    for r in got:
-        df[r["at"]] += 1
-    idf = np.log((len(got) + 1) / (df + 1)) + 1
-    with_features = [r for r in got if r["at"]]
-    rest = [r["toxic"] for r in got if not r["at"]]
-    ids, toxic = np.array([r["doc_id"] for r in with_features], np.int64), np.array([r["toxic"] == 1 for r in with_features], float)
-    blocks = -(-len(ids) // BLOCK) or 1
-    model = Model(known, idf, ids, toxic, np.zeros(1, int), np.zeros(0, int), np.zeros(0), np.zeros((len(known), blocks)), (np.zeros(1), np.zeros(1)), (sum(y == 1 for y in rest) + 0.5 * bool(rest)) / (len(rest) + 1), float(np.mean([r["toxic"] == 1 for r in got] or [0])))
-    own = [model.vector(Counter(dict(zip(r["at"], r["n"], strict=True)))) for r in with_features]
-    f = np.concatenate([a for a, _ in own] or [np.zeros(0, int)])
-    w = np.concatenate([x for _, x in own] or [np.zeros(0)])
-    e = np.repeat(np.arange(len(own)), [len(a) for a, _ in own])
-    order = np.lexsort((e, f))
-    f, model.example, model.weight = f[order], e[order], w[order]
-    keys = f * blocks + model.example // BLOCK
-    model.starts = np.searchsorted(keys, np.arange(len(known) * blocks + 1))
-    np.maximum.at(model.most, (f, model.example // BLOCK), model.weight)
-    raw, y = [], []
-    for i, (at, x) in enumerate(own):
-        best, scores = model.nearest(at, x, without=i)
-        if len(best):
-            raw.append(model.vote(best, scores))
-            y.append(toxic[i])
-    if raw:
-        model.curve = isotonic(np.array(raw), np.array(y))
+    model = index(known, factors * idf(docs, known), examples.mapInArrow(vectors, "doc_id long, toxic int, at array<int>, n array<int>").toArrow())
+
+    def left_out(batches):
+        for batch in slices(batches):
+            ids, texts, toxic = (batch.column(c).to_pylist() for c in ("doc_id", "text", "toxic"))
+            got = [(model.votes(t, without=i)[0], int(y == 1)) for i, t, y in zip(ids, texts, toxic, strict=True)]
+            yield pa.RecordBatch.from_pydict({"raw": pa.array([r for r, _ in got], pa.float64()), "toxic": pa.array([y for _, y in got], pa.int32())})
+
+    votes = examples.mapInArrow(left_out, "raw double, toxic int").filter("raw IS NOT NULL").orderBy("raw", "toxic").toArrow()
+    if votes.num_rows:
+        model.curve = isotonic(votes["raw"].to_numpy(), votes["toxic"].to_numpy())
     return model
 
 

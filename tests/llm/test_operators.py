@@ -2,6 +2,7 @@
 
 import collections
 import itertools
+import math
 import re
 import zlib
 
@@ -261,15 +262,24 @@ def test_toxicity(spark, docs, labels, empty):
     rows = toxicity.scores(table, model).withColumn("held", toxicity.held_out()).filter("held").collect()
     assert all(r["predicted"] == (r["doc_id"] % 5 == 0) for r in rows)
     assert all(r["held"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
-    # the index gives the nearest of brute force
-    at, w = model.vector(toxicity.counts(texts[0], model.known))
-    brute = np.zeros(len(model.ids))
-    blocks = model.most.shape[1]
-    for f, q in zip(at, w, strict=True):
-        part = slice(model.starts[f * blocks], model.starts[(f + 1) * blocks])
-        brute[model.example[part]] += q * model.weight[part]
-    best, scores = model.nearest(at, w)
-    assert scores == pytest.approx(np.sort(brute)[::-1][: len(scores)])
+    # every word of the examples is a feature, and the index gives the nearest of brute force
+    assert set(" ".join(texts[i] for i in model.ids).split()) <= model.known.keys()
+    for text in (texts[0], texts[1], "plain1 plain2 nothing else", "vile"):
+        at, w = model.vector(toxicity.counts(text, model.known))
+        brute = np.zeros(len(model.ids))
+        for f, q in zip(at, w, strict=True):
+            part = slice(model.starts[model.parts[f]], model.starts[model.parts[f + 1]])
+            brute[model.example[part]] += q * model.weight[part]
+        expected = [i for i in np.lexsort((model.ids, -brute)) if brute[i] > 0][: toxicity.NEIGHBOURS]
+        best, scores = model.nearest(at, w)
+        assert scores == pytest.approx(brute[expected]) and sorted(brute[best]) == pytest.approx(sorted(brute[expected]))
+        assert model.ids[best[0]] not in model.ids[model.nearest(at, w, without=model.ids[best[0]])[0]]
+    # document frequencies come from all documents
+    assert toxicity.idf(table, {"vile": 0, "absent": 1}) == pytest.approx([math.log(901 / 181) + 1, math.log(901) + 1])
+    # a word of few toxic examples is a sign as well
+    rare = [t + (f" rare{i % 25}" if i % 5 == 0 else "") for i, t in enumerate(t.replace(" vile nasty vile", "") for t in texts)]
+    few = toxicity.fit(spark.createDataFrame([(i, t) for i, t in enumerate(rare)], "doc_id long, text string"), marks)
+    assert min(few.score(rare[i])[0] for i in few.ids.tolist() if i % 5 == 0) > max(few.score(rare[i])[0] for i in few.ids.tolist() if i % 5)
     odd = toxicity.fit(docs, labels)
     assert toxicity.scores(docs, odd).count() == docs.count() and toxicity.reject_toxic(docs, odd).columns == docs.columns
     assert toxicity.scores(empty, toxicity.fit(empty, labels)).count() == 0
