@@ -13,11 +13,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comanda.llm.common import slices
@@ -46,15 +47,39 @@ def features(word: str) -> list[str]:
     return [word, *(f"{word[:n]}-" for n in PREFIXES if len(word) >= n)]
 
 
-def counts(text: str | None, known: dict[str, int] | None = None) -> Counter:
+class Lexicon(dict):
+    """Numbers of features; knows which words can have beginnings or repeats among them."""
+
+    def __init__(self, known: dict[str, int]):
+        super().__init__(known)
+        self.stems = {f[: PREFIXES[0]] for f in known if "-" in f}
+        self.again = {f[: f.index("*")] for f in known if "*" in f}
+
+    def __reduce__(self):
+        return Lexicon, (dict(self),)
+
+
+def counts(text: str | None, known: dict[str, int] | None = None) -> dict:
     """How often each feature occurs in the whole text; with `known`, those in it, by their numbers there."""
-    found: Counter = Counter()
-    for word, n in Counter(WORD.findall((text or "").lower())).items():
-        for f in features(word):
-            if known is None or f in known:
+    words = Counter(WORD.findall((text or "").lower()))
+    if known is None:
+        found: Counter = Counter()
+        for word, n in words.items():
+            for f in features(word):
                 found[f] += n
-    found.update({f"{f}*{r}": 1 for f, n in found.items() if n >= REPEATS[0] for r in REPEATS if n >= r})
-    return found if known is None else Counter({known[f]: n for f, n in found.items() if f in known})
+        found.update({f"{f}*{r}": 1 for f, n in found.items() if n >= REPEATS[0] for r in REPEATS if n >= r})
+        return found
+    known = known if isinstance(known, Lexicon) else Lexicon(known)
+    out = {known[w]: n for w, n in words.items() if w in known}
+    begun: Counter = Counter()
+    for word, n in words.items():
+        if word[: PREFIXES[0]] in known.stems:
+            for f in features(word)[1:]:
+                begun[f] += n
+    out.update({known[f]: n for f, n in begun.items() if f in known})
+    repeated = [(f, n) for part in (words, begun) for f, n in part.items() if n >= REPEATS[0] and f in known.again]
+    out.update({known[f"{f}*{r}"]: 1 for f, n in repeated for r in REPEATS if n >= r and f"{f}*{r}" in known})
+    return out
 
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
@@ -71,32 +96,53 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
 
 def gather(at: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The positions `starts[i]` up to `starts[i + 1]` of each i of `at`, one after the other, and how many each has."""
-    n = starts[at + 1] - starts[at]
-    ends = np.cumsum(n)
-    return np.repeat(starts[at] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0), n
+    first = starts[at]
+    n = starts[at + 1] - first
+    ends = np.cumsum(n, dtype=np.int32)
+    return np.repeat(first - ends + n, n) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32), n
 
 
 @dataclass
 class Model:
     """Index over the examples, by feature and block of examples, and the calibration of their votes."""
 
-    known: dict[str, int]
+    known: Lexicon
     weights: np.ndarray  # of the features
     ids: np.ndarray
     toxic: np.ndarray
-    parts: np.ndarray  # where a feature's parts start; a part is what a block holds of it
-    block: np.ndarray  # of a part
-    most: np.ndarray  # the largest weight in a part
-    starts: np.ndarray  # of a part's postings
-    example: np.ndarray
+    offsets: np.ndarray  # where a feature's postings start
+    example: np.ndarray  # of a posting, rising within a feature
     weight: np.ndarray
-    curve: tuple[np.ndarray, np.ndarray]
     empty_score: float
     base: float
-
-    def vector(self, counted: Counter) -> tuple[np.ndarray, np.ndarray]:
-        at = np.fromiter(sorted(counted), np.int64, len(counted))
-        w = (1 + np.log(np.fromiter((counted[i] for i in at.tolist()), float, len(at)))) * self.weights[at]
+    curve: tuple[np.ndarray, np.ndarray] = (np.zeros(1), np.zeros(1))
+    shared: Broadcast | None = field(default=None, repr=False)
+
+    def __post_init__(self) -> None:
+        """The parts of the index: what a block holds of a feature."""
+        block = self.example.astype(np.int32) // BLOCK
+        first = np.ones(len(block), bool)
+        first[1:] = block[1:] != block[:-1]
+        first[self.offsets[:-1][self.offsets[:-1] < self.offsets[1:]]] = True
+        starts = np.flatnonzero(first).astype(np.int32)
+        self.block = block[starts]  # of a part
+        self.most = np.maximum.reduceat(self.weight, starts) if len(starts) else self.weight  # the largest weight in a part
+        self.starts = np.append(starts, len(block)).astype(np.int32)  # of a part's postings
+        self.parts = np.searchsorted(starts, self.offsets).astype(np.int32)  # where a feature's parts start
+
+    def __reduce__(self):
+        return Model, (self.known, self.weights, self.ids, self.toxic, self.offsets, self.example, self.weight, self.empty_score, self.base)
+
+    def share(self, spark: SparkSession) -> Broadcast:
+        """The index sent to the workers once (`EXAMPLES` bounds it); the calibration goes with each job."""
+        self.shared = self.shared or spark.sparkContext.broadcast(self)
+        return self.shared
+
+    def vector(self, counted: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        at, n = np.fromiter(counted.keys(), np.int32, len(counted)), np.fromiter(counted.values(), float, len(counted))
+        order = np.argsort(at)
+        at = at[order]
+        w = (1 + np.log(n[order])) * self.weights[at]
         return at, w / (np.sqrt(np.square(w).sum()) or 1.0)
 
     def nearest(self, at: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -134,10 +180,10 @@ class Model:
         best, scores = self.nearest(at, w, without=without) if len(at) else ((), ())
         return (self.vote(best, scores), self.ids[best].tolist()) if len(best) else (None, [])
 
-    def score(self, text: str | None) -> tuple[float, list[int]]:
+    def score(self, text: str | None, curve: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[float, list[int]]:
         """Calibrated score of a whole text and the ids of the nearest examples, nearest first."""
         raw, ids = self.votes(text)
-        return (self.empty_score, []) if raw is None else (0.999 * float(np.interp(raw, *self.curve)) + 0.001 * raw, ids)
+        return (self.empty_score, []) if raw is None else (0.999 * float(np.interp(raw, *(curve or self.curve))) + 0.001 * raw, ids)
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -155,7 +201,7 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return xs, np.array([b[0] for b in blocks for _ in (0, 1)])
 
 
-def select_features(examples: DataFrame) -> tuple[dict[str, int], np.ndarray]:
+def select_features(examples: DataFrame) -> tuple[Lexicon, np.ndarray]:
     """The numbers of all words of the examples and of the beginnings and repeats that mark toxic ones; their factors."""
 
     def found(batches):
@@ -176,11 +222,12 @@ def select_features(examples: DataFrame) -> tuple[dict[str, int], np.ndarray]:
     got = rows.select("feature", "p", "z").orderBy("feature").toArrow()
     rise = np.clip((got["z"].to_numpy() - SCORES[0]) / (SCORES[1] - SCORES[0]), 0, 1)
     factors = LEAST + (1 - LEAST) * np.where(got["p"].to_numpy() >= SUPPORT, rise, 0)
-    return {f: i for i, f in enumerate(got["feature"].to_pylist())}, factors
+    return Lexicon({f: i for i, f in enumerate(got["feature"].to_pylist())}), factors
 
 
 def idf(docs: DataFrame, known: dict[str, int]) -> np.ndarray:
     """The IDF of each known feature over all documents, counted in one pass over their whole texts."""
+    known = known if isinstance(known, Lexicon) else Lexicon(known)
 
     def having(batches):
         n = np.zeros(len(known), np.int64)
@@ -196,7 +243,7 @@ def idf(docs: DataFrame, known: dict[str, int]) -> np.ndarray:
     return np.log((docs.count() + 1) / (df + 1)) + 1
 
 
-def index(known: dict[str, int], weights: np.ndarray, examples: pa.Table) -> Model:
+def index(known: Lexicon, weights: np.ndarray, examples: pa.Table) -> Model:
     """The index over the examples (doc_id, toxic, and the numbers and counts of their features), not calibrated yet."""
     examples = examples.sort_by([("toxic", "descending"), ("doc_id", "ascending")])  # blocks of one kind reach less
     lengths = examples["at"].combine_chunks().value_lengths().to_numpy()
@@ -208,12 +255,10 @@ def index(known: dict[str, int], weights: np.ndarray, examples: pa.Table) -> Mod
     norms = np.sqrt(np.bincount(e, np.square(w), len(lengths)))
     order = np.lexsort((e, f))
     f, e, w = f[order], e[order], (w / norms[e])[order]
-    blocks = len(lengths) // BLOCK + 1
-    part, starts = np.unique(f * blocks + e // BLOCK, return_index=True)
-    most = np.maximum.reduceat(w, starts) if len(w) else w
-    parts = np.searchsorted(part // blocks, np.arange(len(known) + 1))
+    offsets = np.searchsorted(f, np.arange(len(known) + 1)).astype(np.int32)
     empty = (rest.sum() + 0.5 * bool(len(rest))) / (len(rest) + 1)
-    return Model(known, weights, examples["doc_id"].to_numpy(), toxic, parts, part % blocks, most, np.append(starts, len(w)), e.astype(np.int32), w, (np.zeros(1), np.zeros(1)), float(empty), base)
+    small = np.uint16 if len(lengths) <= 1 << 16 else np.int32
+    return Model(known, weights, examples["doc_id"].to_numpy(), toxic, offsets, e.astype(small), w.astype(np.float32), float(empty), base)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = EXAMPLES) -> Model:
@@ -229,11 +274,12 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = EXAMPLES) -> Model:
             )
 
     model = index(known, factors * idf(docs, known), examples.mapInArrow(vectors, "doc_id long, toxic int, at array<int>, n array<int>").toArrow())
+    shared = model.share(docs.sparkSession)
 
     def left_out(batches):
         for batch in slices(batches):
             ids, texts, toxic = (batch.column(c).to_pylist() for c in ("doc_id", "text", "toxic"))
-            got = [(model.votes(t, without=i)[0], int(y == 1)) for i, t, y in zip(ids, texts, toxic, strict=True)]
+            got = [(shared.value.votes(t, without=i)[0], int(y == 1)) for i, t, y in zip(ids, texts, toxic, strict=True)]
             yield pa.RecordBatch.from_pydict({"raw": pa.array([r for r, _ in got], pa.float64()), "toxic": pa.array([y for _, y in got], pa.int32())})
 
     votes = examples.mapInArrow(left_out, "raw double, toxic int").filter("raw IS NOT NULL").orderBy("raw", "toxic").toArrow()
@@ -247,10 +293,11 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
 
     Null and empty texts get the share of toxic examples without features. Other columns are ignored.
     """
+    shared, curve = model.share(docs.sparkSession), model.curve
 
     def score(batches):
         for batch in slices(batches):
-            got = [model.score(t) for t in batch.column("text").to_pylist()]
+            got = [shared.value.score(t, curve) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column("doc_id").cast(pa.int64()), "score": pa.array([s for s, _ in got], pa.float64()), "predicted": pa.array([int(s >= REJECT_FROM) for s, _ in got], pa.int32()), "nearest": pa.array([n for _, n in got], pa.list_(pa.int64()))}
             )
@@ -260,9 +307,10 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
 
 def reject_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of `docs` that are not predicted toxic, columns as they were."""
+    shared, curve = model.share(docs.sparkSession), model.curve
 
     def keep(batches):
         for batch in slices(batches):
-            yield batch.filter(pa.array([model.score(t)[0] < REJECT_FROM for t in batch.column("text").to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([shared.value.score(t, curve)[0] < REJECT_FROM for t in batch.column("text").to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
