@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -33,6 +34,10 @@ LEAST, SCORES, SUPPORT, MARKS = 0.05, (2.0, 8.0), 2, 3
 # Similarity that votes for the share of toxic examples, so that few or distant neighbours decide little.
 PRIOR = 1.0
 BLOCK = 128
+# A feature that one in so many examples has is kept as a row of weights for all of them; texts are scored so many at once.
+FREQUENT, TOGETHER = 16, 50
+# Words a worker remembers the features of.
+REMEMBERED = 200_000
 REJECT_FROM = 0.7
 
 WORD = re.compile(r"\w+")
@@ -48,16 +53,23 @@ def features(word: str) -> list[str]:
 
 
 class Lexicon(dict):
-    """Numbers of features; knows which words can have beginnings or repeats among them."""
+    """Numbers of features; remembers which of them the words met so far have."""
 
     def __init__(self, known: dict[str, int]):
         super().__init__(known)
-        self.stems = {f[: PREFIXES[0]] for f in known if "-" in f}
-        self.again = {f[: f.index("*")] for f in known if "*" in f}
+        self.again = {known[f]: [(r, known[g]) for r in REPEATS if (g := f"{f}*{r}") in known] for f in {f[: f.index("*")] for f in known if "*" in f} & known.keys()}
+        self.met: dict[str, tuple[int, ...]] = {}
 
     def __reduce__(self):
         return Lexicon, (dict(self),)
 
+    def numbers(self, word: str) -> tuple[int, ...]:
+        got = tuple(self[f] for f in features(word) if f in self)
+        if len(self.met) >= REMEMBERED:
+            self.met.clear()
+        self.met[word] = got
+        return got
+
 
 def counts(text: str | None, known: dict[str, int] | None = None) -> dict:
     """How often each feature occurs in the whole text; with `known`, those in it, by their numbers there."""
@@ -70,15 +82,13 @@ def counts(text: str | None, known: dict[str, int] | None = None) -> dict:
         found.update({f"{f}*{r}": 1 for f, n in found.items() if n >= REPEATS[0] for r in REPEATS if n >= r})
         return found
     known = known if isinstance(known, Lexicon) else Lexicon(known)
-    out = {known[w]: n for w, n in words.items() if w in known}
-    begun: Counter = Counter()
+    out: dict[int, int] = {}
+    met = known.met.get
     for word, n in words.items():
-        if word[: PREFIXES[0]] in known.stems:
-            for f in features(word)[1:]:
-                begun[f] += n
-    out.update({known[f]: n for f, n in begun.items() if f in known})
-    repeated = [(f, n) for part in (words, begun) for f, n in part.items() if n >= REPEATS[0] and f in known.again]
-    out.update({known[f"{f}*{r}"]: 1 for f, n in repeated for r in REPEATS if n >= r and f"{f}*{r}" in known})
+        numbers = met(word)
+        for i in known.numbers(word) if numbers is None else numbers:
+            out[i] = out[i] + n if i in out else n
+    out.update({j: 1 for i in known.again.keys() & out.keys() for r, j in known.again[i] if out[i] >= r})
     return out
 
 
@@ -129,6 +139,14 @@ class Model:
         self.most = np.maximum.reduceat(self.weight, starts) if len(starts) else self.weight  # the largest weight in a part
         self.starts = np.append(starts, len(block)).astype(np.int32)  # of a part's postings
         self.parts = np.searchsorted(starts, self.offsets).astype(np.int32)  # where a feature's parts start
+        self.blocks = len(self.ids) // BLOCK + 1
+        often = np.flatnonzero(np.diff(self.offsets) * FREQUENT > len(self.ids))
+        self.row = np.full(len(self.weights), -1, np.int32)
+        self.row[often] = np.arange(len(often))
+        self.rows = np.zeros((len(often), self.blocks * BLOCK), np.float32)
+        for i, f in enumerate(often.tolist()):
+            mine = slice(self.offsets[f], self.offsets[f + 1])
+            self.rows[i, self.example[mine]] = self.weight[mine]
 
     def __reduce__(self):
         return Model, (self.known, self.weights, self.ids, self.toxic, self.offsets, self.example, self.weight, self.empty_score, self.base)
@@ -145,45 +163,63 @@ class Model:
         w = (1 + np.log(n[order])) * self.weights[at]
         return at, w / (np.sqrt(np.square(w).sum()) or 1.0)
 
-    def nearest(self, at: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of highest cosine, ties to the smaller id; none of similarity 0, nor the one of id `without`."""
-        part, n = gather(at, self.parts)
-        q, block = np.repeat(w, n), self.block[part]
-        reach = np.bincount(block, q * self.most[part])
+    def frequent(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What the frequent features of each vector add to the cosine with each example."""
+        q = np.zeros((len(vectors), len(self.rows)), np.float32)
+        for i, (at, w) in enumerate(vectors):
+            row = self.row[at]
+            q[i, row[row >= 0]] = w[row >= 0]
+        return q @ self.rows
+
+    def nearest(self, at: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int | None = None, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The k examples of highest cosine, ties to the smaller id; none of similarity 0, nor the one of id `without`.
+
+        `known` is what `frequent` gives for the vector. A block reaches at most its best by the frequent features and the
+        largest weights of the others.
+        """
+        known = self.frequent([(at, w)])[0] if known is None else known
+        others = self.row[at] < 0
+        part, n = gather(at[others], self.parts)
+        q, block = np.repeat(w[others], n), self.block[part]
+        reach = known.reshape(self.blocks, BLOCK).max(1) + np.bincount(block, q * self.most[part], self.blocks)
         order = np.argsort(-reach, kind="stable")
         order = order[reach[order] > 0]
         best, scores = np.zeros(0, np.int64), np.zeros(0)
         done, step = 0, 1
-        while done < len(order) and not (len(best) == k and reach[order[done]] * (1 + 1e-9) < scores[-1]):
-            turn = np.zeros(len(reach), bool)
+        while done < len(order) and not (len(best) == k and reach[order[done]] * (1 + 1e-6) < scores[-1]):
+            turn = np.zeros(self.blocks, bool)
             turn[order[done : done + step]] = True
             mine = turn[block]
             posting, n = gather(part[mine], self.starts)
-            total = np.bincount(self.example[posting], np.repeat(q[mine], n) * self.weight[posting])
-            found = np.flatnonzero(total > 0)
+            total = known * np.repeat(turn, BLOCK)
+            total = total + np.bincount(self.example[posting], np.repeat(q[mine], n) * self.weight[posting], len(total))
             if without is not None:
-                found = found[self.ids[found] != without]
-            if len(found) > k:  # all that tie with the k-th stay
-                found = found[total[found] >= np.partition(total[found], -k)[-k]]
+                total[: len(self.ids)][self.ids == without] = 0
+            least = np.partition(total, -k)[-k] if len(total) > k else 0.0
+            found = np.flatnonzero((total >= least) & (total > 0))  # all that tie with the k-th stay
             best, scores = np.concatenate([best, found]), np.concatenate([scores, total[found]])
             top = np.lexsort((self.ids[best], -scores))[:k]
             best, scores = best[top], scores[top]
-            done, step = done + step, 2 * step
+            done, step = done + step, 4 * step
         return best, scores
 
     def vote(self, best: np.ndarray, scores: np.ndarray) -> float:
         return float((scores @ self.toxic[best] + PRIOR * self.base) / (scores.sum() + PRIOR))
 
-    def votes(self, text: str | None, without: int | None = None) -> tuple[float | None, list[int]]:
-        """What the nearest examples vote for, before calibration, and their ids; None without any."""
-        at, w = self.vector(counts(text, self.known))
-        best, scores = self.nearest(at, w, without=without) if len(at) else ((), ())
-        return (self.vote(best, scores), self.ids[best].tolist()) if len(best) else (None, [])
+    def votes(self, texts: list[str | None], without: list[int] | None = None) -> Iterator[tuple[float | None, list[int]]]:
+        """What the nearest examples of each text vote for, before calibration, and their ids; None without any."""
+        for first in range(0, len(texts), TOGETHER):
+            vectors = [self.vector(counts(t, self.known)) for t in texts[first : first + TOGETHER]]
+            for i, ((at, w), known) in enumerate(zip(vectors, self.frequent(vectors), strict=True), first):
+                best, scores = self.nearest(at, w, NEIGHBOURS, without and without[i], known) if len(at) else ((), ())
+                yield (self.vote(best, scores), self.ids[best].tolist()) if len(best) else (None, [])
+
+    def score_all(self, texts: list[str | None], curve: tuple[np.ndarray, np.ndarray]) -> list[tuple[float, list[int]]]:
+        """Calibrated scores of whole texts and the ids of their nearest examples, nearest first."""
+        return [(self.empty_score, []) if raw is None else (0.999 * float(np.interp(raw, *curve)) + 0.001 * raw, ids) for raw, ids in self.votes(texts)]
 
-    def score(self, text: str | None, curve: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[float, list[int]]:
-        """Calibrated score of a whole text and the ids of the nearest examples, nearest first."""
-        raw, ids = self.votes(text)
-        return (self.empty_score, []) if raw is None else (0.999 * float(np.interp(raw, *(curve or self.curve))) + 0.001 * raw, ids)
+    def score(self, text: str | None) -> tuple[float, list[int]]:
+        return self.score_all([text], self.curve)[0]
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -279,7 +315,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = EXAMPLES) -> Model:
     def left_out(batches):
         for batch in slices(batches):
             ids, texts, toxic = (batch.column(c).to_pylist() for c in ("doc_id", "text", "toxic"))
-            got = [(shared.value.votes(t, without=i)[0], int(y == 1)) for i, t, y in zip(ids, texts, toxic, strict=True)]
+            got = [(raw, int(y == 1)) for (raw, _), y in zip(shared.value.votes(texts, ids), toxic, strict=True)]
             yield pa.RecordBatch.from_pydict({"raw": pa.array([r for r, _ in got], pa.float64()), "toxic": pa.array([y for _, y in got], pa.int32())})
 
     votes = examples.mapInArrow(left_out, "raw double, toxic int").filter("raw IS NOT NULL").orderBy("raw", "toxic").toArrow()
@@ -297,7 +333,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
 
     def score(batches):
         for batch in slices(batches):
-            got = [shared.value.score(t, curve) for t in batch.column("text").to_pylist()]
+            got = shared.value.score_all(batch.column("text").to_pylist(), curve)
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column("doc_id").cast(pa.int64()), "score": pa.array([s for s, _ in got], pa.float64()), "predicted": pa.array([int(s >= REJECT_FROM) for s, _ in got], pa.int32()), "nearest": pa.array([n for _, n in got], pa.list_(pa.int64()))}
             )
@@ -311,6 +347,6 @@ def reject_toxic(docs: DataFrame, model: Model) -> DataFrame:
 
     def keep(batches):
         for batch in slices(batches):
-            yield batch.filter(pa.array([shared.value.score(t, curve)[0] < REJECT_FROM for t in batch.column("text").to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([score < REJECT_FROM for score, _ in shared.value.score_all(batch.column("text").to_pylist(), curve)], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
