@@ -3,8 +3,8 @@
 Every word of every example is a feature; word beginnings and repeated words are features too where the labels tie them to
 toxicity. A feature weighs its IDF over all documents times a factor from the labels (`LEAST` to 1), so that words without a
 tie to toxicity count little but none is left out. The index keeps, per feature and block of examples that have it, the
-largest weight; a query visits blocks in the order of what they can reach at most and stops when no block can reach its k-th
-best, so the k nearest are exact. Their votes, weighted by similarity, are calibrated on the examples, each left out once.
+largest weight; a query leaves out the blocks that can't reach its k-th best, so the k nearest are exact. Their votes, weighted
+by similarity, are calibrated on the examples, each left out once.
 
 Only a bounded sample of labelled rows (`EXAMPLES`) becomes examples; every document is counted and scored over its whole text.
 """
@@ -12,9 +12,11 @@ Only a bounded sample of labelled rows (`EXAMPLES`) becomes examples; every docu
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,7 @@ PREFIXES, REPEATS = (4, 5, 6), (2, 4)
 LEAST, SCORES, SUPPORT, MARKS = 0.05, (2.0, 8.0), 2, 3
 # Similarity that votes for the share of toxic examples, so that few or distant neighbours decide little.
 PRIOR = 1.0
-BLOCK = 128
+BLOCK = 512
 # A feature that one in so many examples has is kept as a row of weights for all of them; texts are scored so many at once.
 FREQUENT, TOGETHER = 16, 50
 # Words a worker remembers the features of.
@@ -41,6 +43,8 @@ REMEMBERED = 200_000
 REJECT_FROM = 0.7
 
 WORD = re.compile(r"\w+")
+# Bytes as they are, but a space for what can't be part of a word in ASCII.
+APART = bytes(i if i > 127 or WORD.match(chr(i)) else 32 for i in range(256))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -52,44 +56,89 @@ def features(word: str) -> list[str]:
     return [word, *(f"{word[:n]}-" for n in PREFIXES if len(word) >= n)]
 
 
+def words(text: str | None) -> Counter:
+    """How often each word (`WORD`) occurs in the lower-cased text, by splitting at what is no part of a word first."""
+    n = Counter((text or "").lower().encode().translate(APART).decode().split())
+    for token in [t for t in n if not t.isalnum()]:
+        times = n.pop(token)
+        for word in WORD.findall(token):
+            n[word] += times
+    return n
+
+
+class Met(dict):
+    """Numbers of the words met so far and the features of each, one after the other; words without features share 0."""
+
+    def __init__(self, known: dict[str, int]):
+        super().__init__()
+        self.known, self.features, self.starts = known, array("i"), array("i", [0, 0])
+
+    def __missing__(self, word: str) -> int:
+        self.features.extend(self.known[f] for f in features(word) if f in self.known)
+        if len(self.features) > self.starts[-1]:
+            self.starts.append(len(self.features))
+            self[word] = len(self.starts) - 2
+        else:
+            self[word] = 0
+        return self[word]
+
+
 class Lexicon(dict):
     """Numbers of features; remembers which of them the words met so far have."""
 
     def __init__(self, known: dict[str, int]):
         super().__init__(known)
-        self.again = {known[f]: [(r, known[g]) for r in REPEATS if (g := f"{f}*{r}") in known] for f in {f[: f.index("*")] for f in known if "*" in f} & known.keys()}
-        self.met: dict[str, tuple[int, ...]] = {}
+        self.again = {r: np.full(len(known), -1, np.int32) for r in REPEATS}
+        for f, i in known.items():
+            of, _, r = f.partition("*")
+            if r and of in known:
+                self.again[int(r)][known[of]] = i
+        self.met = Met(self)
 
     def __reduce__(self):
         return Lexicon, (dict(self),)
 
-    def numbers(self, word: str) -> tuple[int, ...]:
-        got = tuple(self[f] for f in features(word) if f in self)
+    def occurrences(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The numbers of the features in each whole text, rising, and how often each occurs in it."""
         if len(self.met) >= REMEMBERED:
-            self.met.clear()
-        self.met[word] = got
-        return got
+            self.met = Met(self)
+        counted = [words(t) for t in texts]
+        text = np.repeat(np.arange(len(texts)), [len(c) for c in counted])
+        times = np.fromiter(chain.from_iterable(c.values() for c in counted), np.int64)
+        numbers = np.fromiter(chain.from_iterable(map(self.met.__getitem__, c) for c in counted), np.int32)
+        at, n = gather(numbers, np.frombuffer(self.met.starts, np.int32))
+        found = np.frombuffer(self.met.features, np.int32)[at] if len(at) else at
+        size = len(self) or 1
+        keys, times = sums(np.repeat(text * size, n) + found, np.repeat(times, n))
+        of = keys % size
+        more = [(r, self.again[r][of]) for r in REPEATS]
+        keys, times = sums(
+            np.concatenate([keys, *((keys - of + j)[(j >= 0) & (times >= r)] for r, j in more)]), np.concatenate([times, *(np.ones(int(((j >= 0) & (times >= r)).sum()), np.int64) for r, j in more)])
+        )
+        ends = np.searchsorted(keys, np.arange(len(texts) + 1) * size).tolist()
+        return [((keys[a:b] - i * size).astype(np.int32), times[a:b]) for i, (a, b) in enumerate(zip(ends, ends[1:], strict=False))]
+
+
+def sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, rising, and the sum of the values of each. Keys are below 2^32, values below 2^31."""
+    both = np.sort(keys << 31 | values)
+    keys = both >> 31
+    first = np.ones(len(keys), bool)
+    first[1:] = keys[1:] != keys[:-1]
+    return keys[first], np.add.reduceat(both & (1 << 31) - 1, np.flatnonzero(first)) if len(keys) else values
 
 
 def counts(text: str | None, known: dict[str, int] | None = None) -> dict:
     """How often each feature occurs in the whole text; with `known`, those in it, by their numbers there."""
-    words = Counter(WORD.findall((text or "").lower()))
-    if known is None:
-        found: Counter = Counter()
-        for word, n in words.items():
-            for f in features(word):
-                found[f] += n
-        found.update({f"{f}*{r}": 1 for f, n in found.items() if n >= REPEATS[0] for r in REPEATS if n >= r})
-        return found
-    known = known if isinstance(known, Lexicon) else Lexicon(known)
-    out: dict[int, int] = {}
-    met = known.met.get
-    for word, n in words.items():
-        numbers = met(word)
-        for i in known.numbers(word) if numbers is None else numbers:
-            out[i] = out[i] + n if i in out else n
-    out.update({j: 1 for i in known.again.keys() & out.keys() for r, j in known.again[i] if out[i] >= r})
-    return out
+    if known is not None:
+        at, n = (known if isinstance(known, Lexicon) else Lexicon(known)).occurrences([text])[0]
+        return dict(zip(at.tolist(), n.tolist(), strict=True))
+    found: Counter = Counter()
+    for word, n in words(text).items():
+        for f in features(word):
+            found[f] += n
+    found.update({f"{f}*{r}": 1 for f, n in found.items() if n >= REPEATS[0] for r in REPEATS if n >= r})
+    return found
 
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
@@ -108,8 +157,8 @@ def gather(at: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The positions `starts[i]` up to `starts[i + 1]` of each i of `at`, one after the other, and how many each has."""
     first = starts[at]
     n = starts[at + 1] - first
-    ends = np.cumsum(n, dtype=np.int32)
-    return np.repeat(first - ends + n, n) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32), n
+    ends = np.cumsum(n)
+    return np.repeat(first - ends + n, n) + np.arange(ends[-1] if len(ends) else 0), n
 
 
 @dataclass
@@ -130,15 +179,16 @@ class Model:
 
     def __post_init__(self) -> None:
         """The parts of the index: what a block holds of a feature."""
-        block = self.example.astype(np.int32) // BLOCK
+        self.offsets, self.example, self.weight = self.offsets.astype(np.int64), self.example.astype(np.int64), self.weight.astype(float)
+        block = self.example // BLOCK
         first = np.ones(len(block), bool)
         first[1:] = block[1:] != block[:-1]
         first[self.offsets[:-1][self.offsets[:-1] < self.offsets[1:]]] = True
-        starts = np.flatnonzero(first).astype(np.int32)
+        starts = np.flatnonzero(first)
         self.block = block[starts]  # of a part
         self.most = np.maximum.reduceat(self.weight, starts) if len(starts) else self.weight  # the largest weight in a part
-        self.starts = np.append(starts, len(block)).astype(np.int32)  # of a part's postings
-        self.parts = np.searchsorted(starts, self.offsets).astype(np.int32)  # where a feature's parts start
+        self.starts = np.append(starts, len(block))  # of a part's postings
+        self.parts = np.searchsorted(starts, self.offsets)  # where a feature's parts start
         self.blocks = len(self.ids) // BLOCK + 1
         often = np.flatnonzero(np.diff(self.offsets) * FREQUENT > len(self.ids))
         self.row = np.full(len(self.weights), -1, np.int32)
@@ -149,7 +199,7 @@ class Model:
             self.rows[i, self.example[mine]] = self.weight[mine]
 
     def __reduce__(self):
-        return Model, (self.known, self.weights, self.ids, self.toxic, self.offsets, self.example, self.weight, self.empty_score, self.base)
+        return Model, (self.known, self.weights, self.ids, self.toxic, self.offsets.astype(np.int32), self.example.astype(np.int32), self.weight.astype(np.float32), self.empty_score, self.base)
 
     def share(self, spark: SparkSession) -> Broadcast:
         """The index sent to the workers once (`EXAMPLES` bounds it); the calibration goes with each job."""
@@ -159,8 +209,10 @@ class Model:
     def vector(self, counted: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         at, n = np.fromiter(counted.keys(), np.int32, len(counted)), np.fromiter(counted.values(), float, len(counted))
         order = np.argsort(at)
-        at = at[order]
-        w = (1 + np.log(n[order])) * self.weights[at]
+        return self.weigh(at[order], n[order])
+
+    def weigh(self, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1 + np.log(n)) * self.weights[at]
         return at, w / (np.sqrt(np.square(w).sum()) or 1.0)
 
     def frequent(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -175,33 +227,29 @@ class Model:
         """The k examples of highest cosine, ties to the smaller id; none of similarity 0, nor the one of id `without`.
 
         `known` is what `frequent` gives for the vector. A block reaches at most its best by the frequent features and the
-        largest weights of the others.
+        largest weights of the others. The k-th best by the frequent features
+        alone is less than the k-th best by all, so blocks that reach less are left out.
         """
         known = self.frequent([(at, w)])[0] if known is None else known
+        if without is not None:
+            known[: len(self.ids)][self.ids == without] = 0
         others = self.row[at] < 0
         part, n = gather(at[others], self.parts)
         q, block = np.repeat(w[others], n), self.block[part]
         reach = known.reshape(self.blocks, BLOCK).max(1) + np.bincount(block, q * self.most[part], self.blocks)
-        order = np.argsort(-reach, kind="stable")
-        order = order[reach[order] > 0]
-        best, scores = np.zeros(0, np.int64), np.zeros(0)
-        done, step = 0, 1
-        while done < len(order) and not (len(best) == k and reach[order[done]] * (1 + 1e-6) < scores[-1]):
-            turn = np.zeros(self.blocks, bool)
-            turn[order[done : done + step]] = True
+        turn = (reach > 0) & (reach * (1 + 1e-6) >= (np.partition(known, -k)[-k] if len(known) > k else 0))
+        if turn.all():
+            q, (posting, n) = w[others], gather(at[others], self.offsets)
+        else:
             mine = turn[block]
-            posting, n = gather(part[mine], self.starts)
-            total = known * np.repeat(turn, BLOCK)
-            total = total + np.bincount(self.example[posting], np.repeat(q[mine], n) * self.weight[posting], len(total))
-            if without is not None:
-                total[: len(self.ids)][self.ids == without] = 0
-            least = np.partition(total, -k)[-k] if len(total) > k else 0.0
-            found = np.flatnonzero((total >= least) & (total > 0))  # all that tie with the k-th stay
-            best, scores = np.concatenate([best, found]), np.concatenate([scores, total[found]])
-            top = np.lexsort((self.ids[best], -scores))[:k]
-            best, scores = best[top], scores[top]
-            done, step = done + step, 4 * step
-        return best, scores
+            q, (posting, n) = q[mine], gather(part[mine], self.starts)
+        total = np.bincount(self.example[posting], np.repeat(q, n) * self.weight[posting], len(known)) + known * np.repeat(turn, BLOCK)
+        if without is not None:
+            total[: len(self.ids)][self.ids == without] = 0
+        least = np.partition(total, -k)[-k] if len(total) > k else 0.0
+        best = np.flatnonzero((total >= least) & (total > 0))  # all that tie with the k-th
+        best = best[np.lexsort((self.ids[best], -total[best]))[:k]]
+        return best, total[best]
 
     def vote(self, best: np.ndarray, scores: np.ndarray) -> float:
         return float((scores @ self.toxic[best] + PRIOR * self.base) / (scores.sum() + PRIOR))
@@ -209,7 +257,7 @@ class Model:
     def votes(self, texts: list[str | None], without: list[int] | None = None) -> Iterator[tuple[float | None, list[int]]]:
         """What the nearest examples of each text vote for, before calibration, and their ids; None without any."""
         for first in range(0, len(texts), TOGETHER):
-            vectors = [self.vector(counts(t, self.known)) for t in texts[first : first + TOGETHER]]
+            vectors = [self.weigh(*found) for found in self.known.occurrences(texts[first : first + TOGETHER])]
             for i, ((at, w), known) in enumerate(zip(vectors, self.frequent(vectors), strict=True), first):
                 best, scores = self.nearest(at, w, NEIGHBOURS, without and without[i], known) if len(at) else ((), ())
                 yield (self.vote(best, scores), self.ids[best].tolist()) if len(best) else (None, [])
@@ -267,9 +315,9 @@ def idf(docs: DataFrame, known: dict[str, int]) -> np.ndarray:
 
     def having(batches):
         n = np.zeros(len(known), np.int64)
-        for batch in slices(batches):
-            for text in batch.column("text").to_pylist():
-                n[list(counts(text, known))] += 1
+        for batch in slices(batches, TOGETHER):
+            for at, _ in known.occurrences(batch.column("text").to_pylist()):
+                n[at] += 1
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_pydict({"at": pa.array(at, pa.int32()), "n": pa.array(n[at], pa.int64())})
 
@@ -291,10 +339,9 @@ def index(known: Lexicon, weights: np.ndarray, examples: pa.Table) -> Model:
     norms = np.sqrt(np.bincount(e, np.square(w), len(lengths)))
     order = np.lexsort((e, f))
     f, e, w = f[order], e[order], (w / norms[e])[order]
-    offsets = np.searchsorted(f, np.arange(len(known) + 1)).astype(np.int32)
+    offsets = np.searchsorted(f, np.arange(len(known) + 1))
     empty = (rest.sum() + 0.5 * bool(len(rest))) / (len(rest) + 1)
-    small = np.uint16 if len(lengths) <= 1 << 16 else np.int32
-    return Model(known, weights, examples["doc_id"].to_numpy(), toxic, offsets, e.astype(small), w.astype(np.float32), float(empty), base)
+    return Model(known, weights, examples["doc_id"].to_numpy(), toxic, offsets, e, w.astype(np.float32), float(empty), base)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = EXAMPLES) -> Model:
