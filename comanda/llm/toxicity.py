@@ -35,7 +35,8 @@ PREFIXES, REPEATS = (4, 5, 6), (2, 4)
 LEAST, SCORES, SUPPORT, MARKS = 0.05, (2.0, 8.0), 2, 3
 # Similarity that votes for the share of toxic examples, so that few or distant neighbours decide little.
 PRIOR = 1.0
-BLOCK = 512
+# Examples in a block of the index, and in the parts of it whose best similarities give a floor for the k-th best of all.
+BLOCK, PART = 1024, 64
 # A feature that one in so many examples has is kept as a row of weights for all of them; texts are scored so many at once.
 FREQUENT, TOGETHER = 16, 50
 # Words a worker remembers the features of.
@@ -98,8 +99,9 @@ class Lexicon(dict):
     def __reduce__(self):
         return Lexicon, (dict(self),)
 
-    def occurrences(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """The numbers of the features in each whole text, rising, and how often each occurs in it."""
+    def found(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What the whole texts have: place of the text times the number of features plus the feature's number, rising, and
+        how often, but for features of repeats; then the same of these, each once."""
         if len(self.met) >= REMEMBERED:
             self.met = Met(self)
         counted = [words(t) for t in texts]
@@ -107,16 +109,26 @@ class Lexicon(dict):
         times = np.fromiter(chain.from_iterable(c.values() for c in counted), np.int64)
         numbers = np.fromiter(chain.from_iterable(map(self.met.__getitem__, c) for c in counted), np.int32)
         at, n = gather(numbers, np.frombuffer(self.met.starts, np.int32))
-        found = np.frombuffer(self.met.features, np.int32)[at] if len(at) else at
-        size = len(self) or 1
-        keys, times = sums(np.repeat(text * size, n) + found, np.repeat(times, n))
-        of = keys % size
-        more = [(r, self.again[r][of]) for r in REPEATS]
-        keys, times = sums(
-            np.concatenate([keys, *((keys - of + j)[(j >= 0) & (times >= r)] for r, j in more)]), np.concatenate([times, *(np.ones(int(((j >= 0) & (times >= r)).sum()), np.int64) for r, j in more)])
-        )
-        ends = np.searchsorted(keys, np.arange(len(texts) + 1) * size).tolist()
-        return [((keys[a:b] - i * size).astype(np.int32), times[a:b]) for i, (a, b) in enumerate(zip(ends, ends[1:], strict=False))]
+        of = np.frombuffer(self.met.features, np.int32)[at] if len(at) else at
+        keys, times = sums(np.repeat(text * len(self), n) + of, np.repeat(times, n))
+        often = keys[times >= REPEATS[0]]
+        n = times[times >= REPEATS[0]]
+        of = often % (len(self) or 1)
+        more = []
+        for r in REPEATS:
+            to = self.again[r][of]
+            more.append((often - of + to)[(to >= 0) & (n >= r)])
+        return keys, times, np.sort(np.concatenate(more))
+
+    def occurrences(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The features in the whole texts, one text after the other: place of the text, number of the feature, rising, and
+        how often it occurs; and where each text's features start."""
+        keys, times, more = self.found(texts)
+        places = np.searchsorted(keys, more)
+        keys, times = np.insert(keys, places, more), np.insert(times, places, 1)
+        starts = np.searchsorted(keys, np.arange(len(texts) + 1) * len(self))
+        text = np.repeat(np.arange(len(texts)), np.diff(starts))
+        return text, (keys - text * len(self)).astype(np.int32), times, starts
 
 
 def sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,7 +143,7 @@ def sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def counts(text: str | None, known: dict[str, int] | None = None) -> dict:
     """How often each feature occurs in the whole text; with `known`, those in it, by their numbers there."""
     if known is not None:
-        at, n = (known if isinstance(known, Lexicon) else Lexicon(known)).occurrences([text])[0]
+        _, at, n, _ = (known if isinstance(known, Lexicon) else Lexicon(known)).occurrences([text])
         return dict(zip(at.tolist(), n.tolist(), strict=True))
     found: Counter = Counter()
     for word, n in words(text).items():
@@ -161,6 +173,11 @@ def gather(at: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(first - ends + n, n) + np.arange(ends[-1] if len(ends) else 0), n
 
 
+def floor(best: np.ndarray, k: int) -> float:
+    """What the k-th best of all reaches at least, by the best of each part; 0 for too few parts."""
+    return float(np.partition(best, -k)[-k]) if len(best) >= k else 0.0
+
+
 @dataclass
 class Model:
     """Index over the examples, by feature and block of examples, and the calibration of their votes."""
@@ -209,11 +226,16 @@ class Model:
     def vector(self, counted: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         at, n = np.fromiter(counted.keys(), np.int32, len(counted)), np.fromiter(counted.values(), float, len(counted))
         order = np.argsort(at)
-        return self.weigh(at[order], n[order])
+        w = (1 + np.log(n[order])) * self.weights[at[order]]
+        return at[order], w / (np.sqrt(np.square(w).sum()) or 1.0)
 
-    def weigh(self, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def vectors(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """`vector` of the counts of each text."""
+        text, at, n, starts = self.known.occurrences(texts)
         w = (1 + np.log(n)) * self.weights[at]
-        return at, w / (np.sqrt(np.square(w).sum()) or 1.0)
+        norms = np.sqrt(np.bincount(text, np.square(w), len(texts)))
+        w /= np.where(norms > 0, norms, 1)[text]
+        return [(at[a:b], w[a:b]) for a, b in zip(starts.tolist(), starts[1:].tolist(), strict=False)]
 
     def frequent(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """What the frequent features of each vector add to the cosine with each example."""
@@ -236,18 +258,19 @@ class Model:
         others = self.row[at] < 0
         part, n = gather(at[others], self.parts)
         q, block = np.repeat(w[others], n), self.block[part]
-        reach = known.reshape(self.blocks, BLOCK).max(1) + np.bincount(block, q * self.most[part], self.blocks)
-        turn = (reach > 0) & (reach * (1 + 1e-6) >= (np.partition(known, -k)[-k] if len(known) > k else 0))
+        best = known.reshape(-1, PART).max(1)
+        reach = best.reshape(self.blocks, -1).max(1) + np.bincount(block, q * self.most[part], self.blocks)
+        turn = (reach > 0) & (reach * (1 + 1e-6) >= floor(best, k))
         if turn.all():
             q, (posting, n) = w[others], gather(at[others], self.offsets)
         else:
             mine = turn[block]
             q, (posting, n) = q[mine], gather(part[mine], self.starts)
-        total = np.bincount(self.example[posting], np.repeat(q, n) * self.weight[posting], len(known)) + known * np.repeat(turn, BLOCK)
+            known = known * np.repeat(turn, BLOCK)
+        total = np.bincount(self.example[posting], np.repeat(q, n) * self.weight[posting], len(known)) + known
         if without is not None:
             total[: len(self.ids)][self.ids == without] = 0
-        least = np.partition(total, -k)[-k] if len(total) > k else 0.0
-        best = np.flatnonzero((total >= least) & (total > 0))  # all that tie with the k-th
+        best = np.flatnonzero(total >= (floor(total.reshape(-1, PART).max(1), k) or np.finfo(float).tiny))  # with all that tie
         best = best[np.lexsort((self.ids[best], -total[best]))[:k]]
         return best, total[best]
 
@@ -257,7 +280,7 @@ class Model:
     def votes(self, texts: list[str | None], without: list[int] | None = None) -> Iterator[tuple[float | None, list[int]]]:
         """What the nearest examples of each text vote for, before calibration, and their ids; None without any."""
         for first in range(0, len(texts), TOGETHER):
-            vectors = [self.weigh(*found) for found in self.known.occurrences(texts[first : first + TOGETHER])]
+            vectors = self.vectors(texts[first : first + TOGETHER])
             for i, ((at, w), known) in enumerate(zip(vectors, self.frequent(vectors), strict=True), first):
                 best, scores = self.nearest(at, w, NEIGHBOURS, without and without[i], known) if len(at) else ((), ())
                 yield (self.vote(best, scores), self.ids[best].tolist()) if len(best) else (None, [])
@@ -315,9 +338,10 @@ def idf(docs: DataFrame, known: dict[str, int]) -> np.ndarray:
 
     def having(batches):
         n = np.zeros(len(known), np.int64)
-        for batch in slices(batches, TOGETHER):
-            for at, _ in known.occurrences(batch.column("text").to_pylist()):
-                n[at] += 1
+        for batch in slices(batches):
+            texts = batch.column("text").to_pylist()
+            got = [k for i in range(0, len(texts), TOGETHER) for k in known.found(texts[i : i + TOGETHER])[::2]]
+            n[:] += np.bincount(np.concatenate(got) % (len(known) or 1), minlength=len(n)) if texts else 0
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_pydict({"at": pa.array(at, pa.int32()), "n": pa.array(n[at], pa.int64())})
 
