@@ -55,12 +55,11 @@ def store_samples(df: DataFrame, sizes: DataFrame, keys: Sequence[str], ids: Seq
     """
     hashed = df.join(broadcast_if_small(sizes), list(keys)).withColumn("_md5", F.md5(F.concat_ws("|", *ids)))
     share = F.least(F.lit(1.0), F.lit(2.0 * (rows + 100)) / F.col("_n"))
-    draws = F.transform(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: F.struct(t.alias("tree"), F.pmod(_hex(F.col("_md5"), 1) * (t + 1) + _hex(F.col("_md5"), 9), F.lit(DRAWS)).alias("draw")),
-    )
-    each = hashed.select(*{*keys, *ids, *features}, F.explode(F.filter(draws, lambda d: d["draw"] <= share * DRAWS)).alias("_d"))
-    each = each.select(*keys, *ids_beside(ids, keys), *features, "_d.tree", "_d.draw")
+    hashed = hashed.select(*{*keys, *ids, *features}, _hex(F.col("_md5"), 1).alias("_a"), _hex(F.col("_md5"), 9).alias("_b"), (share * DRAWS).alias("_most"))
+    # the halves are read from the hash below the explode, so once per row, not once per tree
+    each = hashed.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    each = each.withColumn("draw", F.pmod(F.col("_a") * (F.col("tree") + 1) + F.col("_b"), F.lit(DRAWS))).filter(F.col("draw") <= F.col("_most"))
+    each = each.select(*keys, *ids_beside(ids, keys), *features, "tree", "draw")
     numbered = each.withColumn(place or "_place", F.row_number().over(W.partitionBy(*keys, "tree").orderBy("draw", *ids)))
     return numbered.filter(F.col(place or "_place") <= rows).select(*keys, "tree", *features, *([place] if place else []))
 

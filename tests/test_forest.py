@@ -85,3 +85,25 @@ def test_quantile_by_group(spark):
     for rows in (10, 10_000):
         got = {r["g"]: r["quantile"] for r in exact_quantile(spark.createDataFrame(pdf), "v", 0.05, rows, by=["g"]).collect()}
         assert got == pytest.approx(want)
+
+
+def test_samples_hash_a_row_once(spark, tmp_path):
+    import hashlib
+
+    ids = [("S1", f"k{i}") for i in range(700)] + [("S2", f"k{i}") for i in range(5)]
+    spark.createDataFrame([(s, k, float(i)) for i, (s, k) in enumerate(ids)], "store_id string, sku_id string, x double").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    drawn = forest.store_samples(table, forest.store_sizes(table, ["store_id"]), ["store_id"], ["store_id", "sku_id"], ["x"], 7, 20, place="n")
+    want = set()
+    for store in ("S1", "S2"):
+        for tree in range(7):
+            draws = []
+            for i, (s, k) in enumerate(ids):
+                h = hashlib.md5(f"{s}|{k}".encode()).hexdigest()
+                if s == store:
+                    draws.append(((int(h[:8], 16) * (tree + 1) + int(h[8:16], 16)) % forest.DRAWS, k, float(i)))
+            want |= {(store, tree, x, n) for n, (_, _, x) in enumerate(sorted(draws)[:20], 1)}
+    assert {tuple(r) for r in drawn.collect()} == want
+    # the hash is read below the rows' trees, not in a function of each tree
+    plan = drawn._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and plan.index("Generate") < plan.index("conv(")
