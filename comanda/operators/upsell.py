@@ -51,6 +51,12 @@ def cells(rows: DataFrame, features: Sequence[str] = UPSELL_FEATURES) -> DataFra
     return rows.groupBy(*features, "label").agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 
+def one_part(weighted: DataFrame, features: Sequence[str] = UPSELL_FEATURES) -> DataFrame:
+    """The cells, in order, in one cached partition for the steps of a fit. They are summed in the tasks of their own
+    shuffle before: a single task would hold a hash table for each of its partitions."""
+    return weighted.repartition(1).sortWithinPartitions(*features, "label").cache()
+
+
 @dataclass(frozen=True)
 class Scaling:
     mean: dict[str, float]
@@ -90,7 +96,7 @@ class LogisticModel:
 
 def fit_logistic(train: DataFrame, features: Sequence[str] = UPSELL_FEATURES, c: float = 1.0) -> LogisticModel:
     """Logistic regression with an L2 penalty of strength 1/c on features scaled by the training rows."""
-    weighted = cells(train, features).coalesce(1).cache()  # a row per combination of feature values
+    weighted = one_part(cells(train, features), features)
     scaling, n = fit_scaling(weighted, features)
     scaled = VectorAssembler(inputCols=[f"z_{f}" for f in features], outputCol="features").transform(
         scaling.apply(weighted)
@@ -207,7 +213,7 @@ def fit_tree(train: DataFrame, features: Sequence[str] = UPSELL_FEATURES, depth:
     but keeps leaves apart that differ in probability and not in class. The rows are weighted cells, so the leaf
     size is a share of the weight.
     """
-    weighted = cells(train, features).coalesce(1).cache()  # a row per combination of feature values
+    weighted = one_part(cells(train, features), features)
     n, *distinct = weighted.agg(F.sum("weight"), *[F.count_distinct(f) for f in features]).first()
     vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(weighted)
     model = DecisionTreeRegressor(

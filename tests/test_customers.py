@@ -208,3 +208,21 @@ def test_customer_table_keeps_returning_customers(spark):
     rows = segment.customer_table(visits).collect()
     assert [(r["customer_id"], r["visits"], r["avg_spend"]) for r in rows] == [("a", 2, 15.0)]
     assert tuple(segment.repeat_share(visits).first()) == (2, 1, 0.8)
+
+
+def test_cells_are_summed_before_they_meet_in_one_task(spark):
+    rows = [(i, *[i // 2**j % 2 for j in range(len(UPSELL_FEATURES))], i % 3 % 2) for i in range(300)]
+    df = spark.createDataFrame(rows, ["visit_id", *UPSELL_FEATURES, "label"])
+    kept = []
+    one_part, upsell.one_part = upsell.one_part, lambda *a: kept.append(one_part(*a)) or kept[-1]
+    try:
+        upsell.fit_logistic(df)
+        upsell.fit_tree(df)
+    finally:
+        upsell.one_part = one_part
+    assert len(kept) == 2
+    for weighted in kept:
+        # without a shuffle one task would run every partition of the aggregate
+        assert "Repartition 1, true" in weighted._jdf.queryExecution().optimizedPlan().toString()
+        assert weighted.rdd.getNumPartitions() == 1
+        assert sorted(map(tuple, weighted.collect())) == sorted(map(tuple, upsell.cells(df).collect()))
