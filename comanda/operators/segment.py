@@ -105,7 +105,8 @@ def fit_kmeans(
     """
     if max(ks) > (n := points.count()):
         raise ValueError(f"{max(ks)} segments asked of {n} rows")
-    vectors = feature_vectors(points, features).select("features").persist()
+    # not persisted here: MLlib holds the rows of a fit itself then, else every step decodes the persisted columns again
+    vectors = feature_vectors(points, features).select("features")
 
     def fitted(start: tuple[int, int]) -> tuple[float, list[list[float]]]:
         model = KMeans(k=start[0], seed=seed + start[1], maxIter=max_iter, tol=tol).fit(vectors)
@@ -119,7 +120,6 @@ def fit_kmeans(
         _, centres = min(fits[k, i] for i in range(n_init))
         cost = assign(points, centres, features).agg(F.sum("sq_distance")).first()[0]
         out[k] = Clustering(centres, float(cost))
-    vectors.unpersist()
     return out
 
 

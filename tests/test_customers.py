@@ -226,3 +226,18 @@ def test_cells_are_summed_before_they_meet_in_one_task(spark):
         assert "Repartition 1, true" in weighted._jdf.queryExecution().optimizedPlan().toString()
         assert weighted.rdd.getNumPartitions() == 1
         assert sorted(map(tuple, weighted.collect())) == sorted(map(tuple, upsell.cells(df).collect()))
+
+
+def test_the_rows_of_a_fit_are_held_by_mllib(points, monkeypatch):
+    levels, whole = [], segment.KMeans
+
+    class Watched(whole):
+        def fit(self, vectors):
+            levels.append(vectors.storageLevel)
+            return super().fit(vectors)
+
+    monkeypatch.setattr(segment, "KMeans", Watched)
+    df, _ = points
+    segment.fit_kmeans(df, [2], n_init=2)
+    # what is persisted already is decoded again in every step
+    assert len(levels) == 2 and not any(x.useMemory or x.useDisk for x in levels)
