@@ -178,6 +178,10 @@ def floor(best: np.ndarray, k: int) -> float:
     return float(np.partition(best, -k)[-k]) if len(best) >= k else 0.0
 
 
+# What `Model.prepare` makes.
+PREPARED = {"block", "most", "starts", "parts", "blocks", "row", "rows"}
+
+
 @dataclass
 class Model:
     """Index over the examples, by feature and block of examples, and the calibration of their votes."""
@@ -194,7 +198,14 @@ class Model:
     curve: tuple[np.ndarray, np.ndarray] = (np.zeros(1), np.zeros(1))
     shared: Broadcast | None = field(default=None, repr=False)
 
-    def __post_init__(self) -> None:
+    def __getattr__(self, name: str):
+        """The parts of the index are made when they are first asked for: where texts are searched, not in the driver."""
+        if name not in PREPARED:
+            raise AttributeError(name)
+        self.prepare()
+        return self.__dict__[name]
+
+    def prepare(self) -> None:
         """The parts of the index: what a block holds of a feature."""
         self.offsets, self.example, self.weight = self.offsets.astype(np.int64), self.example.astype(np.int64), self.weight.astype(float)
         block = self.example // BLOCK
@@ -216,7 +227,7 @@ class Model:
             self.rows[i, self.example[mine]] = self.weight[mine]
 
     def __reduce__(self):
-        return Model, (self.known, self.weights, self.ids, self.toxic, self.offsets.astype(np.int32), self.example.astype(np.int32), self.weight.astype(np.float32), self.empty_score, self.base)
+        return Model, (self.known, self.weights, self.ids, self.toxic, self.offsets.astype(np.int32, copy=False), self.example.astype(np.int32, copy=False), self.weight.astype(np.float32, copy=False), self.empty_score, self.base)
 
     def share(self, spark: SparkSession) -> Broadcast:
         """The index sent to the workers once (`EXAMPLES` bounds it); the calibration goes with each job."""
@@ -357,15 +368,21 @@ def index(known: Lexicon, weights: np.ndarray, examples: pa.Table) -> Model:
     lengths = examples["at"].combine_chunks().value_lengths().to_numpy()
     toxic = (examples["toxic"].to_numpy() == 1).astype(float)
     base, rest = float(toxic.mean()) if len(toxic) else 0.0, toxic[lengths == 0]
-    e = np.repeat(np.arange(len(lengths)), lengths)
-    f = examples["at"].combine_chunks().flatten().to_numpy().astype(np.int64)
-    w = (1 + np.log(examples["n"].combine_chunks().flatten().to_numpy())) * weights[f]
-    norms = np.sqrt(np.bincount(e, np.square(w), len(lengths)))
-    order = np.lexsort((e, f))
-    f, e, w = f[order], e[order], (w / norms[e])[order]
-    offsets = np.searchsorted(f, np.arange(len(known) + 1))
+    ids = examples["doc_id"].to_numpy()
+    f = examples["at"].combine_chunks().flatten().to_numpy()
+    w = np.log(examples["n"].combine_chunks().flatten().to_numpy(), dtype=float)
+    del examples
+    # postings are millions: in place, and no wider than they have to be
+    w += 1
+    w *= weights[f]
+    e = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+    w /= np.sqrt(np.bincount(e, np.square(w), len(lengths)))[e]
+    w = w.astype(np.float32)
+    order = np.argsort(f, kind="stable")  # examples rise already
+    e, w = e[order], w[order]
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(f, minlength=len(known)))]).astype(np.int32)
     empty = (rest.sum() + 0.5 * bool(len(rest))) / (len(rest) + 1)
-    return Model(known, weights, examples["doc_id"].to_numpy(), toxic, offsets, e, w.astype(np.float32), float(empty), base)
+    return Model(known, weights, ids, toxic, offsets, e, w, float(empty), base)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = EXAMPLES) -> Model:
