@@ -18,7 +18,7 @@ lines = "visit_id BIGINT, foods ARRAY<STRING>, arrival_hour BIGINT, ts TIMESTAMP
 rows = [(1, ["f0"], 18, datetime(2026, 7, 1, 18)), (1, ["f1"], 19, datetime(2026, 7, 1, 19))]
 spark.createDataFrame(rows, lines).write.parquet("in")
 changed = jobs.open_orders(jobs.order_stream(spark, "in", lines))
-write = lambda batch, i: batch.write.mode("overwrite").parquet("out")
+write = lambda batch, i: batch.write.mode("append").parquet("out")
 jobs.finish(changed.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", "state").trigger(availableNow=True).start())
 print([tuple(r) for r in spark.read.parquet("out").select("visit_id", "arrival_hour", "foods").collect()])
 spark.stop()
