@@ -22,8 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comanda.llm.common import slices
-from comanda.session import materialise
+from comanda.llm.common import let_go, remove_written, slices, written
 
 ORDER, BACKOFF, MIN_COUNT = 3, 0.4, 2
 # Words of a unit, and distinct words and n-grams asked of a partition, about.
@@ -74,15 +73,20 @@ def unpack_words(data: bytes) -> list[bytes]:
 
 def distinct(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The sorted different keys of two halves each, and where each key is among them."""
-    order = np.lexsort((low, high)) if high.any() else np.argsort(low)
+    order = places(np.lexsort((low, high)) if high.any() else np.argsort(low))
     high, low = high[order], low[order]
     first = np.ones(len(order), bool)
     first[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
-    at = np.empty(len(order), np.int64)
-    at[order] = np.cumsum(first) - 1
+    at = np.empty_like(order)
+    at[order] = np.cumsum(first, dtype=order.dtype) - 1
     return high[first], low[first], at
 
 
+def places(at: np.ndarray) -> np.ndarray:
+    """Positions, or numbers that are not more, in four bytes if those are enough: a worker holds several per n-gram."""
+    return at.astype(np.int32) if len(at) < 1 << 31 else at
+
+
 def grams(words: np.ndarray, place: np.ndarray, order: int, bits: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For 2 to `order` words: positions of last words, and the upper and lower halves of the keys.
 
@@ -130,7 +134,7 @@ def units(docs: DataFrame, size: int) -> DataFrame:
             yield row(ids, lengths, held, numbers)
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return materialise(slim.mapInArrow(gather, schema).withColumn("unit", F.monotonically_increasing_id()))
+    return written(slim.mapInArrow(gather, schema).withColumn("unit", F.monotonically_increasing_id()))
 
 
 def numbered(packed: DataFrame) -> DataFrame:
@@ -180,7 +184,7 @@ def numbered(packed: DataFrame) -> DataFrame:
     answers = packed.select("unit", "known", "words").mapInArrow(ask, "unit long, part long, known binary, n binary").groupBy("part")
     answers = answers.applyInPandas(answer, "unit long, part long, numbers binary, totals binary, most long")
     answers = answers.groupBy("unit").agg(F.collect_list(F.struct("part", "numbers", "totals", "most")).alias("answers"))
-    return materialise(packed.join(answers, "unit", "left").mapInArrow(put, "unit long, docs array<long>, lengths binary, words binary, numbers binary, totals binary, most long"))
+    return written(packed.join(answers, "unit", "left").mapInArrow(put, "unit long, docs array<long>, lengths binary, words binary, numbers binary, totals binary, most long"))
 
 
 def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, min_count: int = MIN_COUNT, unit: int = UNIT_WORDS) -> DataFrame:
@@ -190,10 +194,12 @@ def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, min_co
     own frequency, without a penalty. A null or empty text has no words and the score 0. Repeated rows are scored, and
     counted, each; other columns are ignored. An empty table gives no rows.
     """
-    packed = units(docs, unit)
-    total = packed.agg(F.sum("n_words")).first()[0] or 0
-    packed = numbered(packed)
+    unnumbered = units(docs, unit)
+    total = unnumbered.agg(F.sum("n_words")).first()[0] or 0
+    packed = numbered(unnumbered)
+    remove_written([unnumbered])
     bits = int(packed.agg(F.max("most")).first()[0] or 1).bit_length()
+    let_go(docs.sparkSession)  # once more: right after a table is written, Spark's listeners may still hold its plan
     parts = max(1, -(-total * (order - 1) // PARTITION_KEYS))
 
     def keys_of(row: dict):
@@ -202,27 +208,32 @@ def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, min_co
         place = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         by_order = grams(unpack(row["numbers"], "<u8")[words], place, order, bits)
         none = np.zeros(0, np.uint64)
-        high, low, at = distinct(np.concatenate([none, *(h for _, h, _ in by_order)]), np.concatenate([none, *(x for _, _, x in by_order)]))
-        part = ((mix(mix(low + GOLD) ^ high) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-        dealt = np.argsort(part, kind="stable")
-        return [w for w, _, _ in by_order], words, place, lengths, high[dealt], low[dealt], at, dealt, np.searchsorted(part[dealt], np.arange(parts + 1))
+        where, high, low = [w for w, _, _ in by_order], np.concatenate([none, *(h for _, h, _ in by_order)]), np.concatenate([none, *(x for _, _, x in by_order)])
+        del by_order
+        high, low, at = distinct(high, low)
+        part = places(((mix(mix(low + GOLD) ^ high) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32))
+        dealt = places(np.argsort(part, kind="stable"))
+        return where, words, place, lengths, high, low, at, dealt, np.searchsorted(part[dealt], np.arange(parts + 1))
 
     def ask(batches):
         for batch in slices(batches, 1):
             for row in batch.to_pylist():
-                *_, high, low, at, dealt, cuts = keys_of(row)
-                n = np.bincount(at, minlength=len(low))[dealt]
-                out = [(p, pack_sorted(high[a:b]), pack_sorted(low[a:b]), pack(n[a:b].astype("<u4"))) for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
+                high, low, at, dealt, cuts = keys_of(row)[4:]
+                n = np.bincount(at, minlength=len(low)).astype("<u4")
+                del at
+                out = [(p, pack_sorted(high[dealt[a:b]]), pack_sorted(low[dealt[a:b]]), pack(n[dealt[a:b]])) for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
                 if out:
                     arrays = {"unit": pa.array([row["unit"]] * len(out), pa.int64()), "part": pa.array([x[0] for x in out], pa.int64())}
                     yield pa.RecordBatch.from_pydict(arrays | {name: pa.array([x[i] for x in out], pa.binary()) for i, name in enumerate(("high", "low", "n"), 1)})
 
     def answer(group: pd.DataFrame) -> pd.DataFrame:
         low = [unpack_sorted(k) for k in group["low"]]
-        _, _, at = distinct(np.concatenate([unpack_sorted(k) for k in group["high"]]), np.concatenate(low))
+        ends = np.cumsum([len(k) for k in low])[:-1]
+        low = np.concatenate(low)
+        at = distinct(np.concatenate([unpack_sorted(k) for k in group["high"]]), low)[2]
+        del low
         n = np.bincount(at, np.concatenate([unpack(c, "<u4") for c in group["n"]])).astype(np.int64)
         n[n < min_count] = 0
-        ends = np.cumsum([len(k) for k in low])[:-1]
         return pd.DataFrame({"unit": group["unit"], "part": group["part"], "found": [pack(n[x].astype("<u8")) for x in np.split(at, ends)]})
 
     def score(batches):
