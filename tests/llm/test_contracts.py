@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pytest
 from compare import compare, duck
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from comanda.llm import dedup, packing, pii, quality, sharding, toxicity
@@ -155,3 +156,42 @@ def test_sizes_and_hashes_of_shards(spark, small):
     rows = QUERIES["op5_sharding"](spark, small).collect()
     texts = {r["doc_id"]: (r["text"] or "").encode() for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     assert all((r["size"], r["text_crc32"]) == (len(texts[r["doc_id"]]) + 16, zlib.crc32(texts[r["doc_id"]])) for r in rows)
+
+
+def test_idf_counts_every_shingle_over_leading_texts(spark, monkeypatch):
+    # units of few shingles and many partitions, copies, repeated rows and a null; all but exact copies lead
+    monkeypatch.setattr(dedup, "UNIT_ELEMENTS", 60)
+    monkeypatch.setattr(dedup, "PARTITION_KEYS", 100)
+    rng = np.random.default_rng(5)
+    texts = [" ".join(str(x) for x in [*rng.integers(5000, size=20), *range(i % 3 * 10), *["again"] * (i % 7)]) for i in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts * 2)] + [(0, texts[0])] * 3 + [(500, None), (501, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    keyed = docs.select("doc_id", "text", *dedup.text_keys(F.col("text")))
+    of_key = {(r["k1"], r["k2"]): r["text"] or "" for r in keyed.collect()}
+    out, of = dedup.sketched(docs, keyed.select("k1", "k2").distinct())
+    got = out.collect()
+    assert of == len(got) == 61
+    every = collections.Counter(s for t in set(of_key.values()) for s in set(dedup.shingles(t).tolist()))
+    assert max(every.values()) == 40
+    for r in got:
+        s = np.unique(dedup.shingles(of_key[r["k1"], r["k2"]]))
+        n = np.ones(len(s), np.int64)
+        places, counts = np.frombuffer(r["often"], "<u4").reshape(2, -1)
+        n[places] = counts
+        assert n.tolist() == [every[x] for x in s.tolist()]
+    assert dedup.weight(np.array([1, 7, 49]), 49) == pytest.approx([1.0, 0.75, 0.5])
+
+
+def test_a_passage_of_one_text_in_forty_weighs_less(spark):
+    # 10 of 400 texts share 82% of their shingles but none is in more than 5% of all texts
+    common = [f"c{i}" for i in range(94)]
+    texts = [" ".join([*common, *(f"u{i}x{j}" for j in range(10))]) if i < 10 else " ".join(f"w{i}x{j}" for j in range(30)) for i in range(400)]
+    nodes = spark.createDataFrame([(i, i, i, None, t) for i, t in enumerate(texts)], "doc_id long, node long, rep_doc long, plain binary, text string")
+    docs = nodes.select("doc_id", "text")
+    keyed = nodes.select("node", "rep_doc", *dedup.text_keys(F.col("text")))
+    out, of = dedup.sketched(docs, keyed)  # all lead
+    held = dedup._elements_of(docs, keyed.join(out, ["k1", "k2"]), keyed.filter("node < 2").select("node"), of).collect()
+    s, w = [np.frombuffer(r["s"], np.uint64) for r in held], [np.frombuffer(r["w"]) for r in held]
+    plain = dedup.similarities(s[:1], s[1:], [np.ones(len(s[0]))], [np.ones(len(s[1]))])[0, 0]
+    light = 1 - np.log(10) / np.log(400) / 2
+    assert plain == pytest.approx(90 / 110) and dedup.similarities(s[:1], s[1:], w[:1], w[1:])[0, 0] == pytest.approx(90 * light / (90 * light + 20)) and 90 * light / (90 * light + 20) < 0.8
