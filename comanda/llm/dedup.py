@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from comanda.llm.common import remove_written, slices, written
+from comanda.llm.common import let_go, remove_written, slices, written
 from comanda.llm.ngram import pack, pack_sorted, unpack, unpack_sorted
 from comanda.session import materialise
 
@@ -41,7 +41,7 @@ SAMPLES = BANDS * ROWS
 LIKELY = 20
 LEAST_WEIGHT = 0.5
 # Shingles and texts of a unit at most (a text is never cut), and shingles asked of a partition, about.
-UNIT_ELEMENTS, UNIT_TEXTS, PARTITION_KEYS = 500_000, 50_000, 4_000_000
+UNIT_ELEMENTS, UNIT_TEXTS, PARTITION_KEYS = 500_000, 50_000, 2_000_000
 # Members of a bucket compared in one task.
 BLOCK_MEMBERS = 1000
 # Elements of a zone held by one block, and columns of an incidence matrix held at once.
@@ -128,9 +128,9 @@ def _tables() -> list[np.ndarray]:
     """Draws of the variates r, log c and beta, sorted by the value they give a weight of 1, that value, and a factor per sample."""
     if not _TABLES:
         rng = np.random.default_rng(20)
-        r, c = rng.gamma(2.0, 1.0, 1 << DRAWS), np.log(rng.gamma(2.0, 1.0, 1 << DRAWS))
-        beta = rng.random(1 << DRAWS)
-        value = c - r * (1 - beta)
+        r, c = (rng.gamma(2.0, 1.0, 1 << DRAWS).astype(np.float32) for _ in range(2))
+        c, beta = np.log(c), rng.random(1 << DRAWS).astype(np.float32)
+        value = c - r * (1 - beta.astype(np.float64))
         order = np.argsort(value)
         _TABLES.extend([r[order], c[order], beta[order], value[order], mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * GOLD) | np.uint64(1)])
     return _TABLES
@@ -240,7 +240,7 @@ def _units(docs: DataFrame, leaders: DataFrame) -> DataFrame:
         s, times = np.concatenate([s for s, _ in held]), np.concatenate([n for _, n in held])
         k1, k2, leads = (np.array(x, kind) for x, kind in zip(zip(*keys, strict=True), ("<i8", "<i8", bool), strict=True))
         lengths = np.array([len(s) for s, _ in held], "<i4")
-        binary = [x.tobytes() for x in (k1, k2, lengths, s)] + [pack(times.astype("<u4")), leads.tobytes()]
+        binary = [x.tobytes() for x in (k1, k2, lengths)] + [pack_sorted(s), pack(times.astype("<u4")), leads.tobytes()]  # s ascends within a text, where one ends differences wrap
         arrays = [pa.array([x], pa.binary()) for x in binary] + [pa.array([int(leads.sum())], pa.int64()), pa.array([len(s)], pa.int64())]
         return pa.RecordBatch.from_arrays(arrays, ["k1", "k2", "lengths", "s", "times", "leads", "n_leaders", "n_shingles"])
 
@@ -271,7 +271,7 @@ def _shared(units: DataFrame, total: int) -> DataFrame:
     def ask(batches):
         for batch in slices(batches, 1):
             for unit, s, lengths, leads in zip(*(batch.column(c).to_pylist() for c in ("unit", "s", "lengths", "leads")), strict=True):
-                s, counts = np.frombuffer(s, np.uint64), np.repeat(np.frombuffer(leads, bool), np.frombuffer(lengths, "<i4"))
+                s, counts = unpack_sorted(s), np.repeat(np.frombuffer(leads, bool), np.frombuffer(lengths, "<i4"))
                 order = np.argsort(s)
                 s, counts = s[order], counts[order]
                 first = np.flatnonzero(np.diff(s, prepend=~s[:1]))
@@ -297,7 +297,7 @@ def _shared(units: DataFrame, total: int) -> DataFrame:
             hits.append(at[here])
             total[hits[-1]] += k[here]
         hits = [x[total[x] > 1] for x in hits]
-        return pd.DataFrame({"unit": group["unit"], "part": group["part"], "s": [several[x].tobytes() for x in hits], "n": [total[x].astype("<u4").tobytes() for x in hits]})
+        return pd.DataFrame({"unit": group["unit"], "part": group["part"], "s": [pack_sorted(several[x]) if len(x) else b"" for x in hits], "n": [pack(total[x].astype("<u4")) for x in hits]})
 
     answers = units.select("unit", "s", "lengths", "leads").mapInArrow(ask, "unit long, part long, s binary, n binary").groupBy("part")
     answers = answers.applyInPandas(answer, "unit long, part long, s binary, n binary").filter(F.octet_length("s") > 0)
@@ -321,16 +321,20 @@ def sketched(docs: DataFrame, leaders: DataFrame) -> tuple[DataFrame, int]:
     units = _units(docs, leaders)
     sums = units.agg(F.sum("n_leaders"), F.sum("n_shingles")).first()
     of, total = sums[0] or 0, sums[1] or 0
+    let_go(docs.sparkSession)  # once more, and below: right after a table is written, Spark's listeners may still hold its plan
     answers = _shared(units, total)
+    answers.count()
+    let_go(docs.sparkSession)
 
     def sketch(batches):
         for batch in slices(batches, 1):
             for row in batch.to_pylist():
                 k1, k2 = (np.frombuffer(row[c], "<i8") for c in ("k1", "k2"))
-                s, times = np.frombuffer(row["s"], np.uint64), unpack(row["times"], "<u4").astype(np.int64)
+                s, times = unpack_sorted(row["s"]), unpack(row["times"], "<u4").astype(np.int64)
                 ends = np.cumsum(np.frombuffer(row["lengths"], "<i4").astype(np.int64)).tolist()
                 got = sorted(((a["part"], a["s"], a["n"]) for a in row["answers"] or ()), key=lambda a: a[0])
-                several, n = np.frombuffer(b"".join(a[1] for a in got), np.uint64), np.frombuffer(b"".join(a[2] for a in got), "<u4")
+                several = np.concatenate([np.zeros(0, np.uint64), *(unpack_sorted(a[1]) for a in got)])
+                n = np.concatenate([np.zeros(0, "<u4"), *(unpack(a[2], "<u4") for a in got)])
                 count = np.ones(len(s), "<u4")
                 if len(several):
                     at = np.minimum(np.searchsorted(several, s), len(several) - 1)
@@ -345,6 +349,8 @@ def sketched(docs: DataFrame, leaders: DataFrame) -> tuple[DataFrame, int]:
 
     out = written(units.join(answers, "unit", "left").mapInArrow(sketch, "k1 long, k2 long, sig binary, often binary"))
     remove_written([units, answers])
+    out.count()
+    let_go(docs.sparkSession)
     return out, of
 
 
