@@ -31,8 +31,6 @@ RUN = (WINDOW - BLOCK + 1) // BLOCK
 # Rows sent to the JVM at once, and texts a worker reads at once.
 SEND_ROWS, TEXTS = 50_000, 200
 
-# Hashes of words kept by a worker; beyond it the table starts anew.
-KEPT_WORDS = 200_000
 FACTORS = np.random.default_rng(13).integers(1 << 62, size=(2, WINDOW), dtype=np.uint64) * np.uint64(4) + np.uint64(1)
 
 
@@ -41,17 +39,11 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode().split()
 
 
-class Numbers(dict):
-    """Word to its 64-bit hash."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
+class Numbers:
+    """Words to their 64-bit hashes. A table of known words' hashes would miss the processor's caches and take longer."""
 
     def of(self, found: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, found), np.uint64, len(found))
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
 
 
 def rolling(hashes: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
