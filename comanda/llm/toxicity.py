@@ -16,7 +16,8 @@ from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import chain, repeat
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +38,15 @@ LEAST, SCORES, SUPPORT, MARKS = 0.05, (2.0, 8.0), 2, 3
 PRIOR = 1.0
 # Examples in a block of the index, and in the parts of it whose best similarities give a floor for the k-th best of all.
 BLOCK, PART = 1024, 64
-# A feature that one in so many examples has is kept as a row of weights for all of them; texts are scored so many at once.
-FREQUENT, TOGETHER = 16, 50
-# Words a worker remembers the features of.
+# A feature that one in so many examples has is kept as a row of weights for all of them; so many texts' features are found
+# at once, and so many are multiplied with the rows at once.
+FREQUENT, TOGETHER, MULTIPLIED = 16, 50, 200
+# Words a worker remembers the features of beginnings of.
 REMEMBERED = 200_000
 REJECT_FROM = 0.7
 
 WORD = re.compile(r"\w+")
+BEGINNING = itemgetter(slice(PREFIXES[0]))
 # Bytes as they are, but a space for what can't be part of a word in ASCII.
 APART = bytes(i if i > 127 or WORD.match(chr(i)) else 32 for i in range(256))
 
@@ -68,14 +71,14 @@ def words(text: str | None) -> Counter:
 
 
 class Met(dict):
-    """Numbers of the words met so far and the features of each, one after the other; words without features share 0."""
+    """Numbers of the words met so far and the features of the beginnings of each, one after the other; words without any share 0."""
 
     def __init__(self, known: dict[str, int]):
         super().__init__()
         self.known, self.features, self.starts = known, array("i"), array("i", [0, 0])
 
     def __missing__(self, word: str) -> int:
-        self.features.extend(self.known[f] for f in features(word) if f in self.known)
+        self.features.extend(self.known[f] for f in features(word)[1:] if f in self.known)
         if len(self.features) > self.starts[-1]:
             self.starts.append(len(self.features))
             self[word] = len(self.starts) - 2
@@ -89,6 +92,8 @@ class Lexicon(dict):
 
     def __init__(self, known: dict[str, int]):
         super().__init__(known)
+        # how words with features of beginnings begin; most words don't
+        self.begun = {BEGINNING(f) for f in known if f[-1:] == "-"}
         self.again = {r: np.full(len(known), -1, np.int32) for r in REPEATS}
         for f, i in known.items():
             of, _, r = f.partition("*")
@@ -107,10 +112,14 @@ class Lexicon(dict):
         counted = [words(t) for t in texts]
         text = np.repeat(np.arange(len(texts)), [len(c) for c in counted])
         times = np.fromiter(chain.from_iterable(c.values() for c in counted), np.int64)
-        numbers = np.fromiter(chain.from_iterable(map(self.met.__getitem__, c) for c in counted), np.int32)
+        flat = list(chain.from_iterable(counted))
+        own = np.fromiter(map(self.get, flat, repeat(-1)), np.int32, len(flat))
+        begun = np.flatnonzero(np.fromiter(map(self.begun.__contains__, map(BEGINNING, flat)), bool, len(flat)))
+        numbers = np.fromiter(map(self.met.__getitem__, map(flat.__getitem__, begun.tolist())), np.int32, len(begun))
         at, n = gather(numbers, np.frombuffer(self.met.starts, np.int32))
-        of = np.frombuffer(self.met.features, np.int32)[at] if len(at) else at
-        keys, times = sums(np.repeat(text * len(self), n) + of, np.repeat(times, n))
+        place = np.concatenate([np.flatnonzero(own >= 0), np.repeat(begun, n)])
+        of = np.concatenate([own[own >= 0], np.frombuffer(self.met.features, np.int32)[at] if len(at) else at])
+        keys, times = sums(text[place] * len(self) + of, times[place])
         often = keys[times >= REPEATS[0]]
         n = times[times >= REPEATS[0]]
         of = often % (len(self) or 1)
@@ -207,7 +216,6 @@ class Model:
 
     def prepare(self) -> None:
         """The parts of the index: what a block holds of a feature."""
-        self.offsets, self.example, self.weight = self.offsets.astype(np.int64), self.example.astype(np.int64), self.weight.astype(float)
         block = self.example // BLOCK
         first = np.ones(len(block), bool)
         first[1:] = block[1:] != block[:-1]
@@ -215,8 +223,8 @@ class Model:
         starts = np.flatnonzero(first)
         self.block = block[starts]  # of a part
         self.most = np.maximum.reduceat(self.weight, starts) if len(starts) else self.weight  # the largest weight in a part
-        self.starts = np.append(starts, len(block))  # of a part's postings
-        self.parts = np.searchsorted(starts, self.offsets)  # where a feature's parts start
+        self.starts = np.append(starts, len(block)).astype(np.int32)  # of a part's postings
+        self.parts = np.searchsorted(starts, self.offsets).astype(np.int32)  # where a feature's parts start
         self.blocks = len(self.ids) // BLOCK + 1
         often = np.flatnonzero(np.diff(self.offsets) * FREQUENT > len(self.ids))
         self.row = np.full(len(self.weights), -1, np.int32)
@@ -290,8 +298,9 @@ class Model:
 
     def votes(self, texts: list[str | None], without: list[int] | None = None) -> Iterator[tuple[float | None, list[int]]]:
         """What the nearest examples of each text vote for, before calibration, and their ids; None without any."""
-        for first in range(0, len(texts), TOGETHER):
-            vectors = self.vectors(texts[first : first + TOGETHER])
+        for first in range(0, len(texts), MULTIPLIED):
+            some = texts[first : first + MULTIPLIED]
+            vectors = [v for i in range(0, len(some), TOGETHER) for v in self.vectors(some[i : i + TOGETHER])]
             for i, ((at, w), known) in enumerate(zip(vectors, self.frequent(vectors), strict=True), first):
                 best, scores = self.nearest(at, w, NEIGHBOURS, without and without[i], known) if len(at) else ((), ())
                 yield (self.vote(best, scores), self.ids[best].tolist()) if len(best) else (None, [])
@@ -345,9 +354,10 @@ def select_features(examples: DataFrame) -> tuple[Lexicon, np.ndarray]:
 
 def idf(docs: DataFrame, known: dict[str, int]) -> np.ndarray:
     """The IDF of each known feature over all documents, counted in one pass over their whole texts."""
-    known = known if isinstance(known, Lexicon) else Lexicon(known)
+    shared = docs.sparkSession.sparkContext.broadcast(known if isinstance(known, Lexicon) else Lexicon(known))
 
     def having(batches):
+        known = shared.value
         n = np.zeros(len(known), np.int64)
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
@@ -357,6 +367,7 @@ def idf(docs: DataFrame, known: dict[str, int]) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"at": pa.array(at, pa.int32()), "n": pa.array(n[at], pa.int64())})
 
     got = docs.select("text").mapInArrow(having, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    shared.destroy()
     df = np.zeros(len(known))
     df[got["at"].to_numpy()] = got["n"].to_numpy()
     return np.log((docs.count() + 1) / (df + 1)) + 1
@@ -390,14 +401,18 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = EXAMPLES) -> Model:
     examples = sample(docs, labels, rows)
     known, factors = select_features(examples)
 
+    lexicon = docs.sparkSession.sparkContext.broadcast(known)
+
     def vectors(batches):
-        for batch in slices(batches):
-            got = [counts(t, known) for t in batch.column("text").to_pylist()]
+        for batch in slices(batches, TOGETHER):
+            _, at, n, starts = lexicon.value.occurrences(batch.column("text").to_pylist())
+            starts = pa.array(starts, pa.int32())
             yield pa.RecordBatch.from_pydict(
-                {"doc_id": batch.column("doc_id").cast(pa.int64()), "toxic": batch.column("toxic").cast(pa.int32()), "at": pa.array([list(c) for c in got], pa.list_(pa.int32())), "n": pa.array([list(c.values()) for c in got], pa.list_(pa.int32()))}
+                {"doc_id": batch.column("doc_id").cast(pa.int64()), "toxic": batch.column("toxic").cast(pa.int32()), "at": pa.ListArray.from_arrays(starts, pa.array(at, pa.int32())), "n": pa.ListArray.from_arrays(starts, pa.array(n, pa.int32()))}
             )
 
     model = index(known, factors * idf(docs, known), examples.mapInArrow(vectors, "doc_id long, toxic int, at array<int>, n array<int>").toArrow())
+    lexicon.destroy()
     shared = model.share(docs.sparkSession)
 
     def left_out(batches):

@@ -36,3 +36,17 @@ def test_numbering_leaves_no_units_behind(spark):
 def test_places_take_four_bytes():
     high, low, at = ngram.distinct(np.array([0, 1, 0, 1], np.uint64), np.array([5, 5, 5, 4], np.uint64))
     assert (high.tolist(), low.tolist(), at.tolist(), at.dtype) == ([0, 1, 1], [5, 4, 5], [0, 2, 0, 1], np.int32)
+
+
+def test_a_worker_keeps_postings_narrow_and_words_with_beginnings_only(spark):
+    docs = spark.createDataFrame([(i, f"word{i % 7} other{i % 5} " + ("vileness" if i % 3 == 0 else "kindness")) for i in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert len(model.rows) and (model.example.dtype, model.weight.dtype, model.starts.dtype) == (np.int32, np.float32, np.int32)
+    assert model.known.begun == {"vile"} and not model.known.met
+    # words whose beginnings are no features are not remembered, whether known or not
+    keys, times, more = model.known.found(["vilest kindness unheard of", None, "vileness vileness"])
+    assert set(model.known.met) == {"vilest", "vileness"}
+    names = {i: f for f, i in model.known.items()}
+    got = {(k // len(names), names[k % len(names)]): n for k, n in zip(keys.tolist(), times.tolist(), strict=True)}
+    assert got == {(0, "vile-"): 1, (0, "kindness"): 1, (2, "vileness"): 2, (2, "vile-"): 2, (2, "vilen-"): 2, (2, "vilene-"): 2}
