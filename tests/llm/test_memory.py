@@ -4,7 +4,8 @@ import os
 
 import numpy as np
 
-from comanda.llm import ngram, toxicity
+from comanda.llm import ngram, sampling, toxicity
+from comanda.llm.queries import vocabulary
 
 
 def test_the_driver_holds_postings_only(spark):
@@ -50,3 +51,25 @@ def test_a_worker_keeps_postings_narrow_and_words_with_beginnings_only(spark):
     names = {i: f for f, i in model.known.items()}
     got = {(k // len(names), names[k % len(names)]): n for k, n in zip(keys.tolist(), times.tolist(), strict=True)}
     assert got == {(0, "vile-"): 1, (0, "kindness"): 1, (2, "vileness"): 2, (2, "vile-"): 2, (2, "vilen-"): 2, (2, "vilene-"): 2}
+
+
+def test_lattices_of_words_are_worked_out_once_and_let_go(monkeypatch):
+    v = sampling.vocabulary(vocabulary("piece_bpe_32k.model"))
+    texts = ["the cat sat on the mat", "", "straße \U0001f600 the▁cat " + "x" * 600, "a cat"]
+    keys = sampling.mix(np.arange(4, dtype=np.uint64) * sampling.GOLD)
+    built, work = [], sampling.arcs_of
+    monkeypatch.setattr(sampling, "arcs_of", lambda words, *a: built.extend(words) or work(words, *a))
+    monkeypatch.setattr(sampling, "_LATTICES", {})
+    plain = lambda samples: [[(ids.tolist(), *x) for ids, *x in s] for s in samples]
+    at_once = plain(sampling.sample(texts, keys, 3, v))
+    again = plain(s for i in range(4) for s in sampling.sample(texts[i : i + 1], keys[i : i + 1], 3, v))
+    assert len(built) == len(set(built)) == len({w for t in texts for w in sampling.cut(t)})
+    monkeypatch.setattr(sampling, "REMEMBERED", 0)
+    alone = plain(s for i in range(4) for s in sampling.sample(texts[i : i + 1], keys[i : i + 1], 3, v))
+    assert [[s[0] for s in x] for x in at_once] == [[s[0] for s in x] for x in again] and again == alone
+    assert sampling.remembered(v).places == 0 and all(sampling.decode(s[0], v) == t for t, x in zip(texts, alone, strict=True) for s in x)
+    # an arc for every piece that fits and one for every character, whose probabilities add up
+    lattice = sampling.Lattice(v)
+    lattice.number(["▁the", "▁Ωq"])
+    log, _ = lattice.dense(np.arange(lattice.places))
+    assert lattice.places == 7 and np.allclose(np.exp(log).sum(axis=1), 1) and (np.diff(lattice.first[:8]) >= 1).all()
