@@ -122,3 +122,31 @@ def test_open_orders_are_dropped_after_their_time(spark, rules, tmp_path):
         feed(spark, folder, rows)
         jobs.finish(jobs.start_open_orders(jobs.order_stream(spark, folder, LINES, files_per_batch=1), rules, out, state))
         assert held() == kept  # the last line is later than the bound and is left out
+
+
+def test_a_batch_is_worked_out_before_it_is_read(spark, rules, tmp_path, monkeypatch):
+    orders = spark.range(0, 40, 1, 4).selectExpr("id AS visit_id", "18L AS arrival_hour", "array(concat('f', id % 4)) AS foods")
+    held, work = [], rerank.recommend_visits
+
+    def noted(*args):
+        held.extend((r.numCachedPartitions(), r.numPartitions()) for r in spark.sparkContext._jsc.sc().getRDDStorageInfo())
+        return work(*args)
+
+    monkeypatch.setattr(rerank, "recommend_visits", noted)
+    jobs.write_recommendations(orders, rules, str(tmp_path / "out"), 3, jobs.HourFactors())
+    assert (4, 4) in held  # two stages that need the state's rows at once would both work them out
+    assert key(spark.read.parquet(str(tmp_path / "out")).collect()) == key(work(orders, rules).collect())
+
+
+def test_times_of_open_orders_do_not_depend_on_the_time_zone(spark, rules, tmp_path):
+    folder, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    feed(spark, folder, [(1, ["f0"], 18, at(5)), (1, ["f1"], 18, at(9))])
+    (want,) = spark.read.parquet(folder).selectExpr("unix_millis(min(ts))", "unix_millis(max(ts))").collect()
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        jobs.finish(jobs.start_open_orders(jobs.order_stream(spark, folder, LINES), rules, out, state))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    (got,) = spark.read.format("statestore").option("path", state).option("stateVarName", "order").load().selectExpr("value.first_ms", "value.last_ms").collect()
+    assert tuple(got) == tuple(want)
